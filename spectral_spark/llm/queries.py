@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import decontamination, mixing, secrets, toxicity
 from .common import bound_batches
 from .ngram_join import ngram_join
 
@@ -15,14 +17,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four fifths of the corpus's tokens, drawn to the weights of a domain-language-source tree."""
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix_sources(docs, mixing.domain_of(F.col("source")), mixing.WEIGHTS, mixing.SHARE)
+    return mixed.select("doc_id", "mix_domain", "mix_epoch", "mix_tokens", "mix_take")
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secrets.train_models(secrets.labelled_tokens(docs))
+    found = secrets.find_secrets(docs, model).select("doc_id", "base_spans", "all_spans")
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"), secrets.listed(F.col("all_spans")).alias("spans"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of ten words of benchmark items."""
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: five-word n-grams, similarity 0.8 or more."""
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_ngram_join": op10_ngram_join}
+    return {f.__name__: f for f in (op1_mixing, op3_secrets, op6_toxicity, op7_decontamination, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": mixing.ORACLE, "op7_decontamination": decontamination.ORACLE}
