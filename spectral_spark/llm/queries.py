@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, secrets, toxicity
+from . import chat, decontamination, jpeg, licenses, mixing, secrets, toxicity, urls, warc
 from .common import bound_batches
 from .ngram_join import ngram_join
 
@@ -24,6 +24,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix_domain", "mix_epoch", "mix_tokens", "mix_take")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that begin no longer one, rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,6 +38,16 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"), secrets.listed(F.col("all_spans")).alias("spans"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digests of all documents, looked up among known licences."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the urls of all pages."""
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,14 +60,26 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as a progressive JPEG and read back."""
+    docs = jpeg.store_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), jpeg.describe_media(F.col("media")).alias("d")).select("doc_id", "n_bytes", "d.*")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record for every page, written to an archive and read back."""
+    records = warc.read_archive(warc.write_archive(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: five-word n-grams, similarity 0.8 or more."""
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op3_secrets, op6_toxicity, op7_decontamination, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_mixing, op2_chat, op3_secrets, op4_licenses, op5_urls, op6_toxicity, op7_decontamination, op8_jpeg, op9_warc, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE, "op7_decontamination": decontamination.ORACLE}
+    return {"op1_mixing": mixing.ORACLE, "op2_chat": chat.ORACLE, "op4_licenses": licenses.ORACLE, "op5_urls": urls.ORACLE, "op9_warc": warc.ORACLE, "op7_decontamination": decontamination.ORACLE}
