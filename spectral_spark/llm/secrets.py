@@ -60,7 +60,11 @@ def labelled_tokens(docs: DataFrame, text_col: str = "text", sample_docs: int =
     base = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     if n > sample_docs:
         base = base.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * sample_docs / n))
-    secret = F.concat(*(F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)), lambda v, least=least: F.char_length(v) >= least) for _, pattern, group, least in BASE))
+
+    def captured(pattern: str, group: int, least: int) -> Column:
+        return F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)), lambda v: F.char_length(v) >= least)
+
+    secret = F.concat(*(captured(*rule) for _, *rule in BASE))
     rest = reduce(lambda t, b: F.regexp_replace(t, b[1], " "), BASE, F.col("text"))
     rows = base.select(F.explode(F.concat(F.transform(secret, lambda t: F.struct(t.alias("token"), F.lit(1).alias("label"))), F.transform(F.array_distinct(F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9_+/=-]{8,}"), F.lit(0))), lambda t: F.struct(t.alias("token"), F.lit(0).alias("label"))))).alias("x"))
     return rows.select("x.*").distinct()
