@@ -31,15 +31,8 @@ def _slot(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BITS))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10) -> DataFrame:
-    """One row per row of docs: id, n_words, n_hit, n_items, items_sha256, contaminated.
-
-    Words: A-Z in lower case, then runs of digits, letters and non-ASCII. A document word is hit if it lies in any
-    occurrence of a window; n_items counts the items that have an occurring window, items_sha256 is the digest of
-    their ids, sorted as strings and joined by commas. A null or empty text has no words; a null item id counts as
-    "null"; repeated rows give repeated results, null ids are kept. An empty benchmark leaves all documents clean.
-    """
-    spark = docs.sparkSession
+def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, size: int) -> DataFrame:
+    """For each distinct (id, digest of the text): copies, n_words, and the occurring windows as spans and items."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     windows = stash(item_windows(benchmark, item_id, item_text, size), "windows")
     hint = F.broadcast if windows.count() <= BROADCAST_ROWS else (lambda df: df)
@@ -71,20 +64,33 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     holds = (start >= 1) & (start + length - 1 <= F.col("n_words")) & (F.slice("around", F.greatest(start - F.col("since") + 1, F.lit(1)), length) == F.col("window"))
     joined = joined.where((F.col("at") == 0) | holds)
     hit = F.col("at") > 0
-    found = joined.groupBy("id", "digest", "n_words").agg(
+    return joined.groupBy("id", "digest", "n_words").agg(
         F.count(F.when(~hit, 1)).alias("copies"),
         F.array_sort(F.collect_set(F.when(hit, F.struct(start.alias("s"), length.alias("n"))))).alias("spans"),
         F.array_sort(F.collect_set(F.when(hit, F.col("item")))).alias("items"),
     )
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10) -> DataFrame:
+    """One row per row of docs: id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    Words: A-Z in lower case, then runs of digits, letters and non-ASCII. A document word is hit if it lies in any
+    occurrence of a window; n_items counts the items that have an occurring window, items_sha256 is the digest of
+    their ids, sorted as strings and joined by commas. A null or empty text has no words; a null item id counts as
+    "null"; repeated rows give repeated results, null ids are kept. An empty benchmark leaves all documents clean.
+    """
+    found = _found(docs, benchmark, id_col, text_col, item_id, item_text, size)
     covered = F.aggregate("spans", F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("hit")), lambda a, x: F.struct(F.greatest(a["end"], x["s"] + x["n"]).alias("end"), (a["hit"] + F.greatest(F.lit(0), x["s"] + x["n"] - F.greatest(a["end"], x["s"]))).alias("hit")))["hit"]
     out = found.withColumn("n_hit", covered).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return out.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the rows in whose text an item's window occurs. Rows of one id go together if any of them is hit."""
-    hit = decontaminate(docs, benchmark, id_col, text_col, **how).where("contaminated").select(F.col(id_col).alias("hit_id")).distinct()
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("hit_id")), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = 10) -> DataFrame:
+    """docs without the rows in whose text an item's window occurs; rows are told apart by id and text."""
+    found = _found(docs, benchmark, id_col, text_col, item_id, item_text, size)
+    hit = found.where(F.size("spans") > 0).select(F.col("id").alias("hit_id"), F.col("digest").alias("hit_digest"))
+    same = F.col(id_col).eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("hit_digest"))
+    return docs.join(hit, same, "left_anti")
 
 
 ORACLE = r"""

@@ -9,8 +9,7 @@ from .common import stash
 
 LEVELS = ("domain", "lang", "source")
 #: Documents of a leaf that are ordered together, about.
-BUCKET_DOCS = 5_000
-_WIDE = "decimal(38,0)"
+BUCKET_DOCS = 1_000
 
 
 def count_tokens(text: Column) -> Column:
@@ -72,34 +71,35 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[str, int], share:
     names = [F.col("mix_domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source")]
     small = base.select(F.col(id_col).alias("id"), "mix_tokens", *names).where("mix_tokens > 0")
     leaves = stash(small.groupBy(*LEVELS).agg(F.sum("mix_tokens").alias("supply"), F.count(F.lit(1)).alias("docs")), "leaves")
-    goal = F.lit(total).cast("long") if total is not None else F.expr(f"cast(sum(sum(supply)) over () * {int(share[0])} div {int(share[1])} as long)")
+    goal = F.lit(total).cast("long")
     if total is None:
         whole = leaves.agg(F.sum("supply").alias("s")).first()["s"] or 0
         goal = F.lit(whole * int(share[0]) // int(share[1])).cast("long")
     plan = budgets(leaves, weights, goal, epochs).withColumn("whole", F.expr("given div supply")).withColumn("rest", F.expr("given % supply"))
     plan = stash(plan.withColumn("buckets", F.ceil(F.col("docs") / BUCKET_DOCS)), "plan")
+    plan = plan.withColumnsRenamed({c: f"__{c}" for c in ("whole", "rest", "buckets")})
 
     def drawn(df: DataFrame, key: str) -> DataFrame:
-        h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), (F.col("whole") + 1).cast("string"), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
-        return df.withColumn("__h", h).withColumn("__bucket", F.pmod("__h", "buckets"))
-
-    filled = drawn(small.join(plan.where("rest > 0"), list(LEVELS)), "id").groupBy(*LEVELS, "__bucket", "rest").agg(F.sum("mix_tokens").alias("sum"))
-    before = F.sum("sum").over(Window.partitionBy(*LEVELS).orderBy("__bucket")) - F.col("sum")
-    filled = stash(filled.withColumn("before", before).where("before < rest").select(*LEVELS, "__bucket", "before", (F.col("before") + F.col("sum") > F.col("rest")).alias("cut")), "buckets")
-
-    here = [F.col("mix_domain") == F.col("domain"), F.col("__lang") == F.col("p_lang"), F.col("__source") == F.col("p_source")]
-    own = plan.select("domain", F.col("lang").alias("p_lang"), F.col("source").alias("p_source"), "whole", "rest", "buckets")
-    rows = drawn(base.where("mix_tokens > 0").join(own, here), id_col)
-    first = filled.select(F.col("domain").alias("b_domain"), F.col("lang").alias("b_lang"), F.col("source").alias("b_source"), F.col("__bucket").alias("b_bucket"), "before", "cut")
-    same = (F.col("domain") == F.col("b_domain")) & (F.col("p_lang") == F.col("b_lang")) & (F.col("p_source") == F.col("b_source")) & (F.col("__bucket") == F.col("b_bucket"))
-    keep = [*[c for c in docs.columns if not c.startswith("mix_") or c not in ("mix_domain", "mix_epoch", "mix_tokens", "mix_take")], "mix_domain"]
+        h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), (F.col("__whole") + 1).cast("string"), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
+        return df.withColumn("__h", h).withColumn("__bucket", F.pmod("__h", "__buckets"))
+
+    filled = drawn(small.join(plan.where("__rest > 0"), list(LEVELS)), "id").groupBy(*LEVELS, "__bucket", "__rest").agg(F.sum("mix_tokens").alias("__sum"))
+    before = F.sum("__sum").over(Window.partitionBy(*LEVELS).orderBy("__bucket")) - F.col("__sum")
+    filled = stash(filled.withColumn("__before", before).where("__before < __rest").withColumn("__cut", F.col("__before") + F.col("__sum") > F.col("__rest")), "buckets")
+
+    leaf = dict(zip(LEVELS, ("mix_domain", "__lang", "__source")))
+    own = plan.select(*[F.col(c).alias(f"__p_{c}") for c in LEVELS], "__whole", "__rest", "__buckets")
+    rows = drawn(base.where("mix_tokens > 0").join(own, [F.col(v) == F.col(f"__p_{c}") for c, v in leaf.items()]), id_col)
+    first = filled.select(*[F.col(c).alias(f"__b_{c}") for c in LEVELS], F.col("__bucket").alias("__b_bucket"), "__before", "__cut")
+    same = [F.col(v) == F.col(f"__b_{c}") for c, v in leaf.items()] + [F.col("__bucket") == F.col("__b_bucket")]
+    keep = [*[c for c in docs.columns if c not in ("mix_domain", "mix_epoch", "mix_tokens", "mix_take")], "mix_domain"]
     epoch = F.col("mix_epoch").cast("long").alias("mix_epoch")
-    full = rows.where("whole > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("whole")))).select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
-    part = rows.where("rest > 0").join(first, same).withColumn("mix_epoch", F.col("whole") + 1)
-    fits = part.where("not cut").select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
-    order = Window.partitionBy("mix_domain", "__lang", "__source", "__bucket").orderBy("__h", id_col, "mix_tokens").rowsBetween(Window.unboundedPreceding, 0)
-    cut = part.where("cut").withColumn("__past", F.col("before") + F.sum("mix_tokens").over(order) - F.col("mix_tokens")).where("__past < rest")
-    cut = cut.select(*keep, epoch, "mix_tokens", F.least(F.col("mix_tokens"), F.col("rest") - F.col("__past")).alias("mix_take"))
+    full = rows.where("__whole > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__whole")))).select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
+    part = rows.where("__rest > 0").join(first, same).withColumn("mix_epoch", F.col("__whole") + 1)
+    fits = part.where("not __cut").select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
+    order = Window.partitionBy(*leaf.values(), "__bucket").orderBy("__h", id_col, "mix_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    cut = part.where("__cut").withColumn("__past", F.col("__before") + F.sum("mix_tokens").over(order) - F.col("mix_tokens")).where("__past < __rest")
+    cut = cut.select(*keep, epoch, "mix_tokens", F.least(F.col("mix_tokens"), F.col("__rest") - F.col("__past")).alias("mix_take"))
     return full.unionByName(fits).unionByName(cut)
 
 

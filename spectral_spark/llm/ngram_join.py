@@ -74,7 +74,7 @@ def _signatures(size: int, bands: int, rows: int):
                     hashed[band] = h
                 made = iter(np.ascontiguousarray(hashed.T).view(np.int64))
                 keys += [next(made) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sids, pa.string()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "sid", "size", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sids, pa.string()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "digest", "sid", "size", "keys"])
 
     return run
 
@@ -135,19 +135,12 @@ def _verify(threshold: float):
     return run
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
-    """One row per row of docs: the id, class_id (smallest id of its class) and n_links (other rows at least as similar).
-
-    Words are runs of digits, letters (A-Z in lower case) and non-ASCII; sets are of `size` consecutive words, and a
-    text of fewer words is one n-gram. Rows are linked if the Jaccard similarity of their sets reaches the threshold;
-    a class is a connected component of links. A text without words (null, empty) links to nothing: it is its own
-    class. Repeated rows are copies and count as links of each other; a null id is kept, and is a class_id only where
-    the class has no other. All other columns are ignored; an empty table gives an empty result.
-    """
+def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, recall: float) -> DataFrame:
+    """(id, digest of the text, component, class_id, n_links) for each row of docs; no component without words."""
     bands, rows = band_plan(threshold, recall)
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
     kind = base.schema["id"].dataType.simpleString()
-    sig = stash(base.mapInArrow(_signatures(size, bands, rows), f"id {kind}, sid string, size long, keys array<long>"), "signatures")
+    sig = stash(base.mapInArrow(_signatures(size, bands, rows), f"id {kind}, digest long, sid string, size long, keys array<long>"), "signatures")
     members = sig.where("sid is not null").groupBy("sid").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"))
     keyed = sig.where("sid is not null").dropDuplicates(["sid"]).select("sid", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("sid").alias("head"), F.max("sid").alias("tail")).where("head <> tail")
@@ -181,20 +174,39 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = members.join(parts.withColumnRenamed("node", "sid"), "sid", "left").join(links, "sid", "left")
     classes = classes.select("sid", "rep", "copies", F.coalesce("component", "sid").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
     heads = classes.groupBy("component").agg(F.min("rep").alias("class_id"))
-    classes = classes.join(heads, "component").select("sid", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    out = sig.select("id", "sid").join(classes, "sid", "left")
-    return out.select(F.col("id").alias(id_col), F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    classes = classes.join(heads, "component").select("sid", "component", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    out = sig.select("id", "digest", "sid").join(classes, "sid", "left")
+    return out.select("id", "digest", "component", F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """One row per row of docs: the id, class_id (smallest id of its class) and n_links (other rows at least as similar).
+
+    Words are runs of digits, letters (A-Z in lower case) and non-ASCII; sets are of `size` consecutive words, and a
+    text of fewer words is one n-gram. Rows are linked if the Jaccard similarity of their sets reaches the threshold;
+    a class is a connected component of links. A text without words (null, empty) links to nothing: it is its own
+    class. Repeated rows are copies and count as links of each other; a null id is kept, and is a class_id only where
+    the class has no other. All other columns are ignored; an empty table gives an empty result.
+    """
+    out = _classes(docs, id_col, text_col, size, threshold, recall)
+    return out.select(F.col("id").alias(id_col), "class_id", "n_links")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of docs without all but one of each class: the one with the smallest id; of rows that repeat one id and text, one stays.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """The rows of docs without all but one of each class: that with the smallest id, then the smallest digest of its text.
 
-    Rows whose id is null stay only if their class has no other id.
+    Texts without words are classes of their own; of rows that repeat one id and text, one stays. A row whose id is null
+    stays only if its class has no other id.
     """
-    classes = ngram_join(docs, id_col, text_col, **how)
-    seen = classes.groupBy(F.col(id_col).alias("kept_id")).agg(F.max(F.col(id_col).eqNullSafe(F.col("class_id"))).alias("kept"), F.count(F.lit(1)).alias("times"))
-    seen = seen.where("kept")
-    same = F.col(id_col).eqNullSafe(F.col("kept_id"))
-    once = docs.join(seen.where("times = 1"), same, "left_semi")
-    more = docs.join(seen.where("times > 1"), same, "left_semi").withColumn("__digest", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).dropDuplicates([id_col, "__digest"]).drop("__digest")
+    classes = _classes(docs, id_col, text_col, size, threshold, recall)
+    own = F.concat(F.lit("-"), F.coalesce(F.col("digest").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col("id").cast("string"), F.lit("")))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("first")
+    heads = classes.groupBy(F.coalesce("component", own).alias("class")).agg(first)
+    kept = heads.select(F.col("first.id").alias("kept_id"), F.col("first.digest").alias("kept_digest"))
+    times = classes.groupBy(F.col("id").alias("kept_id"), F.col("digest").alias("kept_digest")).count()
+    twice = times.where("count > 1").drop("count")
+    same = F.col(id_col).eqNullSafe(F.col("kept_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("kept_digest"))
+    rows = docs.join(kept, same, "left_semi")
+    once = rows.join(twice, same, "left_anti")
+    more = rows.join(twice, same, "left_semi").withColumn("__digest", F.xxhash64(F.col(text_col).cast("string"))).dropDuplicates([id_col, "__digest"]).drop("__digest")
     return once.unionByName(more)

@@ -14,8 +14,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import PIECE
-
 #: Letters of other scripts that look like Latin ones, in pairs (first the look-alike, then the letter).
 HOMOGLYPHS = "аaеeоoрpсcхxуyіiјjѕsһhԁdԛqԝwαaοoρpνvιiκkτtυuηnωwɑaɡgıiɩiℓlօoսuոnհhⅼlⅽcⅾdⅿm"
 #: Digits and signs that stand for letters.
@@ -82,8 +80,8 @@ def features(text: str, automaton) -> tuple[float, float, float]:
 
 
 def held_out(id_col: Column) -> Column:
-    """Rows that labels are never learned from: crc32 of the id as text, modulo 4, is 2."""
-    return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(4)) == 2
+    """Rows that labels are never learned from: crc32 of the id as text, modulo 4, is 2. (A null id is not held out, but teaches nothing.)"""
+    return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
 def _stems(low: int, high: int):
