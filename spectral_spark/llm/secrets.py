@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +20,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Characters by number, from 1; 63 stands for all others, 0 for the start of a token.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 STATES = 64
+#: Pairs' worth of single characters' frequencies in each model.
+BACK_OFF = 8
 
 
 def _found(text: Column, kind: str, order: int, pattern: str, group: int, least: int) -> Column:
@@ -28,14 +29,15 @@ def _found(text: Column, kind: str, order: int, pattern: str, group: int, least:
     span = "array<struct<start:int,order:int,stop:int,kind:string>>"
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    between = F.split(text, pattern, -1)
-    steps = F.transform(whole, lambda m, i: F.struct(F.char_length(F.get(between, i)).alias("gap"), F.char_length(m).alias("length"), F.char_length(F.get(judged, i)).alias("judged")))
+    steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("match"), judged.alias("judged"))  # one gap more than matches
+    begin = lambda a, x: a["at"] + F.char_length(x["gap"])
+    end = lambda a, x: begin(a, x) + F.coalesce(F.char_length(x["match"]), F.lit(0))
     walk = F.aggregate(
         steps,
         F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("out")),
         lambda a, x: F.struct(
-            (a["at"] + x["gap"] + x["length"]).alias("at"),
-            F.when(x["judged"] >= least, F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("start"), F.lit(order).alias("order"), (a["at"] + x["gap"] + x["length"]).alias("stop"), F.lit(kind).alias("kind"))))).otherwise(a["out"]).alias("out"),
+            end(a, x).alias("at"),
+            F.when(F.char_length(x["judged"]) >= least, F.concat(a["out"], F.array(F.struct(begin(a, x).alias("start"), F.lit(order).alias("order"), end(a, x).alias("stop"), F.lit(kind).alias("kind"))))).otherwise(a["out"]).alias("out"),
         ),
     )["out"]
     return F.when(F.regexp(text, F.lit(pattern)), walk).otherwise(F.array().cast(span))
@@ -46,9 +48,9 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*(_found(text, kind, k, pattern, group, least) for k, (kind, pattern, group, least) in enumerate(BASE))))
 
 
-def codes(token: Column) -> Column:
-    """The characters of a token by number."""
-    return F.transform(F.split(token, ""), lambda c: F.coalesce(F.nullif(F.position(c, F.lit(ALPHABET)), F.lit(0)), F.lit(63)))
+def code(char: Column) -> Column:
+    """The number of a character."""
+    return F.coalesce(F.nullif(F.position(char, F.lit(ALPHABET)), F.lit(0)), F.lit(63))
 
 
 def labelled_tokens(docs: DataFrame, text_col: str = "text", sample_docs: int = 20_000) -> DataFrame:
@@ -73,18 +75,21 @@ def labelled_tokens(docs: DataFrame, text_col: str = "text", sample_docs: int =
 def train_models(samples: DataFrame) -> list[int]:
     """From (token, label): 64 x 64 log-likelihood ratios, in thousandths, of a next character in a random string over an ordinary identifier.
 
-    Each model gives half its weight to its counts, with one added to each; the random one gives the other half to equal
-    chances, as keys and passwords are drawn from alphabets that a sample need not show.
+    Each model falls back on how often single characters occur where it has seen few pairs. The random one gives half
+    its weight to equal chances, as keys and passwords are drawn from alphabets that a sample need not show.
     """
-    pairs = samples.select("label", codes(F.col("token")).alias("c")).select("label", F.explode(F.transform("c", lambda x, i: F.when(i == 0, x).otherwise(F.get("c", i - 1) * STATES + x))).alias("pair"))
+    chars = F.transform(F.split("token", ""), code)
+    pairs = F.filter(F.zip_with(F.concat(F.array(F.lit(0)), chars), chars, lambda a, b: a * STATES + b), lambda p: p.isNotNull())
+    pairs = samples.select("label", F.explode(pairs).alias("pair"))
     counts = {0: {}, 1: {}}
     for r in pairs.groupBy("label", "pair").count().collect():  # at most 2 x 4096 rows
         counts[r["label"]][r["pair"]] = r["count"]
+    single = {k: [sum(counts[k].get(a * STATES + b, 0) for a in range(STATES)) + 1 for b in range(STATES)] for k in (0, 1)}
     out = []
     for a in range(STATES):
         totals = [sum(counts[k].get(a * STATES + b, 0) for b in range(STATES)) for k in (0, 1)]
         for b in range(STATES):
-            known = [(counts[k].get(a * STATES + b, 0) + 1) / (totals[k] + STATES) for k in (0, 1)]
+            known = [(counts[k].get(a * STATES + b, 0) + BACK_OFF * single[k][b] / sum(single[k])) / (totals[k] + BACK_OFF) for k in (0, 1)]
             out.append(round(1000 * math.log((0.5 * known[1] + 0.5 / STATES) / known[0])))
     return out
 
@@ -92,8 +97,9 @@ def train_models(samples: DataFrame) -> list[int]:
 def ratio(token: Column, model: list[int]) -> Column:
     """Mean log-likelihood ratio of a token's characters."""
     table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<int>")
-    chars = codes(token)
-    return F.aggregate(F.transform(chars, lambda x, i: F.get(table, F.when(i == 0, x).otherwise(F.get(chars, i - 1) * STATES + x).cast("int"))), F.lit(0).cast("long"), lambda a, x: a + x) / (1000.0 * F.char_length(token))
+    start = F.struct(F.lit(0).alias("last"), F.lit(0).cast("long").alias("sum"))
+    walk = F.aggregate(F.split(token, ""), start, lambda a, c: F.struct(code(c).alias("last"), (a["sum"] + F.get(table, a["last"] * STATES + code(c))).alias("sum")))
+    return walk["sum"] / (1000.0 * F.char_length(token))
 
 
 def find_secrets(docs: DataFrame, model: list[int], text_col: str = "text", threshold: float = 0.75) -> DataFrame:
