@@ -24,16 +24,23 @@ EXCEPTIONS = ("trash can", "trash bin", "clown fish", "class clown", "idiot proo
 STEMS, SAMPLE_DOCS, LEXICON = (4, 8), 12_000, 2_000
 
 _LOOKS = str.maketrans({a: b for a, b in zip(HOMOGLYPHS[::2], HOMOGLYPHS[1::2])} | {chr(0xFF21 + k): chr(97 + k) for k in range(26)} | {chr(0xFF41 + k): chr(97 + k) for k in range(26)})
-_SIGNS = dict(zip(SUBSTITUTES[::2], SUBSTITUTES[1::2]))
-_SIGN_AT = re.compile(r"(?<=[^\W\d_])[013457@$](?=[^\W\d_])|(?<![\w@$])[013457@$](?=[^\W\d_]{2})|(?<=[^\W\d_])[01357](?![\w@$])")
+_SIGNS = str.maketrans(dict(zip(SUBSTITUTES[::2], SUBSTITUTES[1::2])))
+_SIGNED = re.compile(r"[\w@$]*?[013457@$][\w@$]*")
 _WORDS = re.compile(r"[^\W_]+")
 
 
+def _unsigned(m: re.Match) -> str:
+    """A word of 3 to 20 characters with its signs read as letters, if it has at most two signs for each letter."""
+    word = m[0].rstrip("@$")
+    letters = sum(map(str.isalpha, word))
+    return word.translate(_SIGNS) if 3 <= len(word) <= 20 and letters and len(word) <= 3 * letters else word
+
+
 def fold(text: str) -> str:
     """Lower case, look-alike letters and substituted digits undone, words joined by one space, a space at each end."""
     text = text.lower().translate(_LOOKS)
-    if not text.isascii() or any(c in text for c in "013457@$"):
-        text = _SIGN_AT.sub(lambda m: _SIGNS[m[0]], text)
+    if any(c in text for c in SUBSTITUTES[::2]):
+        text = _SIGNED.sub(_unsigned, text)
     return f" {' '.join(_WORDS.findall(text))} "
 
 
