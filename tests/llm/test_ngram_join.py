@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
+
 from spectral_spark.llm.components import connected_components
 from spectral_spark.llm.ngram_join import CHUNK_MEMBERS, band_plan, keep_one, ngram_join
 
@@ -97,7 +99,8 @@ def test_keep_one(spark):
     assert [t for d, t in kept if d == 104] == ["not a copy though it has the id of one"]
 
 
-def test_components_of_a_long_path(spark):
-    edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(120)] + [("z1", "z2"), ("z2", "z2"), (None, "z3")]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a string, b string")).collect()}
-    assert got == {f"n{i:03d}": "n000" for i in range(121)} | {"z1": "z1", "z2": "z1"}
+@pytest.mark.parametrize("task_edges", [0, 1000])
+def test_components_of_a_path(spark, task_edges):
+    edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(12)] + [("z1", "z2"), ("z2", "z2"), (None, "z3")]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a string, b string"), task_edges=task_edges).collect()}
+    assert got == {f"n{i:03d}": "n000" for i in range(13)} | {"z1": "z1", "z2": "z1"}

@@ -3,38 +3,41 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline as P
-from spectral_spark.llm import decontamination, mixing, ngram_join, secrets, toxicity
+from spectral_spark.llm import mixing
+from spectral_spark.llm.common import stash
+
+from .test_decontamination import brute as hits
+from .test_ngram_join import brute as classes
+from .test_secrets import base
 
 
 def test_stages_on_the_corpus(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(P.STAGES):
-        before = docs.cache()
-        out = stage(spark, before, sf_dir).cache()
-        b, a = {r.doc_id: r for r in before.collect()}, {r.doc_id: r for r in out.collect()}
-        assert set(a) <= set(b)
-        if k < len(P.STAGES) - 1:
-            assert out.columns == list(P.COLUMNS)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    for name, stage in P.STAGES:
+        before = [(r.doc_id, r.text) for r in docs.collect()]
+        docs = stash(stage(spark, docs, sf_dir), name)
+        after = {r.doc_id: r for r in docs.collect()}
+        assert set(after) <= {d for d, _ in before}
+        if name == "mixing":
+            total = sum(len(t.split()) for _, t in before)
+            rows = docs.collect()
+            assert sum(r.mix_take for r in rows) == total * mixing.SHARE[0] // mixing.SHARE[1] and all(len(r.text.split()) == r.mix_take for r in rows)
+            continue
+        assert docs.columns == list(P.COLUMNS)
         if name == "toxicity":
-            model = toxicity.train_toxicity(before, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-            assert set(a) == {r.doc_id for r in toxicity.score_toxicity(before, model).where("predicted = 0").collect()}
+            gone = [d for d, _ in before if d not in after]
+            assert gone and sum(truth.get(d, 1) for d in gone) >= 0.8 * len(gone)
         elif name == "ngram_join":
-            assert set(a) == {r.class_id for r in ngram_join.ngram_join(before).collect()}
+            assert set(after) == {c for _, c, _ in classes(before)}
         elif name == "decontamination":
-            bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-            assert set(a) == {r.doc_id for r in decontamination.decontaminate(before, bench).where("not contaminated").collect()}
-        elif name == "secrets":
-            model = secrets.train_models(secrets.labelled_tokens(before))
-            assert set(a) == set(b) and not secrets.find_secrets(out, model).where("size(base_spans) > 0").count()
-            assert all(r.n_chars == len(r.text) for r in a.values())
+            assert set(after) == {d for d, *_, bad in hits(before, items) if not bad}
         else:
-            total = before.select(mixing.count_tokens(before["text"]).alias("n")).agg({"n": "sum"}).first()[0]
-            assert sum(r.mix_take for r in out.collect()) == total * mixing.SHARE[0] // mixing.SHARE[1]
-            assert all(len(r.text.split()) == r.mix_take for r in out.collect())
-        docs = out
+            assert set(after) == {d for d, _ in before} and not any(base(r.text) for r in after.values()) and all(r.n_chars == len(r.text) for r in after.values())
 
 
-@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None), (1, "", "en", "src0", 0), (1, "", "en", "src0", 0), (2, "word " * 30_000, None, "src1", 150_000), (3, "password = hunter2hunter2", "en", None, 25)]])
+@pytest.mark.parametrize("rows", [[(None, None, None, None, None), (1, "", "en", "src0", 0), (1, "", "en", "src0", 0), (2, "word " * 30_000, None, "src1", 150_000), (3, "password = hunter2hunter2", "en", None, 25)]])
 def test_stages_on_odd_rows(spark, sf_dir, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in P.STAGES[:-1]:
