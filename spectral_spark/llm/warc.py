@@ -61,9 +61,11 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     response = (F.col("size") < least) | (F.col("page").eqNullSafe(F.col("first.page")) & F.col("url").eqNullSafe(F.col("first.url")) & (F.col("turn") == 1))
     header = F.encode(_headers(F.col("page"), F.col("url"), F.col("turn"), F.col("first.page"), F.col("size"), F.col("sha1"), response, date), "UTF-8")
     records = stash(named.select("digest", header.alias("header")), "warc-records")
-    keys = firsts.select(F.col("digest").alias("d"), F.col("first.page").alias("p"), F.col("first.url").alias("u"))
-    once = base.withColumn("digest", F.sha2("payload", 256)).join(keys, (F.col("digest") == F.col("d")) & F.col("page").eqNullSafe(F.col("p")) & F.col("url").eqNullSafe(F.col("u")), "left_semi")
-    payloads = stash(once.dropDuplicates(["digest", "page", "url"]).select("digest", "payload"), "warc-payloads")
+    # one column names a record, so that the join and the removal of repeated rows share one shuffle of the payloads
+    name = lambda page, url: F.sha2(F.concat_ws("|", "digest", F.coalesce(F.col(page).cast("string"), F.lit("")), F.coalesce(F.col(url), F.lit("\0"))), 256)
+    keys = firsts.select("digest", "first.*").select(name("page", "url").alias("key"))
+    once = base.withColumn("digest", F.sha2("payload", 256)).select("digest", "payload", name("page", "url").alias("key")).join(keys, "key", "left_semi")
+    payloads = stash(once.dropDuplicates(["key"]).select("digest", "payload"), "warc-payloads", "zstd")
     return Archive(payloads, records)
 
 
