@@ -61,9 +61,7 @@ def polyfit_clipped(df: DataFrame, group: Sequence[str], x: str, y: str, degree:
 
 
 def fit_gradient(df: DataFrame, exposure: Sequence[str], x: str = "x", y: str = "y", value: str = "flux", group: str | None = None) -> DataFrame:
-    """For each exposure a plane through its fibres' fluxes over each group's mean: coefficients of 1, x, y, and the groups' factors apart.
-
-    Returns exposure and coeffs (relative: the first is near 1).
+    """For each exposure a plane (coefficients of 1, x and y) through its fibres' fluxes over their group's mean; the first is near 1.
     """
     keys = [*exposure, *([group] if group else [])]
     mean = df.groupBy(*keys).agg(F.avg(value).alias("__m"))

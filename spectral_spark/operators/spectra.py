@@ -122,11 +122,11 @@ def subtract_sky(df: DataFrame, sky: DataFrame, keys: Sequence[str], scale: Colu
     return df.join(r, list(keys), "left").withColumns({value: F.col(value) - v, error: F.sqrt(F.col(error) * F.col(error) + e * e)}).drop("__v", "__e")
 
 
-def fit_scale(sci: DataFrame, sky: DataFrame, keys: Sequence[str], k: Sequence[str], low: float, high: float, rounds: int = 4, value: str = "flux") -> DataFrame:
+def fit_scale(sci: DataFrame, sky: DataFrame, keys: Sequence[str], k: Sequence[str], low: float, high: float, value: str = "flux") -> DataFrame:
     """For each group the scale r in [low, high] with the least sum |sci (sci - r sky)| / sum sky^2.
 
-    The sum is convex and its kinks lie at r = sci / sky: the weighted median of those is exact, so it takes one window
-    instead of repeated grids. rounds is kept for callers that pass it.
+    The sum is convex and its kinks lie at r = sci / sky: their weighted median is exact, so one window takes the place of
+    repeated grids.
     """
     x, y = F.col(value), F.col("__s")
     both = sci.join(sky.select(*keys, *k, F.col(value).alias("__s")), [*keys, *k]).where(y != 0)

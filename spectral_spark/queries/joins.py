@@ -95,10 +95,10 @@ def _plane(spark, d):
 _PLANE = "fib AS (SELECT fiberid, (fiberid % 101)::DOUBLE AS x, ypmm AS y FROM fibermap), stars AS (SELECT p_partkey AS star, floor(p_retailprice)::BIGINT AS mag, (p_partkey * 13 % 101)::DOUBLE AS bx, (p_partkey * 29 % 97 - 50)::DOUBLE AS bz FROM part)"
 
 
-@query(f"WITH {_PLANE}, p AS (SELECT fiberid, star, sqrt((x - bx) * (x - bx) + (y - bz) * (y - bz)) AS dist FROM fib JOIN stars ON (x - bx) * (x - bx) + (y - bz) * (y - bz) <= 1.44 AND star % 4 = 0) SELECT fiberid, star, round(dist, 6) AS distance FROM (SELECT *, count(*) OVER (PARTITION BY fiberid) AS n FROM p) WHERE n = 1", "fibermap")
+@query(f"WITH {_PLANE}, p AS (SELECT fiberid, star, sqrt((x - bx) * (x - bx) + (y - bz) * (y - bz)) AS dist FROM fib JOIN stars ON (x - bx) * (x - bx) + (y - bz) * (y - bz) <= 0.25) SELECT fiberid, star, round(dist, 6) AS distance FROM (SELECT *, count(*) OVER (PARTITION BY fiberid) AS n FROM p) WHERE n = 1", "fibermap")
 def c9_cone_match(spark, d):
     fib, stars = _plane(spark, d)
-    return J.cone_match(fib, stars.where("star % 4 = 0"), 1.2).select("fiberid", "star", F.round("distance", 6).alias("distance"))
+    return J.cone_match(fib, stars, 0.5).select("fiberid", "star", F.round("distance", 6).alias("distance"))
 
 
 @query(f"WITH {_PLANE}, p AS (SELECT fiberid, star, mag, row_number() OVER (PARTITION BY fiberid ORDER BY mag, star) AS r FROM fib JOIN stars ON (x - bx) * (x - bx) + (y - bz) * (y - bz) <= 25 AND mag < 1500) SELECT fiberid, star, mag, r::INT AS rank FROM p WHERE r <= 5", "fibermap")
@@ -117,11 +117,11 @@ def c11_aperture_members(spark, d):
     return J.aperture_members(fib, ap, 8.0).groupBy("aperture").agg(F.count(F.lit(1)).alias("members"), F.sum("fiberid").alias("total"))
 
 
-@query("""WITH c AS (SELECT (p_partkey * 7.0)::DOUBLE AS x, floor(p_retailprice) AS y FROM part WHERE p_partkey % 11 = 3), s AS (SELECT x, y, lead(x) OVER (ORDER BY x) AS x2, lead(y) OVER (ORDER BY x) AS y2 FROM c), w AS (SELECT DISTINCT part * 7.5 AS wave FROM samples),
+@query("""WITH c AS (SELECT (p_partkey * 7.0)::DOUBLE AS x, floor(p_retailprice) AS y FROM part), s AS (SELECT x, y, lead(x) OVER (ORDER BY x) AS x2, lead(y) OVER (ORDER BY x) AS y2 FROM c), w AS (SELECT DISTINCT part * 7.5 AS wave FROM samples),
 i AS (SELECT wave, CASE WHEN wave <= (SELECT min(x) FROM c) THEN (SELECT arg_min(y, x) FROM c) WHEN wave >= (SELECT max(x) FROM c) THEN (SELECT arg_max(y, x) FROM c) ELSE y + (wave - x) / (x2 - x) * (y2 - y) END AS v FROM w LEFT JOIN s ON wave >= x AND wave < x2)
 SELECT expnum, fiberid, k, part, round(v, 6) AS curve FROM samples JOIN i ON wave = part * 7.5""", "samples")
 def c12_interp_onto(spark, d):
-    curve = _part(spark, d).where("p_partkey % 11 = 3").select((F.col("p_partkey") * 7.0).alias("cw"), F.floor("p_retailprice").alias("cv"))
+    curve = _part(spark, d).select((F.col("p_partkey") * 7.0).alias("cw"), F.floor("p_retailprice").alias("cv"))
     s = V.samples(spark, d).withColumn("wave", F.col("part") * 7.5)
     return J.interp_onto(s, curve).select("expnum", "fiberid", "k", "part", F.round("curve", 6).alias("curve"))
 

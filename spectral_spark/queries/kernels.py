@@ -12,15 +12,11 @@ from ..shared import shared_path
 from ..streaming import ingest
 from .spectra import r4
 
-_TRACE = "trace AS (SELECT DISTINCT camera, x, (y // 10)::BIGINT AS fiberid, (y // 10) * 10 + 4.0 AS centre FROM stack WHERE frame = 1)"
-
-
-def one_frame(spark, d):
-    return V.stack(spark, d).where("frame = 1").drop("frame")
+_TRACE = "trace AS (SELECT DISTINCT camera, frame, x, (y // 10)::BIGINT AS fiberid, (y // 10) * 10 + 4.0 AS centre FROM stack)"
 
 
 def trace(p):
-    return p.select("camera", "x", F.floor(F.col("y") / 10).alias("fiberid")).distinct().withColumn("centre", F.col("fiberid") * 10 + 4.0)
+    return p.select("camera", "frame", "x", F.floor(F.col("y") / 10).alias("fiberid")).distinct().withColumn("centre", F.col("fiberid") * 10 + 4.0)
 
 
 @query("SELECT fiberid, round(regr_intercept(flux, k::DOUBLE), 5) AS c0, round(regr_slope(flux, k::DOUBLE), 6) AS c1, count(*) AS n FROM cells GROUP BY fiberid", "cells")
@@ -86,16 +82,16 @@ def j3_column_callable(spark, d):
     return c.select("fiberid", "k", (F.col("flux") * target(F.col("k"))).alias("flux"))
 
 
-@query(f"WITH {_TRACE} SELECT t.camera, t.fiberid, t.x, sum(value) AS flux, round(sqrt(sum(error * error)), 6) AS error, bool_or(mask) AS mask, count(*) AS pixels FROM trace t JOIN stack s ON s.camera = t.camera AND s.x = t.x AND s.frame = 1 AND s.y BETWEEN t.centre - 2 AND t.centre + 2 GROUP BY ALL", "stack")
+@query(f"WITH {_TRACE} SELECT t.camera, t.frame, t.fiberid, t.x, sum(value) AS flux, round(sqrt(sum(error * error)), 6) AS error, bool_or(mask) AS mask, count(*) AS pixels FROM trace t JOIN stack s ON s.camera = t.camera AND s.x = t.x AND s.frame = t.frame AND s.y BETWEEN t.centre - 2 AND t.centre + 2 GROUP BY ALL", "stack")
 def k1_extract_aperture(spark, d):
-    p = one_frame(spark, d)
-    return r4(K.extract_aperture(p, trace(p), 5, ["camera"]), "error", n=6)
+    p = V.stack(spark, d)
+    return r4(K.extract_aperture(p, trace(p), 5, ["camera", "frame"]), "error", n=6)
 
 
 @query(None)
 def k2_extract_optimal(spark, d):
-    p = one_frame(spark, d)
-    return r4(K.extract_optimal(p, trace(p).withColumn("sigma", F.lit(1.5)), ["camera"]), "flux", "error", n=3)
+    p = V.stack(spark, d)
+    return r4(K.extract_optimal(p, trace(p).withColumn("sigma", F.lit(1.5)), ["camera", "frame"]), "flux", "error", n=3)
 
 
 def _lines(spark):
@@ -172,10 +168,10 @@ def k9_fit_continuum(spark, d):
     return r4(K.fit_continuum(c, ["fiberid"], "k", "flux", 4, 0.9, centre=32.0, width=32.0), "continuum").select("fiberid", "k", "clipped", "continuum")
 
 
-@query(f"""WITH {_TRACE}, f AS (SELECT t.*, fiberid + 1.0 AS flux FROM trace t), r AS (SELECT camera, x, unnest(range(centre::INT - 6, centre::INT + 7)) AS y, centre, flux FROM f) SELECT camera, x, y::INT AS y, round(sum(flux * exp(-0.5 * ((y - centre) / 2.5) * ((y - centre) / 2.5)) / (2.5 * sqrt(2 * pi()))), 6) AS model FROM r GROUP BY camera, x, y""", "stack")
+@query(f"""WITH {_TRACE}, f AS (SELECT t.*, fiberid + 1.0 AS flux FROM trace t), r AS (SELECT camera, frame, x, unnest(range(centre::INT - 6, centre::INT + 7)) AS y, centre, flux FROM f) SELECT camera, frame, x, y::INT AS y, round(sum(flux * exp(-0.5 * ((y - centre) / 2.5) * ((y - centre) / 2.5)) / (2.5 * sqrt(2 * pi()))), 6) AS model FROM r GROUP BY camera, frame, x, y""", "stack")
 def k10_render_profiles(spark, d):
-    t = trace(one_frame(spark, d)).withColumns({"flux": F.col("fiberid") + 1.0, "sigma": F.lit(2.5)})
-    return r4(K.render_profiles(t, ["camera"], 6), "model", n=6)
+    t = trace(V.stack(spark, d)).withColumns({"flux": F.col("fiberid") + 1.0, "sigma": F.lit(2.5)})
+    return r4(K.render_profiles(t, ["camera", "frame"], 6), "model", n=6)
 
 
 _MATCH = """m AS (SELECT DISTINCT camera, mjd AS mm FROM frames WHERE imagetyp = 'P'), t AS (SELECT DISTINCT camera, mjd FROM frames), b AS (SELECT t.camera, t.mjd, min(struct_pack(d := abs(t.mjd - mm), m := mm)).m AS master_mjd FROM t JOIN m USING (camera) GROUP BY ALL),
@@ -188,17 +184,17 @@ def w_matched_stack(spark, d):
     return workflows.matched_stack(V.frames(spark, d), V.samples(spark, d), "P")
 
 
-@query(f"""WITH {_TRACE}, b AS (SELECT camera, y, x, min(value) AS b FROM stack GROUP BY ALL), p AS (SELECT s.camera, s.y, s.x, value - b AS value, error, mask FROM stack s JOIN b ON b.camera = s.camera AND b.y = s.y AND b.x = s.x WHERE frame = 1),
-e AS (SELECT t.camera, t.fiberid, t.x, sum(value) AS flux, sqrt(sum(error * error)) AS error, bool_or(mask) AS mask FROM trace t JOIN p s ON s.camera = t.camera AND s.x = t.x AND s.y BETWEEN t.centre - 1 AND t.centre + 1 GROUP BY ALL), k AS (SELECT camera, x, avg(CASE WHEN NOT mask THEN flux END) AS s FROM e WHERE fiberid % 3 = 0 GROUP BY ALL)
-SELECT e.camera, fiberid, e.x, round(flux - coalesce(s, 0), 4) AS flux, mask FROM e LEFT JOIN k ON k.camera = e.camera AND k.x = e.x""", "stack")
+@query(f"""WITH {_TRACE}, b AS (SELECT camera, y, x, min(value) AS b FROM stack GROUP BY ALL), p AS (SELECT s.camera, s.frame, s.y, s.x, value - b AS value, error, mask FROM stack s JOIN b ON b.camera = s.camera AND b.y = s.y AND b.x = s.x),
+e AS (SELECT t.camera, t.frame, t.fiberid, t.x, sum(value) AS flux, sqrt(sum(error * error)) AS error, bool_or(mask) AS mask FROM trace t JOIN p s ON s.camera = t.camera AND s.frame = t.frame AND s.x = t.x AND s.y BETWEEN t.centre - 1 AND t.centre + 1 GROUP BY ALL), k AS (SELECT camera, frame, x, avg(CASE WHEN NOT mask THEN flux END) AS s FROM e WHERE fiberid % 3 = 0 GROUP BY ALL)
+SELECT e.camera, e.frame, fiberid, e.x, round(flux - coalesce(s, 0), 4) AS flux, mask FROM e LEFT JOIN k ON k.camera = e.camera AND k.frame = e.frame AND k.x = e.x""", "stack")
 def w_reduce_science(spark, d):
     s = V.stack(spark, d)
     key = ["camera", "y", "x"]
     bias = s.groupBy(*key).agg(F.min("value").alias("value")).withColumn("mask", F.lit(False))
     none = bias.limit(0)
-    p = s.where("frame = 1").drop("frame")
+    p = s
     sky = trace(p).select("fiberid").distinct().where("fiberid % 3 = 0")
-    return r4(workflows.reduce_science(p, bias, none, none, trace(p), sky, ["camera"]), "flux").select("camera", "fiberid", "x", "flux", "mask")
+    return r4(workflows.reduce_science(p, bias, none, none, trace(p), sky, ["camera", "frame"]), "flux").select("camera", "frame", "fiberid", "x", "flux", "mask")
 
 
 @query("""WITH e AS (SELECT DISTINCT (mjd // 50 * 50)::INT AS epoch FROM frames), x AS (SELECT *, lag(expnum) OVER w AS b, lead(expnum) OVER w AS a FROM frames WINDOW w AS (PARTITION BY camera, imagetyp ORDER BY expnum)), n AS (SELECT *, CASE WHEN b IS NULL OR a - expnum < expnum - b THEN a ELSE b END AS r FROM x)

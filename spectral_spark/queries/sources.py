@@ -26,9 +26,9 @@ def a1_read_frames(spark, d):
     return f.where(F.col("mjd").isin(50000, 50001, 50500))
 
 
-@query("""SELECT expnum, CASE WHEN expnum % 3 = 0 THEN 's' ELSE 'n' END AS hemi, CASE WHEN tileid % 10 = 0 THEN 11111 ELSE tileid END::INT AS tileid, lpad((CASE WHEN tileid % 10 = 0 THEN 11111 ELSE tileid END // 1000)::VARCHAR, 4, '0') || 'XX' AS tilegrp, mjd, imagetyp, exptime, expnum % 4 = 0 AS neon, expnum % 5 = 0 AS ldls, false AS argon, 'None' AS calibfib, 'GOOD' AS qaqual, 1::BIGINT AS stage FROM frames WHERE tileid <> 999""", "frames")
+@query("""SELECT expnum, CASE WHEN expnum % 3 = 0 THEN 's' ELSE 'n' END AS hemi, CASE WHEN tileid % 10 = 0 OR tileid = 999 THEN 11111 ELSE tileid END::INT AS tileid, lpad((CASE WHEN tileid % 10 = 0 OR tileid = 999 THEN 11111 ELSE tileid END // 1000)::VARCHAR, 4, '0') || 'XX' AS tilegrp, mjd, imagetyp, exptime, expnum % 4 = 0 AS neon, expnum % 5 = 0 AS ldls, false AS argon, 'None' AS calibfib, 'GOOD' AS qaqual, 1::BIGINT AS stage FROM frames""", "frames")
 def a2_extract_metadata(spark, d):
-    out = C.extract_metadata(_headers(spark, d).where("tileid <> 999"))
+    out = C.extract_metadata(_headers(spark, d))
     return out.select("expnum", "hemi", "tileid", "tilegrp", "mjd", "imagetyp", "exptime", "neon", "ldls", "argon", "calibfib", "qaqual", "stage")
 
 

@@ -81,11 +81,11 @@ def _pointing(df):
 _DIST = "acos(greatest(least(sin(radians((expnum % 90 - 45)::DOUBLE)) * sin(radians({dec})) + cos(radians((expnum % 90 - 45)::DOUBLE)) * cos(radians({dec})) * cos(radians((expnum % 360)::DOUBLE - {ra})), 1), -1))"
 
 
-@query(f"""WITH a AS (SELECT expnum, degrees({_DIST.format(dec="(expnum % 60 - 30)::DOUBLE", ra="((expnum + 17) % 360)::DOUBLE")}) AS e, degrees({_DIST.format(dec="(expnum % 40 - 20)::DOUBLE", ra="((expnum * 7) % 360)::DOUBLE")}) AS w FROM frames WHERE expnum % 60 > 0),
+@query(f"""WITH a AS (SELECT expnum, degrees({_DIST.format(dec="(expnum % 60 - 30)::DOUBLE", ra="((expnum + 17) % 360)::DOUBLE")}) AS e, degrees({_DIST.format(dec="(expnum % 40 - 20)::DOUBLE", ra="((expnum * 7) % 360)::DOUBLE")}) AS w FROM frames),
 b AS (SELECT expnum, CASE WHEN e > 0 THEN 1 / e ELSE 1 END AS e, CASE WHEN w > 0 THEN 1 / w ELSE 1 END AS w FROM a), s AS (SELECT expnum, k, sum(flux) FILTER (spec = 'O') AS fo, sum(flux) FILTER (spec = 'F') AS ff FROM samples GROUP BY ALL)
 SELECT expnum, k, round(e / (e + w) * fo + w / (e + w) * ff, 3) AS flux FROM s JOIN b USING (expnum) WHERE fo IS NOT NULL AND ff IS NOT NULL""", "frames samples")
 def d20_weight_skies(spark, d):
-    w = P.sky_weights(_pointing(V.frames(spark, d).select("expnum").where("expnum % 60 > 0"))).select("expnum", "weight_e", "weight_w")
+    w = P.sky_weights(_pointing(V.frames(spark, d).select("expnum"))).select("expnum", "weight_e", "weight_w")
     sky = lambda s: V.samples(spark, d).where(F.col("spec") == s).groupBy("expnum", "k").agg(F.sum("flux").alias("flux"), F.sum("error").alias("error"))
     return P.weight_skies(sky("O"), sky("F"), w, ["expnum"], ["expnum", "k"]).select("expnum", "k", F.round("flux", 3).alias("flux"))
 

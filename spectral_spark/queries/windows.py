@@ -16,9 +16,9 @@ def e1_choose_sequence(spark, d):
     return W.choose_sequence(V.frames(spark, d), "tileid", 50500).select("tileid", "expnum", "mjd")
 
 
-@query("SELECT tileid, mjd, min(expnum) AS expnum FROM frames WHERE mjd % 2 = 0 GROUP BY tileid, mjd", "frames")
+@query("SELECT tileid, mjd, min(expnum) AS expnum FROM frames GROUP BY tileid, mjd", "frames")
 def e2_dedupe_keep_first(spark, d):
-    return W.dedupe_keep_first(V.frames(spark, d).where("mjd % 2 = 0"), ["tileid", "mjd"], "expnum").select("tileid", "mjd", "expnum")
+    return W.dedupe_keep_first(V.frames(spark, d), ["tileid", "mjd"], "expnum").select("tileid", "mjd", "expnum")
 
 
 @query("SELECT fiberid, k, coalesce((lead(flux) OVER w - lag(flux) OVER w) / 2, lead(flux) OVER w - flux, flux - lag(flux) OVER w) AS gradient FROM cells WINDOW w AS (PARTITION BY fiberid ORDER BY k)", "cells")
@@ -52,9 +52,9 @@ def e7_running_median(spark, d):
 
 
 @query("""WITH w AS (SELECT i, exp(-0.5 * (i / 1.5) * (i / 1.5)) AS w FROM range(-6, 7) AS r(i)), t AS (SELECT i, w / sum(w) OVER () AS w FROM w)
-SELECT c.fiberid, c.k, round(sum(d.flux * w), 4) AS flux FROM cells c, t, cells d WHERE d.fiberid = c.fiberid AND d.k = greatest(least(c.k + i, 63), 0) AND c.fiberid % 5 = 0 GROUP BY c.fiberid, c.k""", "cells")
+SELECT c.fiberid, c.k, round(sum(d.flux * w), 4) AS flux FROM cells c, t, cells d WHERE d.fiberid = c.fiberid AND d.k = greatest(least(c.k + i, 63), 0) GROUP BY c.fiberid, c.k""", "cells")
 def e7_gauss_smooth(spark, d):
-    return r4(W.gauss_smooth(V.cells(spark, d).where("fiberid % 5 = 0"), ["fiberid"], "k", 1.5), "flux").select("fiberid", "k", "flux")
+    return r4(W.gauss_smooth(V.cells(spark, d), ["fiberid"], "k", 1.5), "flux").select("fiberid", "k", "flux")
 
 
 @query("""WITH p AS (SELECT camera, y, x, max(value) AS value FROM stack GROUP BY ALL) SELECT a.camera, a.y, a.x, any_value(a.value) AS value, quantile_cont(b.value, 0.5) AS smooth FROM p a JOIN p b ON a.camera = b.camera AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 GROUP BY a.camera, a.y, a.x""", "stack")
