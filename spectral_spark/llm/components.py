@@ -37,9 +37,10 @@ def _united(batches: Iterator) -> Iterator:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", task_edges: int = TASK_EDGES) -> DataFrame:
     """(node, component) for every node of an edge (strings); component is the smallest node that can be reached.
 
-    A table of at most task_edges distinct edges is united in one task. Beyond that, each round keeps at most the rows it was given: nodes move their larger neighbours, then themselves, to the
-    smallest neighbour, until nothing moves. Rounds grow with the logarithm of the longest path. Minima come from
-    aggregation and joins, never from one group in memory, so a node with very many neighbours is no special case.
+    A table of at most task_edges distinct edges is united in one task. Beyond that, each round keeps at most the rows it
+    was given: nodes move their larger neighbours, then themselves, to the smallest neighbour, until nothing moves.
+    Rounds grow with the logarithm of the longest path. Minima come from aggregation and joins, never from one group in
+    memory, so a node with very many neighbours is no special case.
     Loops and nulls are ignored; an empty table gives an empty table.
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct()

@@ -50,7 +50,7 @@ def budgets(leaves: DataFrame, weights: dict[str, int], total: Column, epochs: i
             nodes = nodes.withColumn("budget", F.least(total.cast("long"), F.sum(F.when(F.col("weight") > 0, F.col("cap")).otherwise(0)).over(Window.partitionBy(F.lit(0)))))
         else:
             nodes = nodes.join(given.select(*parent, F.col("given").alias("budget")), parent)
-        given = share_out(nodes, parent, key)
+        given = stash(share_out(nodes, parent, key).select(*path, "given"), "given")  # a row for each node; the next level reads it
     return leaves.join(given.select(*LEVELS, "given"), list(LEVELS), "left").withColumn("given", F.coalesce("given", F.lit(0)))
 
 
