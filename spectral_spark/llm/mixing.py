@@ -39,13 +39,18 @@ def share_out(nodes: DataFrame, parent: list[str], key: str) -> DataFrame:
 
 
 def budgets(leaves: DataFrame, weights: dict[str, int], total: Column, epochs: int) -> DataFrame:
-    """Leaf budgets from (domain, lang, source, supply): a column `given` more. weights: by path, as "web", "web/en", "web/en/src1"; 1 for others."""
+    """Leaf budgets from (domain, lang, source, supply): a column `given` more. weights: by path, as "web", "web/en", "web/en/src1"; 1 for others.
+
+    A leaf counts in the caps of the nodes above it only if its own weight and all of theirs are positive.
+    """
     table = F.create_map(*[F.lit(x) for p in sorted(weights.items()) for x in p]) if weights else F.create_map().cast("map<string,int>")
-    caps = leaves.withColumn("cap", F.col("supply") * epochs)
+    weight = lambda path: F.coalesce(F.try_element_at(table, F.concat_ws("/", *path)), F.lit(1)).cast("long")
+    usable = F.least(*[weight(LEVELS[: k + 1]) for k in range(len(LEVELS))]) > 0
+    caps = leaves.withColumn("cap", F.when(usable, F.col("supply") * epochs).otherwise(0))
     given = None
     for k, key in enumerate(LEVELS):
         path, parent = list(LEVELS[: k + 1]), list(LEVELS[:k])
-        nodes = caps.groupBy(*path).agg(F.sum("cap").alias("cap")).withColumn("weight", F.coalesce(F.try_element_at(table, F.concat_ws("/", *path)), F.lit(1)).cast("long"))
+        nodes = caps.groupBy(*path).agg(F.sum("cap").alias("cap")).withColumn("weight", weight(path))
         if given is None:
             nodes = nodes.withColumn("budget", F.least(total.cast("long"), F.sum(F.when(F.col("weight") > 0, F.col("cap")).otherwise(0)).over(Window.partitionBy(F.lit(0)))))
         else:

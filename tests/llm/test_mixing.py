@@ -50,6 +50,16 @@ def test_budgets_against_pouring(spark):
         assert got == brute_budgets(leaves, weights, total, 2)
 
 
+def test_leaves_of_weight_0_lend_no_room(spark):
+    """Large leaves of weight 0 (own, or by a node above) hide that their siblings are short: the rest must go elsewhere in the tree."""
+    leaves = {("forum", "en", "src14"): 10, ("forum", "en", "src15"): 10**6, ("forum", "de", "src14"): 50, ("forum", "fr", "src14"): 10**6, ("none", "en", "src1"): 10**6, ("web", "en", "src1"): 1000}
+    weights = {"forum": 2, "web": 5, "forum/en": 9, "forum/en/src15": 0, "forum/fr": 0, "none/en": 0}
+    df = spark.createDataFrame([(*k, v) for k, v in leaves.items()], "domain string, lang string, source string, supply long")
+    for total, web in ((600, 480), (10**7, 2000)):
+        got = {tuple(r[c] for c in LEVELS): r.given for r in budgets(df, weights, F.lit(total), 2).collect()}
+        assert got == dict.fromkeys(leaves, 0) | {("forum", "en", "src14"): 20, ("forum", "de", "src14"): 100, ("web", "en", "src1"): web}
+
+
 def docs(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, whole int, domain string, before int")
 
