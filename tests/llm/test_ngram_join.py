@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from spectral_spark.llm import ngram_join as module
 from spectral_spark.llm.components import connected_components
 from spectral_spark.llm.ngram_join import CHUNK_MEMBERS, band_plan, keep_one, ngram_join
 
@@ -76,6 +77,12 @@ def test_large_cluster_is_cut_into_chunks(spark):
     assert rows_of(ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+def test_an_empty_chunk_adds_no_links(spark, monkeypatch):
+    monkeypatch.setattr(module, "CHUNK_NGRAMS", 40)
+    rows = [(2 * i + k, " ".join(f"w{i}x{j}" for j in range(60)) + " end" * k) for i in range(16) for k in range(2)]
+    assert rows_of(ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
 def test_edges(spark):
     long = " ".join(f"t{i}" for i in range(40_000))
     rows = [(1, None), (2, ""), (3, "one two"), (4, "One, TWO!"), (None, "one two"), (6, long), (7, long + " end"), (8, "a b c d e f"), (8, "a b c d e f"), (9, "..."), (None, None)]
