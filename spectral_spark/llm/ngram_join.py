@@ -26,7 +26,7 @@ from .components import connected_components
 
 #: Members and n-grams of one chunk of a cluster, at most or about.
 CHUNK_MEMBERS, CHUNK_NGRAMS = 256, 1_000_000
-#: Largest table of candidates (rows) that is broadcast; beyond it the join shuffles.
+#: Most digests of candidates (one long each, some 64 MB with their hash table) that are broadcast; beyond them the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -142,7 +142,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
     kind = base.schema["id"].dataType.simpleString()
     sig = stash(base.mapInArrow(_signatures(size, bands, rows), f"id {kind}, digest long, sid string, size long, keys array<long>"), "signatures")
-    members = sig.where("sid is not null").groupBy("sid").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"))
+    members = sig.where("sid is not null").groupBy("sid").agg(F.min("id").alias("rep"), F.min("digest").alias("digest"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"))
     keyed = sig.where("sid is not null").dropDuplicates(["sid"]).select("sid", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("sid").alias("head"), F.max("sid").alias("tail")).where("head <> tail")
     near = keyed.join(buckets, "key").where("sid <> head").select("sid", "head").distinct()
@@ -156,19 +156,23 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
     found = found.join(whole.select("cluster", "small"), "cluster").withColumn("level", F.when(F.col("small"), 0).otherwise(F.floor(F.log(F.col("size").cast("double")) / step + 1e-9).cast("int")))
     levels = found.groupBy("cluster", "level").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_MEMBERS), F.ceil(F.sum("size") / CHUNK_NGRAMS)).cast("int").alias("chunks"))
     maps = levels.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("level", "chunks"))).alias("chunks"))
-    found = found.join(maps, "cluster").withColumn("mine", F.pmod(F.xxhash64("sid"), F.element_at("chunks", F.col("level"))).cast("int"))
-    upto = lambda level: F.sequence(F.lit(0), F.coalesce(F.try_element_at(F.col("chunks"), level), F.lit(0)))  # noqa: E731  one too many, cut below
+    near_by = lambda by: F.coalesce(F.try_element_at("chunks", F.col("level") + by), F.lit(0))  # noqa: E731  chunks of the level, 0 without one
+    found = found.join(maps, "cluster").withColumns({"here": near_by(0), "above": near_by(1), "below": near_by(-1)}).withColumn("mine", F.pmod(F.xxhash64("sid"), "here").cast("int"))
+    plan = stash(found.select("sid", "digest", "copies", "cluster", "level", "mine", "here", "above", "below"), "plan")
+
+    wanted = plan.select("digest").distinct()
+    texts = base.join(F.broadcast(wanted) if plan.count() <= BROADCAST_ROWS else wanted, "digest", "left_semi").select("text")
+    grams = texts.mapInArrow(_sets(size), "sid string, grams binary")
+    # blocks are listed only here, row by row: their number grows with the cluster
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    level, mine = F.col("level"), F.col("mine")
+    block = lambda la, ca, lb, cb, side: F.struct(la.alias("la"), ca.alias("ca"), lb.alias("lb"), cb.alias("cb"), side.alias("side"))
     blocks = F.concat(
-        F.transform(F.slice(upto(F.col("level")), 1, F.element_at("chunks", F.col("level"))), lambda j: F.struct(F.col("level").alias("la"), F.least(j, F.col("mine")).alias("ca"), F.col("level").alias("lb"), F.greatest(j, F.col("mine")).alias("cb"), (j < F.col("mine")).cast("int").alias("side"))),
-        F.transform(F.slice(upto(F.col("level") + 1), 1, F.coalesce(F.try_element_at("chunks", F.col("level") + 1), F.lit(0))), lambda j: F.struct(F.col("level").alias("la"), F.col("mine").alias("ca"), (F.col("level") + 1).alias("lb"), j.cast("int").alias("cb"), F.lit(0).alias("side"))),
-        F.transform(F.slice(upto(F.col("level") - 1), 1, F.coalesce(F.try_element_at("chunks", F.col("level") - 1), F.lit(0))), lambda j: F.struct((F.col("level") - 1).alias("la"), j.cast("int").alias("ca"), F.col("level").alias("lb"), F.col("mine").alias("cb"), F.lit(1).alias("side"))),
+        F.transform(upto("here"), lambda j: block(level, F.least(j, mine), level, F.greatest(j, mine), (j < mine).cast("int"))),
+        F.transform(upto("above"), lambda j: block(level, mine, level + 1, j, F.lit(0))),
+        F.transform(upto("below"), lambda j: block(level - 1, j, level, mine, F.lit(1))),
     )
-    plan = stash(found.select("sid", "rep", "copies", "cluster", blocks.alias("blocks")), "plan")
-    small = plan.count() <= BROADCAST_ROWS
-    hint = F.broadcast if small else (lambda df: df)
-    texts = base.join(hint(plan.select(F.col("rep").alias("rep_id")).distinct()), F.col("id").eqNullSafe(F.col("rep_id")), "left_semi").select("text")
-    grams = texts.mapInArrow(_sets(size), "sid string, grams binary")
-    blocked = grams.join(hint(plan), "sid").select("sid", "copies", "grams", "cluster", F.explode("blocks").alias("b")).select("sid", "copies", "grams", "cluster", "b.*")
+    blocked = grams.join(plan, "sid").select("sid", "copies", "grams", "cluster", F.explode(blocks).alias("b")).select("sid", "copies", "grams", "cluster", "b.*")
     verified = stash(blocked.groupBy("cluster", "la", "ca", "lb", "cb").applyInArrow(_verify(threshold), "sid string, other string, links long"), "verified")
     links = verified.where("other is null").groupBy("sid").agg(F.sum("links").alias("links"))
     parts = connected_components(verified.where("other is not null"), "sid", "other")

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from spectral_spark.llm import ngram_join as module
+from spectral_spark.llm.common import stash
 from spectral_spark.llm.components import connected_components
 from spectral_spark.llm.ngram_join import CHUNK_MEMBERS, band_plan, keep_one, ngram_join
 
@@ -83,6 +84,15 @@ def test_an_empty_chunk_adds_no_links(spark, monkeypatch):
     assert rows_of(ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+def test_plan_rows_do_not_grow_with_the_cluster(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(module, "CHUNK_MEMBERS", 4)
+    monkeypatch.setattr(module, "stash", lambda df, name, *more: kept.setdefault(name, stash(df, name, *more)))
+    rows = list(enumerate(near_copies(60)))
+    assert rows_of(ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert {f.dataType.typeName() for f in kept["plan"].schema} <= {"string", "long", "integer"}
+
+
 def test_edges(spark):
     long = " ".join(f"t{i}" for i in range(40_000))
     rows = [(1, None), (2, ""), (3, "one two"), (4, "One, TWO!"), (None, "one two"), (6, long), (7, long + " end"), (8, "a b c d e f"), (8, "a b c d e f"), (9, "..."), (None, None)]
