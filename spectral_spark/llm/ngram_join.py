@@ -160,8 +160,11 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
     found = found.join(maps, "cluster").withColumns({"here": near_by(0), "above": near_by(1), "below": near_by(-1)}).withColumn("mine", F.pmod(F.xxhash64("sid"), "here").cast("int"))
     plan = stash(found.select("sid", "digest", "copies", "cluster", "level", "mine", "here", "above", "below"), "plan")
 
+    # each text once, united before texts are shuffled: copies of a row never meet in one task
     wanted = plan.select("digest").distinct()
-    texts = base.join(F.broadcast(wanted) if plan.count() <= BROADCAST_ROWS else wanted, "digest", "left_semi").select("text")
+    once = lambda df: df.groupBy("digest").agg(F.collect_set("text").alias("texts"))
+    texts = once(base.join(F.broadcast(wanted), "digest", "left_semi")) if plan.count() <= BROADCAST_ROWS else once(base).join(wanted, "digest", "left_semi")
+    texts = texts.select(F.explode("texts").alias("text"))
     grams = texts.mapInArrow(_sets(size), "sid string, grams binary")
     # blocks are listed only here, row by row: their number grows with the cluster
     upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))

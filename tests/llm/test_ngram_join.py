@@ -93,6 +93,26 @@ def test_plan_rows_do_not_grow_with_the_cluster(spark, monkeypatch):
     assert {f.dataType.typeName() for f in kept["plan"].schema} <= {"string", "long", "integer"}
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_each_set_is_verified_once(spark, monkeypatch, broadcast_rows):
+    verify = module._verify
+
+    def strict(threshold):
+        run = verify(threshold)
+
+        def checked(key, table):
+            assert len(set(table["sid"].to_pylist())) == table.num_rows
+            return run(key, table)
+
+        return checked
+
+    monkeypatch.setattr(module, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(module, "_verify", strict)
+    texts = near_copies(4)
+    rows = [(1, texts[0])] * 50 + [(1, texts[1]), (1, texts[0].upper()), (2, texts[2])] + [(None, texts[3])] * 20
+    assert rows_of(ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
 def test_edges(spark):
     long = " ".join(f"t{i}" for i in range(40_000))
     rows = [(1, None), (2, ""), (3, "one two"), (4, "One, TWO!"), (None, "one two"), (6, long), (7, long + " end"), (8, "a b c d e f"), (8, "a b c d e f"), (9, "..."), (None, None)]
