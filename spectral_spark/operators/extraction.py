@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import extinction_factor
 from .fits import polyfit
 from .joins import interp_onto
+from .spectra import reject_fiber_outliers
 from .windows import fill_gaps, running_median
 
 FWHM = 2 * sqrt(2 * log(2))
@@ -196,8 +197,16 @@ def subtract_continuum(samples: DataFrame, keys: Sequence[str], order: str, valu
     return find_continuum(samples, keys, order, value=value, **how).withColumn(value, F.col(value) - F.col("continuum"))
 
 
-def super_sky(samples: DataFrame, keys: Sequence[str], step: float, wave: str = "wave", value: str = "flux", error: str = "error") -> DataFrame:
-    """Sky of all sky fibres of an exposure on a fine grid: inverse-variance means in bins (keys, cw, cv, error)."""
+def super_sky(samples: DataFrame, keys: Sequence[str], step: float, wave: str = "wave", value: str = "flux", error: str = "error", fiber: str | None = None, mask: str | None = None, n: float = 3.0) -> DataFrame:
+    """Sky of all sky fibres of an exposure on a fine grid: inverse-variance means in bins (keys, cw, cv, error).
+
+    Where the column of fibres is named, those whose mean (masked samples included) is n biweight scales off are left out
+    first; where the mask is named, masked samples are.
+    """
+    if fiber is not None:
+        samples = samples.join(reject_fiber_outliers(samples, keys, fiber, n, value).select(*keys, fiber), [*keys, fiber], "left_semi")
+    if mask is not None:
+        samples = samples.where(~F.col(mask))
     cell = F.floor(F.col(wave) / step)
     w = F.when(F.col(error) > 0, 1 / (F.col(error) * F.col(error)))
     g = samples.groupBy(*keys, cell.alias("__c")).agg(F.try_divide(F.sum(w * F.col(wave)), F.sum(w)).alias("cw"), F.try_divide(F.sum(w * F.col(value)), F.sum(w)).alias("cv"), F.try_divide(F.lit(1.0), F.sqrt(F.sum(w))).alias("error"))

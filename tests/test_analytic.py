@@ -267,3 +267,11 @@ def test_nearest_master_and_epochs_with_ties(spark):
     assert sorted((r.camera, r.mjd, r.master_mjd) for r in joins.match_nearest(t, m, ["camera"]).fillna(-1).collect()) == [("b", 2, 5), ("b", 10, 5), ("b", 15, 15), ("r", 1, -1)]
     e = joins.match_latest(t, spark.createDataFrame([(5,), (12,)], "epoch int"))
     assert sorted((r.mjd, r.epoch) for r in e.fillna(-1).collect()) == [(1, -1), (2, -1), (10, 5), (15, 12)]
+
+
+def test_super_sky_leaves_out_outlying_fibers_and_masked_samples(spark):
+    rows = [(1, f, float(k), 10.0 + f / 100 + (500.0 if f == 9 else 0.0) + (1.0 if (f, k) == (3, 2) else 0.0), 1.0, (f, k) == (3, 2)) for f in range(10) for k in range(40)]
+    sky = spark.createDataFrame(rows, "exp int, fiberid int, wave double, flux double, error double, mask boolean")
+    got = {r.cw: r.cv for r in extraction.super_sky(sky, ["exp"], 1.0, fiber="fiberid", mask="mask", n=5.0).collect()}
+    want = {float(k): 10 + np.mean([f / 100 for f in range(9) if (f, k) != (3, 2)]) for k in range(40)}
+    assert got == pytest.approx(want)
