@@ -15,9 +15,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, local mode gets a temporary one; a cluster is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
@@ -35,6 +37,31 @@ def stash(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names that df does not have: the given ones, with underscores put after them where they are taken."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, count: str, total: int, salt_by: str, salts: int = 64) -> DataFrame:
+    """rows joined with a table of one row for each key, whose `count` says how many of the `total` rows hold that key.
+
+    A key of over HOT_ROWS rows and over a ten-thousandth of all is hot; so at most ten thousand keys are, and they are
+    broadcast. Rows of hot keys are spread over `salts` partitions by another column, and the table's hot rows are repeated.
+    """
+    hot = F.col(count) > max(HOT_ROWS, total // 10_000)
+    keys = table.where(hot).select(key, F.lit(True).alias("__hot"))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int")).otherwise(0)
+    left = rows.join(F.broadcast(keys), key, "left").withColumn("__salt", salt).drop("__hot")
+    right = table.withColumn("__salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return left.join(right, [key, "__salt"]).drop("__salt")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z alone; the usual lower() serves where the text is ASCII throughout."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
@@ -53,6 +80,8 @@ _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[0x41:0x5B] += 32
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
+#: Least rows of a key that joins spread over partitions.
+HOT_ROWS = 1_000
 #: Bytes of text that the kernels take at once.
 PIECE = 1 << 20
 

@@ -3,11 +3,11 @@
 1. One pass makes each text's n-gram set, a digest of it, and one hash per band. Band and row counts come from the
    threshold and the recall asked for (band_plan).
 2. Texts with one digest are one member with a number of copies, so copies are never paired.
-3. Bands are shuffled by hash. A bucket gives edges to its smallest member only; the components of these edges are
-   clusters, and every pair that shares a bucket lies in one.
-4. Candidates' sets are made anew and verified cluster by cluster. A large cluster is cut by set size, as sets that
-   differ by more than the threshold's ratio cannot match, and into chunks; pairs of chunks are separate groups of
-   bounded size. A group returns counts of links and a spanning forest, not the pairs.
+3. Bands are shuffled by hash. A member's anchor is its fullest bucket; members with one anchor, and sets of about one
+   size, lie in one chunk, or in several of bounded size where the bucket is large. Two chunks make a block if they
+   share a bucket and their sets are near enough in size for the threshold.
+4. Candidates' sets are made anew and verified block by block; every pair of members lies in one block at most. A block
+   returns counts of links and a spanning forest, not the pairs.
 5. The components of verified edges are the classes.
 """
 
@@ -21,13 +21,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, shingle_sets, stash, text_pieces
+from .common import mix, salted_join, shingle_sets, stash, text_pieces
 from .components import connected_components
 
-#: Members and n-grams of one chunk of a cluster, at most or about.
+#: Members and n-grams of one chunk, about.
 CHUNK_MEMBERS, CHUNK_NGRAMS = 256, 1_000_000
-#: Most digests of candidates (one long each, some 64 MB with their hash table) that are broadcast; beyond them the join shuffles.
-BROADCAST_ROWS = 1_000_000
+#: Chunks of one bucket that one task lists against all others of it, about.
+LISTED_CHUNKS = 500
+#: Most digests of candidates (one long each, some 16 MB with their hash table) that are broadcast; beyond them the join shuffles.
+BROADCAST_ROWS = 250_000
 
 
 def band_plan(threshold: float, recall: float, most: int = 144) -> tuple[int, int]:
@@ -113,14 +115,14 @@ def _verify(threshold: float):
     def run(key, table):
         import pyarrow as pa
 
-        _, la, ca, lb, cb = (k.as_py() for k in key)
+        a, b = (k.as_py() for k in key)
         sid, first = np.unique(np.array(table["sid"].to_pylist(), object), return_index=True)
         grams, side, copies = table["grams"].to_pylist(), table["side"].to_numpy()[first], table["copies"].to_numpy()[first]
         sets = [np.frombuffer(grams[i], np.uint64) for i in first]
         sizes, both = np.array([len(s) for s in sets], float), overlaps(sets)
         linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
         np.fill_diagonal(linked, False)
-        if (la, ca) != (lb, cb):  # two chunks, one of which may have no members
+        if a != b:  # two chunks, one of which may have no members
             linked &= side[:, None] != side[None, :]
         label = np.arange(len(sets))
         while True:
@@ -136,29 +138,42 @@ def _verify(threshold: float):
     return run
 
 
+def _blocks(shared: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """From (sid, size, key, n, grams), a row for each member and bucket that it shares: (sid, chunk) and (chunk, a, b, side), the blocks of each chunk.
+
+    Sets match only if their sizes differ by the threshold's ratio at most: such sets are of one level or of neighbouring ones.
+    """
+    step = -math.log(threshold)
+    level = F.floor(F.log(F.col("size").cast("double")) / step + 1e-9).cast("int")
+    parts = lambda x: F.greatest(F.ceil(x["n"] / CHUNK_MEMBERS), F.ceil(x["grams"] / CHUNK_NGRAMS))
+    own = shared.groupBy("sid", "size").agg(F.max(F.struct("n", "key", "grams")).alias("anchor"), F.collect_list("key").alias("keys"))  # one key a band
+    chunk = F.xxhash64("level", "anchor.key", F.pmod(F.xxhash64("sid"), parts(F.col("anchor"))))
+    own = stash(own.withColumn("level", level).withColumn("chunk", chunk).select("sid", "chunk", "level", "keys"), "chunks")
+    held = own.select(F.explode("keys").alias("key"), "chunk", "level").distinct()
+    many = held.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / LISTED_CHUNKS).cast("int").alias("turns"), F.count(F.lit(1)).alias("chunks"))
+    spread = held.join(many.where("chunks > 1"), "key")
+    one = spread.withColumn("turn", F.pmod("chunk", "turns"))
+    other = spread.select("key", F.col("chunk").alias("chunk2"), F.col("level").alias("level2"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"))
+    pairs = one.join(other, ["key", "turn"]).where("chunk < chunk2 and abs(level - level2) <= 1").select(F.col("chunk").alias("a"), F.col("chunk2").alias("b")).distinct()
+    both = F.explode(F.array(F.struct(F.col("a").alias("chunk"), F.lit(0).alias("side")), F.struct(F.col("b").alias("chunk"), F.lit(1).alias("side")))).alias("x")
+    blocks = pairs.select("a", "b", both).select("x.chunk", "a", "b", "x.side")
+    within = own.groupBy("chunk").count().where("count > 1").select("chunk", F.col("chunk").alias("a"), F.col("chunk").alias("b"), F.lit(0).alias("side"))
+    return own.select("sid", "chunk"), blocks.unionByName(within)
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, recall: float) -> DataFrame:
     """(id, digest of the text, component, class_id, n_links) for each row of docs; no component without words."""
     bands, rows = band_plan(threshold, recall)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
     kind = base.schema["id"].dataType.simpleString()
     sig = stash(base.mapInArrow(_signatures(size, bands, rows), f"id {kind}, digest long, sid string, size long, keys array<long>"), "signatures")
-    members = sig.where("sid is not null").groupBy("sid").agg(F.min("id").alias("rep"), F.min("digest").alias("digest"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"))
-    keyed = sig.where("sid is not null").dropDuplicates(["sid"]).select("sid", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("sid").alias("head"), F.max("sid").alias("tail")).where("head <> tail")
-    near = keyed.join(buckets, "key").where("sid <> head").select("sid", "head").distinct()
-    cluster = connected_components(near, "sid", "head").select(F.col("node").alias("sid"), F.col("component").alias("cluster"))
-    members = stash(members.join(cluster, "sid", "left"), "members")
-
-    # chunks: one for a small cluster; else by class of size (neighbours differ by the threshold's ratio), then by number
-    found = members.where("cluster is not null")
-    step = -math.log(threshold)
-    whole = found.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("grams")).withColumn("small", (F.col("n") <= CHUNK_MEMBERS) & (F.col("grams") <= CHUNK_NGRAMS))
-    found = found.join(whole.select("cluster", "small"), "cluster").withColumn("level", F.when(F.col("small"), 0).otherwise(F.floor(F.log(F.col("size").cast("double")) / step + 1e-9).cast("int")))
-    levels = found.groupBy("cluster", "level").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_MEMBERS), F.ceil(F.sum("size") / CHUNK_NGRAMS)).cast("int").alias("chunks"))
-    maps = levels.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("level", "chunks"))).alias("chunks"))
-    near_by = lambda by: F.coalesce(F.try_element_at("chunks", F.col("level") + by), F.lit(0))  # noqa: E731  chunks of the level, 0 without one
-    found = found.join(maps, "cluster").withColumns({"here": near_by(0), "above": near_by(1), "below": near_by(-1)}).withColumn("mine", F.pmod(F.xxhash64("sid"), "here").cast("int"))
-    plan = stash(found.select("sid", "digest", "copies", "cluster", "level", "mine", "here", "above", "below"), "plan")
+    total = sig.count()
+    worded = sig.where("sid is not null")
+    members = stash(worded.groupBy("sid").agg(F.min("id").alias("rep"), F.min("digest").alias("digest"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys")), "members")
+    keyed = members.select("sid", "size", F.explode("keys").alias("key"))
+    buckets = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("grams")).where("n > 1"), "buckets")
+    chunks, blocks = _blocks(salted_join(keyed, buckets, "key", "n", total, "sid"), threshold)
+    plan = stash(members.select("sid", "digest", "copies").join(chunks, "sid"), "plan")
 
     # each text once, united before texts are shuffled: copies of a row never meet in one task
     wanted = plan.select("digest").distinct()
@@ -166,25 +181,18 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
     texts = once(base.join(F.broadcast(wanted), "digest", "left_semi")) if plan.count() <= BROADCAST_ROWS else once(base).join(wanted, "digest", "left_semi")
     texts = texts.select(F.explode("texts").alias("text"))
     grams = texts.mapInArrow(_sets(size), "sid string, grams binary")
-    # blocks are listed only here, row by row: their number grows with the cluster
-    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
-    level, mine = F.col("level"), F.col("mine")
-    block = lambda la, ca, lb, cb, side: F.struct(la.alias("la"), ca.alias("ca"), lb.alias("lb"), cb.alias("cb"), side.alias("side"))
-    blocks = F.concat(
-        F.transform(upto("here"), lambda j: block(level, F.least(j, mine), level, F.greatest(j, mine), (j < mine).cast("int"))),
-        F.transform(upto("above"), lambda j: block(level, mine, level + 1, j, F.lit(0))),
-        F.transform(upto("below"), lambda j: block(level - 1, j, level, mine, F.lit(1))),
-    )
-    blocked = grams.join(plan, "sid").select("sid", "copies", "grams", "cluster", F.explode(blocks).alias("b")).select("sid", "copies", "grams", "cluster", "b.*")
-    verified = stash(blocked.groupBy("cluster", "la", "ca", "lb", "cb").applyInArrow(_verify(threshold), "sid string, other string, links long"), "verified")
+    # blocks are listed by small rows first: a set is copied once for each block that it lies in
+    listed = plan.join(blocks, "chunk").select("sid", "copies", "a", "b", "side")
+    verified = stash(grams.join(listed, "sid").groupBy("a", "b").applyInArrow(_verify(threshold), "sid string, other string, links long"), "verified")
     links = verified.where("other is null").groupBy("sid").agg(F.sum("links").alias("links"))
     parts = connected_components(verified.where("other is not null"), "sid", "other")
-    classes = members.join(parts.withColumnRenamed("node", "sid"), "sid", "left").join(links, "sid", "left")
+    classes = members.select("sid", "rep", "copies").join(parts.withColumnRenamed("node", "sid"), "sid", "left").join(links, "sid", "left")
     classes = classes.select("sid", "rep", "copies", F.coalesce("component", "sid").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
-    heads = classes.groupBy("component").agg(F.min("rep").alias("class_id"))
-    classes = classes.join(heads, "component").select("sid", "component", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    out = sig.select("id", "digest", "sid").join(classes, "sid", "left")
-    return out.select("id", "digest", "component", F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    heads = classes.groupBy("component").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    classes = stash(salted_join(classes, heads, "component", "n", total, "sid").select("sid", "component", "class_id", "copies", (F.col("links") + F.col("copies") - 1).alias("n_links")), "classes")
+    out = salted_join(worded.select("id", "digest", "sid"), classes, "sid", "copies", total, "id").select("id", "digest", "component", "class_id", F.col("n_links").cast("long").alias("n_links"))
+    wordless = sig.where("sid is null").select("id", "digest", F.lit(None).cast("string").alias("component"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return out.unionByName(wordless)
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from spectral_spark.llm import common
 from spectral_spark.llm import ngram_join as module
 from spectral_spark.llm.common import stash
 from spectral_spark.llm.components import connected_components
@@ -78,6 +79,15 @@ def test_large_cluster_is_cut_into_chunks(spark):
     assert rows_of(ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+def test_chain_and_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(module, "CHUNK_MEMBERS", 8)
+    monkeypatch.setattr(module, "LISTED_CHUNKS", 2)
+    chain = [" ".join(f"c{k}" for k in range(4 * i, 4 * i + 80)) for i in range(60)]
+    rows = list(enumerate(chain + near_copies(50) + [near_copies(1)[0]] * 40))
+    assert rows_of(ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
 def test_an_empty_chunk_adds_no_links(spark, monkeypatch):
     monkeypatch.setattr(module, "CHUNK_NGRAMS", 40)
     rows = [(2 * i + k, " ".join(f"w{i}x{j}" for j in range(60)) + " end" * k) for i in range(16) for k in range(2)]
@@ -91,6 +101,7 @@ def test_plan_rows_do_not_grow_with_the_cluster(spark, monkeypatch):
     rows = list(enumerate(near_copies(60)))
     assert rows_of(ngram_join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
     assert {f.dataType.typeName() for f in kept["plan"].schema} <= {"string", "long", "integer"}
+    assert kept["chunks"].selectExpr("max(size(keys))").first()[0] <= 144
 
 
 @pytest.mark.parametrize("broadcast_rows", [0, 1000])
