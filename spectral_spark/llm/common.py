@@ -62,6 +62,25 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, count: str, total:
     return left.join(right, [key, "__salt"]).drop("__salt")
 
 
+def gather(steps: Column, state: Column, step, emit, kind: str, block: int = 256) -> Column:
+    """The arrays emit(state, x) of all x of an array, end to end; step(state, x) is the state of the next one.
+
+    Arrays grow block by block, so that long ones do not take time with the square of their length.
+    """
+    none = F.array().cast(kind)
+    pair = lambda a, out: F.struct(a.alias("state"), out.alias("out"))
+    one = lambda a, x: pair(step(a["state"], x), F.concat(a["out"], emit(a["state"], x)))
+
+    def run(all_steps: Column) -> Column:
+        def many(a: Column, k: Column) -> Column:
+            made = F.transform(F.array(F.aggregate(F.slice(all_steps, k, F.lit(block)), pair(a["state"], none), one)), lambda b: pair(b["state"], F.concat(a["out"], b["out"])))
+            return made[0]
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(all_steps), F.lit(block)), pair(state, none), many)["out"]
+
+    return F.transform(F.array(steps), lambda a: F.when(F.size(a) > 0, run(a)).otherwise(none))[0]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z alone; the usual lower() serves where the text is ASCII throughout."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
