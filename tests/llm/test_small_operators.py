@@ -1,9 +1,12 @@
 import base64
 import hashlib
+import os
 import random
 import re
 
-from spectral_spark.llm import chat, licenses, urls, warc
+import duckdb
+
+from spectral_spark.llm import chat, licenses, queries, urls, warc
 
 
 # --- chat
@@ -53,6 +56,37 @@ def test_licenses(spark):
     assert licenses.scan_licenses(df.limit(0), known).count() == 0
 
 
+LONG = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+
+
+def full_texts():
+    """Full texts as they are stored: with titles, owners, comment marks, other list marks, other line ends and spellings."""
+    by = {n: t for n, t in licenses.KNOWN if len(t) > 400}
+    out = []
+    for name, text in by.items():
+        body = "\n".join(w for p in text.split("\n") for w in ([" ".join(p.split(" ")[i : i + 11]) for i in range(0, len(p.split(" ")), 11)] if p else [""]))
+        out += [(name, text), (name, f"{name.split('-')[0]} License\n\nCopyright (c) 2019 A. Person. All rights reserved.\n\n{body}\n"), (name, "/*\n * " + body.replace("\n", "\n * ") + "\n */"), (name, "".join(f"# {x}\n" for x in body.split("\n")).replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")), (name, re.sub(r"\b(SUB|)LICENSE\b", r"\1LICENCE", body.upper()))]
+    folder = "/usr/share/common-licenses/"
+    for name, file in LONG.items():
+        if os.path.exists(folder + file):
+            text = open(folder + file).read()
+            out += [(name, text), (name, text.lower()), (name, "".join(f"// {x}\n" for x in text.split("\n")))]
+    return out
+
+
+def test_full_licence_texts(spark, tmp_path):
+    texts = full_texts()
+    odd = [(None, "Not a licence at all."), (None, "per century licencefoo"), (None, None)]
+    spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts + odd)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    df = queries.op4_licenses(spark, str(tmp_path))
+    got = {r.doc_id: r for r in df.collect()}
+    assert [got[i].license for i in range(len(texts + odd))] == [n for n, _ in texts + odd]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = {r[0]: r for r in con.sql(licenses.ORACLE).fetchall()}
+    assert {i: tuple(r) for i, r in got.items()} == want
+
+
 # --- urls
 
 
