@@ -19,9 +19,12 @@ HOMOGLYPHS = "аaеeоoрpсcхxуyіiјjѕsһhԁdԛqԝwαaοoρpνvιiκkτtυu
 #: Digits and signs that stand for letters.
 SUBSTITUTES = "0o1i3e4a5s7t@a$s"
 #: Phrases in which a listed word is harmless.
-EXCEPTIONS = ("trash can", "trash bin", "clown fish", "class clown", "idiot proof", "moron mountain")
-#: Least and most characters of a word's beginning; most documents learned from, and most entries of a lexicon.
-STEMS, SAMPLE_DOCS, LEXICON = (4, 8), 12_000, 2_000
+EXCEPTIONS = (
+    "trash can", "trash cans", "trash bin", "trash bag", "trash bags", "trash collection", "trash compactor", "clown fish", "clown loach", "circus clown", "rodeo clown", "class clown",
+    "idiot proof", "idiot light", "idiot board", "soap scum", "pond scum", "scum line", "stupid simple", "stupid money", "loser bracket", "losers bracket", "moron mountain", "disgusting taste test",
+)
+#: Least and most characters of a word's beginning; most labelled documents learned from, which also bounds the lexicon.
+STEMS, SAMPLE_DOCS = (4, 8), 12_000
 
 _LOOKS = str.maketrans({a: b for a, b in zip(HOMOGLYPHS[::2], HOMOGLYPHS[1::2])} | {chr(0xFF21 + k): chr(97 + k) for k in range(26)} | {chr(0xFF41 + k): chr(97 + k) for k in range(26)})
 _SIGNS = str.maketrans(dict(zip(SUBSTITUTES[::2], SUBSTITUTES[1::2])))
@@ -80,8 +83,8 @@ def features(text: str, automaton) -> tuple[float, float, float]:
             elif weight > best.get(at, 0.0):
                 best[at] = weight
     for a, b in excused:
-        for at in [x for x in best if a <= x < b]:
-            del best[at]
+        for at in range(a, b):
+            best.pop(at, None)
     total, words = sum(best.values()), folded.count(" ") - 1
     return np.log1p(total), np.log1p(100 * total / (words + 10)), np.log1p(len(best))
 
@@ -132,7 +135,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicityModel:
     """Learn from labelled rows that are not held out: from all of them, or from sample_docs of them by the hash of their ids.
 
-    Rows with a null id or label teach nothing; of several labels for one id the largest counts. Without any toxic row
+    Every stem with enough support and weight is an entry. Rows with a null id or label teach nothing; of several labels for one id the largest counts. Without any toxic row
     the lexicon is empty and all scores are small.
     """
     known = labels.where(F.col(label_col).isin(0, 1)).where(~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("__toxic"))
@@ -142,12 +145,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     stems = rows.mapInArrow(_stems(*STEMS), "stem string, clean long, toxic long").groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     weight = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-    top = stems.where(F.col("toxic") >= max(4, 0.004 * n1)).withColumn("weight", F.round(weight, 4)).where("weight >= 2").orderBy(F.desc("weight"), "stem").limit(5 * LEXICON).collect()
+    top = stems.where(F.col("toxic") >= max(4, 0.004 * n1)).withColumn("weight", F.round(weight, 4)).where("weight >= 2").collect()
     kept: dict[str, float] = {}
     for r in sorted(top, key=lambda r: (len(r["stem"]), r["stem"])):  # a longer stem is listed only where it says more than its beginning
         if r["weight"] > max([kept[r["stem"][:n]] for n in range(2, len(r["stem"])) if r["stem"][:n] in kept], default=0) + 0.5:
             kept[r["stem"]] = r["weight"]
-    entries = tuple(sorted(kept.items(), key=lambda e: (-e[1], e[0]))[:LEXICON])
+    entries = tuple(sorted(kept.items(), key=lambda e: (-e[1], e[0])))
     draft = ToxicityModel(entries, tuple(exceptions), ())
     seen = np.array([tuple(r) for r in rows.mapInArrow(_measured(draft), "toxic int, a double, b double, c double").collect()])
     curve = _logistic(seen[:, 1:], seen[:, 0]) if n1 and n0 else np.array([-4.0, 0.0, 0.0, 0.0])

@@ -1,6 +1,11 @@
+import math
+import os
 import random
 from binascii import crc32
 
+import pytest
+
+from spectral_spark.llm import queries
 from spectral_spark.llm import toxicity as T
 
 
@@ -46,6 +51,43 @@ def test_disguised_words_and_exceptions(spark):
     assert got[0] == got[1] > 0.5 > 0.3 > got[2] and got[3] < 0.3
 
 
+def brute_score(text, model):
+    """The score by a plain search for each entry at each place, without an automaton."""
+    folded = T.fold(text or "")
+    starts = {i for phrase in model.exceptions for i in range(len(folded)) if folded.startswith(T.fold(phrase), i)}
+    excused = {j for i in starts for phrase in model.exceptions if folded.startswith(T.fold(phrase), i) for j in range(i, i + len(T.fold(phrase)) - 1)}
+    best = {}
+    for pattern, weight in model.entries:
+        at = folded.find(pattern)
+        while at >= 0:
+            if at not in excused:
+                best[at] = max(weight, best.get(at, 0.0))
+            at = folded.find(pattern, at + 1)
+    total = sum(best.values())
+    x = (1.0, math.log1p(total), math.log1p(100 * total / (len(folded.split()) + 10)), math.log1p(len(best)))
+    return 1 / (1 + math.exp(-min(30, max(-30, sum(a * b for a, b in zip(model.curve, x))))))
+
+
+def test_scores_by_plain_search(spark, sample, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = T.train_toxicity(sample, labels, exceptions=("idiot proof", "trash can", "proof of"))
+    odd = [(-1, "An IDI0T proof of trash can, trash cаn idiot"), (-2, None), (-3, "idiot idiot proof idiotproof pathetic"), (-4, " " * 1000)]
+    df = sample.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))
+    rows = T.score_toxicity(df, model).collect()
+    assert model.entries and max(abs(r.score - brute_score(r.text, model)) for r in rows) < 1e-6
+
+
+@pytest.mark.parametrize("size,least", [("sf0.01", 0.6), ("sf0.1", 0.85)])
+def test_held_out_labels_of_the_tables(spark, size, least):
+    d = f"/root/testdata/{size}"
+    if not os.path.isdir(d):
+        pytest.skip("the driver's tables are not here")
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    held = [r for r in queries.op6_toxicity(spark, d).where("held_out").collect() if r.doc_id in truth]
+    right = sum(r.predicted and truth[r.doc_id] for r in held)
+    assert right >= least * sum(truth[r.doc_id] for r in held) and right >= least * sum(r.predicted for r in held)
+
+
 def test_edges(spark):
     docs, labels, _ = corpus(spark, 100)
     model = T.train_toxicity(docs, labels)
