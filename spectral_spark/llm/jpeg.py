@@ -3,26 +3,25 @@
 The decoder accumulates the scans of spectral selection and successive approximation into one array of coefficients for
 each component, transforms them back in numpy, upsamples the chroma and gives an RGB tensor.
 
-The writer puts byte b of a payload into a coefficient of value 256 + b, with quantisation by one. So every coefficient
-is non-zero and of one size, and the coded scans are regular: the decoder recognises such scans and reads them as
-arrays; all others go through its general loops.
+The writer puts byte b of a payload into a coefficient, with quantisation by one: b itself in a block's first place and
+from 128 up, else b - 255. So every other coefficient is non-zero and of one size: a first scan, at half precision, holds
+b >> 1 in eight bits for each, which Parquet's compression can still pack, and the coded scans are regular. The decoder
+recognises such scans and reads them as arrays; all others go through its general loops.
 """
 
-import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNIT = 192
-#: Value of a coefficient that carries byte 0, and the shift of the first scans.
-BASE, SHIFT = 256, 1
+#: The shift of the first scans.
+SHIFT = 1
 MOST_ROWS = 4000
 _NOTE = b"payload bytes "
 
@@ -33,10 +32,10 @@ def _zigzag() -> np.ndarray:
 
 
 def _basis() -> np.ndarray:
-    """Row k: the 64 pixels of zigzag coefficient k."""
+    """Row k: the 64 pixels of zigzag coefficient k, in steps of 2**-40, so that their sums are exact and do not depend on the order."""
     x = np.arange(8)
     c = np.array([[(np.sqrt(0.125) if u == 0 else 0.5) * np.cos((2 * i + 1) * u * np.pi / 16) for i in x] for u in x])
-    return np.einsum("ui,vj->uvij", c, c).reshape(64, 64)[_ZIGZAG]
+    return np.rint(np.einsum("ui,vj->uvij", c, c).reshape(64, 64)[_ZIGZAG] * 2.0**40) / 2.0**40
 
 
 _ZIGZAG = _zigzag()
@@ -55,11 +54,15 @@ def _huffman(kind: int, slot: int, symbols: list[int], length: int) -> bytes:
     return _segment(0xC4, bytes([kind << 4 | slot]) + bytes(len(symbols) if n == length else 0 for n in range(1, 17)) + bytes(symbols))
 
 
-def _scan(parts: list[tuple[int, int, int]], first: int, last: int, high: int, low: int, bits: np.ndarray) -> bytes:
-    """A scan of (component, DC table, AC table); unused bits of the last byte are ones."""
+def _scan(parts: list[tuple[int, int, int]], first: int, last: int, high: int, low: int, data: bytes) -> bytes:
+    """A scan of (component, DC table, AC table)."""
+    return _segment(0xDA, bytes([len(parts)]) + b"".join(bytes([c, d << 4 | a]) for c, d, a in parts) + bytes([first, last, high << 4 | low])) + data.replace(b"\xff", b"\xff\x00")
+
+
+def _packed(bits: np.ndarray) -> bytes:
+    """Bits as bytes; unused bits of the last one are ones."""
     spare = -len(bits) % 8
-    data = np.packbits(np.concatenate([bits, np.ones(spare, np.uint8)]) if spare else bits).tobytes().replace(b"\xff", b"\xff\x00")
-    return _segment(0xDA, bytes([len(parts)]) + b"".join(bytes([c, d << 4 | a]) for c, d, a in parts) + bytes([first, last, high << 4 | low])) + data
+    return np.packbits(np.concatenate([bits, np.ones(spare, np.uint8)]) if spare else bits).tobytes()
 
 
 def _dc_bits(differences: np.ndarray) -> np.ndarray:
@@ -75,7 +78,7 @@ def _dc_bits(differences: np.ndarray) -> np.ndarray:
     return ((value[which] >> place) & 1).astype(np.uint8)
 
 
-_TABLES = _segment(0xDB, b"\x00" + b"\x01" * 64) + _huffman(0, 0, list(range(10)), 4) + _huffman(1, 0, [8], 1) + _huffman(1, 1, [0], 1)
+_TABLES = _segment(0xDB, b"\x00" + b"\x01" * 64) + _huffman(0, 0, list(range(10)), 4) + _huffman(1, 0, [7], 1) + _huffman(1, 1, [0], 1)
 
 
 def encode_bytes(payload: bytes) -> bytes:
@@ -92,23 +95,21 @@ def encode_bytes(payload: bytes) -> bytes:
     parts = [luma, mcu[:, :, 4].reshape(-1, 64), mcu[:, :, 5].reshape(-1, 64)]
     out = [b"\xff\xd8", _segment(0xFE, _NOTE + str(len(payload)).encode()), _segment(0xC2, b"\x08" + (rows * 16).to_bytes(2, "big") + (cols * 16).to_bytes(2, "big") + b"\x03\x01\x22\x00\x02\x11\x00\x03\x11\x00"), _TABLES]
     dc = mcu[:, :, :, 0].reshape(-1, 6)
-    high = ((dc.astype(np.int64) + BASE) >> SHIFT)
+    high = dc.astype(np.int64) >> SHIFT
     steps = np.empty_like(high)
     luma_dc = high[:, :4].ravel()
     steps[:, :4] = np.diff(luma_dc, prepend=0).reshape(-1, 4)
     steps[:, 4], steps[:, 5] = np.diff(high[:, 4], prepend=0), np.diff(high[:, 5], prepend=0)
-    out.append(_scan([(1, 0, 0), (2, 0, 0), (3, 0, 0)], 0, 0, 0, SHIFT, _dc_bits(steps.ravel())))
+    out.append(_scan([(1, 0, 0), (2, 0, 0), (3, 0, 0)], 0, 0, 0, SHIFT, _packed(_dc_bits(steps.ravel()))))
     for k, blocks in enumerate(parts):
-        top = (blocks >> 1) | 0x80  # (256 + b) >> 1 has eight bits, the first of them 1
+        top = blocks >> 1  # the code of size seven, one bit 0, and then the seven bits of (b or b - 255) at half precision
         for a, b in ((1, 5), (6, 63)):
-            fields = np.zeros((len(blocks) * (b - a + 1), 9), np.uint8)
-            fields[:, 1:] = np.unpackbits(np.ascontiguousarray(top[:, a : b + 1]).reshape(-1, 1), axis=1)
-            out.append(_scan([(k + 1, 0, 0)], a, b, 0, SHIFT, fields.ravel()))
-    out.append(_scan([(1, 0, 0), (2, 0, 0), (3, 0, 0)], 0, 0, SHIFT, 0, (dc & 1).ravel()))
+            out.append(_scan([(k + 1, 0, 0)], a, b, 0, SHIFT, top[:, a : b + 1].tobytes()))
+    out.append(_scan([(1, 0, 0), (2, 0, 0), (3, 0, 0)], 0, 0, SHIFT, 0, _packed((dc & 1).ravel())))
     for k, blocks in enumerate(parts):
-        bits = blocks & 1
+        bits = (blocks & 1) ^ (blocks < 128)
         bits[:, 0] = 0  # the code that ends the band; each coefficient's last bit follows
-        out.append(_scan([(k + 1, 0, 1)], 1, 63, SHIFT, 0, bits.ravel()))
+        out.append(_scan([(k + 1, 0, 1)], 1, 63, SHIFT, 0, _packed(bits.ravel())))
     return b"".join(out) + b"\xff\xd9"
 
 
@@ -257,6 +258,12 @@ def _regular_first(data: bytes, table: _Table, n: int) -> np.ndarray | None:
     field = length + size
     if len(data) * 8 < n * field:
         return None
+    if field == 8:
+        v = np.frombuffer(data, np.uint8, n)
+        if (v >> size != code).any():
+            return None
+        v = (v & ((1 << size) - 1)).astype(np.int32)
+        return np.where(v >> (size - 1), v, v - (1 << size) + 1)
     bits = np.unpackbits(np.frombuffer(data, np.uint8), count=n * field).reshape(n, field)
     if any((bits[:, k] != (code >> (length - 1 - k)) & 1).any() for k in range(length)):
         return None
@@ -385,24 +392,30 @@ def to_rgb(height: int, width: int, comps: list, quant: dict) -> np.ndarray:
     planes = []
     for c in comps:
         scale = quant[c.quant]
-        pixels = np.clip(np.rint((c.flat if (scale == 1).all() else c.flat * scale) @ _BASIS + 128), 0, 255)
+        pixels = (c.flat if (scale == 1).all() else c.flat * scale) @ _BASIS
+        pixels += 128
+        pixels = np.clip(np.rint(pixels, out=pixels), 0, 255, out=pixels).astype(np.uint8)
         plane = pixels.reshape(c.rows, c.cols, 8, 8).transpose(0, 2, 1, 3).reshape(c.rows * 8, c.cols * 8)
         if most_v != c.v or most_h != c.h:
             plane = np.repeat(np.repeat(plane, most_v // c.v, 0), most_h // c.h, 1)
         planes.append(plane[:height, :width])
     if len(planes) == 1:
-        return np.repeat(planes[0][:, :, None], 3, 2).astype(np.uint8)
-    y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
-    return np.clip(np.rint(np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], 2)), 0, 255).astype(np.uint8)
+        return np.repeat(planes[0][:, :, None], 3, 2)
+    y, cb, cr = planes[0].astype(np.float32), planes[1].astype(np.float32) - 128, planes[2].astype(np.float32) - 128
+    rgb = np.empty((height, width, 3), np.uint8)
+    for k, mixed in enumerate((y + np.float32(1.402) * cr, y - np.float32(0.344136) * cb - np.float32(0.714136) * cr, y + np.float32(1.772) * cb)):
+        rgb[:, :, k] = np.clip(np.rint(mixed, out=mixed), 0, 255, out=mixed)
+    return rgb
 
 
 def payload_of(height: int, width: int, comps: list, note: bytes) -> bytes:
     """The bytes that encode_bytes stored."""
     rows, cols = height // 16, width // 16
+    luma, *chroma = ((c.flat - (c.flat < 0)).astype(np.uint8) for c in comps)
     mcu = np.empty((rows, cols, 6, 64), np.uint8)
-    mcu[:, :, :4] = (comps[0].flat - BASE).astype(np.uint8).reshape(rows, 2, cols, 2, 64).transpose(0, 2, 1, 3, 4).reshape(rows, cols, 4, 64)
-    for k in (1, 2):
-        mcu[:, :, 3 + k] = (comps[k].flat - BASE).astype(np.uint8).reshape(rows, cols, 64)
+    mcu[:, :, :4] = luma.reshape(rows, 2, cols, 2, 64).transpose(0, 2, 1, 3, 4).reshape(rows, cols, 4, 64)
+    for k, c in enumerate(chroma):
+        mcu[:, :, 4 + k] = c.reshape(rows, cols, 64)
     return mcu.tobytes()[: int(note[len(_NOTE) :])]
 
 
@@ -420,42 +433,44 @@ def _stored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([encode_bytes(padded(x)) for x in t], dtype=object)
 
 
-_TENSOR = "height int, width int, rgb binary, payload binary"
-_DIGEST = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+_TENSOR = "height int, width int, rgb binary, mean array<double>, payload binary"
 
 
 def _tensors(media: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for m in media:
         rows = []
         for x in m:
+            if x is None:
+                rows.append((None,) * 5)
+                continue
             height, width, comps, quant, note = decode_coefficients(x)
-            rows.append((height, width, to_rgb(height, width, comps, quant).tobytes(), payload_of(height, width, comps, note) if note.startswith(_NOTE) else None))
-        yield pd.DataFrame(rows, columns=["height", "width", "rgb", "payload"])
-
-
-def _digests(media: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    names = [x.split()[0] for x in _DIGEST.split(", ")]
-    for m in media:
-        rows = []
-        for x in m:
-            height, width, comps, quant, note = decode_coefficients(x)
-            payload, rgb = payload_of(height, width, comps, note), to_rgb(height, width, comps, quant)
-            means = rgb.reshape(-1, 3).sum(0, dtype=np.int64) / (height * width)
-            feature = f"{height}x{width}:{','.join(f'{v:.3f}' for v in means)}:{zlib.crc32(rgb):08x}"
-            rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(x), hashlib.sha256(x).hexdigest(), feature))
-        yield pd.DataFrame(rows, columns=names)
+            rgb = to_rgb(height, width, comps, quant)
+            rows.append((height, width, rgb.tobytes(), rgb.reshape(-1, 3).mean(0), payload_of(height, width, comps, note) if note.startswith(_NOTE) else None))
+        yield pd.DataFrame(rows, columns=["height", "width", "rgb", "mean", "payload"])
 
 
 def store_texts(docs: DataFrame, text_col: str = "text", media_col: str = "media") -> DataFrame:
-    """docs with a column of progressive JPEGs that carry the texts' bytes. Rows pass one by one; a null text counts as empty."""
+    """docs with a column of progressive JPEGs that carry the texts' bytes. Rows pass one by one; a null text counts as empty, a column of that name is replaced."""
     return docs.withColumn(media_col, F.pandas_udf(_stored, "binary")(F.col(text_col).cast("string")))
 
 
 def read_tensors(media: DataFrame, media_col: str = "media") -> DataFrame:
-    """media with a struct column `image`: height, width, rgb (row-major bytes, full resolution) and payload (null for other JPEGs)."""
+    """media with a struct column `image`, or in place of it: height, width, rgb (row-major bytes, full resolution), mean (of each channel) and payload (null for other JPEGs).
+
+    Null media have null fields; bytes that are no progressive JPEG raise an error.
+    """
     return media.withColumn("image", F.pandas_udf(_tensors, _TENSOR)(F.col(media_col)))
 
 
-def describe_media(media: Column) -> Column:
-    """Struct of what is read back from stored bytes: sizes, digests and a feature of the tensor."""
-    return F.pandas_udf(_digests, _DIGEST)(media)
+def describe(media: DataFrame, media_col: str = "media") -> DataFrame:
+    """media with what is read back from its stored bytes: payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, and feature: size, mean colour and checksum of the tensor."""
+    image, bytes_ = F.col("image"), F.col(media_col)
+    colour = F.array_join(F.transform(image["mean"], lambda x: F.format_string("%.3f", x)), ",")
+    return read_tensors(media, media_col).withColumns({
+        "payload_bytes": F.octet_length(image["payload"]).cast("long"),
+        "payload_sha256": F.sha2(image["payload"], 256),
+        "tail_crc32": F.crc32(F.substring(image["payload"], -16, 16)),
+        "media_bytes": F.octet_length(bytes_).cast("long"),
+        "media_sha256": F.sha2(bytes_, 256),
+        "feature": F.concat_ws(":", F.concat_ws("x", image["height"], image["width"]), colour, F.lower(F.hex(F.crc32(image["rgb"])))),
+    }).drop("image")

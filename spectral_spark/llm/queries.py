@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontamination, jpeg, licenses, mixing, secrets, toxicity, urls, warc
-from .common import bound_batches
+from .common import bound_batches, stash
 from .ngram_join import ngram_join
 
 
@@ -61,9 +61,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text stored as a progressive JPEG and read back."""
-    docs = jpeg.store_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), jpeg.describe_media(F.col("media")).alias("d")).select("doc_id", "n_bytes", "d.*")
+    """Every text stored as a progressive JPEG, read back from the shared folder, and its tensor described."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
+    media = stash(jpeg.store_texts(docs).drop("text"), "media", "zstd")
+    return jpeg.describe(media).drop("media")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

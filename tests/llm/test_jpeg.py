@@ -6,6 +6,7 @@ import pytest
 
 from spectral_spark.llm import jpeg as J
 from spectral_spark.llm import queries
+from spectral_spark.llm.common import stash
 
 
 class Bits:
@@ -229,6 +230,38 @@ def test_payload_round_trip():
             J.encode_bytes(bad)
 
 
+def test_regular_scans_equal_the_general_loops(monkeypatch):
+    """The same file through the arrays, through the loops, and by the definition of what the writer stores."""
+    p = np.random.default_rng(1).integers(0, 256, 192 * 9, np.uint8).tobytes()
+    data = J.encode_bytes(p)
+    fast = J.decode_coefficients(data)
+    monkeypatch.setattr(J, "_regular_first", lambda *a: None)
+    monkeypatch.setattr(J, "_regular_refine", lambda *a: None)
+    slow = J.decode_coefficients(data)
+    assert all((a.flat == b.flat).all() for a, b in zip(fast[2], slow[2])) and J.payload_of(*slow[:3], slow[4]) == p
+    b = np.frombuffer(p[:64], np.uint8).astype(int)
+    assert slow[2][0].flat[0].tolist() == [b[0], *np.where(b[1:] < 128, b[1:] - 255, b[1:])]
+    assert (J.to_rgb(*fast[:4]) == J.to_rgb(*slow[:4])).all()
+
+
+def by_definition(data):
+    """Colours of a stored text's JPEG from its coefficients by sums of cosines, in plain numpy and without the module's transform."""
+    height, width, comps, _, _ = J.decode_coefficients(data)
+    k = np.arange(8)
+    wave = np.cos((2 * k[None, :] + 1) * k[:, None] * np.pi / 16) * np.where(k == 0, 0.5**0.5, 1)[:, None] / 2
+    planes = []
+    for c in comps:
+        plane = np.zeros((c.rows * 8, c.cols * 8))
+        for i, block in enumerate(c.flat):
+            f = np.zeros(64)
+            f[J._ZIGZAG] = block
+            plane[i // c.cols * 8 :, i % c.cols * 8 :][:8, :8] = wave.T @ f.reshape(8, 8) @ wave + 128
+        plane = np.clip(np.rint(plane), 0, 255)
+        planes.append(np.kron(plane, np.ones((height // plane.shape[0], width // plane.shape[1]))))
+    y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
+    return np.clip(np.rint(np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], 2)), 0, 255).astype(int)
+
+
 def test_broken_files_are_refused():
     for bad in (b"", b"\x89PNG", b"\xff\xd8\xff\xc0\x00\x11" + bytes(15)):
         with pytest.raises((ValueError, IndexError)):
@@ -237,12 +270,22 @@ def test_broken_files_are_refused():
 
 def test_query_and_edges(spark, sf_dir, sample, tmp_path):
     texts = {r.doc_id: r.text for r in sample.collect()}
-    for r in queries.op8_jpeg(spark, sf_dir).collect():
+    for k, r in enumerate(queries.op8_jpeg(spark, sf_dir).collect()):
         p = J.padded(texts[r.doc_id])
+        data = J.encode_bytes(p)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(texts[r.doc_id].encode()), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]))
+        assert (r.media_bytes, r.media_sha256) == (len(data), hashlib.sha256(data).hexdigest())
+        if k < 20 and len(p) < 50_000:
+            size, means, crc = r.feature.split(":")
+            rgb = by_definition(data)
+            assert size == f"{rgb.shape[0]}x{rgb.shape[1]}" and int(crc, 16) < 1 << 32
+            assert np.allclose(rgb.reshape(-1, 3).mean(0), [float(x) for x in means.split(",")], atol=0.01)
     rows = [(1, None), (2, ""), (3, "é" * 96), (3, "é" * 96), (None, "x" * 400_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as media", "2 as image")
-    got = J.read_tensors(J.store_texts(df)).collect()
-    assert [bytes(r.image.payload) for r in got] == [J.padded(t) for _, t in rows]
+    got = J.read_tensors(stash(J.store_texts(df), "media", "zstd")).collect()
+    assert sorted(bytes(r.image.payload) for r in got) == sorted(J.padded(t) for _, t in rows)
     assert all(len(r.image.rgb) == 3 * r.image.height * r.image.width for r in got)
-    assert J.read_tensors(J.store_texts(df.limit(0))).count() == 0
+    accents = next(r for r in got if r.doc_id == 3)
+    assert (np.frombuffer(accents.image.rgb, np.uint8).reshape(16, 16, 3).astype(int) - by_definition(J.encode_bytes(J.padded("é" * 96)))).__abs__().max() <= 1
+    assert J.describe(J.store_texts(df.limit(0))).count() == 0
+    assert [r.feature for r in J.describe(spark.createDataFrame([(1, None)], "doc_id long, media binary")).collect()] == [""]
