@@ -3,9 +3,9 @@
 1. One pass makes each text's n-gram set, a digest of it, and one hash per band. Band and row counts come from the
    threshold and the recall asked for (band_plan).
 2. Texts with one digest are one member with a number of copies, so copies are never paired.
-3. Bands are shuffled by hash. A member's anchor is its fullest bucket; members with one anchor, and sets of about one
-   size, lie in one chunk, or in several of bounded size where the bucket is large. Two chunks make a block if they
-   share a bucket and their sets are near enough in size for the threshold.
+3. Bands are shuffled by hash. A member's anchor is its fullest bucket; members go with the anchor of their anchor's
+   first member, and those that go together with sets of about one size are one chunk, or several of bounded size. Two
+   chunks make a block if they share a bucket and their sets are near enough in size for the threshold.
 4. Candidates' sets are made anew and verified block by block; every pair of members lies in one block at most. A block
    returns counts of links and a spanning forest, not the pairs.
 5. The components of verified edges are the classes.
@@ -138,17 +138,22 @@ def _verify(threshold: float):
     return run
 
 
-def _blocks(shared: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """From (sid, size, key, n, grams), a row for each member and bucket that it shares: (sid, chunk) and (chunk, a, b, side), the blocks of each chunk.
+def _blocks(shared: DataFrame, total: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """From (sid, size, key, n, head), a row for each member and bucket that it shares: (sid, chunk) and (chunk, a, b, side), the blocks of each chunk.
 
     Sets match only if their sizes differ by the threshold's ratio at most: such sets are of one level or of neighbouring ones.
     """
     step = -math.log(threshold)
     level = F.floor(F.log(F.col("size").cast("double")) / step + 1e-9).cast("int")
-    parts = lambda x: F.greatest(F.ceil(x["n"] / CHUNK_MEMBERS), F.ceil(x["grams"] / CHUNK_NGRAMS))
-    own = shared.groupBy("sid", "size").agg(F.max(F.struct("n", "key", "grams")).alias("anchor"), F.collect_list("key").alias("keys"))  # one key a band
-    chunk = F.xxhash64("level", "anchor.key", F.pmod(F.xxhash64("sid"), parts(F.col("anchor"))))
-    own = stash(own.withColumn("level", level).withColumn("chunk", chunk).select("sid", "chunk", "level", "keys"), "chunks")
+    own = shared.groupBy("sid", "size").agg(F.max(F.struct("n", "key", "head")).alias("anchor"), F.collect_list("key").alias("keys"))  # one key a band
+    own = stash(own.select("sid", "size", level.alias("level"), "anchor.*", "keys"), "anchors")
+    # small buckets about one text would make many small chunks: a bucket's members go with its first member's own anchor
+    firsts = own.groupBy("key", "n").agg(F.min("head").alias("sid")).join(own.select("sid", F.col("key").alias("place")), "sid").select("key", "n", "place")
+    own = salted_join(own.drop("n", "head"), firsts, "key", "n", total, "sid").select("sid", "size", "level", "keys", F.xxhash64("place", "level").alias("unit"))
+    own = stash(own, "units")
+    units = own.groupBy("unit").agg(F.count(F.lit(1)).alias("n"), F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_MEMBERS), F.ceil(F.sum("size") / CHUNK_NGRAMS)).alias("parts"))
+    chunk = F.xxhash64("unit", F.pmod(F.xxhash64("sid"), F.col("parts")))
+    own = stash(salted_join(own, units, "unit", "n", total, "sid").select("sid", chunk.alias("chunk"), "level", "keys"), "chunks")
     held = own.select(F.explode("keys").alias("key"), "chunk", "level").distinct()
     many = held.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / LISTED_CHUNKS).cast("int").alias("turns"), F.count(F.lit(1)).alias("chunks"))
     spread = held.join(many.where("chunks > 1"), "key")
@@ -171,8 +176,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
     worded = sig.where("sid is not null")
     members = stash(worded.groupBy("sid").agg(F.min("id").alias("rep"), F.min("digest").alias("digest"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys")), "members")
     keyed = members.select("sid", "size", F.explode("keys").alias("key"))
-    buckets = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("grams")).where("n > 1"), "buckets")
-    chunks, blocks = _blocks(salted_join(keyed, buckets, "key", "n", total, "sid"), threshold)
+    buckets = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("head")).where("n > 1"), "buckets")
+    chunks, blocks = _blocks(salted_join(keyed, buckets, "key", "n", total, "sid"), total, threshold)
     plan = stash(members.select("sid", "digest", "copies").join(chunks, "sid"), "plan")
 
     # each text once, united before texts are shuffled: copies of a row never meet in one task
