@@ -65,9 +65,34 @@ def statistic(df: DataFrame, keys: Sequence[str], value: str, stat: str | Callab
     return df.groupBy(*keys).agg(f(F.col(value)).alias(name))
 
 
+def quantile(df: DataFrame, keys: Sequence[str], value: str, share: float, out: str = "quantile", bins: int = 4096) -> DataFrame:
+    """(keys, out): the exact quantile of large groups, interpolated like a percentile; nulls and NaN do not count.
+
+    A histogram of each group tells the bins that hold the two values about the quantile's rank; only the rows of those
+    bins are ranked. So no task holds a group's values, as an exact percentile does.
+    """
+    v = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v is not null and not isnan(__v)")
+    span = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    rank = (F.col("__n") - 1) * F.lit(float(share))
+    span = span.withColumn("__rank", rank).withColumns({"__i": F.floor("__rank"), "__j": F.ceil("__rank")})
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys] or [F.lit(True)]
+    place = F.floor(F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * bins)
+    binned = v.alias("a").join(span.alias("b"), same("a", "b")).select(*[f"a.{k}" for k in keys], "__v", "__rank", "__i", "__j", F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).alias("__bin"))
+    counts = binned.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)])
+    before = counts.withColumn("__before", F.sum("__c").over(w.orderBy("__bin")) - F.col("__c")).withColumnRenamed("__bin", "__b")
+    near = binned.alias("a").join(before.alias("b"), [*same("a", "b"), F.col("__bin") == F.col("__b")]).select(*[f"a.{k}" for k in keys], "__v", "__rank", "__i", "__j", "__bin", "__before", "__c")
+    holds = lambda r: (F.col("__before") <= F.col(r)) & (F.col(r) < F.col("__before") + F.col("__c"))
+    near = near.where(holds("__i") | holds("__j"))
+    ranked = near.withColumn("__r", F.col("__before") + F.row_number().over(Window.partitionBy(*keys, "__bin").orderBy("__v")) - 1).where("__r in (__i, __j)")
+    low, high = F.max(F.when(F.col("__r") == F.col("__i"), F.col("__v"))), F.max(F.when(F.col("__r") == F.col("__j"), F.col("__v")))
+    two = ranked.groupBy(*keys).agg(low.alias("__a"), high.alias("__z"), F.max(F.col("__rank") - F.col("__i")).alias("__t"))
+    return two.select(*keys, (F.col("__a") + F.col("__t") * (F.col("__z") - F.col("__a"))).alias(out))
+
+
 def percentile_normalize(df: DataFrame, frame: Sequence[str], value: str, percent: float) -> DataFrame:
     """Scale each frame so that its percentile is the median of all frames' (a column `factor` tells by how much)."""
-    per = df.groupBy(*frame).agg(F.percentile(value, F.lit(percent / 100)).alias("__p"))
+    per = quantile(df, frame, value, percent / 100, "__p")
     whole = per.agg(median(F.col("__p")).alias("__t"))
     factors = per.crossJoin(F.broadcast(whole)).select(*frame, F.try_divide("__t", "__p").alias("factor"))  # one row
     return df.join(factors, list(frame), "left").withColumn(value, F.col(value) * F.col("factor"))

@@ -64,8 +64,18 @@ def filter_expnum(df: DataFrame, spec, column: str = "expnum") -> DataFrame:
 
 
 def exclude_ranges(df: DataFrame, ranges: DataFrame, column: str = "mjd", low: str = "lo", high: str = "hi") -> DataFrame:
-    """Rows outside every [lo, hi]."""
-    return df.join(ranges, (F.col(column) >= F.col(low)) & (F.col(column) <= F.col(high)), "left_anti")
+    """Rows outside every [lo, hi]; a null is outside.
+
+    Ranges are united first; a value is inside one if the last one that begins at or before it ends at or after it.
+    Distinct values (nights) and ranges lie in one ordered window, rows then join by equality.
+    """
+    kind = df.schema[column].dataType
+    kind = kind if ranges.schema[low].dataType == kind == ranges.schema[high].dataType else "double"
+    w = Window.partitionBy(F.lit(0)).orderBy("__t")
+    values = df.select(F.col(column).cast(kind).alias("__t")).where("__t is not null").distinct().withColumn("__h", F.lit(None).cast(kind)).withColumn("__q", F.lit(True))
+    starts = ranges.where(F.col(low) <= F.col(high)).groupBy(F.col(low).cast(kind).alias("__t")).agg(F.max(F.col(high).cast(kind)).alias("__h")).withColumn("__q", F.lit(False))
+    inside = values.unionByName(starts).withColumn("__h", F.max("__h").over(w.rangeBetween(Window.unboundedPreceding, 0))).where("__q and __h >= __t").select("__t")
+    return df.join(inside, F.col(column).cast(kind) == F.col("__t"), "left_anti")
 
 
 def select_fibers(df: DataFrame, target: str = "targettype", status: str = "fibstatus") -> DataFrame:

@@ -26,6 +26,16 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def carried(point: Column, keys: Sequence[Column], order: str, rows: bool = False) -> tuple[Column, Column]:
+    """(the last point at or before a row, the first at or after it) where point is not null, in order of a column.
+
+    Both look backward, the second in descending order: a forward window would read the rest of its partition again for each row.
+    """
+    up, down = (Window.partitionBy(*keys or [F.lit(0)]).orderBy(o) for o in (F.asc(order), F.desc(order)))
+    upto = (lambda w: w.rowsBetween(Window.unboundedPreceding, 0)) if rows else (lambda w: w.rangeBetween(Window.unboundedPreceding, 0))
+    return F.last(point, True).over(upto(up)), F.last(point, True).over(upto(down))
+
+
 def glob_regex(pattern: Column) -> Column:
     """A file pattern (*, ?, [a-b]) as a regular expression on whole names."""
     quoted = F.regexp_replace(pattern, r"([.+(){}|^$\\])", r"\\$1")
@@ -52,9 +62,9 @@ def match_nearest(targets: DataFrame, masters: DataFrame, on: Sequence[str], tim
     """
     points = targets.select(*on, F.col(time).alias("__t")).distinct().withColumn("__m", F.lit(None).cast(masters.schema[master_time].dataType))
     known = masters.select(*on, F.col(master_time).alias("__t"), F.col(master_time).alias("__m")).distinct()
-    w = Window.partitionBy(*on).orderBy("__t")
+    before, after = carried(F.col("__m"), [F.col(c) for c in on], "__t")
     both = points.withColumn("__q", F.lit(True)).unionByName(known.withColumn("__q", F.lit(False)))
-    both = both.withColumn("__b", F.last("__m", True).over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("__a", F.first("__m", True).over(w.rangeBetween(0, Window.unboundedFollowing))).where("__q")
+    both = both.withColumn("__b", before).withColumn("__a", after).where("__q")
     nearer = F.when(F.col("__b").isNull() | (F.col("__a") - F.col("__t") < F.col("__t") - F.col("__b")), F.col("__a")).otherwise(F.col("__b"))
     best = both.select(*[F.col(c).alias(f"__{c}") for c in on], F.col("__t"), nearer.alias(master_time))
     return targets.join(best, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on] + [F.col(time) == F.col("__t")], "left").drop("__t", *[f"__{c}" for c in on])
@@ -63,15 +73,13 @@ def match_nearest(targets: DataFrame, masters: DataFrame, on: Sequence[str], tim
 def match_latest(targets: DataFrame, epochs: DataFrame, time: str = "mjd", epoch: str = "epoch", on: Sequence[str] = ()) -> DataFrame:
     """The latest epoch at or before each target's time; null where none precedes.
 
-    Epochs are intervals up to the next one. Distinct times meet them by range; epochs are few, times are days.
+    Distinct times and the epochs lie in one ordered window for each `on`; both are days, so there are few.
     """
-    w = Window.partitionBy(*[F.col(c) for c in on] or [F.lit(0)]).orderBy(epoch)
-    spans = epochs.select(*on, epoch).distinct().withColumn("__next", F.lead(epoch).over(w)).withColumnsRenamed({c: f"__{c}" for c in on})
-    inside = (F.col(time) >= F.col(epoch)) & (F.col("__next").isNull() | (F.col(time) < F.col("__next")))
-    for c in on:
-        inside = inside & (F.col(c) == F.col(f"__{c}"))
-    times = targets.select(*on, time).distinct()
-    best = times.join(small(spans), inside).select(*[F.col(c).alias(f"__{c}") for c in on], F.col(time).alias("__t"), epoch)
+    kind = targets.schema[time].dataType
+    times = targets.select(*on, F.col(time).alias("__t")).distinct().withColumn("__e", F.lit(None).cast(epochs.schema[epoch].dataType)).withColumn("__q", F.lit(True))
+    known = epochs.select(*on, F.col(epoch).cast(kind).alias("__t"), F.col(epoch).alias("__e")).distinct().withColumn("__q", F.lit(False))
+    before, _ = carried(F.col("__e"), [F.col(c) for c in on], "__t")
+    best = times.unionByName(known).withColumn(epoch, before).where("__q").select(*[F.col(c).alias(f"__{c}") for c in on], "__t", epoch)
     return targets.join(best, [F.col(c) == F.col(f"__{c}") for c in on] + [F.col(time) == F.col("__t")], "left").drop("__t", *[f"__{c}" for c in on])
 
 
@@ -168,20 +176,73 @@ def aperture_members(fibers: DataFrame, apertures: DataFrame, r: float) -> DataF
     return near_pairs(fibers, apertures, r)
 
 
+#: Most curve points that one cell of the lookup may hold, and the ranges of wavelength that a large curve is cut into.
+CELL_POINTS, RANGES = 64, 2_000
+
+
 def interp_onto(samples: DataFrame, curve: DataFrame, wave: str = "wave", out: str = "curve", curve_wave: str = "cw", curve_value: str = "cv", on: Sequence[str] = ()) -> DataFrame:
-    """Linear interpolation of a curve (cw, cv) at samples' wavelengths, its end values beyond it.
+    """Linear interpolation of a curve (cw, cv) at samples' wavelengths, its end values beyond it; null where there is no curve.
 
-    Distinct wavelengths and the curve's points lie in one ordered window, so the curve may be of any size.
+    One curve of counted size is cut into segments under cells of one width, which are broadcast: samples find their
+    segment by equality of a cell and are not shuffled. A larger or very uneven curve, and curves by key (`on`), meet the
+    distinct wavelengths in ordered windows, by key or by range of wavelength. Of points at one wavelength the least counts.
     """
-    points = samples.select(*on, F.col(wave).alias("__w")).distinct().withColumns({"__x": F.lit(None).cast("double"), "__y": F.lit(None).cast("double"), "__q": F.lit(True)})
-    known = curve.select(*on, F.col(curve_wave).cast("double").alias("__w"), F.col(curve_wave).cast("double").alias("__x"), F.col(curve_value).cast("double").alias("__y")).withColumn("__q", F.lit(False))
-    w = Window.partitionBy(*[F.col(c) for c in on] or [F.lit(0)]).orderBy("__w")
-    pt = F.when(F.col("__x").isNotNull(), F.struct("__x", "__y"))
-    both = points.unionByName(known).withColumn("__b", F.last(pt, True).over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("__a", F.first(pt, True).over(w.rangeBetween(0, Window.unboundedFollowing))).where("__q")
+    points = curve.select(*on, F.col(curve_wave).cast("double").alias("__x"), F.col(curve_value).cast("double").alias("__y")).where("__x is not null and __y is not null").groupBy(*on, "__x").agg(F.min("__y").alias("__y"))
+    if on:
+        return _interp_by_windows(samples, points, wave, out, on)
+    size = points.agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("lo"), F.max("__x").alias("hi")).first()
+    if size["n"] == 0:
+        return samples.withColumn(out, F.lit(None).cast("double"))
+    cells = 2 * size["n"]
+    width = (size["hi"] - size["lo"]) / cells or 1.0
+    cell = lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(float(cells)), F.floor((x - size["lo"]) / width).cast("double"))).cast("int")
+    if size["n"] <= BROADCAST_ROWS:
+        nxt = Window.partitionBy(F.lit(0)).orderBy("__x")  # at most BROADCAST_ROWS points
+        inside = points.select("__x", "__y", F.lead("__x").over(nxt).alias("__x2"), F.lead("__y").over(nxt).alias("__y2"))
+        first = points.groupBy().agg(F.min_by("__y", "__x").alias("__y2")).select(F.lit(float("-inf")).alias("__x"), "__y2", F.lit(size["lo"]).alias("__x2"))
+        segments = inside.select("__x", "__y", F.coalesce("__x2", F.lit(float("inf"))).alias("__x2"), F.coalesce("__y2", "__y").alias("__y2"))
+        segments = segments.unionByName(first.select("__x", F.col("__y2").alias("__y"), "__x2", "__y2"))
+        listed = segments.withColumn("__cell", F.explode(F.sequence(cell(F.col("__x")), cell(F.col("__x2")))))
+        fullest = listed.groupBy("__cell").count().agg(F.max("count")).first()[0]
+        if fullest <= CELL_POINTS:
+            x = F.col(wave).cast("double")
+            near = (F.col("__c") == F.col("__cell")) & (x >= F.col("__x")) & (x < F.col("__x2"))
+            slope = F.when(F.col("__y2") == F.col("__y"), 0.0).otherwise((x - F.col("__x")) / (F.col("__x2") - F.col("__x")) * (F.col("__y2") - F.col("__y")))
+            joined = samples.withColumn("__c", cell(x)).join(F.broadcast(listed), near, "left")
+            return joined.withColumn(out, F.col("__y") + slope).drop("__c", "__cell", "__x", "__y", "__x2", "__y2")
+    return _interp_by_windows(samples, points, wave, out, ())
+
+
+def _interp_by_windows(samples: DataFrame, points: DataFrame, wave: str, out: str, on: Sequence[str]) -> DataFrame:
+    """Distinct wavelengths and the points (on, __x, __y) in ordered windows by key; without keys, in ranges of wavelength that hand on the points at their ends."""
+    keys = [F.col(c) for c in on]
+    asked = samples.select(*on, F.col(wave).cast("double").alias("__w")).where("__w is not null").distinct().withColumn("__pt", F.lit(None).cast("struct<x:double,y:double>"))
+    known = points.select(*on, F.col("__x").alias("__w"), F.struct(F.col("__x").alias("x"), F.col("__y").alias("y")).alias("__pt"))
+    both = asked.withColumn("__q", F.lit(True)).unionByName(known.withColumn("__q", F.lit(False)))
+    if on:
+        before, after = carried(F.col("__pt"), keys, "__w")
+        both = both.withColumn("__b", before).withColumn("__a", after)
+    else:
+        cuts = sorted(set(points.approxQuantile("__x", [k / RANGES for k in range(1, RANGES)], 0.5 / RANGES)))
+        both = both.withColumn("__r", _bucket(F.col("__w"), cuts))
+        ends = both.where("not __q").groupBy("__r").agg(F.min("__pt").alias("__lo"), F.max("__pt").alias("__hi"))
+        every = points.sparkSession.range(len(cuts) + 1).select(F.col("id").cast("int").alias("__r")).join(ends, "__r", "left")
+        one = lambda o: Window.partitionBy(F.lit(0)).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)  # noqa: E731  a row for each range
+        every = every.select("__r", F.last("__hi", True).over(one(F.asc("__r"))).alias("__left"), F.last("__lo", True).over(one(F.desc("__r"))).alias("__right"))
+        before, after = carried(F.col("__pt"), [F.col("__r")], "__w")
+        both = both.withColumn("__b", before).withColumn("__a", after).join(F.broadcast(every), "__r").withColumns({"__b": F.coalesce("__b", "__left"), "__a": F.coalesce("__a", "__right")})
     b, a, x = F.col("__b"), F.col("__a"), F.col("__w")
-    y = F.when(b.isNull(), a["__y"]).when(a.isNull() | (a["__x"] == b["__x"]), b["__y"]).otherwise(b["__y"] + (x - b["__x"]) / (a["__x"] - b["__x"]) * (a["__y"] - b["__y"]))
-    best = both.select(*[F.col(c).alias(f"__{c}") for c in on], F.col("__w"), y.alias(out))
-    return samples.join(best, [F.col(c) == F.col(f"__{c}") for c in on] + [F.col(wave) == F.col("__w")], "left").drop("__w", *[f"__{c}" for c in on])
+    y = F.when(b.isNull(), a["y"]).when(a.isNull() | (a["x"] == b["x"]), b["y"]).otherwise(b["y"] + (x - b["x"]) / (a["x"] - b["x"]) * (a["y"] - b["y"]))
+    best = both.where("__q").select(*[F.col(c).alias(f"__{c}") for c in on], F.col("__w"), y.alias(out))
+    return samples.join(best, [F.col(c) == F.col(f"__{c}") for c in on] + [F.col(wave).cast("double") == F.col("__w")], "left").drop("__w", *[f"__{c}" for c in on])
+
+
+def _bucket(x: Column, cuts: Sequence[float]) -> Column:
+    """How many of the sorted cuts are at or below x, by halving."""
+    table = F.array(*map(F.lit, cuts))
+    step = 1 << (len(cuts).bit_length() - 1)
+    steps = [step >> k for k in range(step.bit_length())]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda low, n: F.when((low + n <= len(cuts)) & (F.get(table, low + n - 1) <= x), low + n).otherwise(low))
 
 
 def coalesce_tables(a: DataFrame, b: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -200,9 +261,8 @@ def semi_standards(frames: DataFrame, fibermap: DataFrame, ring: DataFrame, labe
 
 
 def epoch_ranges(a: DataFrame, b: DataFrame, ea: str = "a_epoch", eb: str = "b_epoch") -> DataFrame:
-    """For each epoch of a the epochs of b from it until the next one of a."""
-    nxt = a.select(ea).distinct().withColumn("__next", F.lead(ea).over(Window.partitionBy(F.lit(0)).orderBy(ea)))
-    return small(nxt).join(b, (F.col(eb) >= F.col(ea)) & (F.col("__next").isNull() | (F.col(eb) < F.col("__next")))).drop("__next")
+    """For each epoch of a the epochs of b from it until the next one of a; epochs of b before the first of a have none."""
+    return match_latest(b, a.select(ea).distinct(), eb, ea).where(F.col(ea).isNotNull())
 
 
 def time_model(series: DataFrame, targets: DataFrame, on: Sequence[str], order: int = 0, value: str = "flux", time: str = "t", start: str = "start", end: str = "end", target: str = "target") -> DataFrame:

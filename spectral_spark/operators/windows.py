@@ -8,7 +8,8 @@ from math import exp
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.robust import median
+from ..functions.robust import median, quantile
+from .joins import carried, interp_onto, small
 
 
 def _by(*keys: str):
@@ -59,8 +60,8 @@ def fill_gaps(df: DataFrame, keys: Sequence[str], order: str, value: str = "flux
     """Linear interpolation over null or bad samples, the nearest good value beyond the ends; `filled` marks them."""
     good = F.col(value).isNotNull() if bad is None else F.col(value).isNotNull() & ~bad
     point = F.when(good, F.struct(F.col(order).cast("double").alias("x"), F.col(value).alias("y")))
-    w = _by(*keys).orderBy(order)
-    d = df.withColumn("__b", F.last(point, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__a", F.first(point, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    before, after = carried(point, [F.col(k) for k in keys], order, rows=True)
+    d = df.withColumn("__b", before).withColumn("__a", after)
     b, a = F.col("__b"), F.col("__a")
     y = F.when(b.isNull(), a["y"]).when(a.isNull() | (a["x"] == b["x"]), b["y"]).otherwise(b["y"] + (F.col(order) - b["x"]) / (a["x"] - b["x"]) * (a["y"] - b["y"]))
     return d.withColumn("filled", ~good).withColumn(value, y).drop("__a", "__b")
@@ -177,8 +178,36 @@ def rectify(df: DataFrame, keys: Sequence[str], order: str, start: float, step:
     return s.select(*keys, F.col("k").cast("int").alias("k"), (F.col(value) + t * (F.col("__v") - F.col(value))).alias(value), F.sqrt(a * a + b * b).alias(error), F.when(t < 0.5, F.col(mask)).otherwise(F.col("__m")).alias(mask))
 
 
-def laplacian_outliers(df: DataFrame, keys: Sequence[str], sigma: float, noise: Column, x: str = "x", y: str = "y", value: str = "value") -> DataFrame:
-    """Pixels whose positive Laplacian on a doubled grid, over the noise, is more than sigma above the frame's median.
+def linear_to_log(df: DataFrame, keys: Sequence[str], wave: str = "wave", value: str = "flux") -> DataFrame:
+    """Spectra on grids of equal steps of log(wave): (keys, k, log_wave, value).
+
+    A grid has as many points as the least step of its spectrum needs between its ends. Values are interpolated linearly
+    in the logarithm; null and NaN values do not count. Neighbouring samples make the points between them, so nothing is joined.
+    """
+    d = df.where(F.col(wave) > 0).withColumn("__x", F.log(F.col(wave).cast("double")))
+    whole, w = _by(*keys), _by(*keys).orderBy("__x")
+    d = d.withColumn("__step", F.col("__x") - F.lag("__x").over(w))
+    d = d.withColumns({"__lo": F.min("__x").over(whole), "__hi": F.max("__x").over(whole), "__step": F.min("__step").over(whole)})
+    d = d.withColumn("__n", F.ceil(F.try_divide(F.col("__hi") - F.col("__lo"), F.col("__step")))).where("__n > 1").withColumn("__step", F.try_divide(F.col("__hi") - F.col("__lo"), F.col("__n") - 1))
+    good = d.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    g = good.withColumns({"__x2": F.lead("__x").over(w), "__v2": F.lead(value).over(w), "__first": F.lag("__x").over(w).isNull()})
+    place = lambda c: F.ceil((F.col(c) - F.col("__lo")) / F.col("__step") - 1e-9)
+    since = F.when(F.col("__first"), 0).otherwise(place("__x"))
+    upto = F.when(F.col("__x2").isNull(), F.col("__n")).otherwise(place("__x2")) - 1
+    g = g.withColumn("__f", since).withColumn("__l", upto).where("__l >= __f").withColumn("k", F.explode(F.sequence("__f", "__l")))
+    x = F.col("__lo") + F.col("k") * F.col("__step")
+    t = F.greatest(F.least(F.try_divide(x - F.col("__x"), F.col("__x2") - F.col("__x")), F.lit(1.0)), F.lit(0.0))
+    return g.select(*keys, F.col("k").cast("int").alias("k"), x.alias("log_wave"), (F.col(value) + F.coalesce(t * (F.col("__v2") - F.col(value)), F.lit(0.0))).alias(value))
+
+
+def log_to_linear(samples: DataFrame, logs: DataFrame, keys: Sequence[str], shift: float = 0.0, wave: str = "wave", value: str = "flux", out: str = "flux") -> DataFrame:
+    """Spectra (keys, log_wave, value) at the samples' wavelengths, moved by a shift of the logarithm; end values beyond their ends."""
+    curve = logs.where(F.col(value).isNotNull()).select(*keys, F.exp(F.col("log_wave") + shift).alias("cw"), F.col(value).alias("cv"))
+    return interp_onto(samples.drop(out), curve, wave, out, on=keys)
+
+
+def laplacian(df: DataFrame, keys: Sequence[str], x: str = "x", y: str = "y", value: str = "value", out: str = "laplacian") -> DataFrame:
+    """Positive Laplacian of each pixel on a doubled grid.
 
     Doubling a pixel leaves in each quarter the differences to two neighbours; negative ones count as 0 and the four are
     averaged. A neighbour that is not there counts as the pixel itself.
@@ -192,9 +221,31 @@ def laplacian_outliers(df: DataFrame, keys: Sequence[str], sigma: float, noise:
     v = F.col(value)
     quarter = lambda a, b: F.greatest(2 * v - F.coalesce(a, v) - F.coalesce(b, v), F.lit(0.0))
     score = (quarter(F.col("__l"), F.col("__u")) + quarter(F.col("__r"), F.col("__u")) + quarter(F.col("__l"), F.col("__d")) + quarter(F.col("__r"), F.col("__d"))) / 4
-    d = d.withColumn("score", F.try_divide(score, 2 * noise))
-    middle = d.groupBy(*keys).agg(median(F.col("score")).alias("__med"))
-    return d.join(F.broadcast(middle), list(keys)).withColumn("score", F.col("score") - F.col("__med")).withColumn("cosmic", F.col("score") > sigma).drop("__l", "__r", "__u", "__d", "__med")
+    return d.withColumn(out, score).drop("__l", "__r", "__u", "__d")
+
+
+def laplacian_outliers(df: DataFrame, keys: Sequence[str], sigma: float, noise: Column, x: str = "x", y: str = "y", value: str = "value") -> DataFrame:
+    """Pixels whose positive Laplacian, over the noise, is more than sigma above the frame's median."""
+    d = laplacian(df, keys, x, y, value, "score").withColumn("score", F.try_divide("score", 2 * noise))
+    middle = quantile(d, keys, "score", 0.5, "__med")
+    return d.join(small(middle), list(keys), "left").withColumn("score", F.col("score") - F.col("__med")).withColumn("cosmic", F.col("score") > sigma).drop("__med")
+
+
+def cosmic_rays(df: DataFrame, keys: Sequence[str], sigma: float, rlim: float, readnoise: float, box: int = 2, smooth: int = 2, blur: float = 1.0, x: str = "x", y: str = "y", value: str = "value") -> DataFrame:
+    """One pass of cosmic detection: `score` and `fine` of each pixel, and `cosmic` where they are greater than sigma and rlim.
+
+    The score is the Laplacian over the noise of the local median (a square of 2 box + 1 pixels, negative medians as 0, and
+    the read noise), less its own median in a square of 2 smooth + 1. fine is the Laplacian of the frame over its Gaussian blur.
+    """
+    level = box_median_2d(df, keys, box, x, y, value, "__level")
+    noise = F.sqrt(F.greatest(F.col("__level"), F.lit(0.0)) + readnoise * readnoise)
+    d = laplacian(level, keys, x, y, value, "score").withColumn("score", F.try_divide(F.col("score"), 2 * noise)).drop("__level")
+    d = box_median_2d(d, keys, smooth, x, y, "score", "__s").withColumn("score", F.col("score") - F.col("__s")).drop("__s")
+    d = d.withColumn("__b", F.col(value))
+    d = gauss_smooth(gauss_smooth(d, [*keys, y], x, blur, "__b"), [*keys, x], y, blur, "__b")
+    d = d.withColumn("__n", F.greatest(F.coalesce(F.try_divide(F.col(value), F.col("__b")), F.lit(0.0)), F.lit(0.0)))
+    d = laplacian(d, keys, x, y, "__n", "fine").drop("__b", "__n")
+    return d.withColumn("cosmic", (F.col("score") > sigma) & (F.col("fine") > rlim))
 
 
 def gap_positions(df: DataFrame, keys: Sequence[str], order: str, centre: str, spacing: str) -> DataFrame:
