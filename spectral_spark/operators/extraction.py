@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from math import erf, log, sqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.robust import median
 from ..functions.scalars import extinction_factor
 from .fits import polyfit
-from .joins import interp_onto
+from .joins import interp_onto, small
 from .spectra import reject_fiber_outliers
 from .windows import fill_gaps, running_median
 
@@ -27,41 +28,77 @@ def extract_aperture(pixels: DataFrame, trace: DataFrame, n: int, keys: Sequence
     return j.groupBy(*keys, fiber, x).agg(F.sum("value").alias("flux"), F.sqrt(F.sum(F.col("error") * F.col("error"))).alias("error"), F.bool_or("mask").alias("mask"), F.count(F.lit(1)).alias("pixels"))
 
 
-def _profile(rows: np.ndarray, centre: np.ndarray, sigma: np.ndarray) -> np.ndarray:
-    """Shares of Gaussians that fall on pixels: (rows, fibres)."""
-    f = np.vectorize(erf)
-    z = lambda edge: f((edge[:, None] - centre[None, :]) / (sigma[None, :] * sqrt(2)))
-    return 0.5 * (z(rows + 0.5) - z(rows - 0.5))
+_ERF_STEP = 1 / 128
+_ERF = np.array([erf(k * _ERF_STEP) for k in range(int(6 / _ERF_STEP) + 2)])
+
+
+def _erf(x: np.ndarray) -> np.ndarray:
+    """The error function of an array, to about 1e-13: a table, and four terms of Taylor's series from its nearest point."""
+    a = np.minimum(np.abs(x), 6.0)
+    k = np.rint(a / _ERF_STEP).astype(np.int64)
+    g = k * _ERF_STEP
+    d = a - g
+    slope = 2 / sqrt(np.pi) * np.exp(-g * g)
+    return np.sign(x) * (_ERF[k] + slope * d * (1 + d * (-g + d * ((2 * g * g - 1) / 3 + d * (g * (3 - 2 * g * g) / 6)))))
+
+
+def profile_windows(rows: np.ndarray, centre: np.ndarray, sigma: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """(first, share): for each fibre the first of the sorted rows within its reach, and the shares of its Gaussian on it and the rows that follow, 0 beyond the reach."""
+    first, last = np.searchsorted(rows, centre - reach * sigma), np.searchsorted(rows, centre + reach * sigma, "right")
+    at = first[:, None] + np.arange(max(1, int((last - first).max(initial=0))))[None, :]
+    y = rows[np.minimum(at, len(rows) - 1)]
+    z = lambda edge: _erf((edge - centre[:, None]) / (sigma[:, None] * sqrt(2)))
+    return first, np.where(at < last[:, None], 0.5 * (z(y + 0.5) - z(y - 0.5)), 0.0)
+
+
+def solve_profiles(rows: np.ndarray, value: np.ndarray, weight: np.ndarray, centre: np.ndarray, sigma: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """(flux, error) of fibres in order of their centres: weighted least squares, solved in runs of fibres whose windows overlap. rows are sorted."""
+    n = len(centre)
+    flux, err = np.full(n, np.nan), np.full(n, np.nan)
+    first, share = profile_windows(rows, centre, sigma, reach)
+    k = share.shape[1]
+    at = np.minimum(first[:, None] + np.arange(k)[None, :], len(rows) - 1)
+    a = share * weight[at]
+    norm = (a * a).sum(1)
+    right = (a * (value * weight)[at]).sum(1)
+    ok = np.flatnonzero(norm > 0)
+    err[ok] = 1 / np.sqrt(norm[ok])
+    # a run ends where the next fibre begins after all windows so far
+    ends = np.maximum.accumulate(first[ok] + k)
+    starts = np.r_[0, np.flatnonzero(first[ok][1:] >= ends[:-1]) + 1, len(ok)] if len(ok) else np.zeros(1, int)
+    for u, v in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        run = ok[u:v]
+        low = first[run].min()
+        m = np.zeros((len(run), int(first[run].max()) + k - low))
+        m[np.arange(len(run))[:, None], (first[run] - low)[:, None] + np.arange(k)[None, :]] = a[run]
+        normal = m @ m.T
+        try:
+            flux[run] = np.linalg.solve(normal, right[run])
+        except np.linalg.LinAlgError:  # fibres at one centre share their flux
+            flux[run] = np.linalg.lstsq(normal, right[run], rcond=None)[0]
+    return flux, err
 
 
 def extract_optimal(pixels: DataFrame, trace: DataFrame, keys: Sequence[str], x: str = "x", y: str = "y", fiber: str = "fiberid", reach: float = 5.0) -> DataFrame:
     """Weighted least squares of all fibre profiles (keys, x, fiber, centre, sigma) in each detector column.
 
-    A group is one column of one detector: its height in pixels. error is 1 / sqrt(sum (p / s)^2); masked pixels have no
-    weight, a fibre without any is null.
+    A group is one column of one detector: its height in pixels. Only pixels within reach sigmas of a centre are
+    evaluated, and fibres are solved together only in runs whose windows overlap. error is 1 / sqrt(sum (p / s)^2); masked
+    pixels have no weight, a fibre without any is null.
     """
     both = pixels.select(*keys, x, F.col(y).cast("double").alias("y"), "value", "error", "mask", F.lit(None).cast("long").alias("fiber"), F.lit(None).cast("double").alias("centre"), F.lit(None).cast("double").alias("sigma"))
     own = trace.select(*keys, x, F.lit(None).cast("double").alias("y"), F.lit(None).cast("double").alias("value"), F.lit(None).cast("double").alias("error"), F.lit(None).cast("boolean").alias("mask"), F.col(fiber).cast("long").alias("fiber"), F.col("centre").cast("double"), F.col("sigma").cast("double"))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pix, fib = pdf[pdf["fiber"].isna()], pdf[pdf["fiber"].notna()].sort_values("fiber")
+        pix, fib = pdf[pdf["fiber"].isna()].sort_values("y"), pdf[pdf["fiber"].notna()].sort_values(["centre", "fiber"])
         out = fib[[*keys, x]].copy()
         out[fiber] = fib["fiber"].astype("int64")
-        flux, err = np.full(len(fib), np.nan), np.full(len(fib), np.nan)
+        out["flux"], out["error"] = np.nan, np.nan
         if len(pix) and len(fib):
-            rows, c, s = pix["y"].to_numpy(float), fib["centre"].to_numpy(float), fib["sigma"].to_numpy(float)
-            p = _profile(rows, c, s)
-            p[np.abs(rows[:, None] - c[None, :]) > reach * s[None, :]] = 0
             e = pix["error"].to_numpy(float)
             w = np.where(pix["mask"].astype(bool) | ~(e > 0), 0.0, 1 / np.where(e > 0, e, 1.0))
-            a = p * w[:, None]
-            norm = (a * a).sum(0)
-            ok = norm > 0
-            if ok.any():
-                m = a[:, ok]
-                flux[ok] = np.linalg.lstsq(m.T @ m, m.T @ (pix["value"].to_numpy(float) * w), rcond=None)[0]
-                err[ok] = 1 / np.sqrt(norm[ok])
-        out["flux"], out["error"] = flux, err
+            v = np.where(w > 0, pix["value"].to_numpy(float), 0.0)
+            out["flux"], out["error"] = solve_profiles(pix["y"].to_numpy(float), v, w, fib["centre"].to_numpy(float), fib["sigma"].to_numpy(float), reach)
         return out
 
     kinds = ", ".join(f"`{k}` {pixels.schema[k].dataType.simpleString()}" for k in [*keys, x])
@@ -79,7 +116,7 @@ def render_profiles(spectra: DataFrame, keys: Sequence[str], half: int, x: str =
 
 def line_moments(samples: DataFrame, lines: DataFrame, keys: Sequence[str], half: float, wave: str = "wave", value: str = "flux", mask: str = "mask") -> DataFrame:
     """First look at lines (line, line_wave): background (least), flux above it, centroid and width, good and bad samples."""
-    near = samples.select(F.col(wave).alias("__w")).distinct().join(F.broadcast(lines), F.abs(F.col("__w") - F.col("line_wave")) <= half)
+    near = samples.select(F.col(wave).alias("__w")).distinct().join(small(lines), F.abs(F.col("__w") - F.col("line_wave")) <= half)
     j = samples.join(near, F.col(wave) == F.col("__w"))
     g = [*keys, "line", "line_wave"]
     base = j.where(~F.col(mask)).groupBy(*g).agg(F.min(value).alias("background"))
@@ -90,11 +127,11 @@ def line_moments(samples: DataFrame, lines: DataFrame, keys: Sequence[str], half
 
 
 def fit_lines(samples: DataFrame, lines: DataFrame, keys: Sequence[str], half: float, wave: str = "wave", value: str = "flux", mask: str = "mask", rounds: int = 20, most_bad: int = 3) -> DataFrame:
-    """A Gaussian and a constant at each line of each fibre: flux, centre, fwhm, background; null with more bad samples than most_bad or no convergence.
+    """A Gaussian and a constant at each line of each fibre: flux, centre, fwhm, background; null with more bad samples than most_bad, with two of them within 3.5 sigma of the centre, or without convergence.
 
     A line's window becomes one row of arrays; Python fits all rows of a batch at once by damped Gauss-Newton steps.
     """
-    near = samples.select(F.col(wave).alias("__w")).distinct().join(F.broadcast(lines), F.abs(F.col("__w") - F.col("line_wave")) <= half)
+    near = samples.select(F.col(wave).alias("__w")).distinct().join(small(lines), F.abs(F.col("__w") - F.col("line_wave")) <= half)
     g = [*keys, "line", "line_wave"]
     j = samples.join(near, F.col(wave) == F.col("__w")).groupBy(*g).agg(F.array_sort(F.collect_list(F.struct(F.col(wave).cast("double").alias("w"), F.col(value).cast("double").alias("v"), F.col(mask).alias("m")))).alias("s"))
     j = j.select(*g, F.transform("s", lambda s: s["w"]).alias("w"), F.transform("s", lambda s: s["v"]).alias("v"), F.transform("s", lambda s: s["m"].cast("double")).alias("m"))
@@ -110,6 +147,8 @@ def fit_lines(samples: DataFrame, lines: DataFrame, keys: Sequence[str], half: f
             ok = (use.sum(1) >= 5) & (own - use.sum(1) <= most_bad)
             p = gauss_newton(w, v, use, rounds)
             ok &= np.isfinite(p).all(1) & (np.abs(p[:, 1] - pdf["line_wave"].to_numpy(float)) <= half)
+            core = ~use & (np.arange(n)[None, :] < own[:, None]) & (np.abs(w - p[:, 1:2]) <= 3.5 * np.abs(p[:, 2:3]))
+            ok &= core.sum(1) < 2
             p[~ok] = np.nan
             out["flux"], out["centre"], out["fwhm"], out["background"] = p[:, 0], p[:, 1], np.abs(p[:, 2]) * FWHM, p[:, 3]
             yield out
@@ -148,38 +187,58 @@ def gauss_newton(w: np.ndarray, v: np.ndarray, use: np.ndarray, rounds: int) ->
     return p
 
 
-def wavelength_solution(fits: DataFrame, keys: Sequence[str], degree: int, centre: str = "centre", wave: str = "line_wave", scale: float = 1.0) -> DataFrame:
-    """From fitted line centres (in pixels) each fibre's polynomial wavelength(pixel / scale), its scatter, and the number of lines; null with degree + 1 lines or fewer."""
-    from ..functions.scalars import eval_poly
+def smooth_fwhm(fits: DataFrame, keys: Sequence[str], half: int, fiber: str = "fiberid", line: str = "line") -> DataFrame:
+    """Widths of each line smoothed across fibres by a running median."""
+    return running_median(fits, [*keys, line], fiber, half, "fwhm")
 
-    good = fits.where(F.col(centre).isNotNull())
-    fit = polyfit(good, keys, centre, wave, degree, least=degree + 2, width=scale)
-    r = good.join(fit, list(keys)).withColumn("__r", F.col(wave) - eval_poly(F.col("coeffs"), F.col(centre) / scale))
-    return fit.join(r.groupBy(*keys).agg(F.stddev_pop("__r").alias("sigma")), list(keys), "left")
 
+def wavelength_solution(fits: DataFrame, keys: Sequence[str], degree: int, centre: str = "centre", wave: str = "line_wave", scale: float = 1.0, lsf_degree: int | None = None, fwhm: str = "fwhm") -> DataFrame:
+    """From fitted line centres (in pixels) each fibre's polynomial wavelength(pixel / scale), the number of lines, and the scatter, median, least and greatest of the residuals; null with degree + 1 lines or fewer.
 
-def match_lsf(spectra: DataFrame, target: float, wave: str = "wave", flux: str = "flux", lsf: str = "lsf") -> DataFrame:
-    """Spectra in array columns convolved to one resolution (FWHM): at each sample a Gaussian of sqrt(target^2 - lsf^2), normalised inside the spectrum.
+    With lsf_degree, lsf_coeffs is a polynomial through the lines' widths in wavelength: fwhm times the solution's slope.
+    """
+    from ..functions.scalars import eval_poly
 
-    Rows pass one by one; a sample whose own resolution is no better than the target stays as it is.
+    good = fits.where(F.col(centre).isNotNull())
+    fit = polyfit(good, keys, centre, wave, degree, least=degree + 2, width=scale)
+    u = F.col(centre) / scale
+    r = good.join(fit.select(*keys, "coeffs"), list(keys)).where("coeffs is not null").withColumn("__r", F.col(wave) - eval_poly(F.col("coeffs"), u))
+    out = fit.join(r.groupBy(*keys).agg(F.stddev_pop("__r").alias("sigma"), median(F.col("__r")).alias("median"), F.min("__r").alias("min"), F.max("__r").alias("max")), list(keys), "left")
+    if lsf_degree is None:
+        return out
+    slope = F.transform(F.slice("coeffs", F.lit(2), F.lit(degree)), lambda c, i: c * (i + 1) / scale)
+    widths = r.withColumn("__w", F.col(fwhm) * F.abs(eval_poly(slope, u)))
+    return out.join(polyfit(widths, keys, centre, "__w", lsf_degree, width=scale).select(*keys, F.col("coeffs").alias("lsf_coeffs")), list(keys), "left")
+
+
+def _convolved(w: np.ndarray, v: np.ndarray, s: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """A spectrum at one resolution: for each distance of samples one step over all of them."""
+    sigma = np.sqrt(np.maximum(target**2 - s**2, 0)) / FWHM
+    lo, hi = np.searchsorted(w, w - 5 * sigma), np.searchsorted(w, w + 5 * sigma, "right")
+    at, n = np.arange(len(w)), len(w)
+    total, norm = np.zeros(n), np.zeros(n)
+    safe = np.where(sigma > 0, sigma, 1.0)
+    for d in range(int((lo - at).min(initial=0)), int((hi - 1 - at).max(initial=0)) + 1):
+        j = np.clip(at + d, 0, n - 1)
+        k = np.where((at + d >= lo) & (at + d < hi), np.exp(-0.5 * ((w[j] - w) / safe) ** 2), 0.0)
+        total += k * v[j]
+        norm += k
+    return np.where(sigma > 0, total / np.where(norm > 0, norm, 1.0), v)
+
+
+def match_lsf(spectra: DataFrame, target: float | Callable[[Column], Column], wave: str = "wave", flux: str = "flux", lsf: str = "lsf") -> DataFrame:
+    """Spectra in array columns convolved to one resolution (FWHM): at each sample a Gaussian of sqrt(target^2 - lsf^2), cut at 5 sigmas and normalised inside the spectrum.
+
+    target is a number, or a caller's function of the wavelength (a column expression). Rows pass one by one; a sample whose own resolution is no better than the target stays as it is.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for w, v, s in zip(pdf[wave], pdf[flux], pdf[lsf]):
-                w, v, s = (np.asarray(a, float) for a in (w, v, s))
-                sigma = np.sqrt(np.maximum(target**2 - s**2, 0)) / FWHM
-                res = v.copy()
-                reach = 5 * sigma
-                lo, hi = np.searchsorted(w, w - reach), np.searchsorted(w, w + reach, "right")
-                for i in np.flatnonzero(sigma > 0):
-                    k = np.exp(-0.5 * ((w[lo[i] : hi[i]] - w[i]) / sigma[i]) ** 2)
-                    res[i] = (k * v[lo[i] : hi[i]]).sum() / k.sum()
-                out.append(res.tolist())
-            yield pdf.assign(**{flux: out})
-
-    return spectra.mapInPandas(run, spectra.schema)
+            done = [_convolved(*(np.asarray(a, float) for a in row)).tolist() for row in zip(pdf[wave], pdf[flux], pdf[lsf], pdf["__target"])]
+            yield pdf.assign(**{flux: done}).drop(columns="__target")
+
+    at = F.transform(wave, lambda x: (target(x) if callable(target) else F.lit(target)).cast("double"))
+    return spectra.withColumn("__target", at).mapInPandas(run, spectra.schema)
 
 
 def find_continuum(samples: DataFrame, keys: Sequence[str], order: str, half: int = 10, ratio: float = 0.9, rounds: int = 3, value: str = "flux") -> DataFrame:

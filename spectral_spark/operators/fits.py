@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -60,34 +61,70 @@ def polyfit_clipped(df: DataFrame, group: Sequence[str], x: str, y: str, degree:
     return fit
 
 
-def fit_gradient(df: DataFrame, exposure: Sequence[str], x: str = "x", y: str = "y", value: str = "flux", group: str | None = None) -> DataFrame:
-    """For each exposure a plane (coefficients of 1, x and y) through its fibres' fluxes over their group's mean; the first is near 1.
+#: Powers of x and y in a surface: a plane.
+PLANE = ((0, 0), (0, 1), (1, 0))
+
+
+def fit_gradient(df: DataFrame, exposure: Sequence[str], x: str = "x", y: str = "y", value: str = "flux", group: str | None = None, terms: Sequence[tuple[int, int]] = PLANE, rounds: int = 200, tolerance: float = 1e-10) -> DataFrame:
+    """For each exposure a polynomial surface (coeffs of x^i y^j, as terms list them) times a factor for each group of fibres (a map), through the fluxes.
+
+    Factors have the mean 1, the surface the level of the fluxes over it; null where the fibres do not determine them. The
+    sums of products of each exposure and group are one aggregation: surface and factors are then solved in turn, from
+    those few numbers alone, until no factor moves by more than the tolerance.
     """
-    keys = [*exposure, *([group] if group else [])]
-    mean = df.groupBy(*keys).agg(F.avg(value).alias("__m"))
-    d = df.join(mean, keys).withColumn("__z", F.try_divide(value, "__m")).where("__z is not null")
-    basis = [F.lit(1.0), F.col(x), F.col(y)]
-    sums = d.groupBy(*exposure).agg(*[F.sum(basis[i] * basis[j]).alias(f"a{i}{j}") for i in range(3) for j in range(3)], *[F.sum(basis[i] * F.col("__z")).alias(f"b{i}") for i in range(3)])
+    n = len(terms)
+    u = [F.pow(F.col(x), F.lit(i)) * F.pow(F.col(y), F.lit(j)) for i, j in terms]
+    g = (F.col(group).cast("string") if group else F.lit("")).alias("__g")
+    d = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    sums = d.groupBy(*exposure, g).agg(F.array(*[F.sum(u[i] * u[j]) for i in range(n) for j in range(n)]).alias("__s"), F.array(*[F.sum(u[i] * F.col(value)) for i in range(n)]).alias("__t"))
+    rows = sums.where("__g is not null").groupBy(*exposure).agg(F.array_sort(F.collect_list(F.struct("__g", "__s", "__t"))).alias("__m"))
+    rows = rows.select(*exposure, *[F.transform("__m", lambda m: m[c]).alias(c) for c in ("__g", "__s", "__t")])  # noqa: B023
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            a = pdf[[f"a{i}{j}" for i in range(3) for j in range(3)]].to_numpy(float).reshape(-1, 3, 3)
-            b = pdf[[f"b{i}" for i in range(3)]].to_numpy(float)
             out = pdf[list(exposure)].copy()
-            out["coeffs"] = [None if np.linalg.matrix_rank(p) < 3 else np.linalg.solve(p, q).tolist() for p, q in zip(a, b)]
+            found = [alternate(np.array([list(a) for a in s], float).reshape(-1, n, n), np.array([list(a) for a in t], float), rounds, tolerance) for s, t in zip(pdf["__s"], pdf["__t"])]
+            out["coeffs"] = [None if f is None else f[0].tolist() for f in found]
+            out["factors"] = [None if f is None else dict(zip(names, f[1].tolist())) for names, f in zip(pdf["__g"], found)]
             yield out
 
-    kinds = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in exposure)
-    return sums.mapInPandas(solve, f"{kinds}, coeffs array<double>")
+    kinds = ", ".join(f"`{e}` {df.schema[e].dataType.simpleString()}" for e in exposure)
+    return rows.mapInPandas(solve, f"{kinds}, coeffs array<double>, factors map<string,double>")
 
 
-def surface(coeffs: Column, x: Column, y: Column) -> Column:
-    return F.get(coeffs, F.lit(0)) + F.get(coeffs, F.lit(1)) * x + F.get(coeffs, F.lit(2)) * y
-
-
-def remove_gradient(df: DataFrame, fit: DataFrame, exposure: Sequence[str], x: str = "x", y: str = "y", value: str = "flux") -> DataFrame:
+def alternate(s: np.ndarray, t: np.ndarray, rounds: int, tolerance: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """(surface, factors) from the groups' matrices s and vectors t; None where they are not determined."""
+    factors, n = np.ones(len(s)), s.shape[1]
+    for _ in range(rounds):
+        a = (factors[:, None, None] ** 2 * s).sum(0)
+        if not np.isfinite(a).all() or np.linalg.matrix_rank(a) < n:
+            return None
+        c = np.linalg.solve(a, (factors[:, None] * t).sum(0))
+        power = np.einsum("i,gij,j->g", c, s, c)
+        new = np.where(power > 0, (t @ c) / np.where(power > 0, power, 1.0), 1.0)
+        if not new.mean():
+            return None
+        new = new / new.mean()
+        moved = np.abs(new - factors).max()
+        factors = new
+        if moved <= tolerance:
+            break
+    return np.linalg.solve((factors[:, None, None] ** 2 * s).sum(0), (factors[:, None] * t).sum(0)), factors
+
+
+def surface(coeffs: Column, x: Column, y: Column, terms: Sequence[tuple[int, int]] = PLANE) -> Column:
+    parts = [F.get(coeffs, F.lit(k)) * F.pow(x, F.lit(i)) * F.pow(y, F.lit(j)) for k, (i, j) in enumerate(terms)]
+    return reduce(lambda a, b: a + b, parts)
+
+
+def remove_gradient(df: DataFrame, fit: DataFrame, exposure: Sequence[str], x: str = "x", y: str = "y", value: str = "flux", group: str | None = None, terms: Sequence[tuple[int, int]] = PLANE) -> DataFrame:
+    """Divide by surface and factor, both over the mean of their product over the exposure's rows; without a fit values stay."""
     out = df.join(fit, list(exposure), "left")
-    return out.withColumn(value, F.coalesce(F.try_divide(F.col(value), surface(F.col("coeffs"), F.col(x), F.col(y))), F.col(value))).drop("coeffs")
+    factor = F.coalesce(F.try_element_at(F.col("factors"), F.col(group).cast("string")), F.lit(1.0)) if group else F.lit(1.0)
+    out = out.withColumn("__model", surface(F.col("coeffs"), F.col(x), F.col(y), terms) * factor)
+    mean = out.groupBy(*exposure).agg(F.avg("__model").alias("__mean"))
+    out = out.join(mean, list(exposure), "left")
+    return out.withColumn(value, F.coalesce(F.try_divide(F.col(value) * F.col("__mean"), F.col("__model")), F.col(value))).drop("coeffs", "factors", "__model", "__mean")
 
 
 def apply_fibers(df: DataFrame, keys: Sequence[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.robust import median
 from ..functions.scalars import trailing_number
+from .joins import small
 
 
 def sort_calibrations(frames: DataFrame, flat: Column, arc: Column, science: Column) -> DataFrame:
@@ -67,12 +68,13 @@ def merge_headers(df: DataFrame, keys: Sequence[str], order: str, keep: str = "l
 
 def extend_grid(df: DataFrame, grid: DataFrame, keys: Sequence[str], k: str) -> DataFrame:
     """Every key on every point of a grid that is bounded (wavelengths), null where there was no sample."""
-    return df.select(*keys).distinct().crossJoin(F.broadcast(grid.select(k).distinct())).join(df, [*keys, k], "left")
+    points = F.array_sort(F.collect_set(k))
+    return df.select(*keys).distinct().crossJoin(F.broadcast(grid.agg(points.alias("__g")))).select(*keys, F.explode("__g").alias(k)).join(df, [*keys, k], "left")  # one row
 
 
 def glue_quadrants(df: DataFrame, places: DataFrame, quadrant: str = "quadrant", x: str = "x", y: str = "y") -> DataFrame:
     """Pixels of quadrants on one image: places has (quadrant, x0, y0, width, height, flip_x, flip_y)."""
-    d = df.join(F.broadcast(places), quadrant)
+    d = df.join(small(places), quadrant)
     nx = F.when(F.col("flip_x"), F.col("width") - 1 - F.col(x)).otherwise(F.col(x)) + F.col("x0")
     ny = F.when(F.col("flip_y"), F.col("height") - 1 - F.col(y)).otherwise(F.col(y)) + F.col("y0")
     return d.withColumn("__x", nx).withColumn("__y", ny).drop(x, y, "x0", "y0", "width", "height", "flip_x", "flip_y").withColumnsRenamed({"__x": x, "__y": y})

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.robust import biweight_stats, mad_stats, median, statistic
-from ..functions.scalars import PLACEHOLDER, angular_distance
-from .joins import interp_onto
+from ..functions.scalars import PLACEHOLDER, angular_distance, extinction_factor
+from .joins import interp_onto, small
 
 _one = lambda *keys: Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)])
 
@@ -31,7 +33,7 @@ def line_flux(df: DataFrame, lines: DataFrame, keys: Sequence[str], wave: str =
     """
     w = F.col("__w")
     kind = F.when(w.between(F.col("l0"), F.col("l1")), 1).when(((w >= F.col("c0")) & (w < F.col("l0"))) | ((w > F.col("l1")) & (w <= F.col("c1"))), 0)
-    near = df.select(F.col(wave).alias("__w")).distinct().join(F.broadcast(lines), w.between(F.col("c0"), F.col("c1"))).select("__w", "line", kind.alias("__k")).where("__k is not null")
+    near = df.select(F.col(wave).alias("__w")).distinct().join(small(lines), w.between(F.col("c0"), F.col("c1"))).select("__w", "line", kind.alias("__k")).where("__k is not null")
     hit = df.join(near, F.col(wave) == F.col("__w"))
     base = hit.groupBy(*keys, "line").agg(median(F.when(F.col("__k") == 0, F.col(value))).alias("continuum"), F.sum(F.when(F.col("__k") == 1, F.col(value))).alias("__s"), F.count_if(F.col("__k") == 1).alias("n"), F.sqrt(F.sum(F.when(F.col("__k") == 1, F.col(error) * F.col(error)))).alias("error"))
     return base.withColumn("flux", F.col("__s") - F.col("n") * F.col("continuum")).drop("__s")
@@ -52,15 +54,17 @@ def residual_stats(df: DataFrame, region: Sequence[str], value: str = "flux", co
 
 
 def join_channels(df: DataFrame, keys: Sequence[str], channel: str = "channel", value: str = "flux", error: str = "error", mask: str = "mask", how: str = "weighted") -> DataFrame:
-    """Channels on one grid: a single one as it is, overlaps by inverse variance; masked in an overlap only if all are.
+    """Channels on one grid: a single one as it is, masked or not; overlaps by inverse variance of the good ones, masked only if all are.
 
     error: "weighted" is that of the weighted mean, "sum" the root of the summed variances.
     """
     good = ~F.col(mask) & (F.col(error) > 0)
     w = F.when(good, 1 / (F.col(error) * F.col(error)))
-    out = df.groupBy(*keys).agg(F.countDistinct(channel).alias("channels"), F.sum(w * F.col(value)).alias("__a"), F.sum(w).alias("__w"), F.sum(F.when(good, F.col(error) * F.col(error))).alias("__e"), F.every(F.col(mask)).alias(mask))
+    own = lambda c: F.first(c).alias(f"__one_{c}")
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), own(value), own(error), F.countDistinct(channel).alias("channels"), F.sum(w * F.col(value)).alias("__a"), F.sum(w).alias("__w"), F.sum(F.when(good, F.col(error) * F.col(error))).alias("__e"), F.every(F.col(mask)).alias(mask))
     e = F.try_divide(F.lit(1.0), F.sqrt("__w")) if how == "weighted" else F.sqrt("__e")
-    return out.select(*keys, "channels", F.try_divide("__a", "__w").alias(value), e.alias(error), mask)
+    single = F.col("__n") == 1
+    return out.select(*keys, "channels", F.when(single, F.col(f"__one_{value}")).otherwise(F.try_divide("__a", "__w")).alias(value), F.when(single, F.col(f"__one_{error}")).otherwise(e).alias(error), mask)
 
 
 def coadd_pair(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str = "flux", error: str = "error", mask: str = "mask") -> DataFrame:
@@ -79,13 +83,13 @@ def collapse_fibers(df: DataFrame, keys: Sequence[str], how: str = "mean", value
 
 
 def master_sky(df: DataFrame, keys: Sequence[str], k: str = "k", fiber: str = "fiberid", clip: float | None = None, nsky: int | None = None, value: str = "flux", error: str = "error", mask: str = "mask") -> DataFrame:
-    """Mean sky of the fibres whose median is within clip sigma / 2 of all medians' median, or of the nsky faintest."""
+    """Mean sky of the fibres whose median is within clip sigma / 2 of all medians' median (all of them where they are equal), or of the nsky faintest."""
     med = df.where(~F.col(mask)).groupBy(*keys, fiber).agg(median(F.col(value)).alias("__m"))
     w = _one(*keys)
     if nsky is not None:
         kept = med.withColumn("__r", F.row_number().over(w.orderBy("__m", fiber))).where(F.col("__r") <= nsky)
     elif clip is not None:
-        kept = med.withColumn("__c", median(F.col("__m")).over(w)).withColumn("__s", F.stddev_pop("__m").over(w)).where(F.abs(F.col("__m") - F.col("__c")) < clip * F.col("__s") / 2)
+        kept = med.withColumn("__c", median(F.col("__m")).over(w)).withColumn("__s", F.stddev_pop("__m").over(w)).where(F.abs(F.col("__m") - F.col("__c")) <= clip * F.col("__s") / 2)
     else:
         kept = med
     return collapse_fibers(df.join(kept.select(*keys, fiber), [*keys, fiber]), [*keys, k], "mean", value, error, mask)
@@ -154,10 +158,10 @@ def reject_fibers(df: DataFrame, group: Sequence[str], value: str = "coadd", q:
 
 
 def reject_fiber_outliers(df: DataFrame, group: Sequence[str], fiber: str = "fiberid", n: float = 3.0, value: str = "flux") -> DataFrame:
-    """Fibres whose mean is within n biweight scales of the group's location."""
+    """Fibres whose mean is within n biweight scales of the group's location; all of them where the scale is 0 for equal means."""
     means = df.groupBy(*group, fiber).agg(F.avg(value).alias("mean"))
     s = biweight_stats(means, group, "mean").select(*group, "location", "scale")
-    return means.join(s, list(group)).where(F.abs(F.col("mean") - F.col("location")) < n * F.col("scale")).select(*group, fiber, "mean")
+    return means.join(s, list(group)).where(F.abs(F.col("mean") - F.col("location")) <= n * F.col("scale")).select(*group, fiber, "mean")
 
 
 def group_normalize(df: DataFrame, group: Sequence[str], inside: Column, value: str = "flux", stat: str = "mean") -> DataFrame:
@@ -227,14 +231,26 @@ def trapezoid(y: Column, x: Column, keys: Sequence[str], order: str) -> Column:
     return (x - F.lag(x).over(w)) * (y + F.lag(y).over(w)) / 2
 
 
-def passband_flux(df: DataFrame, band: DataFrame, keys: Sequence[str], wave: str = "wave", value: str = "flux") -> DataFrame:
-    """Integral of flux, transmission and wavelength over that of transmission and wavelength (band: cw, cv), by trapezoids."""
+def passband_flux(df: DataFrame, band: DataFrame, keys: Sequence[str], wave: str = "wave", value: str = "flux", error: str | None = None, mask: str | None = None) -> DataFrame:
+    """Integral of flux, transmission and wavelength over that of transmission and wavelength (band: cw, cv), by trapezoids.
+
+    Where the columns are named, masked samples are left out and band_error is the root of the same mean of the squared errors.
+    """
+    if mask is not None:
+        df = df.where(~F.col(mask))
     low_high = band.agg(F.min("cw").alias("__lo"), F.max("cw").alias("__hi"))
     t = interp_onto(df, band, wave, "__t").crossJoin(F.broadcast(low_high))  # one row
     t = t.withColumn("__t", F.when(F.col(wave).between(F.col("__lo"), F.col("__hi")), F.col("__t")).otherwise(0.0))
     num, den = F.col(value) * F.col("__t") * F.col(wave), F.col("__t") * F.col(wave)
-    s = t.withColumns({"__n": trapezoid(num, F.col(wave), keys, wave), "__d": trapezoid(den, F.col(wave), keys, wave)})
-    return s.groupBy(*keys).agg(F.try_divide(F.sum("__n"), F.sum("__d")).alias("band_flux"))
+    squares = F.col(error) * F.col(error) * den if error is not None else F.lit(0.0)
+    s = t.withColumns({"__n": trapezoid(num, F.col(wave), keys, wave), "__d": trapezoid(den, F.col(wave), keys, wave), "__e": trapezoid(squares, F.col(wave), keys, wave)})
+    out = s.groupBy(*keys).agg(F.try_divide(F.sum("__n"), F.sum("__d")).alias("band_flux"), F.sqrt(F.try_divide(F.sum("__e"), F.sum("__d"))).alias("band_error"))
+    return out if error is not None else out.drop("band_error")
+
+
+def passband_range(fluxes: DataFrame, group: Sequence[str], value: str = "band_flux") -> DataFrame:
+    """Least, greatest and standard deviation of the passband fluxes of a group's fibres or spaxels."""
+    return fluxes.groupBy(*group).agg(F.min(value).alias("min"), F.max(value).alias("max"), F.stddev_pop(value).alias("std"))
 
 
 def ab_mag(df: DataFrame, band: DataFrame, keys: Sequence[str], wave: str = "wave", value: str = "flux") -> DataFrame:
@@ -290,25 +306,73 @@ def barycenter(df: DataFrame, keys: Sequence[str], x0: float, y0: float, r: floa
 
 
 def template_match(spec: DataFrame, models: DataFrame, k: Sequence[str], star: str = "star", model: str = "model", model_error: float = 0.05, most: float | None = None, value: str = "flux", error: str = "error") -> DataFrame:
-    """For each star the model of least chi^2 per sample, with a model error in proportion; samples of chi^2 above `most` are left out."""
+    """For each star the model of least chi^2 per sample, with a model error in proportion; of several the first.
+
+    Where `most` is given, samples whose chi^2 against that model is greater are left out for all models, and the choice is made again.
+    """
     m = models.select(model, *k, F.col(value).alias("__m"))
     d = F.col(value) - F.col("__m")
     chi = F.try_divide(d * d, F.col(error) * F.col(error) + F.col("__m") * F.col("__m") * model_error * model_error)
     j = spec.join(m, list(k)).withColumn("__c", chi)
-    if most is not None:
-        j = j.where(F.col("__c") <= most)
-    s = j.groupBy(star, model).agg((F.sum("__c") / F.count("__c")).alias("chi2"))
-    best = s.groupBy(star).agg(F.min(F.struct("chi2", model)).alias("__b"))
-    return best.select(star, F.col(f"__b.{model}").alias(model), F.col("__b.chi2").alias("chi2"))
+
+    def choose(rows: DataFrame) -> DataFrame:
+        s = rows.groupBy(star, model).agg((F.sum("__c") / F.count("__c")).alias("chi2"))
+        best = s.groupBy(star).agg(F.min(F.struct("chi2", model)).alias("__b"))
+        return best.select(star, F.col(f"__b.{model}").alias(model), F.col("__b.chi2").alias("chi2"))
+
+    first = choose(j)
+    if most is None:
+        return first
+    far = j.join(first.select(star, model), [star, model]).where(F.col("__c") > most).select(star, *k)
+    return choose(j.join(far, [star, *k], "left_anti"))
 
 
-def best_shift(obs: DataFrame, ref: DataFrame, keys: Sequence[str], k: str, most: int, value: str = "flux") -> DataFrame:
-    """The whole shift of at most `most` that gives the greatest sum of obs times shifted ref; the one nearest 0, then the lower, of several."""
-    lagged = obs.select(*keys, k, F.col(value).alias("__o"), F.explode(F.sequence(F.lit(-most), F.lit(most))).alias("shift")).withColumn("__k", F.col(k) - F.col("shift"))
-    r = ref.select(*keys, F.col(k).alias("__k"), F.col(value).alias("__r"))
-    s = lagged.join(r, [*keys, "__k"]).groupBy(*keys, "shift").agg(F.sum(F.col("__o") * F.col("__r")).alias("score"))
-    best = s.groupBy(*keys).agg(F.max(F.struct("score", (-F.abs("shift")).alias("near"), (-F.col("shift")).alias("low"), "shift")).alias("__b"))
-    return best.select(*keys, F.col("__b.shift").alias("shift"), F.col("__b.score").alias("score"))
+def best_shift(obs: DataFrame, ref: DataFrame, keys: Sequence[str], k: str, most: int, value: str = "flux", stretches: Sequence[float] = (1.0,), normalize: bool = False) -> DataFrame:
+    """The whole shift of at most `most`, and the stretch of ref, that give the greatest sum of obs times shifted ref; the stretch nearest 1, then the shift nearest 0, then the lower, of several.
+
+    A stretched spectrum has at place k what ref has at k / stretch, by linear interpolation, 0 beyond its end. With
+    `normalize` the sum is divided by the norms of both spectra. Samples are shuffled once: a group is one row of two
+    arrays by place, and shifts are dot products of slices. Groups without common places at any shift have no row.
+    """
+    listed = lambda df, name: df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(k).cast("long").alias("k"), F.col(value).cast("double").alias("v")))).alias(name))
+    both = listed(obs, "__o").join(listed(ref, "__r"), list(keys))
+    flat = both.select(*keys, *[F.transform(c, lambda x: x[f]).alias(f"{c}{f}") for c in ("__o", "__r") for f in ("k", "v")])  # noqa: B023
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [_shifted(*(np.asarray(x) for x in row), most, stretches, normalize) for row in zip(pdf["__ok"], pdf["__ov"], pdf["__rk"], pdf["__rv"])]
+            out = pdf[list(keys)].copy()
+            out["shift"], out["stretch"], out["score"] = ([None if f is None else f[n] for f in found] for n in range(3))
+            yield out[[f is not None for f in found]].astype({"shift": "int64"})
+
+    kinds = ", ".join(f"`{c}` {flat.schema[c].dataType.simpleString()}" for c in keys)
+    return flat.mapInPandas(run, f"{kinds}, shift long, stretch double, score double").withColumn("shift", F.col("shift").cast("int"))
+
+
+def _shifted(ok: np.ndarray, ov: np.ndarray, rk: np.ndarray, rv: np.ndarray, most: int, stretches: Sequence[float], normalize: bool) -> tuple[int, float, float] | None:
+    """(shift, stretch, score) of the best one of two spectra of distinct places."""
+    low, n = min(ok[0], rk[0]), int(max(ok[-1], rk[-1]) - min(ok[0], rk[0])) + 1
+    a, has_a = np.zeros(n), np.zeros(n, bool)
+    a[ok - low], has_a[ok - low] = ov, True
+    best = None
+    for stretch in stretches:
+        b, has_b = np.zeros(n), np.zeros(n, bool)
+        if stretch == 1.0:
+            b[rk - low], has_b[rk - low] = rv, True
+        else:
+            at = (rk[0] + np.arange(n) / stretch) if n else np.zeros(0)
+            inside = at <= rk[-1]
+            first = rk[0] - low
+            b[first:], has_b[first:] = np.where(inside, np.interp(at, rk, rv), 0.0)[: n - first], inside[: n - first]
+        scale = np.linalg.norm(a) * np.linalg.norm(b) if normalize else 1.0
+        for shift in range(max(-most, 1 - n), min(most, n - 1) + 1):
+            x, y = (slice(shift, n), slice(0, n - shift)) if shift >= 0 else (slice(0, n + shift), slice(-shift, n))
+            if not (has_a[x] & has_b[y]).any() or not scale:
+                continue
+            rank = (float(a[x] @ b[y]) / scale, -abs(stretch - 1.0), -abs(shift), -shift)
+            if best is None or rank > best[0]:
+                best = rank, (shift, float(stretch), rank[0])
+    return best and best[1]
 
 
 def template_scale(df: DataFrame, keys: Sequence[str], obs: str, template: str, error: str) -> DataFrame:
@@ -323,7 +387,7 @@ def wave_offsets(df: DataFrame, lines: DataFrame, group: Sequence[str], fiber: s
     Groups (spectrographs) in which no more than a share of fibres is good get 0.
     """
     w = F.col("__w")
-    near = df.select(F.col(wave).alias("__w")).distinct().join(F.broadcast(lines), F.abs(w - F.col("line_wave")) <= half)
+    near = df.select(F.col(wave).alias("__w")).distinct().join(small(lines), F.abs(w - F.col("line_wave")) <= half)
     hit = df.join(near, F.col(wave) == w)
     per = hit.groupBy(*group, fiber, "line_wave").agg(F.try_divide(F.sum(F.col(value) * F.col(wave)), F.sum(value)).alias("__c"), F.try_divide(F.sum(value), F.sqrt(F.sum(F.col(error) * F.col(error)))).alias("__snr"))
     off = per.groupBy(*group, fiber).agg(median(F.when(F.col("__snr") >= snr, F.col("__c") - F.col("line_wave"))).alias("__o"))
@@ -370,6 +434,29 @@ def pivot_fluxes(df: DataFrame, keys: Sequence[str], lines: Mapping[str, str] |
     return df.groupBy(*keys).pivot("line", list(lines)).agg(F.first(value))
 
 
+def fiber_exptime(exptime: Column, std_exptime: Column, telescope: Column, standard: str = "Spec", parts: int = 12) -> Column:
+    """Exposure time of a fibre: the frame's, or for a standard its own, a twelfth of the frame's where that is not known."""
+    return F.when(telescope == standard, F.coalesce(std_exptime, exptime / parts)).otherwise(exptime)
+
+
+def apply_fluxcal(df: DataFrame, sens: DataFrame | None, extinction: DataFrame, keys: Sequence[str], airmass: Mapping[str, str], wave: str = "wave", value: str = "flux", error: str = "error", telescope: str = "telescope", exptime: str = "exptime", std_exptime: str = "std_exptime") -> DataFrame:
+    """Flux and error times sensitivity and 10^(0.4 extinction airmass), over the fibre's exposure time.
+
+    sens has (keys, sens); None is no calibration, only the times are divided out. extinction is a curve (cw, cv) in
+    magnitudes; airmass names the column of each telescope's (science fibres and standards look the same way). A sample
+    without sensitivity, or of a telescope that is not named, becomes null.
+    """
+    time = fiber_exptime(F.col(exptime), F.col(std_exptime), F.col(telescope))
+    if sens is None:
+        return df.withColumns({c: F.try_divide(F.col(c), time) for c in (value, error)})
+    mass = F.lit(None).cast("double")
+    for name, column in airmass.items():
+        mass = F.when(F.col(telescope) == name, F.col(column)).otherwise(mass)
+    out = interp_onto(df, extinction, wave, "__ext").join(sens.select(*keys, F.col("sens").alias("__sens")), list(keys), "left")
+    factor = F.try_divide(F.col("__sens") * extinction_factor(F.col("__ext"), mass), time)
+    return out.withColumn("__f", factor).withColumns({c: F.col(c) * F.col("__f") for c in (value, error)}).drop("__ext", "__sens", "__f")
+
+
 def swap_fluxcal(df: DataFrame, old: DataFrame, new: DataFrame, keys: Sequence[str], value: str = "flux", sens: str = "sens") -> DataFrame:
     """Multiply by the old mean sensitivity and divide by the new one."""
     a, b = old.select(*keys, F.col(sens).alias("__a")), new.select(*keys, F.col(sens).alias("__b"))

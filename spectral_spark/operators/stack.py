@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.robust import biweight_stats, mad_stats, median, statistic
+from ..functions.robust import biweight_stats, mad_stats, median, quantile, statistic
+from .joins import small
+from .windows import fill_gaps
 
 PIXEL = ("camera", "y", "x")
 
@@ -70,13 +72,14 @@ def sample_n(df: DataFrame, group: Sequence[str], n: int, key: Sequence[str], se
     return df.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
 
 
-def make_master(pixels: DataFrame, kind: str, camera: str = "camera", frame: str = "frame", batch: int = 30, seed: int = 0, keys: Sequence[str] = PIXEL) -> DataFrame:
-    """Master of a kind: at most `batch` frames of a camera, drawn by a seed, brought to one level and median-stacked."""
-    frames = sample_n(pixels.select(camera, frame).distinct(), [camera], batch, [camera, frame], seed)
-    chosen = pixels.join(frames, [camera, frame])
+def make_master(pixels: DataFrame, kind: str, camera: str = "camera", frame: str = "frame", batch: int | None = None, seed: int = 0, keys: Sequence[str] = PIXEL) -> DataFrame:
+    """Master of a kind: all frames of a camera, or `batch` of them drawn by a seed, brought to one level and median-stacked."""
+    chosen = pixels
+    if batch is not None:
+        chosen = pixels.join(sample_n(pixels.select(camera, frame).distinct(), [camera], batch, [camera, frame], seed), [camera, frame])
     percent = NORMALIZE[kind]
     if percent is not None:
-        per = chosen.groupBy(camera, frame).agg(F.percentile("value", F.lit(percent / 100)).alias("__p"))
+        per = quantile(chosen, [camera, frame], "value", percent / 100, "__p")
         level = F.lit(1.0) if kind == "pixflat" else median(F.col("__p")).over(Window.partitionBy(camera))
         factor = per.withColumn("__f", F.try_divide(level, F.col("__p"))).select(camera, frame, "__f")
         chosen = chosen.join(factor, [camera, frame]).withColumns({"value": F.col("value") * F.col("__f"), "error": F.col("error") * F.col("__f")})
@@ -118,11 +121,22 @@ def replicate(df: DataFrame, f: int, x: str = "x", y: str = "y") -> DataFrame:
 
 
 def strip_bins(df: DataFrame, strips: DataFrame, width: int, nsigma: float, keys: Sequence[str] = ("camera",), x: str = "x", y: str = "y", value: str = "value") -> DataFrame:
-    """In strips of rows (strip, y0, y1, ends included) and bins of columns: biweight location and scale of the values within nsigma of the median."""
-    hit = df.join(F.broadcast(strips), F.col(y).between(F.col("y0"), F.col("y1"))).withColumn("bin", F.floor(F.col(x) / width).cast("int"))
+    """In strips of rows (strip, y0, y1, ends included) and bins of columns: biweight location and scale of the values within nsigma of the median.
+
+    Distinct rows of the detector meet the strips by range; pixels then join them by equality.
+    """
+    lines = df.select(F.col(y).alias("__y")).distinct().join(small(strips), F.col("__y").between(F.col("y0"), F.col("y1"))).select("__y", "strip")
+    hit = df.join(small(lines), F.col(y) == F.col("__y")).drop("__y").withColumn("bin", F.floor(F.col(x) / width).cast("int"))
     group = [*keys, "strip", "bin"]
     clip = mad_stats(hit, group, value)
     kept = hit.join(clip, group).where(F.abs(F.col(value) - F.col("median")) <= nsigma * F.col("sigma"))
     return biweight_stats(kept, group, value).select(*group, "n", F.col("location").alias("value"), F.col("scale").alias("error"))
 
 
+def clean_bins(bins: DataFrame, nsigma: float, keys: Sequence[str] = ("camera",)) -> DataFrame:
+    """strip_bins' result with the bins of each strip that lie more than nsigma robust sigmas off its median bridged along the strip; `clipped` marks them."""
+    group = [*keys, "strip"]
+    far = bins.join(mad_stats(bins, group, "value"), group).withColumn("clipped", F.abs(F.col("value") - F.col("median")) > nsigma * F.col("sigma")).drop("median", "sigma")
+    return fill_gaps(far, group, "bin", "value", bad=F.col("clipped")).drop("filled")
+
+

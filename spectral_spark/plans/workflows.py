@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.robust import median
@@ -20,18 +21,50 @@ def matched_stack(frames: DataFrame, samples: DataFrame, master_kind: str, kind:
     return j.groupBy("camera", "master_mjd", "k").agg(median(good).alias("flux"), F.count_if(~F.col("mask")).alias("n"), F.every("mask").alias("mask"))
 
 
-def reduce_science(pixels: DataFrame, bias: DataFrame, dark: DataFrame, flat: DataFrame, trace: DataFrame, sky_fibers: DataFrame, keys: Sequence[str], aperture: int = 3) -> DataFrame:
-    """Detrended, extracted and sky-subtracted spectra: pixels (keys, x, y, ...) to (keys, fiberid, x, flux, error, mask)."""
-    clean = joins.detrend(pixels, bias, dark, flat)
-    out = extraction.extract_aperture(clean, trace, aperture, keys)
-    sky = spectra.collapse_fibers(out.join(F.broadcast(sky_fibers), "fiberid", "left_semi"), [*keys, "x"])
-    return spectra.subtract_sky(out, sky.select(*keys, "x", "flux", "error"), [*keys, "x"])
+class Masters(NamedTuple):
+    """Master frames (camera, y, x, value, mask)."""
 
+    bias: DataFrame
+    dark: DataFrame
+    flat: DataFrame
 
-def master_calibrations(frames: DataFrame, pixels: DataFrame, kind: str, number: str = "frame") -> DataFrame:
-    """Masters of each camera from the frames that the catalogue lists."""
-    chosen = pixels.join(frames.select("camera", number).distinct(), ["camera", number], "left_semi")
-    return stack.make_master(chosen, kind)
+
+def extract_frames(pixels: DataFrame, masters: Masters, trace: DataFrame, keys: Sequence[str], aperture: int = 3, gain: Column | float = 1.0, exptime: Column | float = 1.0, dark_time: float = 1.0) -> DataFrame:
+    """Detrended and extracted spectra: (keys, fiberid, x, flux, error, mask)."""
+    clean = joins.detrend(pixels, *masters, gain=gain, exptime=exptime, dark_time=dark_time)
+    return extraction.extract_aperture(clean, trace, aperture, keys)
+
+
+def reduce_science(pixels: DataFrame, masters: Masters, trace: DataFrame, fiberflat: DataFrame, wave: Column, grid: tuple[float, float, int], fibers: DataFrame, exposures: DataFrame, sens: DataFrame, extinction: DataFrame, exposure: str = "frame", channel: str = "camera", aperture: int = 3, gain: float = 1.0, dark_time: float = 1.0) -> DataFrame:
+    """Science and standard fibres of all exposures, calibrated: (exposure, fiberid, k, flux, error, mask).
+
+    pixels are detrended and extracted along the trace, divided by the fibre flat (channel, fiberid, x), brought from each
+    fibre's own wavelengths (an expression of channel, fiberid and x) to one grid (start, step, points), and the channels
+    joined. fibers has (fiberid, telescope, std_exptime), exposures (exposure, weight_e, weight_w, exptime, airmass): the
+    means of the fibres of SkyE and SkyW, blended by the weights, are taken off the others, which are then flux-calibrated
+    by sens (k, sens) and an extinction curve (cw, cv).
+    """
+    start, step, n = grid
+    times = joins.small(exposures)
+    spectra_ = extract_frames(pixels.join(times.select(exposure, "exptime"), exposure), masters, trace, [exposure, channel], aperture, gain, F.col("exptime"), dark_time)
+    flat = joins.apply_fiberflat(spectra_, fiberflat, [channel, "fiberid", "x"])
+    rows = windows.rectify(flat.withColumn("wave", wave), [exposure, channel, "fiberid"], "x", start, step, n)
+    whole = spectra.join_channels(rows, [exposure, "fiberid", "k"], channel).drop("channels").join(joins.small(fibers), "fiberid")
+    sky = lambda side: spectra.collapse_fibers(whole.where(F.col("telescope") == side), [exposure, "k"])
+    blend = spectra.weight_skies(sky("SkyE"), sky("SkyW"), times.select(exposure, "weight_e", "weight_w"), [exposure], [exposure, "k"])
+    science = spectra.subtract_sky(whole.where(F.col("telescope").isin("Sci", "Spec")), blend, [exposure, "k"])
+    science = science.join(times.select(exposure, "exptime", "airmass"), exposure).withColumn("wave", F.lit(start) + F.col("k") * step)
+    return spectra.apply_fluxcal(science, sens, extinction, ["k"], {"Sci": "airmass", "Spec": "airmass"}).select(exposure, "fiberid", "k", "flux", "error", "mask")
+
+
+def master_calibrations(frames: DataFrame, pixels: DataFrame, kinds: Sequence[str], number: str = "frame", kind: str = "imagetyp", quality: str = "qaqual") -> DataFrame:
+    """Masters (kind, camera, y, x, value, error, mask, n) of each kind and camera from the good frames that the catalogue lists."""
+    out = None
+    for name in kinds:
+        chosen = frames.where((F.col(kind) == name) & (F.col(quality) == "GOOD")).select("camera", number).distinct()
+        master = stack.make_master(pixels.join(joins.small(chosen), ["camera", number], "left_semi"), name, frame=number).withColumn("kind", F.lit(name))
+        out = master if out is None else out.unionByName(master)
+    return out
 
 
 def catalogue_summary(frames: DataFrame, epochs: DataFrame) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in spark.checkpoint.dir; where that is unset, in a temporary folder of this machine (tests)."""
+    """A new path in spark.checkpoint.dir. Where that is unset, local mode gets a temporary folder; a cluster is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.joins import small
 from ..sources.catalog import upsert_keep_last
 
 NATURAL_KEY = ("mjd", "hemi", "camera", "expnum")
@@ -40,7 +41,7 @@ def ingest_stream(source: DataFrame, sink: str, checkpoint: str, keys: Sequence[
         base = batch.limit(0)
         jvm_path = spark._jvm.org.apache.hadoop.fs.Path(sink)
         if jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
-            base = spark.read.schema(batch.schema).parquet(sink).join(F.broadcast(touched), partition, "left_semi")
+            base = spark.read.schema(batch.schema).parquet(sink).join(small(touched), partition, "left_semi")
         staged = f"{sink}-staging/batch-{number}"
         upsert_keep_last(base, new, keys, order).write.mode("overwrite").parquet(staged)
         done = spark.read.schema(batch.schema).parquet(staged)
