@@ -6,6 +6,7 @@ from .. import views as V
 from ..functions import robust
 from ..operators import extraction as K
 from ..operators import fits
+from ..operators import spectra as P
 from ..plans import workflows
 from ..registry import query
 from ..shared import shared_path
@@ -35,7 +36,7 @@ def d41_fit_gradient(spark, d):
     fib = V.fibermap(spark, d).select("fiberid", "telescope", (F.col("fiberid") % 20).cast("double").alias("x"), F.col("ypmm").alias("y"))
     s = V.samples(spark, d).groupBy("k", "fiberid").agg(F.avg("flux").alias("flux")).join(F.broadcast(fib), "fiberid")
     fit = fits.fit_gradient(s, ["k"], group="telescope")
-    return r4(fits.remove_gradient(s, fit, ["k"]).select("k", "fiberid", "flux"), "flux")
+    return r4(fits.remove_gradient(s, fit, ["k"], group="telescope").select("k", "fiberid", "flux"), "flux")
 
 
 @query("WITH m AS (SELECT CASE WHEN mjd % 3 = 0 THEN mjd END AS seen, * FROM frames) SELECT expnum, camera, mjd FROM m WHERE seen IS NULL OR camera = '5-LOW'", "frames")
@@ -75,11 +76,22 @@ def j2_apply_fibers(spark, d):
     return fits.apply_fibers(c, ["fiberid"], lambda p: p.assign(flux=p["flux"] - p["flux"].max()), "fiberid long, k int, flux double")
 
 
-@query("SELECT fiberid, k, CASE WHEN k < 32 THEN flux * 2 ELSE flux END AS flux FROM cells", "cells")
+def _lsf_sql(width: str, reach: int) -> str:
+    """Samples convolved by Gaussians of a width (FWHM^2 less 1.5^2, an expression of a.k), cut at five sigmas; the sample itself where that is not positive."""
+    return f"""WITH w AS (SELECT a.fiberid, a.k, a.flux AS own, b.flux, b.k - a.k AS d, sqrt(greatest({width}, 0)) / (2 * sqrt(2 * ln(2.0::DOUBLE))) AS s FROM cells a JOIN cells b ON b.fiberid = a.fiberid AND b.k BETWEEN a.k - {reach} AND a.k + {reach})
+SELECT fiberid, k, round(CASE WHEN any_value(s) = 0 THEN any_value(own) ELSE sum(CASE WHEN abs(d) <= 5 * s THEN flux * exp(-0.5 * (d / s) * (d / s)) END) / sum(CASE WHEN abs(d) <= 5 * s THEN exp(-0.5 * (d / s) * (d / s)) END) END, 3) AS flux FROM w GROUP BY fiberid, k"""
+
+
+def _spectra(spark, d):
+    s = V.spectra(spark, d).select("fiberid", F.transform("flux", lambda v: F.round(v.cast("double") * 10000)).alias("flux"))
+    return s.withColumns({"wave": F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: k.cast("double")), "lsf": F.array_repeat(F.lit(1.5), 64)})
+
+
+@query(_lsf_sql("CASE WHEN a.k < 20 THEN 9.0 WHEN a.k < 40 THEN 1.0 ELSE 25.0 END - 2.25", 12), "cells")
 def j3_column_callable(spark, d):
-    c = V.cells(spark, d)
-    target = lambda w: F.when(w < 32, 2.0).otherwise(1.0)  # noqa: E731  a caller's expression of wavelength
-    return c.select("fiberid", "k", (F.col("flux") * target(F.col("k"))).alias("flux"))
+    """A caller's target resolution as an expression of wavelength."""
+    out = K.match_lsf(_spectra(spark, d), lambda w: F.when(w < 20, 3.0).when(w < 40, 1.0).otherwise(5.0))
+    return r4(out.select("fiberid", F.posexplode("flux").alias("k", "flux")), "flux", n=3)
 
 
 @query(f"WITH {_TRACE} SELECT t.camera, t.frame, t.fiberid, t.x, sum(value) AS flux, round(sqrt(sum(error * error)), 6) AS error, bool_or(mask) AS mask, count(*) AS pixels FROM trace t JOIN stack s ON s.camera = t.camera AND s.x = t.x AND s.frame = t.frame AND s.y BETWEEN t.centre - 2 AND t.centre + 2 GROUP BY ALL", "stack")
@@ -99,12 +111,12 @@ def _lines(spark):
 
 
 def _arc(spark, d):
-    """Lines of known shape on the spectra's grid, their strengths from the spectra."""
+    """Lines of known shape on the spectra's grid, moved by the spectra's group and as strong as the spectra are."""
     c = V.cells(spark, d).withColumns({"wave": F.col("k").cast("double"), "mask": F.lit(False)})
     power = c.groupBy("fiberid").agg((F.sum(F.abs("flux")) / 1000 + 1).alias("p"))
     shape = F.lit(0.0)
     for w in (12.3, 29.8, 41.4, 55.1):
-        shape = shape + F.exp(-0.5 * F.pow((F.col("wave") - w) / 1.4, F.lit(2)))
+        shape = shape + F.exp(-0.5 * F.pow((F.col("wave") - w - F.col("grp") * 0.05) / 1.1, F.lit(2)))
     return c.join(power, "fiberid").withColumn("flux", F.col("p") * shape + 3.0)
 
 
@@ -115,27 +127,44 @@ def k3_line_moments(spark, d):
     return r4(K.line_moments(c, _lines(spark), ["fiberid"], 4.0), "centre", n=6).select("fiberid", "line", "background", "flux", "centre", "good")
 
 
-@query("SELECT vec_id AS fiberid, line, centre, 3.2967 AS fwhm, 3.0 AS background FROM embeddings, (VALUES ('a', 12.3), ('b', 29.8), ('c', 41.4), ('d', 55.1)) AS l(line, centre)")
+_ARC_LINES = "l(line, line_wave, centre) AS (VALUES ('a', 12.0, 12.3::DOUBLE), ('b', 30.0, 29.8), ('c', 41.0, 41.4), ('d', 55.0, 55.1))"
+
+
+@query(f"""WITH {_ARC_LINES}, p AS (SELECT fiberid, grp, sum(abs(flux)) / 1000 + 1 AS p FROM cells GROUP BY ALL)
+SELECT fiberid, line, round(centre + grp * 0.05, 3) AS centre, 2.5903::DOUBLE AS fwhm, 3.0::DOUBLE AS background, round(p * sqrt(2 * pi()) * 1.1, 2) AS flux FROM p, l""", "cells")
 def k3_fit_lines(spark, d):
     f = K.fit_lines(_arc(spark, d), _lines(spark), ["fiberid"], 4.0)
-    return f.select("fiberid", "line", F.round("centre", 3).alias("centre"), F.round("fwhm", 4).alias("fwhm"), F.round("background", 2).alias("background"))
+    return f.select("fiberid", "line", F.round("centre", 3).alias("centre"), F.round("fwhm", 4).alias("fwhm"), F.round("background", 2).alias("background"), F.round("flux", 2).alias("flux"))
 
 
-@query("SELECT vec_id AS fiberid, 4::BIGINT AS n, true AS good FROM embeddings")
+@query(f"""WITH {_ARC_LINES}, f AS (SELECT DISTINCT fiberid, grp FROM cells), x AS (SELECT fiberid, line_wave AS w, centre + grp * 0.05 AS c FROM f, l), s AS (SELECT fiberid, regr_slope(w, c) AS b, regr_intercept(w, c) AS a FROM x GROUP BY fiberid), r AS (SELECT fiberid, w - a - b * c AS r FROM x JOIN s USING (fiberid)),
+q AS (SELECT fiberid, stddev_pop(r) AS sigma, quantile_cont(r, 0.5) AS median, min(r) AS min, max(r) AS max FROM r GROUP BY fiberid)
+SELECT fiberid, 4::BIGINT AS n, round(a, 3) AS c0, round(b, 4) AS c1, round(sigma, 3) AS sigma, round(median, 3) AS median, round(min, 3) AS min, round(max, 3) AS max, round(2 * sqrt(2 * ln(2.0::DOUBLE)) * 1.1 * b, 3) AS lsf0, 0.0::DOUBLE AS lsf1 FROM s JOIN q USING (fiberid)""", "cells")
 def k4_wavelength_solution(spark, d):
-    s = K.wavelength_solution(K.fit_lines(_arc(spark, d), _lines(spark), ["fiberid"], 4.0), ["fiberid"], 1)
-    return s.select("fiberid", "n", (F.col("sigma") < 0.5).alias("good"))
+    fits = K.smooth_fwhm(K.fit_lines(_arc(spark, d), _lines(spark), ["fiberid"], 4.0), [], 1)
+    s = K.wavelength_solution(fits, ["fiberid"], 1, lsf_degree=1)
+    at = lambda c, i: F.get(c, F.lit(i))
+    s = s.select("fiberid", "n", F.round(at("coeffs", 0), 3).alias("c0"), F.round(at("coeffs", 1), 4).alias("c1"), "sigma", "median", "min", "max", F.round(at("lsf_coeffs", 0), 3).alias("lsf0"), (F.round(at("lsf_coeffs", 1), 4) + 0.0).alias("lsf1"))
+    return r4(s, "sigma", "median", "min", "max", n=3)
 
 
-@query("SELECT vec_id AS fiberid, 64 AS n, true AS same_sum FROM embeddings")
+@query(_lsf_sql("16.0 - 2.25", 8), "cells")
 def k5_match_lsf(spark, d):
-    s = V.spectra(spark, d).select("fiberid", F.transform("flux", lambda v: v.cast("double") * 0 + 5.0).alias("flux"))
-    s = s.withColumns({"wave": F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: k.cast("double")), "lsf": F.array_repeat(F.lit(1.5), 64)})
-    out = K.match_lsf(s, 4.0)
-    return out.select("fiberid", F.size("flux").alias("n"), F.forall("flux", lambda v: F.abs(v - 5.0) < 1e-9).alias("same_sum"))
+    return r4(K.match_lsf(_spectra(spark, d), 4.0).select("fiberid", F.posexplode("flux").alias("k", "flux")), "flux", n=3)
 
 
-@query(None)
+def _continuum_sql(rounds: int = 3, half: int = 10) -> str:
+    out = ["c0 AS (SELECT fiberid, k, flux + 20000 AS c, false AS line FROM cells)"]
+    for n in range(rounds):
+        out.append(f"m{n} AS (SELECT fiberid, k, c, line, quantile_cont(c, 0.5) OVER (PARTITION BY fiberid ORDER BY k ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) AS m FROM c{n})")
+        out.append(f"l{n} AS (SELECT fiberid, k, c, line OR coalesce(c / nullif(m, 0) < 0.9 OR c / nullif(m, 0) > 1 / 0.9, false) AS line FROM m{n})")
+        last, first = (f"{f}_value(CASE WHEN NOT line THEN struct_pack(k := k, c := c) END IGNORE NULLS) OVER (PARTITION BY fiberid ORDER BY k ROWS BETWEEN {w})" for f, w in (("last", "UNBOUNDED PRECEDING AND CURRENT ROW"), ("first", "CURRENT ROW AND UNBOUNDED FOLLOWING")))
+        out.append(f"g{n} AS (SELECT fiberid, k, c, line, {last} AS b, {first} AS a FROM l{n})")
+        out.append(f"c{n + 1} AS (SELECT fiberid, k, CASE WHEN NOT line THEN c WHEN b IS NULL THEN a.c WHEN a IS NULL THEN b.c ELSE b.c + (k - b.k) / (a.k - b.k) * (a.c - b.c) END AS c, line FROM g{n})")
+    return "WITH " + ",\n".join(out) + f"\nSELECT fiberid, k, line, round(c, 4) AS continuum FROM c{rounds}"
+
+
+@query(_continuum_sql(), "cells")
 def k6_find_continuum(spark, d):
     c = V.cells(spark, d).withColumn("flux", F.col("flux") + 20000)
     return r4(K.find_continuum(c, ["fiberid"], "k"), "continuum").select("fiberid", "k", "line", "continuum")
@@ -148,7 +177,8 @@ def k7_super_sky(spark, d):
     return s
 
 
-@query(None)
+@query("""WITH b AS (SELECT spec, sum(part / (error * error)) / sum(1 / (error * error)) AS x, sum(flux / (error * error)) / sum(1 / (error * error)) AS y FROM samples GROUP BY spec, part // 10), s AS (SELECT *, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM b WINDOW w AS (PARTITION BY spec ORDER BY x)),
+e AS (SELECT spec, min(x) AS lo, arg_min(y, x) AS first FROM b GROUP BY spec) SELECT expnum, fiberid, k, part, round(CASE WHEN part <= lo THEN first WHEN x2 IS NULL THEN y ELSE y + (part - x) / (x2 - x) * (y2 - y) END, 3) AS sky FROM samples JOIN e USING (spec) ASOF LEFT JOIN s ON s.spec = samples.spec AND samples.part::DOUBLE >= s.x""", "samples")
 def k7_evaluate_sky(spark, d):
     s = V.samples(spark, d).withColumn("wave", F.col("part").cast("double"))
     return r4(K.evaluate_sky(s, K.super_sky(s, ["spec"], 10.0), ["spec"]), "sky", n=3).select("expnum", "fiberid", "k", "part", "sky")
@@ -184,17 +214,55 @@ def w_matched_stack(spark, d):
     return workflows.matched_stack(V.frames(spark, d), V.samples(spark, d), "P")
 
 
-@query(f"""WITH {_TRACE}, b AS (SELECT camera, y, x, min(value) AS b FROM stack GROUP BY ALL), p AS (SELECT s.camera, s.frame, s.y, s.x, value - b AS value, error, mask FROM stack s JOIN b ON b.camera = s.camera AND b.y = s.y AND b.x = s.x),
-e AS (SELECT t.camera, t.frame, t.fiberid, t.x, sum(value) AS flux, sqrt(sum(error * error)) AS error, bool_or(mask) AS mask FROM trace t JOIN p s ON s.camera = t.camera AND s.frame = t.frame AND s.x = t.x AND s.y BETWEEN t.centre - 1 AND t.centre + 1 GROUP BY ALL), k AS (SELECT camera, frame, x, avg(CASE WHEN NOT mask THEN flux END) AS s FROM e WHERE fiberid % 3 = 0 GROUP BY ALL)
-SELECT e.camera, e.frame, fiberid, e.x, round(flux - coalesce(s, 0), 4) AS flux, mask FROM e LEFT JOIN k ON k.camera = e.camera AND k.frame = e.frame AND k.x = e.x""", "stack")
+@query(f"""WITH {_TRACE}, b AS (SELECT camera, y, x, min(value) AS v, bool_and(mask) AS m FROM stack GROUP BY ALL), dk AS (SELECT camera, y, x, max(error) AS v FROM stack WHERE frame <= 3 GROUP BY ALL), fl AS (SELECT camera, y, x, max(error) / 25.0 AS v FROM stack WHERE frame >= 3 GROUP BY ALL),
+p AS (SELECT s.camera, s.frame, s.y, s.x, (s.value - b.v - coalesce(dk.v, 0) * 900.0 / 300.0) / coalesce(fl.v, 1.0) AS value, error, mask OR b.m AS mask FROM stack s JOIN b ON b.camera = s.camera AND b.y = s.y AND b.x = s.x LEFT JOIN dk ON dk.camera = s.camera AND dk.y = s.y AND dk.x = s.x LEFT JOIN fl ON fl.camera = s.camera AND fl.y = s.y AND fl.x = s.x),
+e AS (SELECT t.camera, t.frame, t.fiberid, t.x, sum(value) AS flux, sqrt(sum(error * error)) AS error, bool_or(mask) AS mask FROM trace t JOIN p s ON s.camera = t.camera AND s.frame = t.frame AND s.x = t.x AND s.y BETWEEN t.centre - 1 AND t.centre + 1 GROUP BY ALL),
+fr AS (SELECT camera, x, quantile_cont(flux, 0.5) AS r FROM e WHERE frame = 7 AND NOT mask GROUP BY ALL), ff AS (SELECT e.camera, e.fiberid, e.x, flux / nullif(r, 0) AS f FROM e LEFT JOIN fr ON fr.camera = e.camera AND fr.x = e.x WHERE frame = 7),
+d AS (SELECT e.frame, e.camera, e.fiberid, e.x, flux / nullif(coalesce(f, 1.0), 0) AS flux, error / nullif(coalesce(f, 1.0), 0) AS error, mask OR flux / nullif(coalesce(f, 1.0), 0) IS NULL AS mask, CASE e.camera WHEN 'A' THEN 100.0 WHEN 'N' THEN 180.0 ELSE 260.0 END + 2.0 * e.x + 0.25 * e.fiberid AS w FROM e LEFT JOIN ff ON ff.camera = e.camera AND ff.fiberid = e.fiberid AND ff.x = e.x WHERE e.frame < 7),
+n AS (SELECT *, lead(w) OVER u AS w2, lead(flux) OVER u AS v2, lead(error) OVER u AS e2, lead(mask) OVER u AS m2 FROM d WINDOW u AS (PARTITION BY frame, camera, fiberid ORDER BY x)),
+g AS (SELECT *, unnest(range(greatest(ceil((w - 100) / 3), 0)::INT, (least(ceil((w2 - 100) / 3) - 1, 89) + 1)::INT)) AS k FROM n WHERE w2 > w), h AS (SELECT *, (100.0 + k * 3.0 - w) / (w2 - w) AS t FROM g),
+r AS (SELECT frame, camera, fiberid, k, flux + t * (v2 - flux) AS flux, sqrt((1 - t) * error * (1 - t) * error + t * e2 * t * e2) AS error, CASE WHEN t < 0.5 THEN mask ELSE m2 END AS mask FROM h),
+c AS (SELECT frame, fiberid, k, CASE WHEN count(*) = 1 THEN any_value(flux) ELSE sum(CASE WHEN NOT mask AND error > 0 THEN flux / (error * error) END) / sum(CASE WHEN NOT mask AND error > 0 THEN 1 / (error * error) END) END AS flux, CASE WHEN count(*) = 1 THEN any_value(error) ELSE 1 / sqrt(sum(CASE WHEN NOT mask AND error > 0 THEN 1 / (error * error) END)) END AS error, bool_and(mask) AS mask FROM r GROUP BY ALL),
+sk AS (SELECT frame, fiberid % 2 AS side, k, avg(CASE WHEN NOT mask THEN flux END) AS v, sqrt(sum(CASE WHEN NOT mask THEN error * error END)) / nullif(count(*) FILTER (NOT mask), 0) AS e FROM c WHERE fiberid % 3 = 0 GROUP BY ALL),
+bl AS (SELECT a.frame, a.k, (0.2 + a.frame / 10.0) * a.v + (0.8 - a.frame / 10.0) * z.v AS v, sqrt((0.2 + a.frame / 10.0) * a.e * (0.2 + a.frame / 10.0) * a.e + (0.8 - a.frame / 10.0) * z.e * (0.8 - a.frame / 10.0) * z.e) AS e FROM sk a JOIN sk z ON z.frame = a.frame AND z.k = a.k AND a.side = 0 AND z.side = 1),
+s AS (SELECT c.frame, c.fiberid, c.k, flux - coalesce(bl.v, 0) AS flux, sqrt(error * error + coalesce(bl.e, 0) * coalesce(bl.e, 0)) AS error, mask FROM c LEFT JOIN bl ON bl.frame = c.frame AND bl.k = c.k WHERE fiberid % 3 > 0),
+o AS (SELECT *, (1.0 + k / 100.0) * pow(10.0::DOUBLE, 0.4 * (1.1 + frame / 50.0) * (0.3 + (3.0 * k) / 300 * (0.1 - 0.3))) / CASE WHEN fiberid % 3 = 1 THEN 900.0 WHEN fiberid % 2 = 0 THEN 60.0 ELSE 75.0 END AS f FROM s)
+SELECT frame, fiberid, k, round(flux * f, 4) AS flux, round(error * f, 6) AS error, mask FROM o""", "stack")
 def w_reduce_science(spark, d):
+    """The whole science reduction: detrending, extraction, fibre flat, common grid, channels, two skies, flux calibration."""
     s = V.stack(spark, d)
     key = ["camera", "y", "x"]
-    bias = s.groupBy(*key).agg(F.min("value").alias("value")).withColumn("mask", F.lit(False))
-    none = bias.limit(0)
-    p = s
-    sky = trace(p).select("fiberid").distinct().where("fiberid % 3 = 0")
-    return r4(workflows.reduce_science(p, bias, none, none, trace(p), sky, ["camera", "frame"]), "flux").select("camera", "frame", "fiberid", "x", "flux", "mask")
+    masters = workflows.Masters(
+        bias=s.groupBy(*key).agg(F.min("value").alias("value"), F.every("mask").alias("mask")),
+        dark=s.where("frame <= 3").groupBy(*key).agg(F.max("error").alias("value")).withColumn("mask", F.lit(False)),
+        flat=s.where("frame >= 3").groupBy(*key).agg((F.max("error") / 25.0).alias("value")).withColumn("mask", F.lit(False)),
+    )
+    lamp = s.where("frame = 7")
+    lit = workflows.extract_frames(lamp, masters, trace(lamp), ["frame", "camera"], exptime=900.0, dark_time=300.0)
+    flat = P.fiberflat(lit, ["camera", "x"])
+    p = s.where("frame < 7")
+    wave = F.when(F.col("camera") == "A", 100.0).when(F.col("camera") == "N", 180.0).otherwise(260.0) + F.lit(2.0) * F.col("x") + F.lit(0.25) * F.col("fiberid")
+    fibers = trace(s).select("fiberid").distinct().withColumn("telescope", F.when(F.col("fiberid") % 3 == 1, "Sci").when(F.col("fiberid") % 3 == 2, "Spec").when(F.col("fiberid") % 2 == 0, "SkyE").otherwise("SkyW"))
+    fibers = fibers.withColumn("std_exptime", F.when((F.col("telescope") == "Spec") & (F.col("fiberid") % 2 == 0), 60.0))
+    shots = p.select("frame").distinct().select("frame", (F.lit(0.2) + F.col("frame") / 10.0).alias("weight_e"), (F.lit(0.8) - F.col("frame") / 10.0).alias("weight_w"), F.lit(900.0).alias("exptime"), (F.lit(1.1) + F.col("frame") / 50.0).alias("airmass"))
+    sens = spark.range(90).select(F.col("id").cast("int").alias("k"), (F.lit(1.0) + F.col("id") / 100.0).alias("sens"))
+    extinction = spark.createDataFrame([(100.0, 0.3), (400.0, 0.1)], "cw double, cv double")
+    out = workflows.reduce_science(p, masters, trace(p), flat, wave, (100.0, 3.0, 90), fibers, shots, sens, extinction, dark_time=300.0)
+    return r4(r4(out, "flux"), "error", n=6).select("frame", "fiberid", "k", "flux", "error", "mask")
+
+
+_KINDS = "CASE WHEN frame <= 2 THEN 'bias' WHEN frame <= 4 THEN 'arc' ELSE 'flat' END"
+
+
+@query(f"""WITH s AS (SELECT *, {_KINDS} AS kind FROM stack WHERE frame <> 6), p AS (SELECT camera, frame, kind, CASE kind WHEN 'bias' THEN quantile_cont(value, 0.5) WHEN 'arc' THEN quantile_cont(value, 0.99) ELSE quantile_cont(value, 0.75) END AS p FROM s GROUP BY camera, frame, kind), f AS (SELECT camera, frame, quantile_cont(p, 0.5) OVER (PARTITION BY camera, kind) / nullif(p, 0) AS f FROM p)
+SELECT kind, camera, y, x, round(quantile_cont(CASE WHEN NOT mask THEN value * f END, 0.5), 4) AS value, bool_and(mask) AS mask, count(*) FILTER (NOT mask) AS n FROM s JOIN f USING (camera, frame) GROUP BY kind, camera, y, x""", "stack")
+def w_master_calibrations(spark, d):
+    """Masters of each kind from the frames that the catalogue lists as good."""
+    s = V.stack(spark, d)
+    kind = F.when(F.col("frame") <= 2, "bias").when(F.col("frame") <= 4, "arc").otherwise("flat")
+    frames = s.select("camera", "frame").distinct().withColumns({"imagetyp": kind, "qaqual": F.when(F.col("frame") == 6, "BAD").otherwise("GOOD")})
+    out = workflows.master_calibrations(frames, s, ["bias", "arc", "flat"])
+    return r4(out, "value").select("kind", "camera", "y", "x", "value", "mask", "n")
 
 
 @query("""WITH e AS (SELECT DISTINCT (mjd // 50 * 50)::INT AS epoch FROM frames), x AS (SELECT *, lag(expnum) OVER w AS b, lead(expnum) OVER w AS a FROM frames WINDOW w AS (PARTITION BY camera, imagetyp ORDER BY expnum)), n AS (SELECT *, CASE WHEN b IS NULL OR a - expnum < expnum - b THEN a ELSE b END AS r FROM x)

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from .. import views as V
 from ..functions import scalars as S
+from ..operators.spectra import apply_fluxcal
+from ..operators.windows import linear_to_log, log_to_linear
 from ..registry import query
 
 R = S.rounded
@@ -85,6 +87,36 @@ def h11_extinction_factor(spark, d):
     return V.fibermap(spark, d).select("fiberid", R(S.extinction_factor(F.lit(0.1) + F.lit(0.01) * (F.col("fiberid") % 20), F.lit(1.3))).alias("factor"))
 
 
+@query("""WITH f AS (SELECT fiberid, telescope, CASE WHEN telescope = 'ASIA' THEN CASE WHEN fiberid % 2 = 0 THEN 40.0 + fiberid % 9 ELSE 900.0 / 12 END ELSE 900.0 END AS t, CASE telescope WHEN 'ASIA' THEN 1.2 + (fiberid % 5) / 100.0 WHEN 'EUROPE' THEN 1.5 WHEN 'AFRICA' THEN 1.2 + (fiberid % 5) / 100.0 END AS x FROM fibermap),
+s AS (SELECT s.*, 10.0 * part / 7 AS w, telescope, t, x, CASE WHEN k <= 5 THEN 1.0 + k / 10.0 END AS sens FROM samples s JOIN f USING (fiberid)), m AS (SELECT *, pow(10.0::DOUBLE, 0.4 * x * CASE WHEN w <= 50 THEN 0.4 WHEN w >= 250 THEN 0.1 ELSE 0.4 + (w - 50) / 200 * (0.1 - 0.4) END) * sens / t AS c FROM s)
+SELECT expnum, fiberid, k, part, round(flux * c, 5) AS flux, round(error * c, 8) AS error FROM m""", "samples fibermap")
+def h11_apply_fluxcal(spark, d):
+    """Airmass by telescope, exposure time by the fibre's class; samples without sensitivity or airmass become null."""
+    own = F.lit(1.2) + (F.col("fiberid") % 5) / 100.0
+    fib = V.fibermap(spark, d).select("fiberid", F.when(F.col("telescope") == "ASIA", "Spec").otherwise(F.col("telescope")).alias("telescope"), F.lit(900.0).alias("exptime"), F.when((F.col("telescope") == "ASIA") & (F.col("fiberid") % 2 == 0), 40.0 + F.col("fiberid") % 9).alias("std_exptime"), own.alias("x_sci"), F.lit(1.5).alias("x_e"))
+    s = V.samples(spark, d).join(fib, "fiberid").withColumn("wave", F.lit(10.0) * F.col("part") / 7)
+    sens = s.select("k").distinct().where("k <= 5").withColumn("sens", F.lit(1.0) + F.col("k") / 10.0)
+    curve = spark.createDataFrame([(50.0, 0.4), (250.0, 0.1)], "cw double, cv double")
+    out = apply_fluxcal(s, sens, curve, ["k"], {"Spec": "x_sci", "AFRICA": "x_sci", "EUROPE": "x_e"})
+    return out.select("expnum", "fiberid", "k", "part", R(F.col("flux"), 5).alias("flux"), R(F.col("error"), 8).alias("error"))
+
+
+_LOGS = """g AS (SELECT i, ln(100.0::DOUBLE) + i * (ln(163.0::DOUBLE) - ln(100.0::DOUBLE)) / (n - 1) AS x FROM (SELECT ceil((ln(163.0::DOUBLE) - ln(100.0::DOUBLE)) / (ln(163.0::DOUBLE) - ln(162.0::DOUBLE)))::INT AS n), range(0, n) AS t(i)),
+p AS (SELECT fiberid, k, ln(100.0::DOUBLE + k) AS a, ln(101.0::DOUBLE + k) AS b, flux AS u, lead(flux) OVER (PARTITION BY fiberid ORDER BY k) AS v FROM cells), l AS (SELECT fiberid, i, x, u + (x - a) / (b - a) * (v - u) AS flux FROM p JOIN g ON v IS NOT NULL AND (x >= a OR i = 0 AND k = 0) AND (x < b OR k = 62 AND x >= a))"""
+
+
+@query(f"WITH {_LOGS} SELECT fiberid, i::INT AS k, round(x, 9) AS log_wave, round(flux, 4) AS flux FROM l", "cells")
+def h19_linear_to_log(spark, d):
+    return linear_to_log(V.cells(spark, d).withColumn("wave", F.col("k") + 100.0), ["fiberid"]).select("fiberid", "k", R(F.col("log_wave"), 9).alias("log_wave"), R(F.col("flux"), 4).alias("flux"))
+
+
+@query(f"""WITH {_LOGS}, s AS (SELECT fiberid, exp(x + 0.001) AS a, flux AS u, lead(exp(x + 0.001)) OVER w AS b, lead(flux) OVER w AS v FROM l WINDOW w AS (PARTITION BY fiberid ORDER BY x)), e AS (SELECT fiberid, arg_min(u, a) AS first, min(a) AS lo FROM s GROUP BY fiberid)
+SELECT c.fiberid, c.k, round(CASE WHEN 100.0 + c.k <= lo THEN first ELSE u + (100.0 + c.k - a) / (b - a) * (v - u) END, 4) AS flux FROM cells c JOIN e USING (fiberid) LEFT JOIN s ON s.fiberid = c.fiberid AND 100.0 + c.k > a AND 100.0 + c.k <= b""", "cells")
+def h19_log_to_linear(spark, d):
+    c = V.cells(spark, d).withColumn("wave", F.col("k") + 100.0)
+    return log_to_linear(c, linear_to_log(c, ["fiberid"]), ["fiberid"], 0.001).select("fiberid", "k", R(F.col("flux"), 4).alias("flux"))
+
+
 @query("SELECT expnum, fiberid, k, part, round(-2.5 * log10(flux) - 48.6, 6) AS mag, round(pow(10.0, -0.4 * ((-2.5 * log10(flux) - 48.6) + 48.6)), 3) AS back FROM samples WHERE flux > 0", "samples")
 def h13_magnitudes(spark, d):
     m = S.flux_to_mag(F.col("flux"))

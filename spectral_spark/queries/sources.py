@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from .. import views as V
 from ..registry import query
+from ..shared import shared_path
 from ..sources import catalog as C
 
 
@@ -20,10 +21,27 @@ def _headers(spark, d):
     return f.withColumn("header", F.map_filter(m, lambda k, v: v.isNotNull()))
 
 
-@query("SELECT * FROM frames WHERE mjd IN (50000, 50001, 50500)", "frames")
+@query("SELECT expnum, (mjd // 100 * 100)::INT AS mjd, camera, imagetyp, exptime, tileid FROM frames WHERE mjd // 100 IN (500, 505, 510)", "frames")
 def a1_read_frames(spark, d):
-    f = V.frames(spark, d)
-    return f.where(F.col("mjd").isin(50000, 50001, 50500))
+    """The catalogue written by (rounded) night and read back, three nights of it."""
+    path = shared_path(spark, "frames")
+    f = V.frames(spark, d).withColumn("mjd", (F.floor(F.col("mjd") / 100) * 100).cast("int"))
+    C.write_frames(f, path)
+    return C.read_frames(spark, path, [50000, 50500, 51000], f.schema)
+
+
+@query("SELECT p_partkey::DOUBLE AS wave, floor(p_retailprice) AS value FROM part")
+def a7_read_curve(spark, d):
+    path = shared_path(spark, "curve")
+    spark.read.parquet(f"{d}/part.parquet").select(F.concat_ws(" ", F.col("p_partkey").cast("string"), F.floor("p_retailprice").cast("string"))).write.text(path)
+    return C.read_curve(spark, path, ["wave", "value"])
+
+
+@query("SELECT xpmm AS x, ypmm AS y, CASE WHEN fiberid % 7 = 0 THEN 0 ELSE 1 END AS good, telescope AS fiber_type FROM fibermap", "fibermap")
+def a8_positions(spark, d):
+    path = shared_path(spark, "positions")
+    C.write_positions(V.fibermap(spark, d).select(F.col("xpmm").alias("x"), F.col("ypmm").alias("y"), (F.col("fiberid") % 7 != 0).cast("int").alias("good"), F.col("telescope").alias("fiber_type")), path)
+    return C.read_positions(spark, path)
 
 
 @query("""SELECT expnum, CASE WHEN expnum % 3 = 0 THEN 's' ELSE 'n' END AS hemi, CASE WHEN tileid % 10 = 0 OR tileid = 999 THEN 11111 ELSE tileid END::INT AS tileid, lpad((CASE WHEN tileid % 10 = 0 OR tileid = 999 THEN 11111 ELSE tileid END // 1000)::VARCHAR, 4, '0') || 'XX' AS tilegrp, mjd, imagetyp, exptime, expnum % 4 = 0 AS neon, expnum % 5 = 0 AS ldls, false AS argon, 'None' AS calibfib, 'GOOD' AS qaqual, 1::BIGINT AS stage FROM frames""", "frames")

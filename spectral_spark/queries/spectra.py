@@ -46,12 +46,12 @@ def d14_residual_stats(spark, d):
     return r4(r4(P.residual_stats(j, ["k"]), "mean", "std", n=3), "median")
 
 
-@query("SELECT fiberid, part, count(DISTINCT spec) AS channels, round(sum(CASE WHEN NOT mask THEN flux / (error * error) END) / sum(CASE WHEN NOT mask THEN 1 / (error * error) END), 4) AS flux, round(1 / sqrt(sum(CASE WHEN NOT mask THEN 1 / (error * error) END)), 6) AS error, bool_and(mask) AS mask FROM samples GROUP BY fiberid, part", "samples")
+@query("SELECT fiberid, part, count(DISTINCT spec) AS channels, round(CASE WHEN count(*) = 1 THEN any_value(flux) ELSE sum(CASE WHEN NOT mask THEN flux / (error * error) END) / sum(CASE WHEN NOT mask THEN 1 / (error * error) END) END, 4) AS flux, round(CASE WHEN count(*) = 1 THEN any_value(error) ELSE 1 / sqrt(sum(CASE WHEN NOT mask THEN 1 / (error * error) END)) END, 6) AS error, bool_and(mask) AS mask FROM samples GROUP BY fiberid, part", "samples")
 def d15_join_channels(spark, d):
     return r4(r4(P.join_channels(V.samples(spark, d), ["fiberid", "part"], "spec"), "flux"), "error", n=6)
 
 
-@query("WITH a AS (SELECT * FROM stack WHERE frame <= 2) SELECT camera, y, x, round(sum(CASE WHEN NOT mask THEN value / (error * error) END) / sum(CASE WHEN NOT mask THEN 1 / (error * error) END), 4) AS value, round(1 / sqrt(sum(CASE WHEN NOT mask THEN 1 / (error * error) END)), 6) AS error, bool_and(mask) AS mask FROM a GROUP BY camera, y, x", "stack")
+@query("WITH a AS (SELECT * FROM stack WHERE frame <= 2) SELECT camera, y, x, round(CASE WHEN count(*) = 1 THEN any_value(value) ELSE sum(CASE WHEN NOT mask THEN value / (error * error) END) / sum(CASE WHEN NOT mask THEN 1 / (error * error) END) END, 4) AS value, round(CASE WHEN count(*) = 1 THEN any_value(error) ELSE 1 / sqrt(sum(CASE WHEN NOT mask THEN 1 / (error * error) END)) END, 6) AS error, bool_and(mask) AS mask FROM a GROUP BY camera, y, x", "stack")
 def d16_coadd_pair(spark, d):
     s = V.stack(spark, d)
     return r4(r4(P.coadd_pair(s.where("frame = 1"), s.where("frame = 2"), ["camera", "y", "x"], "value"), "value"), "error", n=6)
@@ -62,7 +62,7 @@ def d17_collapse_fibers(spark, d):
     return r4(r4(P.collapse_fibers(V.samples(spark, d), ["k", "spec"]), "flux"), "error", n=6)
 
 
-@query("""WITH m AS (SELECT spec, fiberid, quantile_cont(flux, 0.5) AS m FROM samples WHERE NOT mask GROUP BY ALL), c AS (SELECT *, quantile_cont(m, 0.5) OVER (PARTITION BY spec) AS c, stddev_pop(m) OVER (PARTITION BY spec) AS s FROM m), kept AS (SELECT spec, fiberid FROM c WHERE abs(m - c) < 2.5 * s / 2)
+@query("""WITH m AS (SELECT spec, fiberid, quantile_cont(flux, 0.5) AS m FROM samples WHERE NOT mask GROUP BY ALL), c AS (SELECT *, quantile_cont(m, 0.5) OVER (PARTITION BY spec) AS c, stddev_pop(m) OVER (PARTITION BY spec) AS s FROM m), kept AS (SELECT spec, fiberid FROM c WHERE abs(m - c) <= 2.5 * s / 2)
 SELECT spec, k, round(avg(CASE WHEN NOT mask THEN flux END), 4) AS flux, round(sqrt(sum(CASE WHEN NOT mask THEN error * error END)) / nullif(count(*) FILTER (NOT mask), 0), 6) AS error, bool_and(mask) AS mask, count(*) FILTER (NOT mask) AS n FROM samples JOIN kept USING (spec, fiberid) GROUP BY spec, k""", "samples")
 def d18_master_sky(spark, d):
     return r4(r4(P.master_sky(V.samples(spark, d), ["spec"], clip=2.5), "flux"), "error", n=6)
@@ -122,7 +122,7 @@ def d23_reject_fibers(spark, d):
     return r4(P.reject_fibers(c, ["spec"]), "coadd")
 
 
-@query(f"WITH m AS (SELECT spec, fiberid, avg(flux) AS mean FROM samples GROUP BY ALL), {biweight_sql('b', 'm', 'spec', 'mean')} SELECT m.spec, fiberid, round(mean, 4) AS mean FROM m JOIN b ON m.spec = b.spec WHERE abs(mean - location) < 1.5 * scale", "samples")
+@query(f"WITH m AS (SELECT spec, fiberid, avg(flux) AS mean FROM samples GROUP BY ALL), {biweight_sql('b', 'm', 'spec', 'mean')} SELECT m.spec, fiberid, round(mean, 4) AS mean FROM m JOIN b ON m.spec = b.spec WHERE abs(mean - location) <= 1.5 * scale", "samples")
 def d24_reject_fiber_outliers(spark, d):
     return r4(P.reject_fiber_outliers(V.samples(spark, d), ["spec"], n=1.5), "mean")
 
@@ -182,6 +182,18 @@ def d32_passband_flux(spark, d):
     return r4(P.passband_flux(c, band, ["fiberid"]), "band_flux", n=3)
 
 
+@query(f"""WITH {_BAND}, c AS (SELECT fiberid, grp, k + 1.5 AS w, flux + 20000 AS flux, (k % 5 + 1.0) * 10 AS e, u + (k + 1.5 - a) / (b - a) * (v - u) AS t FROM cells LEFT JOIN seg ON k + 1.5 >= a AND k + 1.5 < b WHERE k % 6 <> 2),
+z AS (SELECT fiberid, grp, w, flux, e, coalesce(t, 0) AS t FROM c),
+p AS (SELECT fiberid, grp, (w - lag(w) OVER x) * (flux * t * w + lag(flux * t * w) OVER x) / 2 AS n, (w - lag(w) OVER x) * (e * e * t * w + lag(e * e * t * w) OVER x) / 2 AS s, (w - lag(w) OVER x) * (t * w + lag(t * w) OVER x) / 2 AS m FROM z WINDOW x AS (PARTITION BY fiberid ORDER BY w)),
+f AS (SELECT grp, fiberid, sum(n) / sum(m) AS b, sqrt(sum(s) / sum(m)) AS e FROM p GROUP BY grp, fiberid) SELECT grp, round(min(b), 3) AS min, round(max(b), 3) AS max, round(stddev_pop(b), 3) AS std, round(max(e), 5) AS worst, count(*) AS n FROM f GROUP BY grp""", "cells")
+def d32_passband_range(spark, d):
+    c, band = _cells(spark, d)
+    c = c.withColumn("error", (F.col("k") % 5 + 1.0) * 10).withColumn("mask", F.col("k") % 6 == 2)
+    f = P.passband_flux(c, band, ["grp", "fiberid"], error="error", mask="mask")
+    worst = f.groupBy("grp").agg(F.round(F.max("band_error"), 5).alias("worst"), F.count(F.lit(1)).alias("n"))
+    return r4(P.passband_range(f, ["grp"]), "min", "max", "std", n=3).join(worst, "grp")
+
+
 @query(f"""WITH {_BAND}, c AS (SELECT fiberid, k + 1.5 AS w, flux + 20000 AS flux, CASE WHEN k + 1.5 >= 60 THEN 0 ELSE u + (k + 1.5 - a) / (b - a) * (v - u) END AS t FROM cells LEFT JOIN seg ON k + 1.5 >= a AND k + 1.5 < b),
 p AS (SELECT fiberid, (w - lag(w) OVER x) * (flux * t * w + lag(flux * t * w) OVER x) / 2 AS n, (w - lag(w) OVER x) * (t / w + lag(t / w) OVER x) / 2 AS m FROM c WINDOW x AS (PARTITION BY fiberid ORDER BY w)) SELECT fiberid, round(-2.5 * log10(sum(n) / (sum(m) * 2.99792458e18)) - 48.6, 6) AS mag FROM p GROUP BY fiberid""", "cells")
 def h13_ab_mag(spark, d):
@@ -227,13 +239,32 @@ def d42_template_match(spark, d):
     return r4(P.template_match(c.withColumnRenamed("fiberid", "star"), models, ["k"]), "chi2", n=5)
 
 
+@query("""WITH m AS (SELECT grp AS model, k, avg(flux) AS m FROM cells GROUP BY ALL), c AS (SELECT fiberid AS star, k, model, (flux - m) * (flux - m) / (250000 + m * m * 0.05 * 0.05) AS c FROM cells JOIN m USING (k)), s AS (SELECT star, model, sum(c) / count(c) AS chi2 FROM c GROUP BY ALL),
+b AS (SELECT star, min(struct_pack(c := chi2, m := model)).m AS m FROM s GROUP BY star), far AS (SELECT c.star, k FROM c JOIN b ON b.star = c.star AND b.m = c.model WHERE c > 6), t AS (SELECT star, model, sum(c) / count(c) AS chi2 FROM c ANTI JOIN far USING (star, k) GROUP BY ALL),
+z AS (SELECT star, min(struct_pack(c := chi2, m := model)) AS b FROM t GROUP BY star) SELECT star, b.m AS model, round(b.c, 5) AS chi2 FROM z""", "cells")
+def d42_template_match_masked(spark, d):
+    """Two passes: samples that fit their star's first model badly are left out of the second."""
+    c = V.cells(spark, d).withColumn("error", F.lit(500.0))
+    models = c.groupBy(F.col("grp").alias("model"), "k").agg(F.avg("flux").alias("flux"))
+    return r4(P.template_match(c.withColumnRenamed("fiberid", "star"), models, ["k"], most=6.0), "chi2", n=5)
+
+
 @query("""WITH r AS (SELECT grp, k, sum(flux) AS r FROM cells GROUP BY ALL), s AS (SELECT fiberid, s::INT AS shift, sum(flux * r) AS score FROM cells c, range(-5, 6) AS t(s), r WHERE r.grp = c.grp AND r.k = c.k - s GROUP BY ALL),
 b AS (SELECT fiberid, max(struct_pack(a := score, n := -abs(shift), l := -shift)) AS b FROM s GROUP BY fiberid) SELECT fiberid, -b.l AS shift, b.a AS score FROM b""", "cells")
 def d43_best_shift(spark, d):
     c = V.cells(spark, d)
     ref = c.groupBy("grp", "k").agg(F.sum("flux").alias("flux"))
     full = c.select("fiberid", "grp").distinct().join(ref, "grp").select("fiberid", "k", "flux")
-    return P.best_shift(c, full, ["fiberid"], "k", 5)
+    return P.best_shift(c, full, ["fiberid"], "k", 5).drop("stretch")
+
+
+@query("""WITH r AS (SELECT fiberid, k, flux AS r FROM cells), t(z) AS (VALUES (0.9::DOUBLE), (1.0), (1.125)), g AS (SELECT fiberid, z, k, k / z AS p FROM r, t), i AS (SELECT fiberid, z, g.k, a.r + (p - floor(p)) * (coalesce(b.r, a.r) - a.r) AS v FROM g JOIN r a USING (fiberid) LEFT JOIN r b ON b.fiberid = a.fiberid AND b.k = a.k + 1 WHERE a.k = floor(g.p) AND p <= 63),
+n AS (SELECT fiberid, z, sqrt(sum(v * v)) AS n FROM i GROUP BY ALL), o AS (SELECT fiberid, k, flux + k AS o FROM cells), m AS (SELECT fiberid, sqrt(sum(o * o)) AS n FROM o GROUP BY fiberid),
+s AS (SELECT o.fiberid, z, s, sum(o * v) AS score FROM o, range(-3, 4) AS u(s), i WHERE i.fiberid = o.fiberid AND i.k = o.k - s GROUP BY ALL), q AS (SELECT s.fiberid, s.z, s.s, score / (n.n * m.n) AS score FROM s JOIN n ON n.fiberid = s.fiberid AND n.z = s.z JOIN m ON m.fiberid = s.fiberid),
+b AS (SELECT fiberid, max(struct_pack(a := score, t := -abs(z - 1), n := -abs(s), l := -s, z := z)) AS b FROM q GROUP BY fiberid) SELECT fiberid, (-b.l)::INT AS shift, b.z AS stretch, round(b.a, 7) AS score FROM b""", "cells")
+def d43_best_shift_stretched(spark, d):
+    c = V.cells(spark, d).select("fiberid", "k", "flux")
+    return r4(P.best_shift(c.withColumn("flux", F.col("flux") + F.col("k")), c, ["fiberid"], "k", 3, stretches=(0.9, 1.0, 1.125), normalize=True), "score", n=7)
 
 
 @query("WITH u AS (SELECT fiberid, k, flux, error, part FROM samples) SELECT fiberid, round(sum(flux * part / (error * error)) / sum(part * part / (error * error)), 6) AS scale FROM u GROUP BY fiberid", "samples")

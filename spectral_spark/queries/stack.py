@@ -104,3 +104,12 @@ def d35_strip_bins(spark, d):
     p = V.pixels(spark, d)
     strips = p.select((F.floor(F.col("y") / 10)).cast("int").alias("strip")).distinct().withColumns({"y0": F.col("strip") * 10, "y1": F.col("strip") * 10 + 3})
     return S.strip_bins(p, strips, 10, 1.7).withColumns({c: F.round(c, 4) for c in ("value", "error")})
+
+
+@query("""WITH v AS (SELECT camera, (y // 20)::INT AS strip, x // 5 AS bin, avg(value) AS value FROM pixels GROUP BY ALL), a AS (SELECT *, quantile_cont(value, 0.5) OVER w AS med FROM v WINDOW w AS (PARTITION BY camera, strip)), c AS (SELECT *, abs(value - med) > 2 * 1.4826 * quantile_cont(abs(value - med), 0.5) OVER (PARTITION BY camera, strip) AS clipped FROM a),
+g AS (SELECT *, last_value(CASE WHEN NOT clipped THEN bin END IGNORE NULLS) OVER u AS b0, last_value(CASE WHEN NOT clipped THEN value END IGNORE NULLS) OVER u AS v0, first_value(CASE WHEN NOT clipped THEN bin END IGNORE NULLS) OVER f AS b1, first_value(CASE WHEN NOT clipped THEN value END IGNORE NULLS) OVER f AS v1 FROM c
+WINDOW u AS (PARTITION BY camera, strip ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), f AS (PARTITION BY camera, strip ORDER BY bin ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT camera, strip, bin, clipped, round(CASE WHEN NOT clipped THEN value WHEN b0 IS NULL THEN v1 WHEN b1 IS NULL THEN v0 ELSE v0 + (bin - b0) / (b1 - b0) * (v1 - v0) END, 4) AS value FROM g""", "pixels")
+def d35_clean_bins(spark, d):
+    p = V.pixels(spark, d).groupBy("camera", F.floor(F.col("y") / 20).cast("int").alias("strip"), F.floor(F.col("x") / 5).cast("int").alias("bin")).agg(F.avg("value").alias("value"))
+    return S.clean_bins(p, 2.0).withColumn("value", F.round("value", 4))

@@ -117,6 +117,12 @@ def e13_laplacian_outliers(spark, d):
     return r4(W.laplacian_outliers(p, ["camera"], 3.0, F.lit(4096.0)), "score", n=6).select("camera", "y", "x", "score", "cosmic")
 
 
+@query(None)
+def e13_cosmic_rays(spark, d):
+    p = V.stack(spark, d).groupBy("camera", "y", "x").agg(F.max("value").alias("value"))
+    return r4(W.cosmic_rays(p, ["camera"], 20.0, 0.5, 5.0), "score", "fine", n=6).select("camera", "y", "x", "score", "fine", "cosmic")
+
+
 @query("""WITH c AS (SELECT grp, fiberid, k, CASE WHEN k % 5 < 2 THEN k * 10.0 END AS c, (k % 3 + 5)::DOUBLE AS s FROM cells), t AS (SELECT *, sum(s) OVER (PARTITION BY fiberid ORDER BY k) AS t, max(CASE WHEN c IS NOT NULL THEN k END) OVER (PARTITION BY fiberid ORDER BY k) AS b FROM c)
 SELECT t.fiberid, t.k, coalesce(t.c, u.c + t.t - u.t) AS centre FROM t JOIN t u ON u.fiberid = t.fiberid AND u.k = t.b""", "cells")
 def e14_gap_positions(spark, d):
