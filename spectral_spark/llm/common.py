@@ -48,18 +48,25 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def salted_join(rows: DataFrame, table: DataFrame, key: str, count: str, total: int, salt_by: str, salts: int = 64) -> DataFrame:
-    """rows joined with a table of one row for each key, whose `count` says how many of the `total` rows hold that key.
+def free_prefix(df: DataFrame, prefix: str = "__") -> str:
+    """Underscores with which no column of df begins."""
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, count: str, total: int, salt_by: str, salts: int = 64, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) with a table by a key, whose `count` says how many of the `total` rows hold that key.
 
     A key of over HOT_ROWS rows and over a ten-thousandth of all is hot; so at most ten thousand keys are, and they are
     broadcast. Rows of hot keys are spread over `salts` partitions by another column, and the table's hot rows are repeated.
     """
     hot = F.col(count) > max(HOT_ROWS, total // 10_000)
-    keys = table.where(hot).select(key, F.lit(True).alias("__hot"))
+    keys = table.where(hot).select(key, F.lit(True).alias("__hot")).distinct()
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int")).otherwise(0)
     left = rows.join(F.broadcast(keys), key, "left").withColumn("__salt", salt).drop("__hot")
     right = table.withColumn("__salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    return left.join(right, [key, "__salt"]).drop("__salt")
+    return left.join(right, [key, "__salt"], how).drop("__salt")
 
 
 def gather(steps: Column, state: Column, step, emit, kind: str, block: int = 256) -> Column:

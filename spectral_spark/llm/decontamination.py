@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash, word_array
+from .common import salted_join, stash, word_array
 
-#: Bits of the bitmap, and the most windows that are broadcast (the joins shuffle beyond it).
-BITS, BROADCAST_ROWS = 1 << 17, 200_000
+#: Least and most bits of the bitmap, its bits for each prefix word, and the most windows that are broadcast (the joins shuffle beyond it).
+LEAST_BITS, MOST_BITS, BITS_EACH, BROADCAST_ROWS = 1 << 17, 1 << 23, 16, 200_000
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -27,8 +27,8 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, size: int) ->
     return items.select("item", "words", at).select("item", F.slice("words", F.col("at"), F.lit(size)).alias("window")).distinct()
 
 
-def _slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(BITS))
+def _slot(word: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(bits))
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, size: int) -> DataFrame:
@@ -42,14 +42,18 @@ def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     counts = base.select(F.explode(word_array(F.col("text"))).alias("word")).join(hint(vocabulary), "word", "left_semi").groupBy("word").count()
     placed = windows.select("item", "window", F.posexplode("window").alias("place", "word")).join(hint(counts), "word", "left")
     first = F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "word", "place")).alias("rare")
-    prefixes = stash(placed.groupBy("item", "window").agg(first).select("item", "window", F.col("rare.word").alias("word"), F.col("rare.place").alias("place")), "prefixes")
+    prefixes = stash(placed.groupBy("item", "window").agg(first).select("item", "window", F.col("rare.word").alias("word"), F.col("rare.place").alias("place"), F.col("rare.n").alias("n")), "prefixes")
 
-    slots = prefixes.select(_slot(F.col("word")).alias("slot")).distinct()
+    words_found = prefixes.select("word", "n").distinct().agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("total")).first()
+    bits = LEAST_BITS  # a power of two; beyond MOST_BITS more words pass and the join drops them
+    while bits < min(MOST_BITS, BITS_EACH * words_found["words"]):
+        bits *= 2
+    slots = prefixes.select(_slot(F.col("word"), bits).alias("slot")).distinct()
     filled = {r["cell"]: r["bits"] for r in slots.groupBy((F.col("slot") / 64).cast("int").alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("slot") % 64).cast("int"))).alias("bits")).collect()}
-    bitmap = F.split(F.lit(",".join(str(filled.get(i, 0)) for i in range(BITS // 64))), ",").cast("array<bigint>")
+    bitmap = F.split(F.lit(",".join(str(filled.get(i, 0)) for i in range(bits // 64))), ",").cast("array<bigint>")
 
     def may_begin(i: Column) -> Column:
-        slot = _slot(F.element_at("words", i))
+        slot = _slot(F.element_at("words", i), bits)
         return F.call_function("shiftright", F.get(bitmap, F.shiftright(slot, 6).cast("int")), (slot % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
     reach = 2 * size - 1
@@ -59,7 +63,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     near = F.transform(places, lambda i: F.struct(i.alias("at"), F.element_at("words", i).alias("word"), begin(i).alias("since"), F.slice("words", begin(i), F.lit(reach)).alias("around")))
     own = F.struct(F.lit(0).alias("at"), F.concat(F.lit(" "), F.col("id").cast("string"), F.col("digest").cast("string")).alias("word"), F.lit(0).alias("since"), F.array().cast("array<string>").alias("around"))
     rows = words.select("id", "digest", F.size("words").cast("long").alias("n_words"), F.explode(F.concat(F.array(own), near)).alias("c")).select("id", "digest", "n_words", "c.*")
-    joined = rows.join(hint(prefixes), "word", "left")
+    small = windows.count() <= BROADCAST_ROWS
+    joined = rows.join(F.broadcast(prefixes.drop("n")), "word", "left") if small else salted_join(rows, prefixes, "word", "n", words_found["total"] or 0, "id", how="left")
     start, length = F.col("at") - F.col("place"), F.size("window")
     holds = (start >= 1) & (start + length - 1 <= F.col("n_words")) & (F.slice("around", F.greatest(start - F.col("since") + 1, F.lit(1)), length) == F.col("window"))
     joined = joined.where((F.col("at") == 0) | holds)

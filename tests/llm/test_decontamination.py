@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+from spectral_spark.llm import common
+from spectral_spark.llm import decontamination as module
 from spectral_spark.llm.decontamination import decontaminate, drop_contaminated
 
 from .conftest import words
@@ -45,6 +47,18 @@ def test_overlaps_repeats_short_items_and_nulls(spark):
     assert rows_of(decontaminate(d, b)) == brute(docs, items)
 
 
+def test_large_benchmarks_shuffle_and_spread_hot_words(spark, monkeypatch):
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(module, "LEAST_BITS", 64)
+    monkeypatch.setattr(module, "MOST_BITS", 256)
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(14))) for i in range(60)] + [(99, "w1 w1")]
+    docs = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(20)) + " " + (items[i % 61][1] if i % 2 else "") + " w1 w1" * (i % 5 == 0)) for i in range(120)] + [(None, None), (None, "w1 w1")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert rows_of(decontaminate(d, b)) == brute(docs, items)
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
