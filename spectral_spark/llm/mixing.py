@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import free_prefix, stash
 
 LEVELS = ("domain", "lang", "source")
 #: Documents of a leaf that are ordered together, about.
@@ -67,13 +67,15 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[str, int], share:
     all documents that fit, and of the next one its first mix_take tokens.
 
     Null domains, languages and sources count as "". Documents without tokens (null or empty texts) are never taken.
-    Ties in the drawn order go by id; repeated rows are taken each for itself. Columns with the four names are replaced.
+    Ties in the drawn order go by id, number of tokens and digest of the text; repeated rows are taken each for itself.
+    Columns with the four names are replaced, all others pass.
     """
     count = count_tokens(F.col(text_col)) if tokens is None else tokens
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    p = free_prefix(docs)
     base = docs.withColumn("mix_tokens", count.cast("long")).withColumn("mix_domain", text(domain))
-    base = base.withColumn("__lang", text(F.col(lang_col))).withColumn("__source", text(F.col(source_col)))
-    names = [F.col("mix_domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source")]
+    base = base.withColumn(f"{p}lang", text(F.col(lang_col))).withColumn(f"{p}source", text(F.col(source_col)))
+    names = [F.col("mix_domain").alias("domain"), F.col(f"{p}lang").alias("lang"), F.col(f"{p}source").alias("source")]
     small = base.select(F.col(id_col).alias("id"), "mix_tokens", *names).where("mix_tokens > 0")
     leaves = stash(small.groupBy(*LEVELS).agg(F.sum("mix_tokens").alias("supply"), F.count(F.lit(1)).alias("docs")), "leaves")
     goal = F.lit(total).cast("long")
@@ -82,29 +84,29 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[str, int], share:
         goal = F.lit(whole * int(share[0]) // int(share[1])).cast("long")
     plan = budgets(leaves, weights, goal, epochs).withColumn("whole", F.expr("given div supply")).withColumn("rest", F.expr("given % supply"))
     plan = stash(plan.withColumn("buckets", F.ceil(F.col("docs") / BUCKET_DOCS)), "plan")
-    plan = plan.withColumnsRenamed({c: f"__{c}" for c in ("whole", "rest", "buckets")})
+    plan = plan.withColumnsRenamed({c: f"{p}{c}" for c in ("whole", "rest", "buckets")})
 
     def drawn(df: DataFrame, key: str) -> DataFrame:
-        h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), (F.col("__whole") + 1).cast("string"), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
-        return df.withColumn("__h", h).withColumn("__bucket", F.pmod("__h", "__buckets"))
-
-    filled = drawn(small.join(plan.where("__rest > 0"), list(LEVELS)), "id").groupBy(*LEVELS, "__bucket", "__rest").agg(F.sum("mix_tokens").alias("__sum"))
-    before = F.sum("__sum").over(Window.partitionBy(*LEVELS).orderBy("__bucket")) - F.col("__sum")
-    filled = stash(filled.withColumn("__before", before).where("__before < __rest").withColumn("__cut", F.col("__before") + F.col("__sum") > F.col("__rest")), "buckets")
-
-    leaf = dict(zip(LEVELS, ("mix_domain", "__lang", "__source")))
-    own = plan.select(*[F.col(c).alias(f"__p_{c}") for c in LEVELS], "__whole", "__rest", "__buckets")
-    rows = drawn(base.where("mix_tokens > 0").join(own, [F.col(v) == F.col(f"__p_{c}") for c, v in leaf.items()]), id_col)
-    first = filled.select(*[F.col(c).alias(f"__b_{c}") for c in LEVELS], F.col("__bucket").alias("__b_bucket"), "__before", "__cut")
-    same = [F.col(v) == F.col(f"__b_{c}") for c, v in leaf.items()] + [F.col("__bucket") == F.col("__b_bucket")]
+        h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), (F.col(f"{p}whole") + 1).cast("string"), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
+        return df.withColumn(f"{p}h", h).withColumn(f"{p}bucket", F.pmod(f"{p}h", f"{p}buckets"))
+
+    filled = drawn(small.join(plan.where(f"{p}rest > 0"), list(LEVELS)), "id").groupBy(*LEVELS, f"{p}bucket", f"{p}rest").agg(F.sum("mix_tokens").alias(f"{p}sum"))
+    before = F.sum(f"{p}sum").over(Window.partitionBy(*LEVELS).orderBy(f"{p}bucket")) - F.col(f"{p}sum")
+    filled = stash(filled.withColumn(f"{p}before", before).where(f"{p}before < {p}rest").withColumn(f"{p}cut", F.col(f"{p}before") + F.col(f"{p}sum") > F.col(f"{p}rest")), "buckets")
+
+    leaf = dict(zip(LEVELS, ("mix_domain", f"{p}lang", f"{p}source")))
+    own = plan.select(*[F.col(c).alias(f"{p}p_{c}") for c in LEVELS], f"{p}whole", f"{p}rest", f"{p}buckets")
+    rows = drawn(base.where("mix_tokens > 0").join(own, [F.col(v) == F.col(f"{p}p_{c}") for c, v in leaf.items()]), id_col)
+    first = filled.select(*[F.col(c).alias(f"{p}b_{c}") for c in LEVELS], F.col(f"{p}bucket").alias(f"{p}b_bucket"), f"{p}before", f"{p}cut")
+    same = [F.col(v) == F.col(f"{p}b_{c}") for c, v in leaf.items()] + [F.col(f"{p}bucket") == F.col(f"{p}b_bucket")]
     keep = [*[c for c in docs.columns if c not in ("mix_domain", "mix_epoch", "mix_tokens", "mix_take")], "mix_domain"]
     epoch = F.col("mix_epoch").cast("long").alias("mix_epoch")
-    full = rows.where("__whole > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__whole")))).select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
-    part = rows.where("__rest > 0").join(first, same).withColumn("mix_epoch", F.col("__whole") + 1)
-    fits = part.where("not __cut").select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
-    order = Window.partitionBy(*leaf.values(), "__bucket").orderBy("__h", id_col, "mix_tokens").rowsBetween(Window.unboundedPreceding, 0)
-    cut = part.where("__cut").withColumn("__past", F.col("__before") + F.sum("mix_tokens").over(order) - F.col("mix_tokens")).where("__past < __rest")
-    cut = cut.select(*keep, epoch, "mix_tokens", F.least(F.col("mix_tokens"), F.col("__rest") - F.col("__past")).alias("mix_take"))
+    full = rows.where(f"{p}whole > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{p}whole")))).select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
+    part = rows.where(f"{p}rest > 0").join(first, same).withColumn("mix_epoch", F.col(f"{p}whole") + 1)
+    fits = part.where(f"not {p}cut").select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
+    order = Window.partitionBy(*leaf.values(), f"{p}bucket").orderBy(f"{p}h", id_col, "mix_tokens", F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))).rowsBetween(Window.unboundedPreceding, 0)
+    cut = part.where(f"{p}cut").withColumn(f"{p}past", F.col(f"{p}before") + F.sum("mix_tokens").over(order) - F.col("mix_tokens")).where(f"{p}past < {p}rest")
+    cut = cut.select(*keep, epoch, "mix_tokens", F.least(F.col("mix_tokens"), F.col(f"{p}rest") - F.col(f"{p}past")).alias("mix_take"))
     return full.unionByName(fits).unionByName(cut)
 
 
@@ -151,7 +153,7 @@ def _domain_sql() -> str:
 
 
 ORACLE = f"""
-WITH base AS (SELECT doc_id, {_domain_sql()} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r]+'))::BIGINT AS tokens FROM documents),
+WITH base AS (SELECT doc_id, {_domain_sql()} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r]+'))::BIGINT AS tokens, md5(coalesce(text, '')) AS sum FROM documents),
 leaves AS (SELECT domain, lang, source, sum(tokens)::HUGEINT AS supply, count(*) AS docs FROM base WHERE tokens > 0 GROUP BY ALL),
 caps AS (SELECT *, supply * 4 AS cap FROM leaves),
 {_level(0)}
@@ -159,7 +161,7 @@ caps AS (SELECT *, supply * 4 AS cap FROM leaves),
 {_level(2)}
 plan AS (SELECT l.*, (given // supply)::BIGINT AS whole, (given % supply)::BIGINT AS rest, ceil(docs / {BUCKET_DOCS}.0)::BIGINT AS buckets FROM leaves l JOIN g2 USING (domain, lang, source)),
 h AS (SELECT b.*, whole, rest, buckets, ('0x' || substr(md5('mix-0|' || (whole + 1)::VARCHAR || '|' || doc_id::VARCHAR), 1, 15))::BIGINT AS h FROM base b JOIN plan USING (domain, lang, source) WHERE tokens > 0),
-o AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h % buckets, h, doc_id, tokens ROWS UNBOUNDED PRECEDING) - tokens AS past FROM h),
+o AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h % buckets, h, doc_id, tokens, sum ROWS UNBOUNDED PRECEDING) - tokens AS past FROM h),
 u AS (SELECT doc_id, domain AS mix_domain, unnest(range(1, whole + 1)) AS mix_epoch, tokens AS mix_tokens, tokens AS mix_take FROM o WHERE whole > 0
 UNION ALL SELECT doc_id, domain, whole + 1, tokens, least(tokens, rest - past) FROM o WHERE past < rest)
 SELECT doc_id, mix_domain, mix_epoch::BIGINT AS mix_epoch, mix_tokens::BIGINT AS mix_tokens, mix_take::BIGINT AS mix_take FROM u

@@ -93,6 +93,18 @@ def test_edges(spark):
     assert mix_sources(docs(spark, []), F.lit("d"), {}).count() == 0
 
 
+def test_ties_and_the_callers_columns(spark):
+    """Equal ids of equal length are cut by the digests of their texts, however the rows lie; columns with helpers' names stay."""
+    rows = [(7, f"{c} b c", "en", "s", 1, "q", 2) for c in "xyzuvw"]
+    taken = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = docs(spark, order).selectExpr("*", "'mine' as __lang", "5 as __h", "6 as __bucket", "7 as ___cut").repartition(3)
+        got = mix_sources(df, F.lit("d"), {}, total=10).collect()
+        assert all((r["__lang"], r["__h"], r["__bucket"], r["___cut"]) == ("mine", 5, 6, 7) for r in got)
+        taken.add(tuple(sorted((r.text, r.mix_take) for r in got)))
+    assert len(taken) == 1 and sum(n for _, n in taken.pop()) == 10
+
+
 def test_cut(spark):
     r = spark.createDataFrame([(" a  b\tc d", 2, 4), ("a b", 2, 2)], "t string, k int, n int").select(cut_to_tokens(F.col("t"), F.col("k"), F.col("n")).alias("c")).collect()
     assert [x.c for x in r] == ["a b", "a b"]
