@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER
+from .common import LOWER, UPPER, salted_join, stash
 
 #: (verdict, host, path) and (verdict, pattern) as the query uses them.
 HOST_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -68,37 +68,59 @@ def path_of(url: Column) -> Column:
 def match_patterns(pages: DataFrame, url_col: str = "url", rules=PATTERN_RULES) -> DataFrame:
     """(url, verdict, pattern) for each distinct url that a pattern rule matches: allow if any allow rule does, else block.
 
-    A rule is listed under its token that the fewest distinct urls hold; a rule without whole tokens is tried on all.
+    A rule is listed under its token that the fewest distinct urls hold. A rule without whole tokens has no such list: it
+    is tried on each distinct url where it lies, as an expression.
     """
     spark = pages.sparkSession
     urls = pages.select(F.col(url_col).alias("url")).where("url is not null").distinct().withColumn("low", F.lower("url"))
-    table = spark.createDataFrame([(k, v, p, to_regex(p), whole_tokens(p)) for k, (v, p) in enumerate(rules)], "rule int, verdict string, pattern string, regex string, tokens array<string>")
+    rows = [(k, v, p, to_regex(p), whole_tokens(p)) for k, (v, p) in enumerate(rules)]
+    table = spark.createDataFrame([r for r in rows if r[4]], "rule int, verdict string, pattern string, regex string, tokens array<string>")
     listed = table.select("rule", F.explode("tokens").alias("token"))
     hint = F.broadcast if len(rules) <= BROADCAST_ROWS else (lambda df: df)
-    tokens = urls.select("url", "low", F.explode(F.concat(F.array(F.lit("")), url_tokens(F.col("low")))).alias("token"))
+    tokens = urls.select("url", "low", F.explode(url_tokens(F.col("low"))).alias("token"))
     counts = tokens.select("token").join(hint(listed.select("token").distinct()), "token", "left_semi").groupBy("token").count()
     rarest = listed.join(counts, "token", "left").groupBy("rule").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), (-F.length("token")).alias("short"), "token")).alias("least"))
-    index = table.join(rarest, "rule", "left").select("verdict", "pattern", "regex", F.coalesce("least.token", F.lit("")).alias("token"))
-    hits = tokens.join(hint(index), "token").where(F.regexp(F.col("low"), F.col("regex")))
+    index = table.join(rarest, "rule").select("verdict", "pattern", "regex", F.col("least.token").alias("token"))
+    hits = tokens.join(hint(index), "token").where(F.regexp(F.col("low"), F.col("regex"))).select("url", "verdict", "pattern")
+    plain = [F.when(F.regexp(F.col("low"), F.lit(x)), F.struct(F.lit(v).alias("verdict"), F.lit(p).alias("pattern"))) for _, v, p, x, own in rows if not own]
+    if plain:
+        hits = hits.unionByName(urls.select("url", F.explode(F.array_compact(F.array(*plain))).alias("hit")).select("url", "hit.*"))
     return hits.groupBy("url").agg(F.min("verdict").alias("verdict"), F.min(F.struct("verdict", "pattern")).alias("first")).select("url", "verdict", F.col("first.pattern").alias("pattern"))
 
 
+def match_hosts(pages: DataFrame, host: Column, path: Column, url_col: str = "url", rules=HOST_RULES) -> DataFrame:
+    """(url, rule, verdict) for each distinct url with a host rule: the longest whose host is the url's or a parent of it and with whose path its path begins.
+
+    A url's host and its parents, a few, look up the rules that stand under them.
+    """
+    labels = F.split("host", r"\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    table = pages.sparkSession.createDataFrame([tuple(r) for r in rules], "verdict string, under string, begin string")
+    hint = F.broadcast if len(rules) <= BROADCAST_ROWS else (lambda df: df)
+    urls = pages.select(F.col(url_col).alias("url"), host.alias("host"), path.alias("path")).where("host <> ''").distinct()
+    found = urls.select("url", "path", F.explode(parents).alias("under")).join(hint(table), "under").where(F.startswith("path", "begin"))
+    rule = F.concat("under", "begin")
+    best = F.max(F.struct(F.length(rule).alias("n"), rule.alias("rule"), "verdict")).alias("best")
+    return found.groupBy("url").agg(best).select("url", "best.rule", "best.verdict")
+
+
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", host_rules=HOST_RULES, pattern_rules=PATTERN_RULES) -> DataFrame:
     """One row per row of pages: id, host, path, rule, verdict, pattern.
 
     The host follows the first "://" up to / ? # or the end, A-Z in lower case; the path follows up to ? # or the end. A
     null url, or one without "://", has neither. The longest host rule whose host is the url's or a parent of it, and
     with whose path the url's path begins, decides; else the pattern rules do; else the url is allowed. pattern is the
-    rule that matched, whether or not it decided. Repeated rows give repeated results; null ids and urls are kept.
+    rule that matched, whether or not it decided. Repeated rows give repeated results; null ids and urls are kept. Other
+    columns are ignored; an empty table gives an empty result.
     """
     out = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
-    hits = match_patterns(out, "url", pattern_rules).select(F.col("url").alias("hit_url"), F.col("verdict").alias("judged"), "pattern")
-    out = out.join(hits, F.col("url") == F.col("hit_url"), "left").withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-    rule, verdict = F.lit(None).cast("string"), F.coalesce("judged", F.lit("allow"))
-    for kind, host, path in sorted(host_rules, key=lambda r: len(r[1] + r[2])):
-        fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
-        rule, verdict = F.when(fits, host + path).otherwise(rule), F.when(fits, kind).otherwise(verdict)
-    return out.select(F.col("id").alias(id_col), "host", "path", rule.alias("rule"), verdict.alias("verdict"), "pattern")
+    urls = stash(out.where("url is not null").groupBy("url").agg(F.count(F.lit(1)).alias("n")), "urls")
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    ruled = match_hosts(urls, host, path, "url", host_rules).withColumnRenamed("verdict", "ruled")
+    hits = match_patterns(urls, "url", pattern_rules).withColumnRenamed("verdict", "judged")
+    known = urls.join(ruled, "url", "left").join(hits, "url", "left")
+    out = salted_join(out, known, "url", "n", out.count(), "id", how="left")
+    return out.select(F.col("id").alias(id_col), host.alias("host"), path.alias("path"), "rule", F.coalesce("ruled", "judged", F.lit("allow")).alias("verdict"), "pattern")
 
 
 def _fits(host: str, path: str) -> str:

@@ -28,7 +28,7 @@ def base32_sha1(data: Column) -> Column:
 
 def _headers(page: Column, url: Column, turn: Column, first: Column, size: Column, sha1: Column, response: Column, date: str) -> Column:
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), size.cast("string"), F.lit(CRLF * 2))
-    name = lambda p, k: F.concat(F.lit("<urn:page:"), F.coalesce(p.cast("string"), F.lit("")), F.lit(":"), k.cast("string"), F.lit(">"))
+    name = lambda p, k: F.concat(F.lit("<urn:page:"), F.coalesce(F.url_encode(p.cast("string")), F.lit("")), F.lit(":"), k.cast("string"), F.lit(">"))
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit(CRLF))
     return F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
@@ -49,8 +49,8 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """Write a record for every page. Of records whose payloads are equal and of at least `least` bytes, that with the largest id is a response, others revisit it.
 
     Digests are SHA-256, and only they and the ids are shuffled to choose; a payload is shuffled once, if it is a
-    response's. A null body counts as empty; a null id comes before all others, equal ids go by url, and of rows that
-    repeat id, url and body one is the response. Smaller payloads are all responses, stored once like the others.
+    response's. A null body counts as empty; ids are numbers or texts, a null one comes before all others (an empty one is
+    read back as null), equal ids go by url, and of rows that repeat id, url and body one is the response. Smaller payloads are all responses, stored once like the others.
     """
     body = F.encode(F.coalesce(F.col(body_col).cast("string"), F.lit("")), "UTF-8")
     base = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), body.alias("payload"))
@@ -69,8 +69,8 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     return Archive(payloads, records)
 
 
-def read_archive(archive: Archive) -> DataFrame:
-    """Every record again: page_id, payload_bytes, payload_digest, record_type, refers_to, header, payload, record.
+def read_archive(archive: Archive, id_type: str = "long") -> DataFrame:
+    """Every record again: page_id (of the type that pages had), payload_bytes, payload_digest, record_type, refers_to, header, payload, record.
 
     Stored payloads are digested anew and a mismatch with their address, or with the header's digest, raises an error.
     record holds the bytes of the WARC record. Columns that are not selected are not shuffled.
@@ -79,15 +79,16 @@ def read_archive(archive: Archive) -> DataFrame:
     held = held.withColumn("payload_bytes", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload_bytes")).otherwise(F.raise_error(F.lit("a stored payload does not have its digest")).cast("long")))
     out = archive.records.withColumn("head", F.decode("header", "UTF-8")).join(held, "digest")
     field = lambda pattern: F.nullif(F.regexp_extract("head", pattern, 1), F.lit(""))
+    page = lambda pattern: F.url_decode(field(pattern)).cast(id_type)
     kind = field(r"\r\nWARC-Type: ([a-z]+)\r\n")
     said = field(r"\r\nWARC-Payload-Digest: sha1:([A-Z2-7]+)\r\n")
     body = F.when(kind == "response", F.col("payload")).otherwise(F.encode(F.lit(""), "UTF-8"))
     return out.select(
-        field(r"\r\nWARC-Record-ID: <urn:page:([^:]*):").cast("long").alias("page_id"),
+        page(r"\r\nWARC-Record-ID: <urn:page:([^:]*):").alias("page_id"),
         "payload_bytes",
         F.when(said == F.col("payload_digest"), said).otherwise(F.raise_error(F.lit("a header does not have its payload's digest"))).alias("payload_digest"),
         kind.alias("record_type"),
-        field(r"\r\nWARC-Refers-To: <urn:page:([^:]*):").cast("long").alias("refers_to"),
+        page(r"\r\nWARC-Refers-To: <urn:page:([^:]*):").alias("refers_to"),
         "header",
         "payload",
         F.concat("header", body, F.encode(F.lit(CRLF * 2), "UTF-8")).alias("record"),

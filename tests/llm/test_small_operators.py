@@ -6,7 +6,7 @@ import re
 
 import duckdb
 
-from spectral_spark.llm import chat, licenses, queries, urls, warc
+from spectral_spark.llm import chat, common, licenses, queries, urls, warc
 
 
 # --- chat
@@ -37,6 +37,11 @@ def test_chats(spark):
     convs |= {100 + k: convs[k][: max(1, len(convs[k]) - 1)] for k in range(30)} | {200: convs[3], None: [("user", "only me")], 300: [("user", "x" * 100_000)], 301: [("user", "ab"), ("c", "d")], 302: [("usera", "b"), ("c", "d")]}
     got = sorted((tuple(r) for r in chat.format_chats(chats(spark, convs)).collect()), key=str)
     assert got == brute_chats(convs)
+    lone = chats(spark, convs).union(spark.createDataFrame([(None, 5, "user", "b", 0), (None, 6, "user", "b", 0), (None, 1, "system", None, 0), (None, 2, "user", "hi", 0), (None, 9, "user", "x" * 100_000, 0)], "conv_id long, turn long, role string, text string, kept int"))
+    more = convs | {f"lone{i}": [t] for i, t in enumerate([("user", "b"), ("user", "b"), ("system", ""), ("user", "hi"), ("user", "x" * 100_000)])}
+    want = sorted(((None if c is None else c, *rest) for c, *rest in brute_chats({(c if not str(c).startswith("lone") else 10**6 + int(c[4:])): t for c, t in more.items()})), key=str)
+    want = sorted(((None if c is not None and c >= 10**6 else c, *rest) for c, *rest in want), key=str)
+    assert sorted((tuple(r) for r in chat.format_chats(lone).collect()), key=str) == want
     assert chat.format_chats(chats(spark, {})).count() == 0
 
 
@@ -109,6 +114,22 @@ def test_urls(spark, sf_dir):
     assert urls.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_many_rules_and_hot_urls(spark, monkeypatch):
+    monkeypatch.setattr(urls, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    hosts = tuple(("block" if i % 3 else "allow", f"h{i}.com", "/" * (1 + i % 2)) for i in range(200)) + (("allow", "a.h7.com", "/x"),)
+    patterns = (("block", "^bad^"), ("block", "loose"), ("allow", "*oo*se|"))
+    own = [f"http://s{i}.h{i % 250}.com//p" for i in range(300)] + ["http://b.a.h7.com/xy"] * 60 + ["http://q.org/bad/loose", "http://q.org/looser", None]
+    pages = spark.createDataFrame(list(enumerate(own)), "page_id long, url string")
+    for r in urls.filter_urls(pages, host_rules=hosts, pattern_rules=patterns).collect():
+        url = own[r.page_id]
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1], m[2]) if m else ("", "")
+        rule = max(((h + p, v) for v, h, p in hosts if (host == h or host.endswith("." + h)) and path.startswith(p)), key=lambda x: len(x[0]), default=None)
+        hits = sorted((v, p) for v, p in patterns if url is not None and re.search(urls.to_regex(p), url))
+        assert (r.rule, r.verdict, r.pattern) == (rule and rule[0], rule[1] if rule else (hits[0][0] if hits else "allow"), hits[0][1] if hits else None)
+
+
 def test_whole_tokens():
     assert urls.whole_tokens("^casino^") == ["casino"] and urls.whole_tokens("casino") == [] and urls.whole_tokens("/a*b/cc.") == ["cc"]
     assert urls.whole_tokens("||ads.") == ["ads"] and urls.whole_tokens("|ftp://") == ["ftp"]
@@ -143,6 +164,13 @@ def test_warc(spark):
     assert warc.read_archive(warc.write_archive(df.limit(0))).count() == 0
 
 
+def test_ids_may_be_texts(spark):
+    pages = [("a:b>c", "u", "same"), ("z z%/é", "v", "same"), (None, "w", "lone"), ("10", "x", "other")]
+    df = spark.createDataFrame(pages, "page_id string, url string, html string")
+    got = {(r.page_id, r.record_type, r.refers_to) for r in warc.read_archive(warc.write_archive(df), "string").collect()}
+    assert got == {("a:b>c", "revisit", "z z%/é"), ("z z%/é", "response", None), (None, "response", None), ("10", "response", None)}
+
+
 def test_small_payloads_are_all_responses(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "v", "ab"), (3, "w", "long enough"), (4, "x", "long enough")], "page_id long, url string, html string")
     got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archive(warc.write_archive(df, least=5)).collect()}
