@@ -7,7 +7,7 @@ from math import erf, log, sqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.robust import median
@@ -158,6 +158,31 @@ def fit_lines(samples: DataFrame, lines: DataFrame, keys: Sequence[str], half: f
     return fitted.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("flux", "centre", "fwhm", "background")})
 
 
+def fit_wave_offsets(samples: DataFrame, lines: DataFrame, group: Sequence[str], fiber: str = "fiberid", half: float = 4.0, snr: float = 10.0, flux_to_background: float = 0.7, share: float = 0.5, smooth: int = 4, wave: str = "wave", value: str = "flux", error: str = "error", mask: str = "mask") -> DataFrame:
+    """For each fibre (group, fiber, offset, measured) the median over lines (line, line_wave) of fitted centre minus line.
+
+    The brightest samples near the lines give a first guess, by which a fibre's wavelengths are moved before Gaussians and
+    backgrounds are fitted. A fibre is measured only if all lines have the signal to noise, a fit, and enough flux over
+    the background. In a group with more than a share of measured fibres, offsets are smoothed along the slit by a running
+    median and bridged over the other fibres; in others they are 0.
+    """
+    near = samples.select(F.col(wave).alias("__w")).distinct().join(small(lines), F.abs(F.col("__w") - F.col("line_wave")) <= half)
+    hit = samples.where(~F.col(mask)).join(near, F.col(wave) == F.col("__w"))
+    per = hit.groupBy(*group, fiber, "line").agg(F.sum(F.try_divide(F.col(value), F.col(error))).alias("__snr"), (F.max_by(wave, F.struct(value, -F.col(wave))) - F.first("line_wave")).alias("__g"))
+    number = lines.agg(F.countDistinct("line").alias("__all"))  # one row
+    guess = per.groupBy(*group, fiber).agg(median(F.col("__g")).alias("__shift"), F.min("__snr").alias("__least"), F.count(F.lit(1)).alias("__n"))
+    guess = guess.crossJoin(F.broadcast(number)).where((F.col("__least") >= snr) & (F.col("__n") == F.col("__all"))).select(*group, fiber, "__shift", "__all")
+    moved = samples.join(guess, [*group, fiber]).withColumn(wave, F.col(wave) - F.col("__shift"))
+    fits = fit_lines(moved, lines, [*group, fiber, "__shift", "__all"], half, wave, value, mask)
+    good = fits.where(F.col("centre").isNotNull() & (F.coalesce(F.try_divide(F.col("flux"), F.col("background")), F.lit(float("inf"))) >= flux_to_background))
+    found = good.groupBy(*group, fiber, "__all").agg(median(F.col("centre") + F.col("__shift") - F.col("line_wave")).alias("offset"), F.count(F.lit(1)).alias("__n")).where("__n = __all")
+    found = running_median(found.select(*group, fiber, "offset"), group, fiber, smooth, "offset") if smooth else found.select(*group, fiber, "offset")
+    every = samples.select(*group, fiber).distinct().join(found, [*group, fiber], "left").withColumn("measured", F.col("offset").isNotNull())
+    known = F.avg(F.col("measured").cast("int")).over(Window.partitionBy(*[F.col(g) for g in group] or [F.lit(0)]))
+    out = fill_gaps(every.withColumn("__share", known), group, fiber, "offset").drop("filled")
+    return out.select(*group, fiber, F.when(F.col("__share") > share, F.col("offset")).otherwise(0.0).alias("offset"), "measured")
+
+
 def gauss_newton(w: np.ndarray, v: np.ndarray, use: np.ndarray, rounds: int) -> np.ndarray:
     """(flux, centre, sigma, background) of rows of samples."""
     big = np.where(use, v, np.nan)

@@ -127,6 +127,12 @@ def k3_line_moments(spark, d):
     return r4(K.line_moments(c, _lines(spark), ["fiberid"], 4.0), "centre", n=6).select("fiberid", "line", "background", "flux", "centre", "good")
 
 
+@query("SELECT grp, fiberid, round(0.2::DOUBLE + grp * 0.05::DOUBLE, 3) AS offset, true AS measured FROM (SELECT DISTINCT grp, fiberid FROM cells)", "cells")
+def d45_fit_wave_offsets(spark, d):
+    a = _arc(spark, d).withColumn("error", F.lit(1.0))
+    return r4(K.fit_wave_offsets(a, _lines(spark), ["grp"], snr=5.0), "offset", n=3)
+
+
 _ARC_LINES = "l(line, line_wave, centre) AS (VALUES ('a', 12.0, 12.3::DOUBLE), ('b', 30.0, 29.8), ('c', 41.0, 41.4), ('d', 55.0, 55.1))"
 
 

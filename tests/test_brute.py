@@ -147,6 +147,23 @@ def test_bad_samples_near_the_core(spark):
     assert {r.fiberid: r.centre is None for r in extraction.fit_lines(df, lines, ["fiberid"], 8.0).collect()} == {0: False, 1: True, 2: False, 3: False}
 
 
+def test_offsets_of_moved_fibres(spark):
+    """Moved by more than a window's half, on a slope, one fibre too faint and one with a masked line."""
+    rng = np.random.default_rng(10)
+    rows, lines = [], [(f"l{n}", c) for n, c in enumerate((30.0, 60.0, 95.0))]
+    for f in range(12):
+        for x in range(130):
+            v = 5 + 0.05 * x + sum((2 if f == 4 else 300) * np.exp(-0.5 * ((x - c - 2.7 - 0.02 * f) / 1.3) ** 2) for _, c in lines)
+            rows.append(("a", f, float(x), float(v), 3.0 if f == 4 else 1.0, f == 7 and 58 <= x <= 66))
+    rows += [("b", f, float(x), float(rng.normal(0, 1)), 1.0, False) for f in range(4) for x in range(130)]
+    df = spark.createDataFrame(rows, "g string, fiberid int, wave double, flux double, error double, mask boolean")
+    got = {(r.g, r.fiberid): (r.offset, r.measured) for r in extraction.fit_wave_offsets(df, spark.createDataFrame(lines, "line string, line_wave double"), ["g"], half=6.0, snr=60.0, smooth=0).collect()}
+    assert len(got) == 16 and all(got["b", f] == (0.0, False) for f in range(4))
+    for f in range(12):
+        offset, measured = got["a", f]
+        assert measured == (f not in (4, 7)) and abs(offset - 2.7 - 0.02 * f) < 0.02
+
+
 def test_caller_chooses_the_resolution(spark):
     w = np.arange(0, 60.0)
     f = np.random.default_rng(5).normal(size=60)
