@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import salted_join, stash
 
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -55,9 +55,9 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     body = F.encode(F.coalesce(F.col(body_col).cast("string"), F.lit("")), "UTF-8")
     base = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), body.alias("payload"))
     rows = base.select("page", "url", F.sha2("payload", 256).alias("digest"), base32_sha1(F.col("payload")).alias("sha1"), F.octet_length("payload").alias("size"))
-    rows = rows.groupBy("digest", "page", "url", "sha1", "size").agg(F.count(F.lit(1)).alias("copies"))
-    firsts = rows.groupBy("digest").agg(F.max(F.struct("page", "url")).alias("first"))
-    named = rows.join(firsts, "digest").withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    rows = stash(rows.groupBy("digest", "page", "url", "sha1", "size").agg(F.count(F.lit(1)).alias("copies")), "warc-digests")
+    firsts = rows.groupBy("digest").agg(F.max(F.struct("page", "url")).alias("first"), F.count(F.lit(1)).alias("n"))
+    named = salted_join(rows, firsts, "digest", "n", rows.count(), "page").withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     response = (F.col("size") < least) | (F.col("page").eqNullSafe(F.col("first.page")) & F.col("url").eqNullSafe(F.col("first.url")) & (F.col("turn") == 1))
     header = F.encode(_headers(F.col("page"), F.col("url"), F.col("turn"), F.col("first.page"), F.col("size"), F.col("sha1"), response, date), "UTF-8")
     records = stash(named.select("digest", header.alias("header")), "warc-records")
@@ -73,11 +73,13 @@ def read_archive(archive: Archive, id_type: str = "long") -> DataFrame:
     """Every record again: page_id (of the type that pages had), payload_bytes, payload_digest, record_type, refers_to, header, payload, record.
 
     Stored payloads are digested anew and a mismatch with their address, or with the header's digest, raises an error.
-    record holds the bytes of the WARC record. Columns that are not selected are not shuffled.
+    record holds the bytes of the WARC record. Columns that are not selected are not shuffled, and records of a payload that
+    very many share are spread.
     """
     held = archive.payloads.withColumn("payload_digest", base32_sha1(F.col("payload"))).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
     held = held.withColumn("payload_bytes", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload_bytes")).otherwise(F.raise_error(F.lit("a stored payload does not have its digest")).cast("long")))
-    out = archive.records.withColumn("head", F.decode("header", "UTF-8")).join(held, "digest")
+    held = held.join(archive.records.groupBy("digest").agg(F.count(F.lit(1)).alias("n")), "digest")
+    out = salted_join(archive.records, held, "digest", "n", archive.records.count(), "header").withColumn("head", F.decode("header", "UTF-8"))
     field = lambda pattern: F.nullif(F.regexp_extract("head", pattern, 1), F.lit(""))
     page = lambda pattern: F.url_decode(field(pattern)).cast(id_type)
     kind = field(r"\r\nWARC-Type: ([a-z]+)\r\n")

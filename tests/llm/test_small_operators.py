@@ -171,6 +171,13 @@ def test_ids_may_be_texts(spark):
     assert got == {("a:b>c", "revisit", "z z%/é"), ("z z%/é", "response", None), (None, "response", None), ("10", "response", None)}
 
 
+def test_records_of_a_shared_payload_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    pages = spark.createDataFrame([(i, f"u{i}", "same" if i % 3 else f"own {i}") for i in range(300)], "page_id long, url string, html string")
+    rows = warc.read_archive(warc.write_archive(pages)).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to, bytes(r.payload)) for r in rows) == [(i, "response" if i % 3 == 0 or i == 299 else "revisit", 299 if i % 3 and i != 299 else None, b"same" if i % 3 else b"own %d" % i) for i in range(300)]
+
+
 def test_small_payloads_are_all_responses(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "v", "ab"), (3, "w", "long enough"), (4, "x", "long enough")], "page_id long, url string, html string")
     got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archive(warc.write_archive(df, least=5)).collect()}
