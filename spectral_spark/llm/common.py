@@ -2,29 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import shared_path
+
 #: What separates words: ASCII that is neither digit nor lower-case letter (text is lower-cased first).
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, local mode gets a temporary one; a cluster is an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
-
-
 def bound_batches(spark: SparkSession) -> None:
     """Hold the Arrow batches that Python workers get to a few MB, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
@@ -32,7 +20,7 @@ def bound_batches(spark: SparkSession) -> None:
 
 def stash(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
