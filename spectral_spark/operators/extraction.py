@@ -42,13 +42,23 @@ def _erf(x: np.ndarray) -> np.ndarray:
     return np.sign(x) * (_ERF[k] + slope * d * (1 + d * (-g + d * ((2 * g * g - 1) / 3 + d * (g * (3 - 2 * g * g) / 6)))))
 
 
+def _shares(y: np.ndarray, centre: np.ndarray, sigma: np.ndarray) -> np.ndarray:
+    """Share of a Gaussian that falls on a pixel."""
+    z = lambda edge: _erf((edge - centre) / (sigma * sqrt(2)))
+    return 0.5 * (z(y + 0.5) - z(y - 0.5))
+
+
+def _profile(rows: np.ndarray, centre: np.ndarray, sigma: np.ndarray) -> np.ndarray:
+    """Shares of all Gaussians on all pixels: (rows, fibres)."""
+    return _shares(rows[:, None], centre[None, :], sigma[None, :])
+
+
 def profile_windows(rows: np.ndarray, centre: np.ndarray, sigma: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
     """(first, share): for each fibre the first of the sorted rows within its reach, and the shares of its Gaussian on it and the rows that follow, 0 beyond the reach."""
     first, last = np.searchsorted(rows, centre - reach * sigma), np.searchsorted(rows, centre + reach * sigma, "right")
     at = first[:, None] + np.arange(max(1, int((last - first).max(initial=0))))[None, :]
     y = rows[np.minimum(at, len(rows) - 1)]
-    z = lambda edge: _erf((edge - centre[:, None]) / (sigma[:, None] * sqrt(2)))
-    return first, np.where(at < last[:, None], 0.5 * (z(y + 0.5) - z(y - 0.5)), 0.0)
+    return first, np.where(at < last[:, None], _shares(y, centre[:, None], sigma[:, None]), 0.0)
 
 
 def solve_profiles(rows: np.ndarray, value: np.ndarray, weight: np.ndarray, centre: np.ndarray, sigma: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
