@@ -40,8 +40,8 @@ def test_stages_on_the_corpus(spark, sf_dir):
 
 def test_stages_on_an_empty_table_and_clashing_columns(spark, sf_dir):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in P.STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in P.STAGES:
+        docs = stash(stage(spark, docs, sf_dir), name)
         assert docs.count() == 0
     names = "id digest sid size keys word words text_ free_ base_spans all_spans __id __text __toxic score predicted __lang __source __h __bucket mix_take mix_domain domain supply given cap component class_id".split()
     rows = [(i, f"plain words number {i} of a text that is like no other {i * 7}", "en", "src0", 50) for i in range(5)]
@@ -54,8 +54,8 @@ def test_stages_on_an_empty_table_and_clashing_columns(spark, sf_dir):
 @pytest.mark.parametrize("rows", [[(None, None, None, None, None), (1, "", "en", "src0", 0), (1, "", "en", "src0", 0), (2, "word " * 30_000, None, "src1", 150_000), (3, "password = hunter2hunter2", "en", None, 25)]])
 def test_stages_on_odd_rows(spark, sf_dir, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for _, stage in P.STAGES[:-1]:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in P.STAGES[:-1]:
+        docs = stash(stage(spark, docs, sf_dir), name)
     kept = Counter(r.doc_id for r in docs.collect())
     assert kept == Counter({r[0]: 1 for r in rows})
     mixed = P.STAGES[-1][1](spark, docs, sf_dir)
