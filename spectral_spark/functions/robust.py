@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import shared_path
+
 #: Ratio of the standard deviation to the median absolute deviation of a normal distribution.
 MAD_TO_SIGMA = 1.4826
 
@@ -65,13 +67,18 @@ def statistic(df: DataFrame, keys: Sequence[str], value: str, stat: str | Callab
     return df.groupBy(*keys).agg(f(F.col(value)).alias(name))
 
 
-def quantile(df: DataFrame, keys: Sequence[str], value: str, share: float, out: str = "quantile", bins: int = 4096) -> DataFrame:
+def quantile(df: DataFrame, keys: Sequence[str], value: str, share: float, out: str = "quantile", bins: int = 4096, store: bool = False) -> DataFrame:
     """(keys, out): the exact quantile of large groups, interpolated like a percentile; nulls and NaN do not count.
 
     A histogram of each group tells the bins that hold the two values about the quantile's rank; only the rows of those
-    bins are ranked. So no task holds a group's values, as an exact percentile does.
+    bins are ranked. So no task holds a group's values, as an exact percentile does. The values are read three times: ask to
+    store them in the shared folder where they are costly to make.
     """
     v = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v is not null and not isnan(__v)")
+    if store:
+        path = shared_path(df.sparkSession, "values")
+        v.write.parquet(path)
+        v = df.sparkSession.read.schema(v.schema).parquet(path)
     span = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     rank = (F.col("__n") - 1) * F.lit(float(share))
     span = span.withColumn("__rank", rank).withColumns({"__i": F.floor("__rank"), "__j": F.ceil("__rank")})

@@ -227,7 +227,7 @@ def laplacian(df: DataFrame, keys: Sequence[str], x: str = "x", y: str = "y", va
 def laplacian_outliers(df: DataFrame, keys: Sequence[str], sigma: float, noise: Column, x: str = "x", y: str = "y", value: str = "value") -> DataFrame:
     """Pixels whose positive Laplacian, over the noise, is more than sigma above the frame's median."""
     d = laplacian(df, keys, x, y, value, "score").withColumn("score", F.try_divide("score", 2 * noise))
-    middle = quantile(d, keys, "score", 0.5, "__med")
+    middle = quantile(d, keys, "score", 0.5, "__med", store=True)
     return d.join(small(middle), list(keys), "left").withColumn("score", F.col("score") - F.col("__med")).withColumn("cosmic", F.col("score") > sigma).drop("__med")
 
 
