@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, hard_negatives, jpeg, licenses, mixing, secrets, topk_search, toxicity, urls, warc
+from . import chat, decontamination, hard_negatives, jpeg, licenses, mixing, prefix_trie, secrets, topk_search, toxicity, urls, warc
 from .common import bound_batches, stash
 from .ngram_join import ngram_join
 
@@ -88,9 +88,14 @@ def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt on shared beginnings."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_chat, op3_secrets, op4_licenses, op5_urls, op6_toxicity, op7_decontamination, op8_jpeg, op9_warc, op10_ngram_join, op11_hard_negatives, op12_topk)}
+    return {f.__name__: f for f in (op1_mixing, op2_chat, op3_secrets, op4_licenses, op5_urls, op6_toxicity, op7_decontamination, op8_jpeg, op9_warc, op10_ngram_join, op11_hard_negatives, op12_topk, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.ORACLE, "op2_chat": chat.ORACLE, "op4_licenses": licenses.ORACLE, "op5_urls": urls.ORACLE, "op9_warc": warc.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE, "op12_topk": topk_search.ORACLE, "op7_decontamination": decontamination.ORACLE}
+    return {"op1_mixing": mixing.ORACLE, "op2_chat": chat.ORACLE, "op4_licenses": licenses.ORACLE, "op5_urls": urls.ORACLE, "op9_warc": warc.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE, "op12_topk": topk_search.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE, "op7_decontamination": decontamination.ORACLE}
