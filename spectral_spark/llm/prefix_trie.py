@@ -161,7 +161,7 @@ def _peel_chunk(table, low: int) -> Iterator:
         starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
         node = {c: f.reduceat(both[c][by], starts) for c, f in (("n", np.add), ("conv", np.minimum), ("children", np.add), ("leaves", np.add), ("saved", np.add), ("end", np.maximum))} | {"row": both["row"][by][starts]}
         group = np.empty(len(by), np.int64)
-        group[by] = np.cumsum(np.isin(np.arange(len(by)), starts)) - 1
+        group[by] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(by)]))
         node["leaves"] = np.where(node["children"] == 0, 1, node["leaves"])
         node["saved"] = node["saved"] + (node["n"] - 1) * w[at[node["row"]] + d - 1]
         if made:  # the nodes just below learn their parent's smallest id
@@ -295,7 +295,7 @@ def _with_parents(nodes: DataFrame, depths: list[int]) -> DataFrame:
     return out.select(long("conv").alias("conv_id"), long("depth").alias("depth"), long("parent").alias("parent_conv_id"), long("n").alias("n_convs"), long("children").alias("n_children"), long("leaves").alias("n_leaves"), long("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
 
 
-def conversation_trie(chats: DataFrame) -> DataFrame:
+def conversation_trie(chats: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """The trie of conversations rebuilt on shared beginnings: the first h turns of conversation c - c % 20, then c's own after its first h; h is crc32(c) % 4.
 
     Null roles and texts count as empty; null turns come first, and equal turn numbers go by the digest of role and text
@@ -305,7 +305,7 @@ def conversation_trie(chats: DataFrame) -> DataFrame:
     """
     head = (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).cast("int")
     talks = stash(turns_of(chats), "turns")
-    return prefix_trie(rebuild(talks, F.col("conv") - F.col("conv") % 20, head, 3))
+    return prefix_trie(rebuild(talks, F.col("conv") - F.col("conv") % 20, head, 3), group_rows)
 
 
 _CRC = "list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1))))"
