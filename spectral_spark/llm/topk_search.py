@@ -10,6 +10,8 @@ from .vectors import NO_ID, candidate_blocks, finite, keep_best, kth, longs, mee
 
 #: Parts in which lists are read; bounds are renewed after each.
 ROUNDS = 8
+#: A query is done when at most 1 / FEW of a segment's rows are open.
+FEW = 8
 LISTS = "ids binary, dim bigint, by_rise binary, sorted binary, sorted_bytes bigint, vectors binary, vectors_bytes bigint"
 FOUND = "block bigint, slot bigint, query_id bigint, id bigint, score bigint"
 LEAST = np.iinfo(np.int64).min
@@ -27,36 +29,42 @@ def no_random_access(order: np.ndarray, lists: np.ndarray, queries: np.ndarray,
     """(rows, queries): whether a row may be among the k best of a query; and the depth to which the lists were read.
 
     A query reads the list of a dimension from its top where its own component is positive and from its bottom where it is
-    negative, so contributions fall. What was read is summed; of what was not, the last one read is the upper bound and the
-    list's other end the lower one. The kth best lower bound, or the floor if that is higher, is what a row must reach.
-    A query whose open rows are few is done: their scores are made from their vectors.
+    negative, so contributions fall. All lists are read to one depth, part by part. Of what was read the contribution is
+    known; of what was not, the last one read is the upper bound and the list's other end the lower one. The kth best lower
+    bound, or the floor if that is higher, is what a row must reach. Bounds are made once a row that no list has shown yet
+    would not qualify. A query whose open rows are few is done: their scores are made from their vectors.
     """
     d, n = order.shape
     # sums of so many products are exact in doubles up to 2 ** 53
     kind = np.float64 if float(np.abs(queries).astype(np.float64).sum(axis=1).max(initial=0)) * max(1.0, float(np.abs(lists).max(initial=0))) < 2**52 else np.int64
-    up, down = np.maximum(queries.T, 0).astype(kind), np.minimum(queries.T, 0).astype(kind)
+    ends = np.concatenate([np.maximum(queries.T, 0), np.minimum(queries.T, 0)]).astype(kind)  # what is read from the top, from the bottom
     lists = lists.astype(kind)
-    read = np.zeros((n, len(queries)), kind)
-    above, below = np.ones((n, d), kind), np.ones((n, d), kind)  # 1: not yet read from this end
+    known, unread = np.zeros((n, 2 * d), kind), np.ones((n, 2 * d), kind)
     open_rows = allowed.copy()
     live = np.arange(len(queries))
-    few, step, depth = max(4 * k, n // 32), max(16, -(-n // ROUNDS)), 0
+    few, step, depth = max(4 * k, n // FEW), max(16, -(-n // ROUNDS)), 0
     while len(live) and depth < n:
         end = min(n, depth + step)
         for j in range(d):
-            top, low = order[j, n - end : n - depth], order[j, depth:end]
-            read[top] += lists[j, n - end : n - depth, None] * up[j]
-            read[low] += lists[j, depth:end, None] * down[j]
-            above[top, j] = below[low, j] = 0
+            for column, part in ((j, slice(n - end, n - depth)), (d + j, slice(depth, end))):
+                known[order[j, part], column], unread[order[j, part], column] = lists[j, part], 0
         depth = end
-        rest = lambda high, low: read + above @ (high[:, None] * up) + below @ (low[:, None] * down)
-        most, least = rest(lists[:, n - depth], lists[:, depth - 1]), rest(lists[:, 0], lists[:, -1])
-        if n > k:
-            sure = np.where(allowed[:, live], least, -np.inf if kind is np.float64 else LEAST)
-            floor[live] = np.maximum(floor[live], np.partition(sure, n - k, axis=0)[n - k].clip(LEAST // 2))
-        open_rows[:, live] = allowed[:, live] & (most >= floor[live])
-        going = open_rows[:, live].sum(axis=0) > few
-        live, read, up, down = live[going], read[:, going], up[:, going], down[:, going]
+        next_ = np.concatenate([lists[:, n - depth], lists[:, depth - 1]])
+        new = floor[live] == LEAST
+        if n > k and new.any():
+            sure = (known + unread * np.concatenate([lists[:, 0], lists[:, -1]])) @ ends[:, live[new]]
+            sure = np.where(allowed[:, live[new]], sure, -np.inf if kind is np.float64 else LEAST)
+            low = np.partition(sure, n - k, axis=0)[n - k].clip(LEAST // 2)
+        at = np.array(floor[live], dtype=kind)
+        if n > k and new.any():
+            at[new] = low
+        ripe = np.flatnonzero(((next_ @ ends[:, live]) < at) | (depth == n))
+        if not len(ripe):
+            continue
+        most = (known + unread * next_) @ ends[:, live[ripe]]
+        open_rows[:, live[ripe]] = allowed[:, live[ripe]] & (most >= at[ripe])
+        done = open_rows[:, live[ripe]].sum(axis=0) <= few
+        live = np.delete(live, ripe[done])
     return open_rows, depth
 
 

@@ -142,7 +142,7 @@ def test_lists_are_not_read_to_their_ends():
     rows, depth = topk_search.no_random_access(order, lists, queries, allowed, np.full(3, np.iinfo(np.int64).min), 5)
     exact = np.where(allowed, v @ queries.T, np.iinfo(np.int64).min)
     best = np.argsort(~exact, axis=0, kind="stable")[:5]
-    assert depth < 2048 and all(rows[best[:, q], q].all() and rows[:, q].sum() <= 64 for q in range(3))
+    assert depth < 2048 and all(rows[best[:, q], q].all() and rows[:, q].sum() <= 2048 // topk_search.FEW for q in range(3))
 
 
 # --- the prefix trie
