@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shared import shared_path
+from ..operators.joins import small
+from ..shared import stored
 
 #: Ratio of the standard deviation to the median absolute deviation of a normal distribution.
 MAD_TO_SIGMA = 1.4826
@@ -67,34 +68,41 @@ def statistic(df: DataFrame, keys: Sequence[str], value: str, stat: str | Callab
     return df.groupBy(*keys).agg(f(F.col(value)).alias(name))
 
 
-def quantile(df: DataFrame, keys: Sequence[str], value: str, share: float, out: str = "quantile", bins: int = 4096, store: bool = False) -> DataFrame:
+#: Ranks of the sketch that bounds a quantile: its values are off by a part in so many of the group.
+SKETCH = 10_000
+
+
+def quantile(df: DataFrame, keys: Sequence[str], value: str, share: float, out: str = "quantile", store: bool = False) -> DataFrame:
     """(keys, out): the exact quantile of large groups, interpolated like a percentile; nulls and NaN do not count.
 
-    A histogram of each group tells the bins that hold the two values about the quantile's rank; only the rows of those
-    bins are ranked. So no task holds a group's values, as an exact percentile does. The values are read three times: ask to
-    store them in the shared folder where they are costly to make.
+    A mergeable sketch of each group gives two values about the quantile's rank, a few thousandths of the group apart in
+    rank however its values are spread. Then each task counts: what lies below the two, and each distinct value between
+    them. So a group's values never meet; a task sees the counts of the values between, 1/200 of a group at most. Groups of
+    up to 4 * SKETCH values are counted by distinct value. The values are read twice: ask to store them in the shared folder
+    where they are costly to make.
     """
     v = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v is not null and not isnan(__v)")
     if store:
-        path = shared_path(df.sparkSession, "values")
-        v.write.parquet(path)
-        v = df.sparkSession.read.schema(v.schema).parquet(path)
-    span = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        v = stored(v, "values")
+    pad = 20 / SKETCH
+    about = F.percentile_approx("__v", [max(0.0, share - pad), min(1.0, share + pad)], SKETCH)
+    span = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"), about.alias("__about"))
+    whole = F.col("__n") <= 4 * SKETCH
+    low = F.when(whole | F.lit(share <= pad), F.col("__min")).otherwise(F.get("__about", F.lit(0)))
+    high = F.when(whole | F.lit(share >= 1 - pad), F.col("__max")).otherwise(F.get("__about", F.lit(1)))
     rank = (F.col("__n") - 1) * F.lit(float(share))
-    span = span.withColumn("__rank", rank).withColumns({"__i": F.floor("__rank"), "__j": F.ceil("__rank")})
-    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys] or [F.lit(True)]
-    place = F.floor(F.try_divide(F.col("__v") - F.col("__lo"), F.col("__hi") - F.col("__lo")) * bins)
-    binned = v.alias("a").join(span.alias("b"), same("a", "b")).select(*[f"a.{k}" for k in keys], "__v", "__rank", "__i", "__j", F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).alias("__bin"))
-    counts = binned.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)])
-    before = counts.withColumn("__before", F.sum("__c").over(w.orderBy("__bin")) - F.col("__c")).withColumnRenamed("__bin", "__b")
-    near = binned.alias("a").join(before.alias("b"), [*same("a", "b"), F.col("__bin") == F.col("__b")]).select(*[f"a.{k}" for k in keys], "__v", "__rank", "__i", "__j", "__bin", "__before", "__c")
-    holds = lambda r: (F.col("__before") <= F.col(r)) & (F.col(r) < F.col("__before") + F.col("__c"))
-    near = near.where(holds("__i") | holds("__j"))
-    ranked = near.withColumn("__r", F.col("__before") + F.row_number().over(Window.partitionBy(*keys, "__bin").orderBy("__v")) - 1).where("__r in (__i, __j)")
-    low, high = F.max(F.when(F.col("__r") == F.col("__i"), F.col("__v"))), F.max(F.when(F.col("__r") == F.col("__j"), F.col("__v")))
-    two = ranked.groupBy(*keys).agg(low.alias("__a"), high.alias("__z"), F.max(F.col("__rank") - F.col("__i")).alias("__t"))
-    return two.select(*keys, (F.col("__a") + F.col("__t") * (F.col("__z") - F.col("__a"))).alias(out))
+    span = stored(span.select(*keys, low.alias("__low"), high.alias("__high"), rank.alias("__rank")), "spans")
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] or [F.lit(True)]
+    inside = F.when(F.col("__v") >= F.col("__low"), F.col("__v"))
+    kept = v.alias("a").join(small(span).alias("b"), same).where("__v <= __high").select(*[f"a.{k}" for k in keys], inside.alias("__v"), "__rank")
+    counts = kept.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"), F.max("__rank").alias("__rank"))
+    upto = Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)]).orderBy(F.asc_nulls_first("__v"))
+    ranked = counts.withColumn("__upto", F.sum("__c").over(upto))
+    first = lambda r: F.min_by("__v", F.when(F.col("__upto") > r, F.col("__upto")))
+    two = ranked.groupBy(*keys).agg(first(F.floor("__rank")).alias("__a"), first(F.ceil("__rank")).alias("__z"), F.max(F.col("__rank") - F.floor("__rank")).alias("__t"))
+    two = two.withColumns({c: F.coalesce(c, F.raise_error(F.lit("a quantile lies outside its sketch's bounds")).cast("double")) for c in ("__a", "__z")})
+    step = F.when(F.col("__z") == F.col("__a"), 0.0).otherwise(F.col("__t") * (F.col("__z") - F.col("__a")))
+    return two.select(*keys, (F.col("__a") + step).alias(out))
 
 
 def percentile_normalize(df: DataFrame, frame: Sequence[str], value: str, percent: float) -> DataFrame:

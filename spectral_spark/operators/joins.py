@@ -42,14 +42,33 @@ def glob_regex(pattern: Column) -> Column:
     return F.concat(F.lit("^"), F.replace(F.replace(F.replace(quoted, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit(".")), F.lit("[!"), F.lit("[^")), F.lit("$"))
 
 
+#: Characters of a rule's literal by which it is looked up, and the least that are used where literals are shorter.
+GRAM, SHORT = 8, 3
+
+
+def rule_literal(pattern: Column) -> Column:
+    """The last GRAM characters of the longest part of a file pattern without *, ? and [...], the last of several."""
+    parts = F.transform(F.split(pattern, r"[*?]|\[[^\]]*\]"), lambda p, i: F.struct(F.length(p).alias("n"), i.alias("i"), F.right(p, F.lit(GRAM)).alias("p")))
+    return F.array_max(parts)["p"]
+
+
 def apply_header_fixes(frames: DataFrame, fixes: DataFrame, name: str, keywords: Sequence[str]) -> DataFrame:
     """Override keyword columns by rules (rule_no, fileroot, keyword, value) whose pattern fits the name; the last rule wins.
 
-    Rules are a small table; distinct names meet them once each.
+    Rules are indexed by a literal part of their pattern: GRAM characters, or SHORT of a shorter one. Distinct names are
+    listed under their substrings of these lengths and meet the rules by equality, so that regular expressions run on
+    candidates alone. Rules without a literal of SHORT characters are few broad ones and are tried on every distinct name.
     """
-    rules = small(fixes.withColumn("__regex", glob_regex(F.col("fileroot"))))
+    literal = rule_literal(F.col("fileroot"))
+    rules = fixes.withColumn("__regex", glob_regex(F.col("fileroot"))).withColumn("__gram", F.when(F.length(literal) >= GRAM, literal).when(F.length(literal) >= SHORT, F.right(literal, F.lit(SHORT))))
     names = frames.select(F.col(name).alias("__name")).distinct()
-    hits = names.join(rules, F.regexp(F.col("__name"), F.col("__regex")))
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.length("__name") - n + 1), lambda i: F.substring(F.col("__name"), i, F.lit(n)))
+    grams = F.concat(*[F.when(F.length("__name") >= n, cut(n)).otherwise(F.array().cast("array<string>")) for n in (GRAM, SHORT)])
+    listed = names.withColumn("__gram", F.explode(F.array_distinct(grams)))
+    fits = F.regexp(F.col("__name"), F.col("__regex"))
+    hits = listed.join(small(rules.where("__gram is not null")), "__gram").where(fits).drop("__gram")
+    broad = small(rules.where("__gram is null"))
+    hits = hits.unionByName(names.join(broad.drop("__gram"), fits).select(*hits.columns))
     last = hits.groupBy("__name").agg(*[F.max_by(F.when(F.col("keyword") == k, F.col("value")), F.when(F.col("keyword") == k, F.col("rule_no"))).alias(f"__{k}") for k in keywords])
     out = frames.join(last, F.col(name) == F.col("__name"), "left")
     return out.withColumns({k: F.coalesce(F.col(f"__{k}"), F.col(k)) for k in keywords}).drop("__name", *[f"__{k}" for k in keywords])
@@ -114,6 +133,16 @@ def detrend(pixels: DataFrame, bias: DataFrame, dark: DataFrame, flat: DataFrame
     return out.withColumns({"value": value, "mask": mask}).drop("__bias", "__dark", "__flat", "__mbias", "__mdark", "__mflat")
 
 
+def lay_out(df: DataFrame, table: str, keys: Sequence[str] = ("camera", "y", "x"), buckets: int = 64) -> DataFrame:
+    """df as a table in the warehouse, bucketed and sorted by the keys: tables of one layout join without a shuffle.
+
+    Masters are laid out once for all exposures that they detrend; raw frames as they come in. The number of buckets must be
+    the same, and so large that a bucket's pixels fit a task. A table of the name is replaced.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def combine_columns(a: Column, ea: Column, b: Column, eb: Column, op: str) -> tuple[Column, Column]:
     """(value, error) of a op b: errors in quadrature for sums, relative errors for products."""
     if op in "+-":
@@ -158,15 +187,42 @@ def near_pairs(a: DataFrame, b: DataFrame, r: float, ax: str = "x", ay: str = "y
     return left.join(right, (F.col("__i") == F.col("__c.i")) & (F.col("__j") == F.col("__c.j"))).where(d2 <= r * r).withColumn(distance, F.sqrt(d2)).drop("__i", "__j", "__c")
 
 
-def cone_match(fibers: DataFrame, stars: DataFrame, r: float, fiber: str = "fiberid") -> DataFrame:
-    """Stars (bx, by) within r of a fibre (x, y), of fibres that hold one star alone."""
-    pairs = near_pairs(fibers, stars, r)
+def _ra_cells(zone: Column, r: float) -> Column:
+    """Into how many cells of right ascension a zone of declination is cut, so that points within r degrees lie in neighbouring cells; 1 near a pole."""
+    far = F.greatest(F.abs(zone * r - 90), F.abs((zone + 1) * r - 90)) + r  # the greatest declination of a point within r of the zone
+    width = F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(r))) / F.cos(F.radians(far)))))
+    return F.when(far >= 90, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(F.lit(360.0) / width))).cast("long")
+
+
+def near_pairs_sky(a: DataFrame, b: DataFrame, r: float, ax: str = "x", ay: str = "y", bx: str = "bx", by: str = "by", distance: str = "distance") -> DataFrame:
+    """Pairs within r degrees on the sphere; right ascensions (x) and declinations (y) in degrees, any turn of the former.
+
+    Declinations are cut into zones of r degrees and zones into cells that widen towards the poles; b is listed under the
+    cells about it in three zones, around 0 and 360, so that pairs join by equality. Distances are haversines, which keep
+    their digits for small angles. Points without a position or beyond a pole have no pairs.
+    """
+    zone = lambda dec: F.floor((dec + 90) / r).cast("long")
+    place = lambda ra, n: F.least(F.floor(F.pmod(ra.cast("double"), F.lit(360.0)) / 360 * n).cast("long"), n - 1)
+    right = b.where(F.col(by).between(-90, 90)).withColumn("__z", F.explode(F.array(*[zone(F.col(by)) + i for i in (-1, 0, 1)])))
+    n, c = _ra_cells(F.col("__z"), r), place(F.col(bx), _ra_cells(F.col("__z"), r))
+    right = right.withColumn("__c", F.explode(F.array_distinct(F.array(*[F.pmod(c + i, n) for i in (-1, 0, 1)]))))
+    left = a.where(F.col(ay).between(-90, 90)).withColumn("__za", zone(F.col(ay))).withColumn("__ca", place(F.col(ax), _ra_cells(F.col("__za"), r)))
+    half = lambda x, y: F.sin(F.radians((x - y) / 2))
+    u, v = half(F.col(ay), F.col(by)), half(F.col(ax), F.col(bx))
+    h = u * u + F.cos(F.radians(F.col(ay))) * F.cos(F.radians(F.col(by))) * v * v
+    out = left.join(right, (F.col("__za") == F.col("__z")) & (F.col("__ca") == F.col("__c")))
+    return out.withColumn(distance, F.degrees(2 * F.asin(F.least(F.sqrt(h), F.lit(1.0))))).where(F.col(distance) <= r).drop("__za", "__ca", "__z", "__c")
+
+
+def cone_match(fibers: DataFrame, stars: DataFrame, r: float, fiber: str = "fiberid", sky: bool = False) -> DataFrame:
+    """Stars (bx, by) within r of a fibre (x, y), of fibres that hold one star alone; in the plane or, in degrees, on the sky."""
+    pairs = (near_pairs_sky if sky else near_pairs)(fibers, stars, r)
     return pairs.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(fiber))).where("__n = 1").drop("__n")
 
 
-def brightest_in_radius(catalogue: DataFrame, centres: DataFrame, r: float, limit: float, n: int, centre: str = "centre", mag: str = "mag", star: str = "star") -> DataFrame:
-    """The n brightest sources under a magnitude limit about each centre."""
-    pairs = near_pairs(catalogue.where(F.col(mag) < limit), centres, r)
+def brightest_in_radius(catalogue: DataFrame, centres: DataFrame, r: float, limit: float, n: int, centre: str = "centre", mag: str = "mag", star: str = "star", sky: bool = False) -> DataFrame:
+    """The n brightest sources under a magnitude limit about each centre; in the plane or, in degrees, on the sky."""
+    pairs = (near_pairs_sky if sky else near_pairs)(catalogue.where(F.col(mag) < limit), centres, r)
     w = Window.partitionBy(centre).orderBy(mag, star)
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
@@ -265,16 +321,34 @@ def epoch_ranges(a: DataFrame, b: DataFrame, ea: str = "a_epoch", eb: str = "b_e
     return match_latest(b, a.select(ea).distinct(), eb, ea).where(F.col(ea).isNotNull())
 
 
+#: Seconds of a day, which a clock loses at midnight.
+DAY = 86_400.0
+
+
 def time_model(series: DataFrame, targets: DataFrame, on: Sequence[str], order: int = 0, value: str = "flux", time: str = "t", start: str = "start", end: str = "end", target: str = "target") -> DataFrame:
-    """For each target and key the mean of a polynomial in time (order 0 or 1) through the series over the target's interval.
+    """For each target and key the mean of a polynomial in time through the series over the target's interval.
 
-    The mean of a line over an interval is its value at the middle, so one fit per key serves every target.
+    The polynomial is fitted by sums of powers of the time, centred and scaled for each key, and integrated over the
+    interval. An interval that ends before it starts passes midnight: a day is added to its end. A key with fewer distinct
+    times than the polynomial needs gets the mean of its values.
     """
+    from .fits import polyfit
+
     t, v = F.col(time), F.col(value)
-    fit = series.groupBy(*on).agg(F.avg(v).alias("__mean"), F.regr_slope(v, t).alias("__slope"), F.regr_intercept(v, t).alias("__cut"))
-    middle = (F.col(start) + F.col(end)) / 2
-    line = F.coalesce(F.col("__slope") * middle + F.col("__cut"), F.col("__mean"))
-    return targets.join(fit, list(on)).withColumn("model", F.col("__mean") if order == 0 else line).drop("__mean", "__slope", "__cut")
+    known = series.where(t.isNotNull() & v.isNotNull())
+    span = known.groupBy(*on).agg(F.avg(v).alias("__mean"), ((F.min(t) + F.max(t)) / 2).alias("__mid"), ((F.max(t) - F.min(t)) / 2).alias("__half"), F.countDistinct(t).alias("__times"))
+    if order == 0:
+        return targets.join(span.select(*on, F.col("__mean").alias("model")), list(on))
+    scaled = known.join(span.where(F.col("__times") > order), list(on)).withColumn("__u", (t - F.col("__mid")) / F.col("__half"))
+    fit = polyfit(scaled, on, "__u", value, order).select(*on, F.col("coeffs").alias("__c"))
+    late = F.col(end) + F.when(F.col(end) < F.col(start), DAY).otherwise(0.0)
+    u = lambda x: (x - F.col("__mid")) / F.col("__half")
+    out = targets.join(span.join(fit, list(on), "left"), list(on)).withColumns({"__a": u(F.col(start)), "__b": u(late)})
+    a, b = F.col("__a"), F.col("__b")
+    # (b^(p+1) - a^(p+1)) / (b - a) as a sum, which also holds where the interval is a moment
+    powers = lambda p: sum((F.pow(a, F.lit(i)) * F.pow(b, F.lit(p - i)) for i in range(p + 1)), F.lit(0.0)) / (p + 1)
+    mean = sum((F.get("__c", F.lit(p)) * powers(p) for p in range(order + 1)), F.lit(0.0))
+    return out.withColumn("model", F.coalesce(mean, F.col("__mean"))).drop("__mean", "__mid", "__half", "__times", "__c", "__a", "__b")
 
 
 def join_fibermap(spectra: DataFrame, fibermap: DataFrame, columns: Sequence[str], on: str = "fiberid") -> DataFrame:

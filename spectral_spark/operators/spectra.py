@@ -289,6 +289,27 @@ def cube_weighted(samples: DataFrame, weights: DataFrame, spaxel: Sequence[str],
     return out.select(*k, *spaxel, F.try_divide("__v", "__w").alias(value), F.try_divide(F.sqrt("__e"), F.col("__w")).alias(error), "cover", (F.col("cover") < least).alias(mask))
 
 
+def drift_weights(fibers: DataFrame, spaxels: DataFrame, drift: DataFrame, k: Sequence[str], radius: float, sigma: float, slope: float = 2.0, step: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(weights, places) of fibres that drift with wavelength: drift has (k, dx, dy), added to the fibres' x and y.
+
+    Offsets are rounded to `step` (not at all without one) and weights made for each distinct offset, not for each
+    wavelength: places tells the offset (__px, __py) of each k. A k without a drift has offset 0. Fibres meet offsets once each.
+    """
+    rounded = (lambda c: F.round(F.coalesce(c, F.lit(0.0)) / step) * step) if step else (lambda c: F.coalesce(c, F.lit(0.0)))
+    places = drift.select(*k, (rounded(F.col("dx")) + 0.0).alias("__px"), (rounded(F.col("dy")) + 0.0).alias("__py"))
+    stops = places.select("__px", "__py").unionByName(places.sparkSession.sql("select 0D as __px, 0D as __py")).distinct()
+    moved = fibers.join(small(stops)).withColumns({"x": F.col("x") + F.col("__px"), "y": F.col("y") + F.col("__py")})
+    return spaxel_weights(moved, spaxels, radius, sigma, slope), places
+
+
+def cube_drifting(samples: DataFrame, weights: DataFrame, places: DataFrame, spaxel: Sequence[str], k: Sequence[str], fiber: str = "fiberid", **how) -> DataFrame:
+    """cube_weighted with the weights and places of drift_weights: each sample meets the weights of its wavelength's offset."""
+    at = samples.join(small(places), list(k), "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("__px", "__py")})
+    key = lambda c: F.concat_ws(":", F.col(c).cast("string"), "__px", "__py")
+    named = weights.select(key(fiber).alias("__at"), *spaxel, "weight")
+    return cube_weighted(at.withColumn("__at", key(fiber)), named, spaxel, k, "__at", **how)
+
+
 def cube_combine(cubes: DataFrame, keys: Sequence[str], value: str = "flux", mask: str = "mask") -> DataFrame:
     """Mean over cubes and the number of good ones in each voxel."""
     return cubes.groupBy(*keys).agg(F.avg(F.when(~F.col(mask), F.col(value))).alias(value), F.count_if(~F.col(mask)).alias("good"))
@@ -309,22 +330,13 @@ def template_match(spec: DataFrame, models: DataFrame, k: Sequence[str], star: s
     """For each star the model of least chi^2 per sample, with a model error in proportion; of several the first.
 
     Where `most` is given, samples whose chi^2 against that model is greater are left out for all models, and the choice is made again.
+
+    Spectra are arrays by place in blocks of stars and of models; a task meets block with block, so no row is made for a
+    star, model and sample. A star has one sample at each place; stars without a sample that any model has, have no row.
     """
-    m = models.select(model, *k, F.col(value).alias("__m"))
-    d = F.col(value) - F.col("__m")
-    chi = F.try_divide(d * d, F.col(error) * F.col(error) + F.col("__m") * F.col("__m") * model_error * model_error)
-    j = spec.join(m, list(k)).withColumn("__c", chi)
-
-    def choose(rows: DataFrame) -> DataFrame:
-        s = rows.groupBy(star, model).agg((F.sum("__c") / F.count("__c")).alias("chi2"))
-        best = s.groupBy(star).agg(F.min(F.struct("chi2", model)).alias("__b"))
-        return best.select(star, F.col(f"__b.{model}").alias(model), F.col("__b.chi2").alias("chi2"))
-
-    first = choose(j)
-    if most is None:
-        return first
-    far = j.join(first.select(star, model), [star, model]).where(F.col("__c") > most).select(star, *k)
-    return choose(j.join(far, [star, *k], "left_anti"))
+    from .templates import choose_models
+
+    return choose_models(spec, models, k, star, model, model_error, most, value, error)
 
 
 def best_shift(obs: DataFrame, ref: DataFrame, keys: Sequence[str], k: str, most: int, value: str = "flux", stretches: Sequence[float] = (1.0,), normalize: bool = False) -> DataFrame:

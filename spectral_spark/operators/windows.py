@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import exp
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.robust import median, quantile
 from .joins import carried, interp_onto, small
@@ -92,12 +95,53 @@ def gauss_smooth(df: DataFrame, keys: Sequence[str], order: str, sigma: float, v
     return d.withColumn("__s", acc).withColumn(value, F.col("__s")).drop("__f", "__l", "__s")
 
 
-def box_median_2d(df: DataFrame, keys: Sequence[str], half: int, x: str = "x", y: str = "y", value: str = "value", out: str = "smooth") -> DataFrame:
-    """Median of a square of pixels about each pixel, of those that there are."""
-    spread = F.sequence(F.lit(-half), F.lit(half))
-    near = df.select(*keys, F.col(x).alias("__x"), F.col(y).alias("__y"), F.col(value).alias("__v")).withColumn("__i", F.explode(spread)).withColumn("__j", F.explode(spread))
-    box = near.groupBy(*keys, (F.col("__x") + F.col("__i")).alias(x), (F.col("__y") + F.col("__j")).alias(y)).agg(median(F.col("__v")).alias(out))
-    return df.join(box, [*keys, x, y])
+#: Side of the tiles into which frames are cut for running medians.
+TILE = 64
+
+
+def box_median_2d(df: DataFrame, keys: Sequence[str], half: int, x: str = "x", y: str = "y", value: str = "value", out: str = "smooth", tile: int = TILE) -> DataFrame:
+    """Median of a square of pixels about each pixel, of those that there are and have a value (nulls and NaN do not count).
+
+    Frames are cut into tiles that also get the pixels within `half` of their edges, so pixels are shuffled once, those near
+    edges twice or more. Squares are sorted by numpy, a line of a tile at a time. Pixels that are listed several times all count.
+    """
+    side = max(tile, 4 * half)
+    at = lambda c: F.floor(F.col(c) / side).cast("long")
+    near = lambda c: F.sequence(F.floor((F.col(c) - half) / side).cast("long"), F.floor((F.col(c) + half) / side).cast("long"))
+    own = [c for c in df.columns if c != out]
+    dealt = df.select(*own).where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("__tx", F.explode(near(x))).withColumn("__ty", F.explode(near(y)))
+    dealt = dealt.withColumn("__own", (F.col("__tx") == at(x)) & (F.col("__ty") == at(y)))
+
+    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
+        px, py = pdf[x].to_numpy(np.int64), pdf[y].to_numpy(np.int64)
+        mine = pdf["__own"].to_numpy(bool)
+        done = pdf.loc[mine, own].copy()
+        done[out] = box_medians(px - px.min(), py - py.min(), pdf[value].to_numpy(float, na_value=np.nan), half)[mine]
+        return done
+
+    kinds = [f for f in df.select(*own).schema.fields]
+    return dealt.groupBy(*keys, "__tx", "__ty").applyInPandas(smooth, StructType([*kinds, StructField(out, DoubleType())]))
+
+
+def box_medians(x: np.ndarray, y: np.ndarray, value: np.ndarray, half: int) -> np.ndarray:
+    """Median of the values within half of each point in x and in y; places are whole numbers from 0, NaN does not count."""
+    n = 2 * half + 1
+    order = np.lexsort((x, y))
+    again = np.r_[False, (x[order][1:] == x[order][:-1]) & (y[order][1:] == y[order][:-1])]
+    run = np.arange(len(x)) - np.maximum.accumulate(np.where(again, 0, np.arange(len(x))))
+    layer = np.empty(len(x), np.int64)
+    layer[order] = run  # how often the place was listed before
+    grid = np.full((int(layer.max()) + 1, int(y.max()) + n, int(x.max()) + n), np.nan)
+    grid[layer, y + half, x + half] = value
+    out = np.full(grid.shape[1:], np.nan)
+    for line in np.unique(y).tolist():
+        box = np.lib.stride_tricks.sliding_window_view(grid[:, line : line + n], n, axis=2)  # (layers, n, columns, n)
+        box = np.sort(box.transpose(2, 0, 1, 3).reshape(box.shape[2], -1), axis=1)
+        count = (~np.isnan(box)).sum(axis=1)
+        rows = np.arange(len(box))
+        low, high = box[rows, np.maximum(count - 1, 0) // 2], box[rows, count // 2 % box.shape[1]]
+        out[line, : len(box)] = np.where(count > 0, np.where(count % 2, low, (low + high) / 2), np.nan)
+    return out[y, x]
 
 
 def expand_shifts(rows: DataFrame, starts: DataFrame, keys: Sequence[str], row: str = "y", shift: str = "shift") -> DataFrame:
