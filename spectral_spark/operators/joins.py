@@ -342,7 +342,7 @@ def time_model(series: DataFrame, targets: DataFrame, on: Sequence[str], order:
     scaled = known.join(span.where(F.col("__times") > order), list(on)).withColumn("__u", (t - F.col("__mid")) / F.col("__half"))
     fit = polyfit(scaled, on, "__u", value, order).select(*on, F.col("coeffs").alias("__c"))
     late = F.col(end) + F.when(F.col(end) < F.col(start), DAY).otherwise(0.0)
-    u = lambda x: (x - F.col("__mid")) / F.col("__half")
+    u = lambda x: F.try_divide(x - F.col("__mid"), F.col("__half"))
     out = targets.join(span.join(fit, list(on), "left"), list(on)).withColumns({"__a": u(F.col(start)), "__b": u(late)})
     a, b = F.col("__a"), F.col("__b")
     # (b^(p+1) - a^(p+1)) / (b - a) as a sum, which also holds where the interval is a moment

@@ -1,10 +1,12 @@
 """Queries of joins (C)."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import views as V
 from ..operators import joins as J
-from ..registry import query
+from ..registry import query, solve_sql
 
 
 def _part(spark, d):
@@ -68,6 +70,23 @@ def c6_detrend(spark, d):
     return J.detrend(s, bias, dark, flat, key, 2.0, 900.0, 300.0).select(*key, "frame", F.round("value", 4).alias("value"), "mask")
 
 
+def _laid_out(spark, d, buckets=16):
+    s = V.stack(spark, d)
+    key = ["camera", "y", "x"]
+    put = lambda df, name: J.lay_out(df, f"{name}_{uuid.uuid4().hex}", key, buckets)
+    bias = s.groupBy(*key).agg(F.min("value").alias("value"), F.every("mask").alias("mask"))
+    dark = s.where("frame <= 3").groupBy(*key).agg(F.max("error").alias("value")).withColumn("mask", F.lit(False))
+    flat = s.where("frame >= 3").groupBy(*key).agg((F.max("error") / 25.0).alias("value")).withColumn("mask", F.lit(False))
+    return put(s, "raw"), put(bias, "bias"), put(dark, "dark"), put(flat, "flat")
+
+
+@query(f"""WITH {_MASTERS} SELECT p.camera, p.y, p.x, p.frame, round(((value - b.v) * 2.0 - coalesce(k.v, 0) * 900.0 / 300.0) / coalesce(f.v, 1.0), 4) AS value, mask OR b.m AS mask
+FROM stack p JOIN b ON b.camera = p.camera AND b.y = p.y AND b.x = p.x LEFT JOIN k ON k.camera = p.camera AND k.y = p.y AND k.x = p.x LEFT JOIN f ON f.camera = p.camera AND f.y = p.y AND f.x = p.x""", "stack")
+def c6_detrend_laid_out(spark, d):
+    """Masters and frames as tables of one layout: their pixels join without a shuffle."""
+    return J.detrend(*_laid_out(spark, d), ["camera", "y", "x"], 2.0, 900.0, 300.0).select("camera", "y", "x", "frame", F.round("value", 4).alias("value"), "mask")
+
+
 @query("""WITH a AS (SELECT * FROM stack WHERE frame = 1), b AS (SELECT * FROM stack WHERE frame = 2)
 SELECT a.camera, a.y, a.x, a.value + b.value AS s, round(sqrt(a.error * a.error + b.error * b.error), 6) AS se, round(a.value / b.value, 6) AS q, round(sqrt((a.error / b.value) * (a.error / b.value) + (b.error * a.value / (b.value * b.value)) * (b.error * a.value / (b.value * b.value))), 9) AS qe, a.mask OR b.mask AS mask
 FROM a JOIN b USING (camera, y, x)""", "stack")
@@ -110,6 +129,33 @@ def c10_brightest_in_radius(spark, d):
     return out.select(F.col("centre").alias("fiberid"), "star", "mag", "rank")
 
 
+_SKY = """fib AS (SELECT fiberid, (fiberid * 37 % 360)::DOUBLE + 0.25 AS ra, CASE WHEN fiberid % 10 = 0 THEN 89.5 ELSE (fiberid * 17 % 181 - 90)::DOUBLE END AS dec FROM fibermap),
+stars AS (SELECT p_partkey AS star, floor(p_retailprice)::BIGINT AS mag, (p_partkey * 101 % 3600) / 10.0 AS bra, CASE WHEN p_partkey % 10 = 0 THEN 89.0 + (p_partkey % 70) / 70.0 ELSE (p_partkey * 29 % 1800) / 10.0 - 90 END AS bdec FROM part),
+q AS (SELECT *, pow(sin(radians((dec - bdec) / 2)), 2) + cos(radians(dec)) * cos(radians(bdec)) * pow(sin(radians((ra - bra) / 2)), 2) AS h FROM fib, stars), r AS (SELECT *, degrees(2 * asin(least(sqrt(h), 1))) AS dist FROM q)"""
+
+
+def _sky(spark, d):
+    """Positions over the whole sky, many of them near the pole and about right ascension 0."""
+    f, p = F.col("fiberid"), F.col("p_partkey")
+    fib = V.fibermap(spark, d).select("fiberid", ((f * 37 % 360).cast("double") + 0.25).alias("x"), F.when(f % 10 == 0, 89.5).otherwise((f * 17 % 181 - 90).cast("double")).alias("y"))
+    bdec = F.when(p % 10 == 0, F.lit(89.0) + (p % 70) / 70.0).otherwise((p * 29 % 1800) / 10.0 - 90)
+    return fib, _part(spark, d).select(p.alias("star"), F.floor("p_retailprice").alias("mag"), ((p * 101 % 3600) / 10.0).alias("bx"), bdec.alias("by"))
+
+
+@query(f"WITH {_SKY}, p AS (SELECT * FROM r WHERE dist <= 1.5) SELECT fiberid, star, round(dist, 6) AS distance FROM (SELECT *, count(*) OVER (PARTITION BY fiberid) AS n FROM p) WHERE n = 1", "fibermap")
+def c9_cone_match_sky(spark, d):
+    """Great circles, over the turn of right ascension and the pole."""
+    return J.cone_match(*_sky(spark, d), 1.5, sky=True).select("fiberid", "star", F.round("distance", 6).alias("distance"))
+
+
+@query(f"WITH {_SKY}, p AS (SELECT *, row_number() OVER (PARTITION BY fiberid ORDER BY mag, star) AS n FROM r WHERE dist <= 4 AND mag < 1700) SELECT fiberid, star, mag, n::INT AS rank FROM p WHERE n <= 5", "fibermap")
+def c10_brightest_on_sky(spark, d):
+    fib, stars = _sky(spark, d)
+    centres = fib.select(F.col("fiberid").alias("centre"), F.col("x").alias("cx"), F.col("y").alias("cy")).withColumnsRenamed({"cx": "bx", "cy": "by"})
+    out = J.brightest_in_radius(stars.select("star", "mag", F.col("bx").alias("x"), F.col("by").alias("y")), centres, 4.0, 1700, 5, sky=True)
+    return out.select(F.col("centre").alias("fiberid"), "star", "mag", "rank")
+
+
 @query(f"WITH {_PLANE} SELECT b.fiberid AS aperture, count(*) AS members, sum(a.fiberid)::BIGINT AS total FROM fib a JOIN fib b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 64 GROUP BY ALL", "fibermap")
 def c11_aperture_members(spark, d):
     fib, _ = _plane(spark, d)
@@ -161,6 +207,20 @@ def c17_time_model(spark, d):
     return a.join(J.time_model(s, t, ["fiberid"], 1).select("fiberid", F.round("model", 3).alias("line")), "fiberid")
 
 
+_POWERS = ", ".join([f"sum(pow(u, {p})) AS s{p}" for p in range(5)] + [f"sum(pow(u, {p}) * flux) AS t{p}" for p in range(3)])
+
+
+@query(f"""WITH s AS (SELECT fiberid, CASE WHEN k <= 3 THEN 86100.0 + 100 * k ELSE 86400.0 + 100 * k END AS t, flux FROM samples), m AS (SELECT fiberid, (min(t) + max(t)) / 2 AS mid, (max(t) - min(t)) / 2 AS half FROM s GROUP BY fiberid HAVING count(DISTINCT t) > 2),
+p AS (SELECT fiberid, any_value(mid) AS mid, any_value(half) AS half, {_POWERS} FROM (SELECT s.*, mid, half, (t - mid) / half AS u FROM s JOIN m USING (fiberid)) GROUP BY fiberid), {solve_sql("p", "c", 3, "fiberid, mid, half")},
+i AS (SELECT *, (86200.0 - mid) / half AS a, (600.0 + 86400 - mid) / half AS b FROM c)
+SELECT fiberid, round(x0 + x1 * (b * b - a * a) / 2 / (b - a) + x2 * (b * b * b - a * a * a) / 3 / (b - a), 2) AS model FROM i""", "samples")
+def c17_time_model_midnight(spark, d):
+    """A parabola in time, integrated over an exposure that passes midnight (clock times fall back to 0)."""
+    s = V.samples(spark, d).withColumn("t", F.when(F.col("k") <= 3, F.lit(86100.0) + 100 * F.col("k")).otherwise(F.lit(86400.0) + 100 * F.col("k")))
+    t = s.groupBy("fiberid").agg(F.countDistinct("t").alias("n")).where("n > 2").select("fiberid").withColumns({"start": F.lit(86200.0), "end": F.lit(600.0)})
+    return J.time_model(s, t, ["fiberid"], 2).select("fiberid", F.round("model", 2).alias("model"))
+
+
 @query("SELECT telescope, block, count(*) AS n, sum(flux) AS flux FROM samples JOIN fibermap USING (fiberid) GROUP BY telescope, block", "samples fibermap")
 def c18_join_fibermap(spark, d):
     out = J.join_fibermap(V.samples(spark, d), V.fibermap(spark, d), ["telescope", "block"])

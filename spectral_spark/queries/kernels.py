@@ -8,7 +8,7 @@ from ..operators import extraction as K
 from ..operators import fits
 from ..operators import spectra as P
 from ..plans import workflows
-from ..registry import query
+from ..registry import query, solve_sql
 from ..shared import shared_path
 from ..streaming import ingest
 from .spectra import r4
@@ -26,9 +26,28 @@ def d39_polyfit(spark, d):
     return f.select("fiberid", F.round(F.get("coeffs", F.lit(0)), 5).alias("c0"), F.round(F.get("coeffs", F.lit(1)), 6).alias("c1"), "n")
 
 
-@query(None)
+def _sums(n: int, u: str, y: str) -> str:
+    return ", ".join([f"sum(pow({u}, {p})) AS s{p}" for p in range(2 * n - 1)] + [f"sum(pow({u}, {p}) * {y}) AS t{p}" for p in range(n)])
+
+
+def _poly(n: int, u: str) -> str:
+    return " + ".join(f"x{p} * pow({u}, {p})" for p in range(n))
+
+
+def _clipped_sql(n: int, rounds: int, nsigma: float) -> str:
+    """Tables f0.. of repeated fits, each without what lies off the one before."""
+    u, out = "((k - 32) / 32.0)", ["r0 AS (SELECT fiberid, k, flux FROM cells)"]
+    for r in range(rounds + 1):
+        out.append(f"p{r} AS (SELECT fiberid, {_sums(n, u, 'flux')} FROM r{r} GROUP BY fiberid), {solve_sql(f'p{r}', f'f{r}', n, 'fiberid, s0')}")
+        if r < rounds:
+            out.append(f"d{r} AS (SELECT r{r}.*, flux - ({_poly(n, u)}) AS d FROM r{r} JOIN f{r} USING (fiberid)), r{r + 1} AS (SELECT fiberid, k, flux FROM (SELECT *, stddev_pop(d) OVER (PARTITION BY fiberid) AS s FROM d{r}) WHERE abs(d) <= {nsigma} * s)")
+    return ", ".join(out)
+
+
+@query(f"WITH {_clipped_sql(4, 3, 2.5)} SELECT fiberid, round(x0, 3) AS c0, round(x1, 3) AS c1, round(x2, 3) AS c2, round(x3, 3) AS c3, s0::BIGINT AS n FROM f3", "cells")
 def d40_polyfit_clipped(spark, d):
-    return fits.polyfit_clipped(V.cells(spark, d), ["fiberid"], "k", "flux", 3, 2.5, centre=32.0, width=32.0)
+    f = fits.polyfit_clipped(V.cells(spark, d), ["fiberid"], "k", "flux", 3, 2.5, centre=32.0, width=32.0)
+    return f.select("fiberid", *[F.round(F.get("coeffs", F.lit(p)), 3).alias(f"c{p}") for p in range(4)], "n")
 
 
 @query(None)
@@ -198,10 +217,18 @@ def k8_star_sensitivity(spark, d):
     return r4(K.star_sensitivity(c, ref, ["fiberid"], "k", 2), "sens", n=6).select("fiberid", "k", "sens")
 
 
-@query(None)
+def _continuum_fit_sql(rounds: int = 4) -> str:
+    u, out = "((k - 32) / 32.0)", ["q0 AS (SELECT fiberid, k, flux + 20000 AS flux, false AS clipped, NULL::DOUBLE AS c FROM cells)"]
+    for r in range(rounds):
+        out.append(f"p{r} AS (SELECT fiberid, {_sums(5, u, 'flux')} FROM q{r} WHERE NOT clipped GROUP BY fiberid), {solve_sql(f'p{r}', f'f{r}', 5, 'fiberid')}")
+        out.append(f"q{r + 1} AS (SELECT fiberid, k, flux, clipped OR coalesce(flux < 0.9 * c, false) AS clipped, c FROM (SELECT q{r}.* EXCLUDE (c), {_poly(5, u)} AS c FROM q{r} LEFT JOIN f{r} USING (fiberid)))")
+    return ", ".join(out)
+
+
+@query(f"WITH {_continuum_fit_sql()} SELECT fiberid, k, clipped, round(c, 3) AS continuum FROM q4", "cells")
 def k9_fit_continuum(spark, d):
     c = V.cells(spark, d).withColumn("flux", F.col("flux") + 20000)
-    return r4(K.fit_continuum(c, ["fiberid"], "k", "flux", 4, 0.9, centre=32.0, width=32.0), "continuum").select("fiberid", "k", "clipped", "continuum")
+    return r4(K.fit_continuum(c, ["fiberid"], "k", "flux", 4, 0.9, centre=32.0, width=32.0), "continuum", n=3).select("fiberid", "k", "clipped", "continuum")
 
 
 @query(f"""WITH {_TRACE}, f AS (SELECT t.*, fiberid + 1.0 AS flux FROM trace t), r AS (SELECT camera, frame, x, unnest(range(centre::INT - 6, centre::INT + 7)) AS y, centre, flux FROM f) SELECT camera, frame, x, y::INT AS y, round(sum(flux * exp(-0.5 * ((y - centre) / 2.5) * ((y - centre) / 2.5)) / (2.5 * sqrt(2 * pi()))), 6) AS model FROM r GROUP BY camera, frame, x, y""", "stack")

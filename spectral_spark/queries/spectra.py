@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from .. import views as V
 from ..operators import spectra as P
+from ..operators import templates as T
 from ..registry import query
 from .stack import biweight_sql
 
@@ -220,6 +221,20 @@ def d36_cube_weighted(spark, d):
     return r4(r4(P.cube_weighted(V.samples(spark, d), _weights(spark, d), ["ix", "iy"], ["k"], least=3), "flux", n=3), "error", n=6)
 
 
+@query("""WITH f AS (SELECT fiberid, (fiberid % 20)::DOUBLE AS x, (fiberid % 13)::DOUBLE AS y FROM fibermap), s AS (SELECT DISTINCT floor(x / 2)::INT AS ix, floor(y / 2)::INT AS iy FROM f),
+o AS (SELECT DISTINCT k, round(0.3 * (k - 3) / 0.5) * 0.5 AS dx, round(-0.2 * (k - 3) / 0.5) * 0.5 AS dy FROM samples),
+w AS (SELECT k, fiberid, ix, iy, exp(-0.5 * pow(sqrt((x + dx - ix * 2) * (x + dx - ix * 2) + (y + dy - iy * 2) * (y + dy - iy * 2)) / 1.2, 2)) AS w FROM f, o, s WHERE (x + dx - ix * 2) * (x + dx - ix * 2) + (y + dy - iy * 2) * (y + dy - iy * 2) <= 6.25)
+SELECT k, ix, iy, round(sum(CASE WHEN NOT mask THEN w * flux END) / sum(CASE WHEN NOT mask THEN w END), 3) AS flux, round(sqrt(sum(CASE WHEN NOT mask THEN w * w * error * error END)) / sum(CASE WHEN NOT mask THEN w END), 6) AS error, count(*) FILTER (NOT mask) AS cover, count(*) FILTER (NOT mask) < 3 AS mask FROM samples JOIN w USING (fiberid, k) GROUP BY k, ix, iy""", "samples fibermap")
+def d36_cube_drifting(spark, d):
+    """Fibres that drift with wavelength, in steps of half a unit."""
+    fib = V.fibermap(spark, d).select("fiberid", (F.col("fiberid") % 20).cast("double").alias("x"), (F.col("fiberid") % 13).cast("double").alias("y"))
+    sp = fib.select((F.col("x") / 2).cast("int").alias("ix"), (F.col("y") / 2).cast("int").alias("iy")).distinct().withColumns({"bx": F.col("ix") * 2.0, "by": F.col("iy") * 2.0})
+    s = V.samples(spark, d)
+    drift = s.select("k").distinct().withColumns({"dx": F.lit(0.3) * (F.col("k") - 3), "dy": F.lit(-0.2) * (F.col("k") - 3)})
+    weights, places = P.drift_weights(fib, sp, drift, ["k"], 2.5, 1.2, step=0.5)
+    return r4(r4(P.cube_drifting(s, weights, places, ["ix", "iy"], ["k"], least=3), "flux", n=3), "error", n=6)
+
+
 @query("SELECT y, x, camera, round(avg(CASE WHEN NOT mask THEN value END), 4) AS value, count(*) FILTER (NOT mask) AS good FROM stack GROUP BY y, x, camera", "stack")
 def d37_cube_combine(spark, d):
     return r4(P.cube_combine(V.stack(spark, d), ["y", "x", "camera"], "value"), "value")
@@ -267,6 +282,16 @@ def d43_best_shift_stretched(spark, d):
     return r4(P.best_shift(c.withColumn("flux", F.col("flux") + F.col("k")), c, ["fiberid"], "k", 3, stretches=(0.9, 1.0, 1.125), normalize=True), "score", n=7)
 
 
+@query(None)
+def d43_align_profiles(spark, d):
+    """Spectra as profiles of blocks of eight fibres, moved by as many places as their group says, against unmoved ones."""
+    c = V.cells(spark, d)
+    shape = F.when(F.col("k") % 20 < 16, F.lit(1000.0) + F.abs("flux") / 10).otherwise(0.0) * F.when(F.col("k") % 2 == 0, 1.0).otherwise(0.3)
+    ref = c.select("fiberid", "grp", "k", shape.alias("flux"))
+    moved = ref.withColumn("k", F.col("k") + F.col("grp") - 4)
+    return r4(T.align_profiles(moved, ref, ["fiberid"], "k", most=8, fine=2, box=5, distance=1), "shift", "score", n=6)
+
+
 @query("WITH u AS (SELECT fiberid, k, flux, error, part FROM samples) SELECT fiberid, round(sum(flux * part / (error * error)) / sum(part * part / (error * error)), 6) AS scale FROM u GROUP BY fiberid", "samples")
 def d44_template_scale(spark, d):
     return r4(P.template_scale(V.samples(spark, d), ["fiberid"], "flux", "part", "error"), "scale", n=6)

@@ -1,5 +1,7 @@
 """Queries of windows, sorts and sets (E, F, G)."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from .. import views as V
@@ -117,7 +119,29 @@ def e13_laplacian_outliers(spark, d):
     return r4(W.laplacian_outliers(p, ["camera"], 3.0, F.lit(4096.0)), "score", n=6).select("camera", "y", "x", "score", "cosmic")
 
 
-@query(None)
+def _laplacian_sql(name: str, source: str, value: str) -> str:
+    """Table <name>: source with the positive Laplacian of a value as lap."""
+    near = lambda a, dx, dy: f"LEFT JOIN {source} {a} ON {a}.camera = p.camera AND {a}.x = p.x + {dx} AND {a}.y = p.y + {dy}"
+    part = lambda a, b: f"greatest(2 * p.{value} - coalesce({a}.{value}, p.{value}) - coalesce({b}.{value}, p.{value}), 0)"
+    return f"{name} AS (SELECT p.*, ({part('l', 'u')} + {part('r', 'u')} + {part('l', 'd')} + {part('r', 'd')}) / 4 AS lap FROM {source} p {near('l', -1, 0)} {near('r', 1, 0)} {near('u', 0, -1)} {near('d', 0, 1)})"
+
+
+def _blur_sql(name: str, source: str, value: str, out: str, by: str, order: str, sigma: float = 1.0) -> str:
+    """Table <name>: source with a Gaussian blur along one axis, whose end values stand for what lies beyond."""
+    h = int(4 * sigma + 0.5)
+    c = [math.exp(-0.5 * (i / sigma) ** 2) for i in range(-h, h + 1)]
+    at = lambda i: f"coalesce({'lag' if i < 0 else 'lead'}({value}, {abs(i)}) OVER w, {'first' if i < 0 else 'last'}_value({value}) OVER z)" if i else value
+    total = " + ".join(f"{at(i)} * {x / sum(c)!r}::DOUBLE" for i, x in zip(range(-h, h + 1), c))
+    return f"{name} AS (SELECT *, {total} AS {out} FROM {source} WINDOW w AS (PARTITION BY camera, {by} ORDER BY {order}), z AS (PARTITION BY camera, {by} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"
+
+
+_BOX = "ON a.camera = b.camera AND abs(a.x - b.x) <= 2 AND abs(a.y - b.y) <= 2 GROUP BY a.camera, a.y, a.x"
+
+
+@query(f"""WITH p AS (SELECT camera, y, x, max(value) AS value FROM stack GROUP BY ALL), l AS (SELECT a.camera, a.y, a.x, any_value(a.value) AS value, quantile_cont(b.value, 0.5) AS level FROM p a JOIN p b {_BOX}), {_laplacian_sql("g", "l", "value")},
+s AS (SELECT camera, y, x, value, lap / (2 * sqrt(greatest(level, 0) + 25.0)) AS s FROM g), t AS (SELECT a.camera, a.y, a.x, any_value(a.value) AS value, any_value(a.s) - quantile_cont(b.s, 0.5) AS score FROM s a JOIN s b {_BOX}),
+{_blur_sql("e", "t", "value", "e", "y", "x")}, {_blur_sql("f", "e", "e", "f", "x", "y")}, n AS (SELECT camera, y, x, score, greatest(coalesce(value / nullif(f, 0), 0), 0) AS n FROM f), {_laplacian_sql("z", "n", "n")}
+SELECT camera, y, x, round(score, 6) AS score, round(lap, 6) AS fine, score > 20 AND lap > 0.5 AS cosmic FROM z""", "stack")
 def e13_cosmic_rays(spark, d):
     p = V.stack(spark, d).groupBy("camera", "y", "x").agg(F.max("value").alias("value"))
     return r4(W.cosmic_rays(p, ["camera"], 20.0, 0.5, 5.0), "score", "fine", n=6).select("camera", "y", "x", "score", "fine", "cosmic")
