@@ -293,6 +293,18 @@ def _interp_by_windows(samples: DataFrame, points: DataFrame, wave: str, out: st
     return samples.join(best, [F.col(c) == F.col(f"__{c}") for c in on] + [F.col(wave).cast("double") == F.col("__w")], "left").drop("__w", *[f"__{c}" for c in on])
 
 
+def interp_columns(samples: DataFrame, curve: DataFrame, wave: str, columns: Mapping[str, str], on: Sequence[str], curve_wave: str = "cw") -> DataFrame:
+    """interp_onto for several columns of curves by key at once: columns names each new column's column in the curve. One point for each wavelength."""
+    kind = curve.select(F.struct(F.col(curve_wave).cast("double").alias("x"), *[F.col(c).cast("double").alias(f"y{i}") for i, c in enumerate(columns.values())]).alias("__pt"), *on, F.col(curve_wave).cast("double").alias("__w")).where("__w is not null")
+    asked = samples.select(*on, F.col(wave).cast("double").alias("__w")).where("__w is not null").distinct().withColumn("__pt", F.lit(None).cast(kind.schema["__pt"].dataType))
+    before, after = carried(F.col("__pt"), [F.col(c) for c in on], "__w")
+    both = asked.withColumn("__q", F.lit(True)).unionByName(kind.withColumn("__q", F.lit(False))).withColumns({"__b": before, "__a": after}).where("__q")
+    b, a, x = F.col("__b"), F.col("__a"), F.col("__w")
+    line = lambda y: F.when(b.isNull(), a[y]).when(a.isNull() | (a["x"] == b["x"]), b[y]).otherwise(b[y] + (x - b["x"]) / (a["x"] - b["x"]) * (a[y] - b[y]))
+    best = both.select(*[F.col(c).alias(f"__{c}") for c in on], "__w", *[line(f"y{i}").alias(c) for i, c in enumerate(columns)])
+    return samples.join(best, [F.col(c) == F.col(f"__{c}") for c in on] + [F.col(wave).cast("double") == F.col("__w")], "left").drop("__w", *[f"__{c}" for c in on])
+
+
 def _bucket(x: Column, cuts: Sequence[float]) -> Column:
     """How many of the sorted cuts are at or below x, by halving."""
     table = F.array(*map(F.lit, cuts))

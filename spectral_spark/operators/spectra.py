@@ -218,8 +218,39 @@ def sensitivity_summary(df: DataFrame, keys: Sequence[str], k: str = "k", star:
 
 
 def choose_calibration(std: Column, stars: Column, mod: Column, sci: Column, least: int = 8, most: float = 1e-12) -> Column:
-    """MOD if there is a model curve, else STD with enough stars of low sensitivity, else SCI, else NONE."""
-    return F.when(mod.isNotNull() & (mod <= most), "MOD").when((stars >= least) & (std <= most), "STD").when(sci.isNotNull() & (sci <= most), "SCI").otherwise("NONE")
+    """MOD if there is a model curve, else STD with enough stars of low sensitivity, else SCI, else NONE. A mean of 0 or less, NaN or null is none."""
+    ok = lambda c: F.coalesce((c > 0) & (c <= most) & ~F.isnan(c.cast("double")), F.lit(False))
+    return F.when(ok(mod), "MOD").when((stars >= least) & ok(std), "STD").when(ok(sci), "SCI").otherwise("NONE")
+
+
+def choose_sensitivity(curves: DataFrame, keys: Sequence[str], asked: str = "MOD", k: str = "k", star: str = "star", source: str = "source", value: str = "sens", least: int = 8, most: float = 1e-12) -> tuple[DataFrame, DataFrame]:
+    """(choice, curve) of each key's stars, whose source is STD, MOD or SCI: (keys, method, asked) and (keys, k, sens, rms).
+
+    A source's curve is the biweight over its stars at each k. Standards and models are given up for the science field where
+    their curve is 0 or null throughout, where fewer than `least` stars have any value, and, for standards, where it is
+    negative anywhere. Standards whose mean is over `most` give way to the science field and that to them. What is chosen in
+    the end must have a mean of at most `most` and a curve that is not 0 or null throughout; else there is none, and no curve.
+    """
+    v = F.when(~F.isnan(F.col(value).cast("double")), F.col(value))
+    good = curves.withColumn(value, v).where(F.col(value).isNotNull())
+    mean = biweight_stats(good, [*keys, source, k], value).select(*keys, source, k, F.col("location").alias(value), F.col("scale").alias("rms"))
+    stars = good.groupBy(*keys, source).agg(F.countDistinct(star).alias("__stars"))
+    state = mean.groupBy(*keys, source).agg(F.avg(value).alias("__mean"), F.every(F.col(value) == 0).alias("__zero"), F.bool_or(F.col(value) < 0).alias("__negative")).join(stars, [*keys, source])
+    of = lambda name, c: F.max(F.when(F.col(source) == name, F.col(c))).alias(f"__{name}{c}")
+    row = curves.select(*keys).distinct().join(state.groupBy(*keys).agg(*[of(n, c) for n in ("STD", "MOD", "SCI") for c in ("__mean", "__zero", "__negative", "__stars")]), list(keys), "left")
+    at = lambda name, c: F.col(f"__{name}__{c}")
+    bad = lambda name: F.coalesce(at(name, "zero"), F.lit(True)) | (at(name, "stars") < least)
+    high = lambda name: F.coalesce(at(name, "mean") > most, F.lit(False))
+    method = F.when(F.lit(asked) == "NONE", "NONE").when((F.lit(asked) == "STD") & (bad("STD") | at("STD", "negative")), "SCI").when((F.lit(asked) == "MOD") & bad("MOD"), "SCI").otherwise(F.lit(asked))
+    row = row.withColumn("method", method)
+    row = row.withColumn("method", F.when((F.col("method") == "STD") & high("STD"), "SCI").otherwise(F.col("method")))
+    row = row.withColumn("method", F.when((F.col("method") == "SCI") & high("SCI"), "STD").otherwise(F.col("method")))
+    none = F.lit(False)
+    for name in ("STD", "MOD", "SCI"):
+        none = none | (F.col("method") == name) & (high(name) | F.coalesce(at(name, "zero"), F.lit(True)))
+    choice = row.withColumn("method", F.when(none, "NONE").otherwise(F.col("method"))).select(*keys, "method", F.lit(asked).alias("asked"))
+    curve = mean.join(choice.select(*keys, F.col("method").alias(source)), [*keys, source]).select(*keys, k, value, "rms")
+    return choice, curve
 
 
 # --- D32, D33: photometry
@@ -451,22 +482,30 @@ def fiber_exptime(exptime: Column, std_exptime: Column, telescope: Column, stand
     return F.when(telescope == standard, F.coalesce(std_exptime, exptime / parts)).otherwise(exptime)
 
 
-def apply_fluxcal(df: DataFrame, sens: DataFrame | None, extinction: DataFrame, keys: Sequence[str], airmass: Mapping[str, str], wave: str = "wave", value: str = "flux", error: str = "error", telescope: str = "telescope", exptime: str = "exptime", std_exptime: str = "std_exptime") -> DataFrame:
-    """Flux and error times sensitivity and 10^(0.4 extinction airmass), over the fibre's exposure time.
+def apply_fluxcal(df: DataFrame, sens: DataFrame | None, extinction: DataFrame, keys: Sequence[str], airmass: Mapping[str, str], wave: str = "wave", value: str = "flux", error: str = "error", telescope: str = "telescope", exptime: str = "exptime", std_exptime: str = "std_exptime", telluric: DataFrame | None = None, also: Sequence[str] = ()) -> DataFrame:
+    """Flux and error (and the columns `also`) times sensitivity and 10^(0.4 extinction airmass), over the fibre's exposure time.
+
+    telluric has (telescope, keys, trans): the sensitivity is divided by the transmission that each telescope looked through;
+    one that is not listed looked through none.
 
     sens has (keys, sens); None is no calibration, only the times are divided out. extinction is a curve (cw, cv) in
     magnitudes; airmass names the column of each telescope's (science fibres and standards look the same way). A sample
     without sensitivity, or of a telescope that is not named, becomes null.
     """
     time = fiber_exptime(F.col(exptime), F.col(std_exptime), F.col(telescope))
+    columns = (value, error, *also)
     if sens is None:
-        return df.withColumns({c: F.try_divide(F.col(c), time) for c in (value, error)})
+        return df.withColumns({c: F.try_divide(F.col(c), time) for c in columns})
     mass = F.lit(None).cast("double")
     for name, column in airmass.items():
         mass = F.when(F.col(telescope) == name, F.col(column)).otherwise(mass)
     out = interp_onto(df, extinction, wave, "__ext").join(sens.select(*keys, F.col("sens").alias("__sens")), list(keys), "left")
-    factor = F.try_divide(F.col("__sens") * extinction_factor(F.col("__ext"), mass), time)
-    return out.withColumn("__f", factor).withColumns({c: F.col(c) * F.col("__f") for c in (value, error)}).drop("__ext", "__sens", "__f")
+    curve = F.col("__sens")
+    if telluric is not None:
+        out = out.join(telluric.select(F.col(telescope), *keys, F.col("trans").alias("__trans")), [telescope, *keys], "left")
+        curve = F.try_divide(curve, F.coalesce("__trans", F.lit(1.0)))
+    factor = F.try_divide(curve * extinction_factor(F.col("__ext"), mass), time)
+    return out.withColumn("__f", factor).withColumns({c: F.col(c) * F.col("__f") for c in columns}).drop("__ext", "__sens", "__f", "__trans")
 
 
 def swap_fluxcal(df: DataFrame, old: DataFrame, new: DataFrame, keys: Sequence[str], value: str = "flux", sens: str = "sens") -> DataFrame:

@@ -207,19 +207,24 @@ def rebin_conserving(df: DataFrame, keys: Sequence[str], order: str, start: floa
     return e.groupBy(*keys, F.col("bin").cast("int").alias("bin")).agg(F.sum(F.col(value) * F.greatest(part, F.lit(0.0))).alias(value))
 
 
-def rectify(df: DataFrame, keys: Sequence[str], order: str, start: float, step: float, n: int, wave: str = "wave", value: str = "flux", error: str = "error", mask: str = "mask") -> DataFrame:
+def rectify(df: DataFrame, keys: Sequence[str], order: str, start: float, step: float, n: int, wave: str = "wave", value: str = "flux", error: str = "error", mask: str = "mask", more: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Linear interpolation of native samples onto a uniform grid (k, wave = start + k step); the mask is that of the nearer sample.
 
+    more has further columns of values and of their errors.
+
     Each pair of neighbouring samples makes the grid points between them, so there is no join. Points outside have no row.
     """
     w = _by(*keys).orderBy(order)
     nxt = lambda c: F.lead(c).over(w)
-    s = df.withColumns({"__w": nxt(wave), "__v": nxt(value), "__e": nxt(error), "__m": nxt(mask)}).where(F.col("__w") > F.col(wave))
+    pairs = [(value, error), *more]
+    s = df.withColumns({"__w": nxt(wave), "__m": nxt(mask), **{f"__{i}{j}": nxt(pairs[i][j]) for i in range(len(pairs)) for j in range(2)}}).where(F.col("__w") > F.col(wave))
     first, last = F.ceil((F.col(wave) - start) / step), F.ceil((F.col("__w") - start) / step) - 1
     s = s.withColumn("__f", F.greatest(first, F.lit(0))).withColumn("__l", F.least(last, F.lit(n - 1))).where("__l >= __f").withColumn("k", F.explode(F.sequence("__f", "__l")))
     t = (F.lit(start) + F.col("k") * step - F.col(wave)) / (F.col("__w") - F.col(wave))
-    a, b = (1 - t) * F.col(error), t * F.col("__e")
-    return s.select(*keys, F.col("k").cast("int").alias("k"), (F.col(value) + t * (F.col("__v") - F.col(value))).alias(value), F.sqrt(a * a + b * b).alias(error), F.when(t < 0.5, F.col(mask)).otherwise(F.col("__m")).alias(mask))
+    between = lambda i, v: (F.col(v) + t * (F.col(f"__{i}0") - F.col(v))).alias(v)
+    spread = lambda i, e: F.sqrt(F.pow((1 - t) * F.col(e), F.lit(2)) + F.pow(t * F.col(f"__{i}1"), F.lit(2))).alias(e)
+    values = [c for i, (v, e) in enumerate(pairs) for c in (between(i, v), spread(i, e))]
+    return s.select(*keys, F.col("k").cast("int").alias("k"), *values, F.when(t < 0.5, F.col(mask)).otherwise(F.col("__m")).alias(mask))
 
 
 def linear_to_log(df: DataFrame, keys: Sequence[str], wave: str = "wave", value: str = "flux") -> DataFrame:

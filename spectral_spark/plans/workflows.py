@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.robust import median
-from ..operators import extraction, joins, spectra, stack, windows
+from ..functions.scalars import eval_poly
+from ..operators import extraction, filters, joins, spectra, stack, windows
+from ..shared import stored
 
 
 def matched_stack(frames: DataFrame, samples: DataFrame, master_kind: str, kind: str = "imagetyp") -> DataFrame:
@@ -57,6 +59,88 @@ def reduce_science(pixels: DataFrame, masters: Masters, trace: DataFrame, fiberf
     return spectra.apply_fluxcal(science, sens, extinction, ["k"], {"Sci": "airmass", "Spec": "airmass"}).select(exposure, "fiberid", "k", "flux", "error", "mask")
 
 
+class Calibrations(NamedTuple):
+    """What a night's frames are reduced with."""
+
+    masters: Masters
+    #: (exposure, channel, fiberid, x, centre), and for each (channel, fiberid) the coefficients of wavelength and resolution (wave, lsf).
+    trace: DataFrame
+    waves: DataFrame
+    #: (channel, fiberid, x, flux), (line_wave) of sky lines.
+    fiberflat: DataFrame
+    lines: DataFrame
+    #: (k, sens), (cw, cv) in magnitudes, (telescope, k, trans).
+    sens: DataFrame
+    extinction: DataFrame
+    telluric: DataFrame
+
+
+def native_spectra(pixels: DataFrame, overscan: Column, cal: Calibrations, exposures: DataFrame, exposure: str = "frame", channel: str = "camera", columns: int = 4086, level: float = 65536.0, edge: int = 3, stat: str = "biweight", aperture: int = 3, gain: float = 1.0, dark_time: float = 1.0, half: float = 4.0, snr: float = 10.0) -> tuple[DataFrame, DataFrame]:
+    """(spectra, saturation) of all fibres on their own wavelengths: (exposure, channel, fiberid, x, wave, lsf, flux, error, mask).
+
+    The overscan's level of each row comes off and the overscan is cut away; saturated pixels and edges are masked; frames
+    are detrended and extracted, given wavelengths and resolution from their coefficients, divided by the fibre flat, and
+    their wavelengths moved by the sky lines' offset of each fibre. The spectra are stored, as skies and resampling read them.
+    """
+    key = [exposure, channel]
+    profile = stack.overscan_profile(pixels.where(overscan), key, "y", stat)
+    level_off = stack.subtract_overscan(pixels.where(~overscan), profile, key)
+    clean, share = filters.mask_saturated(level_off, key, columns, level, edge=edge)
+    extracted = extract_frames(clean.join(joins.small(exposures.select(exposure, "exptime")), exposure), cal.masters, cal.trace, key, aperture, gain, F.col("exptime"), dark_time)
+    x = F.col("x").cast("double")
+    placed = extracted.join(joins.small(cal.waves.withColumnsRenamed({"wave": "__wave", "lsf": "__lsf"})), [channel, "fiberid"]).withColumns({"wave": eval_poly(F.col("__wave"), x), "lsf": eval_poly(F.col("__lsf"), x)}).drop("__wave", "__lsf")
+    flat = stored(joins.apply_fiberflat(placed, cal.fiberflat, [channel, "fiberid", "x"]).select(*key, "fiberid", "x", "wave", "lsf", "flux", "error", "mask"), "flat")
+    offsets = spectra.wave_offsets(flat.where(~F.col("mask")), cal.lines, key, half=half, snr=snr)
+    moved = flat.join(offsets, [*key, "fiberid"], "left").withColumn("wave", F.col("wave") - F.coalesce("offset", F.lit(0.0))).drop("offset")
+    return stored(moved, "native"), share
+
+
+def with_skies(native: DataFrame, fibers: DataFrame, exposures: DataFrame, step: float, exposure: str = "frame", channel: str = "camera", n: float = 3.0) -> DataFrame:
+    """Spectra with the sky of both telescopes at each sample's own wavelength, blended by the exposure's weights: sky, sky_error.
+
+    A telescope's sky is made from its fibres on their own wavelengths, outlying fibres and masked samples left out. Where
+    one telescope has no sky, the other's serves; where neither has, it is 0.
+    """
+    key = [exposure, channel]
+    out = native.join(joins.small(fibers), "fiberid").join(joins.small(exposures.select(exposure, "weight_e", "weight_w")), exposure)
+    for name, side in (("east", "SkyE"), ("west", "SkyW")):
+        sky = extraction.super_sky(out.where(F.col("telescope") == side), key, step, fiber="fiberid", mask="mask", n=n)
+        out = joins.interp_columns(out, sky, "wave", {f"__{name}": "cv", f"__{name}_error": "error"}, key)
+    a, b = F.col("weight_e") * F.col("__east_error"), F.col("weight_w") * F.col("__west_error")
+    both = F.col("weight_e") * F.col("__east") + F.col("weight_w") * F.col("__west")
+    return out.withColumns({"sky": F.coalesce(both, "__east", "__west", F.lit(0.0)), "sky_error": F.coalesce(F.sqrt(a * a + b * b), "__east_error", "__west_error", F.lit(0.0))}).drop("__east", "__west", "__east_error", "__west_error", "weight_e", "weight_w")
+
+
+def reduce_exposures(pixels: DataFrame, overscan: Column, cal: Calibrations, fibers: DataFrame, exposures: DataFrame, grid: tuple[float, float, int], step: float, exposure: str = "frame", channel: str = "camera", **how) -> tuple[DataFrame, DataFrame]:
+    """(spectra, quality): raw frames to sky-subtracted, flux-calibrated spectra of all fibres on one grid, and each exposure's summary.
+
+    spectra: (exposure, fiberid, telescope, k, flux, error, sky, sky_error, mask). After native_spectra and with_skies, fluxes
+    and skies become densities, are resampled to the grid (start, step, points), flux-calibrated through each telescope's
+    airmass (exposures: airmass, airmass_e, airmass_w) and telluric transmission, and the channels joined; then the sky
+    comes off. quality: mean, median and standard deviation of the good fluxes, and the greatest saturated share of a frame.
+    fibers has (fiberid, telescope, std_exptime), exposures (exposure, exptime, weight_e, weight_w, airmasses). how goes to
+    native_spectra.
+    """
+    start, width, n = grid
+    native, share = native_spectra(pixels, overscan, cal, exposures, exposure, channel, **how)
+    skies = with_skies(native, fibers.select("fiberid", "telescope"), exposures, step, exposure, channel)
+    dense = windows.gradient(skies, [exposure, channel, "fiberid"], "x", "wave", "__g")
+    dense = dense.withColumns({c: F.try_divide(F.col(c), F.col("__g")) for c in ("flux", "error", "sky", "sky_error")})
+    rows = windows.rectify(dense, [exposure, channel, "fiberid", "telescope"], "x", start, width, n, more=[("sky", "sky_error")])
+    seen = rows.join(joins.small(fibers.select("fiberid", "std_exptime")), "fiberid").join(joins.small(exposures.drop("weight_e", "weight_w")), exposure).withColumn("wave", F.lit(start) + F.col("k") * width)
+    masses = {"Sci": "airmass", "Spec": "airmass", "SkyE": "airmass_e", "SkyW": "airmass_w"}
+    done = spectra.apply_fluxcal(seen, cal.sens, cal.extinction, ["k"], masses, telluric=cal.telluric, also=["sky", "sky_error"])
+    keys = [exposure, "fiberid", "telescope", "k"]
+    done = stored(done.select(*keys, channel, "flux", "error", "sky", "sky_error", "mask"), "channels")
+    flux = spectra.join_channels(done, keys, channel).drop("channels")
+    sky = spectra.join_channels(done, keys, channel, "sky", "sky_error").drop("channels", "mask")
+    whole = flux.join(sky, keys).withColumns({"flux": F.col("flux") - F.col("sky"), "error": F.sqrt(F.col("error") * F.col("error") + F.col("sky_error") * F.col("sky_error"))})
+    whole = stored(whole.select(*keys, "flux", "error", "sky", "sky_error", "mask"), "whole")
+    worst = share.groupBy(exposure).agg(F.max("share").alias("saturated"))
+    quality = spectra.summarize_with_placeholder(whole, [exposure]).join(worst, exposure, "left")
+    return whole, quality
+
+
 def master_calibrations(frames: DataFrame, pixels: DataFrame, kinds: Sequence[str], number: str = "frame", kind: str = "imagetyp", quality: str = "qaqual") -> DataFrame:
     """Masters (kind, camera, y, x, value, error, mask, n) of each kind and camera from the good frames that the catalogue lists."""
     out = None

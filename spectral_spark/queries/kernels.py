@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 from .. import views as V
 from ..functions import robust
 from ..operators import extraction as K
-from ..operators import fits
+from ..operators import filters, fits
 from ..operators import spectra as P
+from ..operators import stack as ST
 from ..plans import workflows
 from ..registry import query, solve_sql
 from ..shared import shared_path
 from ..streaming import ingest
 from .spectra import r4
+from .stack import biweight_sql
 
 _TRACE = "trace AS (SELECT DISTINCT camera, frame, x, (y // 10)::BIGINT AS fiberid, (y // 10) * 10 + 4.0 AS centre FROM stack)"
 
@@ -284,6 +286,90 @@ def w_reduce_science(spark, d):
     return r4(r4(out, "flux"), "error", n=6).select("frame", "fiberid", "k", "flux", "error", "mask")
 
 
+_SIDES = "CASE WHEN fiberid % 3 = 1 THEN 'Sci' WHEN fiberid % 3 = 2 THEN 'Spec' WHEN fiberid % 2 = 0 THEN 'SkyE' ELSE 'SkyW' END"
+
+
+def _side_sql(side: str) -> str:
+    """Tables of one telescope's sky: outlying fibres out, bins of inverse variance, and its value and error at every sample."""
+    z = side[-1].lower()
+    return f"""{z}0 AS (SELECT frame, camera, fiberid, avg(flux) AS mean FROM mv WHERE telescope = '{side}' GROUP BY ALL), {biweight_sql(z + "b", z + "0", "frame, camera", "mean")},
+{z}1 AS (SELECT {z}0.frame, {z}0.camera, fiberid FROM {z}0 JOIN {z}b ON {z}0.frame = {z}b.frame AND {z}0.camera = {z}b.camera WHERE abs(mean - location) <= 3 * scale),
+{z}2 AS (SELECT m.frame, m.camera, sum(w / (error * error)) / sum(1 / (error * error)) AS x, sum(flux / (error * error)) / sum(1 / (error * error)) AS y, 1 / sqrt(sum(1 / (error * error))) AS e FROM mv m JOIN {z}1 USING (frame, camera, fiberid) WHERE telescope = '{side}' AND NOT mask AND error > 0 GROUP BY m.frame, m.camera, floor(w / 5.0)),
+{z}3 AS (SELECT *, lead(x) OVER u AS x2, lead(y) OVER u AS y2, lead(e) OVER u AS e2, first_value(y) OVER u AS y0, first_value(e) OVER u AS e0, min(x) OVER u AS x0 FROM {z}2 WINDOW u AS (PARTITION BY frame, camera ORDER BY x)),
+{z}4 AS (SELECT DISTINCT frame, camera, y0, e0 FROM {z}3),
+{z}5 AS (SELECT m.frame, m.camera, fiberid, m.x, CASE WHEN s.x IS NULL THEN f.y0 WHEN x2 IS NULL THEN y ELSE y + (w - s.x) / (x2 - s.x) * (y2 - y) END AS v, CASE WHEN s.x IS NULL THEN f.e0 WHEN x2 IS NULL THEN e ELSE e + (w - s.x) / (x2 - s.x) * (e2 - e) END AS e FROM mv m LEFT JOIN {z}4 f ON f.frame = m.frame AND f.camera = m.camera ASOF LEFT JOIN {z}3 s ON s.frame = m.frame AND s.camera = m.camera AND m.w >= s.x)"""
+
+
+_GOOD = "NOT mask AND error > 0"
+_NATIVE = f"""{_TRACE}, raw AS (SELECT camera, frame, y, x, CASE WHEN x >= 46 THEN floor(value / 1000) ELSE value END AS value, error, mask FROM stack WHERE frame < 8),
+ov AS (SELECT camera, frame, y, quantile_cont(value, 0.5) AS v FROM raw WHERE x >= 46 GROUP BY ALL), cl AS (SELECT r.camera, r.frame, r.y, r.x, value - coalesce(v, 0) AS value, error, mask OR value - coalesce(v, 0) >= 90000 OR x < 2 OR x >= 44 AS mask, value - coalesce(v, 0) >= 90000 AS hot FROM raw r LEFT JOIN ov USING (camera, frame, y) WHERE x < 46),
+b AS (SELECT camera, y, x, min(value) AS v, bool_and(mask) AS m FROM stack GROUP BY ALL), dk AS (SELECT camera, y, x, max(error) AS v FROM stack WHERE frame <= 3 GROUP BY ALL), fl AS (SELECT camera, y, x, max(error) / 25.0 AS v FROM stack WHERE frame >= 3 GROUP BY ALL),
+p AS (SELECT s.camera, s.frame, s.y, s.x, (s.value - b.v - coalesce(dk.v, 0) * 900.0 / 300.0) / coalesce(fl.v, 1.0) AS value, error, mask OR b.m AS mask FROM cl s JOIN b ON b.camera = s.camera AND b.y = s.y AND b.x = s.x LEFT JOIN dk ON dk.camera = s.camera AND dk.y = s.y AND dk.x = s.x LEFT JOIN fl ON fl.camera = s.camera AND fl.y = s.y AND fl.x = s.x),
+e AS (SELECT t.camera, t.frame, t.fiberid, t.x, sum(value) AS flux, sqrt(sum(error * error)) AS error, bool_or(mask) AS mask FROM trace t JOIN p s ON s.camera = t.camera AND s.frame = t.frame AND s.x = t.x AND s.y BETWEEN t.centre - 1 AND t.centre + 1 GROUP BY ALL),
+fr AS (SELECT camera, x, quantile_cont(flux, 0.5) AS r FROM e WHERE frame = 7 AND NOT mask GROUP BY ALL), ff AS (SELECT e.camera, e.fiberid, e.x, flux / nullif(r, 0) AS f FROM e LEFT JOIN fr ON fr.camera = e.camera AND fr.x = e.x WHERE frame = 7),
+d AS (SELECT e.frame, e.camera, e.fiberid, e.x, flux / nullif(coalesce(f, 1.0), 0) AS flux, error / nullif(coalesce(f, 1.0), 0) AS error, mask OR flux / nullif(coalesce(f, 1.0), 0) IS NULL AS mask, CASE e.camera WHEN 'A' THEN 100.0 WHEN 'N' THEN 180.0 ELSE 260.0 END + 0.25 * e.fiberid + e.x * (2.0 + 0.002 * e.x) AS w FROM e LEFT JOIN ff ON ff.camera = e.camera AND ff.fiberid = e.fiberid AND ff.x = e.x WHERE e.frame < 7),
+li(line) AS (VALUES (130.0), (210.0), (290.0)), lm AS (SELECT frame, camera, fiberid, line, sum(flux * w) / nullif(sum(flux), 0) AS c, sum(flux) / nullif(sqrt(sum(error * error)), 0) AS snr FROM d JOIN li ON abs(w - line) <= 4 WHERE NOT mask GROUP BY ALL),
+lo AS (SELECT frame, camera, fiberid, quantile_cont(CASE WHEN snr >= 100 THEN c - line END, 0.5) AS o FROM lm GROUP BY ALL), lg AS (SELECT frame, camera, fiberid, CASE WHEN avg((o IS NOT NULL)::INT) OVER (PARTITION BY frame, camera) > 0.5 THEN coalesce(o, 0) ELSE 0 END AS o FROM lo),
+mv AS (SELECT d.* REPLACE (w - coalesce(o, 0) AS w), {_SIDES} AS telescope FROM d LEFT JOIN lg USING (frame, camera, fiberid))"""
+_REDUCED = f"""WITH {_NATIVE}, {_side_sql("SkyE")}, {_side_sql("SkyW")},
+sk AS (SELECT mv.*, coalesce((0.2 + mv.frame / 10.0) * e.v + (0.8 - mv.frame / 10.0) * z.v, e.v, z.v, 0) AS sky, coalesce(sqrt((0.2 + mv.frame / 10.0) * e.e * (0.2 + mv.frame / 10.0) * e.e + (0.8 - mv.frame / 10.0) * z.e * (0.8 - mv.frame / 10.0) * z.e), e.e, z.e, 0) AS sky_error FROM mv JOIN e5 e USING (frame, camera, fiberid, x) JOIN w5 z USING (frame, camera, fiberid, x)),
+gr AS (SELECT *, coalesce((lead(w) OVER u - lag(w) OVER u) / 2, lead(w) OVER u - w, w - lag(w) OVER u) AS g FROM sk WINDOW u AS (PARTITION BY frame, camera, fiberid ORDER BY x)),
+dn AS (SELECT frame, camera, fiberid, telescope, x, w, mask, flux / nullif(g, 0) AS flux, error / nullif(g, 0) AS error, sky / nullif(g, 0) AS sky, sky_error / nullif(g, 0) AS sky_error FROM gr),
+n AS (SELECT *, lead(w) OVER u AS w2, lead(flux) OVER u AS v2, lead(error) OVER u AS e2, lead(sky) OVER u AS s2, lead(sky_error) OVER u AS t2, lead(mask) OVER u AS m2 FROM dn WINDOW u AS (PARTITION BY frame, camera, fiberid ORDER BY x)),
+g AS (SELECT *, unnest(range(greatest(ceil((w - 100) / 3), 0)::INT, (least(ceil((w2 - 100) / 3) - 1, 89) + 1)::INT)) AS k FROM n WHERE w2 > w), h AS (SELECT *, (100.0 + k * 3.0 - w) / (w2 - w) AS t FROM g),
+r AS (SELECT frame, camera, fiberid, telescope, k, flux + t * (v2 - flux) AS flux, sqrt(pow((1 - t) * error, 2) + pow(t * e2, 2)) AS error, sky + t * (s2 - sky) AS sky, sqrt(pow((1 - t) * sky_error, 2) + pow(t * t2, 2)) AS sky_error, CASE WHEN t < 0.5 THEN mask ELSE m2 END AS mask FROM h),
+f AS (SELECT *, (1.0 + k / 100.0) / CASE telescope WHEN 'SkyE' THEN 0.9 + k / 1000.0 WHEN 'SkyW' THEN 0.8 + k / 1000.0 ELSE 0.95 END * pow(10.0::DOUBLE, 0.4 * (0.3 + (3.0 * k) / 300 * (0.1 - 0.3)) * (1.1 + frame / 50.0 + CASE telescope WHEN 'SkyE' THEN 0.1 WHEN 'SkyW' THEN 0.2 ELSE 0 END)) / CASE WHEN telescope <> 'Spec' THEN 900.0 WHEN fiberid % 2 = 0 THEN 60.0 ELSE 75.0 END AS f FROM r),
+c AS (SELECT frame, fiberid, telescope, k, CASE WHEN count(*) = 1 THEN any_value(flux * f) ELSE sum(CASE WHEN {_GOOD} THEN flux * f / pow(error * f, 2) END) / sum(CASE WHEN {_GOOD} THEN 1 / pow(error * f, 2) END) END AS flux, CASE WHEN count(*) = 1 THEN any_value(error * f) ELSE 1 / sqrt(sum(CASE WHEN {_GOOD} THEN 1 / pow(error * f, 2) END)) END AS error,
+CASE WHEN count(*) = 1 THEN any_value(sky * f) ELSE sum(CASE WHEN NOT mask AND sky_error > 0 THEN sky * f / pow(sky_error * f, 2) END) / sum(CASE WHEN NOT mask AND sky_error > 0 THEN 1 / pow(sky_error * f, 2) END) END AS sky, CASE WHEN count(*) = 1 THEN any_value(sky_error * f) ELSE 1 / sqrt(sum(CASE WHEN NOT mask AND sky_error > 0 THEN 1 / pow(sky_error * f, 2) END)) END AS sky_error, bool_and(mask) AS mask FROM f GROUP BY ALL),
+o AS (SELECT frame, fiberid, telescope, k, flux - sky AS flux, sqrt(error * error + sky_error * sky_error) AS error, sky, mask FROM c)"""
+
+
+def _exposures(spark, d):
+    """What reduce_exposures takes, from the stack of frames: the last columns stand for the overscan, frame 7 for the lamp."""
+    s = V.stack(spark, d)
+    key = ["camera", "y", "x"]
+    masters = workflows.Masters(
+        bias=s.groupBy(*key).agg(F.min("value").alias("value"), F.every("mask").alias("mask")),
+        dark=s.where("frame <= 3").groupBy(*key).agg(F.max("error").alias("value")).withColumn("mask", F.lit(False)),
+        flat=s.where("frame >= 3").groupBy(*key).agg((F.max("error") / 25.0).alias("value")).withColumn("mask", F.lit(False)),
+    )
+    raw = s.where("frame < 8").withColumn("value", F.when(F.col("x") >= 46, F.floor(F.col("value") / 1000)).otherwise(F.col("value")).cast("double"))
+    overscan = F.col("x") >= 46
+    first = F.when(F.col("camera") == "A", 100.0).when(F.col("camera") == "N", 180.0).otherwise(260.0) + F.lit(0.25) * F.col("fiberid")
+    waves = trace(s).select("camera", "fiberid").distinct().withColumns({"wave": F.array(first, F.lit(2.0), F.lit(0.002)), "lsf": F.array(F.lit(1.5), F.lit(0.01))})
+    fibers = trace(s).select("fiberid").distinct().withColumn("telescope", F.when(F.col("fiberid") % 3 == 1, "Sci").when(F.col("fiberid") % 3 == 2, "Spec").when(F.col("fiberid") % 2 == 0, "SkyE").otherwise("SkyW"))
+    fibers = fibers.withColumn("std_exptime", F.when(F.col("telescope") == "Spec", F.when(F.col("fiberid") % 2 == 0, 60.0).otherwise(75.0)))
+    mass = F.lit(1.1) + F.col("frame") / 50.0
+    exposures = s.select("frame").where("frame < 8").distinct().withColumns({"exptime": F.lit(900.0), "weight_e": F.lit(0.2) + F.col("frame") / 10.0, "weight_w": F.lit(0.8) - F.col("frame") / 10.0, "airmass": mass, "airmass_e": mass + 0.1, "airmass_w": mass + 0.2})
+    lines = spark.createDataFrame([(130.0,), (210.0,), (290.0,)], "line_wave double")
+    ks = spark.range(90).select(F.col("id").cast("int").alias("k"))
+    sens = ks.withColumn("sens", F.lit(1.0) + F.col("k") / 100.0)
+    extinction = spark.createDataFrame([(100.0, 0.3), (400.0, 0.1)], "cw double, cv double")
+    telluric = ks.withColumn("telescope", F.explode(F.array(*map(F.lit, ("Sci", "Spec", "SkyE", "SkyW"))))).withColumn("trans", F.when(F.col("telescope") == "SkyE", F.lit(0.9) + F.col("k") / 1000.0).when(F.col("telescope") == "SkyW", F.lit(0.8) + F.col("k") / 1000.0).otherwise(0.95))
+    cal = workflows.Calibrations(masters, trace(s), waves, None, lines, sens, extinction, telluric)
+    how = {"columns": 46, "level": 90000.0, "edge": 2, "stat": "median", "dark_time": 300.0, "snr": 100.0}
+    lamp = raw.where("frame = 7")
+    profile = ST.overscan_profile(lamp.where(overscan), ["frame", "camera"], "y", "median")
+    clean, _ = filters.mask_saturated(ST.subtract_overscan(lamp.where(~overscan), profile, ["frame", "camera"]), ["frame", "camera"], 46, 90000.0, edge=2)
+    lit = workflows.extract_frames(clean, masters, trace(lamp), ["frame", "camera"], exptime=900.0, dark_time=300.0)
+    cal = cal._replace(fiberflat=P.fiberflat(lit, ["camera", "x"]))
+    return workflows.reduce_exposures(raw.where("frame < 7"), overscan, cal, fibers, exposures, (100.0, 3.0, 90), 5.0, **how)
+
+
+@query(f"{_REDUCED} SELECT frame, fiberid, telescope, k, round(flux, 3) AS flux, round(error, 4) AS error, round(sky, 3) AS sky, mask FROM o", "stack")
+def w_reduce_exposures(spark, d):
+    """Raw frames to calibrated spectra of all fibres: overscan, saturation, detrending, extraction, wavelengths from coefficients, fibre flat, sky-line shift, a sky for each telescope before resampling, densities, telluric and flux calibration, channels, sky subtraction."""
+    out, _ = _exposures(spark, d)
+    return r4(r4(out, "flux", "sky", n=3), "error").select("frame", "fiberid", "telescope", "k", "flux", "error", "sky", "mask")
+
+
+@query(f"{_REDUCED}, q AS (SELECT frame, round(coalesce(avg(CASE WHEN NOT mask THEN flux END), -999.9), 3) AS mean, round(coalesce(quantile_cont(CASE WHEN NOT mask THEN flux END, 0.5), -999.9), 3) AS median, round(coalesce(stddev_pop(CASE WHEN NOT mask THEN flux END), -999.9), 3) AS std FROM o GROUP BY frame), s AS (SELECT frame, max(n) AS saturated FROM (SELECT frame, camera, count(*) FILTER (hot) / count(*) AS n FROM cl WHERE frame < 7 GROUP BY ALL) GROUP BY frame) SELECT q.*, round(saturated, 6) AS saturated FROM q JOIN s USING (frame)", "stack")
+def w_exposure_quality(spark, d):
+    """The quality summary of the same reduction."""
+    _, quality = _exposures(spark, d)
+    return r4(r4(quality, "mean", "median", "std", n=3), "saturated", n=6)
+
+
 _KINDS = "CASE WHEN frame <= 2 THEN 'bias' WHEN frame <= 4 THEN 'arc' ELSE 'flat' END"
 
 
