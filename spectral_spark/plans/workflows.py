@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.robust import median
 from ..functions.scalars import eval_poly
-from ..operators import extraction, filters, joins, spectra, stack, windows
+from ..operators import extraction, filters, fits, joins, spectra, stack, windows
 from ..shared import stored
 
 
@@ -151,6 +151,41 @@ def master_calibrations(frames: DataFrame, pixels: DataFrame, kinds: Sequence[st
     return out
 
 
+def arc_wavelengths(pixels: DataFrame, trace: DataFrame, lines: DataFrame, degree: int, lsf_degree: int, aperture: int = 3, half: float = 4.0, smooth: int = 1, scale: float = 1.0, channel: str = "camera", frame: str = "frame") -> DataFrame:
+    """Wavelength and resolution of each fibre (channel, fiberid, coeffs, n, sigma, median, min, max, lsf_coeffs) from arc frames.
+
+    Arcs are stacked to a master of each channel, extracted along the trace (channel, x, fiberid, centre), each line (line,
+    line_wave, pixel near which it lies) fitted by a Gaussian, widths smoothed across fibres, and polynomials fitted.
+    """
+    master = stored(stack.make_master(pixels, "arc", channel, frame), "arc")
+    spectra_ = extraction.extract_aperture(master.drop("n"), trace, aperture, [channel]).withColumn("wave", F.col("x").cast("double"))
+    near = lines.select("line", F.col("pixel").cast("double").alias("line_wave"))
+    found = extraction.fit_lines(spectra_, near, [channel, "fiberid"], half).drop("line_wave").join(joins.small(lines.select("line", "line_wave")), "line")
+    return extraction.wavelength_solution(extraction.smooth_fwhm(found, [channel], smooth), [channel, "fiberid"], degree, scale=scale, lsf_degree=lsf_degree)
+
+
+def twilight_flats(frames: DataFrame, samples: DataFrame, fibers: DataFrame, centre: float, width: float, exposure: str = "expnum", label: str = "calibfib", k: str = "k", number: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(flat, factors, gradients): the master fibre flat (fiberid, k, flux, n), each spectrograph's factor, and each exposure's gradient.
+
+    The first good exposure of each standard is taken (number of them at most). In each, fluxes near a wavelength are fitted
+    by a plane over the field (fibers: fiberid, x, y, telescope, spectrographid) times a factor for each spectrograph; the
+    gradient is divided out and each fibre divided by the median fibre. Flats are combined by biweights over exposures, in
+    which standards count only where they were exposed: the one of greatest flux over error of those off the rest.
+    """
+    chosen = windows.choose_sequence(frames.where(F.col("qaqual") == "GOOD"), label, number=exposure, n=number).select(exposure)
+    s = stored(samples.join(joins.small(chosen), exposure, "left_semi").join(joins.small(fibers), "fiberid"), "twilights")
+    level = spectra.coadd_window(s, [exposure, "fiberid"], k, centre, width, mask="mask").join(joins.small(fibers), "fiberid")
+    fit = stored(fits.fit_gradient(level.where(F.col("telescope") != "Spec"), [exposure], value="coadd", group="spectrographid"), "gradients")
+    plain = fits.remove_gradient(s, fit, [exposure], group="spectrographid")
+    flat = spectra.fiberflat(plain, [exposure, k])
+    snr = s.where((F.col("telescope") == "Spec") & ~F.col("mask")).groupBy(exposure, "fiberid").agg(median(F.try_divide("flux", "error")).alias("snr"))
+    lit = spectra.exposed_standard(snr, [exposure], nsigma=0.0).select(exposure, "fiberid").withColumn("__lit", F.lit(True))
+    known = flat.join(joins.small(lit), [exposure, "fiberid"], "left")
+    dark = F.col("mask") | (F.col("telescope") == "Spec") & F.col("__lit").isNull()
+    factors = fit.where("factors is not null").select(exposure, F.explode("factors").alias("key", "value"))
+    return spectra.combine_flats(known, ["fiberid", k], dark), spectra.factor_means(factors), fit
+
+
 def catalogue_summary(frames: DataFrame, epochs: DataFrame) -> DataFrame:
     """Frames of one night and class with their members, calibration epoch and nearest other exposure's distance."""
     ref = windows.dedupe_keep_first(joins.nearest_reference(frames, ["camera", "imagetyp"]), ["expnum"], "mjd")

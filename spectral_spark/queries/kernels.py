@@ -77,6 +77,32 @@ def i2_ingest_stream(spark, d):
     return spark.read.schema("part long, tileid long, expnum long, exptime double").parquet(sink)
 
 
+@query("SELECT mjd, camera, tileid, count(DISTINCT expnum) AS frames FROM frames GROUP BY ALL", "frames")
+def i1_stream_new_frames(spark, d):
+    """Every frame is found twice in a run, and runs overlap: first the nights of even number, then all."""
+    schema = spark.read.parquet(f"{d}/orders.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{d}/orders.parquet*")
+    mjd = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1858-11-17").cast("date"))
+    rows = stream.select(mjd.alias("mjd"), F.col("o_orderpriority").alias("camera"), F.col("o_orderkey").alias("expnum"), F.col("o_custkey").alias("tileid"), F.floor(mjd / 100).alias("season"))
+    sink, keys = shared_path(spark, "frames"), ["season", "mjd", "camera", "expnum"]
+    ingest.stream_new_frames(rows.where("mjd % 2 = 0").unionByName(rows.where("mjd % 2 = 0")), sink, f"{sink}-first", keys, "season").awaitTermination()
+    ingest.stream_new_frames(rows.unionByName(rows), sink, f"{sink}-second", keys, "season").awaitTermination()
+    store = spark.read.schema("mjd int, camera string, expnum long, tileid long, season long").parquet(sink)
+    return store.groupBy("mjd", "camera", "tileid").agg(F.count("expnum").alias("frames"))
+
+
+@query("SELECT expnum, bit_or(k)::BIGINT AS stage FROM samples WHERE mask GROUP BY expnum", "samples")
+def i3_stream_stages(spark, d):
+    """Updates of stages in two runs, the later lines first."""
+    schema = spark.read.parquet(f"{d}/lineitem.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{d}/lineitem.parquet*").where("l_returnflag = 'R'")
+    rows = stream.select((F.col("l_orderkey") % 20).alias("part"), F.col("l_orderkey").alias("expnum"), F.col("l_linenumber").cast("long").alias("bits"))
+    sink = shared_path(spark, "stages")
+    for n, part in enumerate((rows.where("bits > 2"), rows.where("bits < 4"))):
+        ingest.stream_stages(part, sink, f"{sink}-{n}", ["part", "expnum"], "part").awaitTermination()
+    return spark.read.schema("part long, expnum long, bits long").parquet(sink).select("expnum", F.col("bits").alias("stage"))
+
+
 @query("WITH u AS (SELECT expnum, bit_or(k) AS b FROM samples WHERE mask GROUP BY expnum) SELECT expnum, (1 | coalesce(b, 0))::BIGINT AS stage FROM frames LEFT JOIN u USING (expnum)", "frames samples")
 def i3_update_stage(spark, d):
     f = V.frames(spark, d).withColumn("stage", F.lit(1).cast("long"))
@@ -204,6 +230,14 @@ def k7_super_sky(spark, d):
     return s
 
 
+@query(f"""WITH {biweight_sql("b", "(SELECT spec, fiberid, avg(flux) AS mean FROM samples GROUP BY ALL)", "spec", "mean")}, f AS (SELECT spec, fiberid FROM (SELECT spec, fiberid, avg(flux) AS mean FROM samples GROUP BY ALL) JOIN b USING (spec) WHERE abs(mean - location) <= 1.5 * scale)
+SELECT spec, part // 10 AS cell, round(sum(part / (error * error)) / sum(1 / (error * error)), 5) AS wave, round(sum(flux / (error * error)) / sum(1 / (error * error)), 3) AS sky, round(1 / sqrt(sum(1 / (error * error))), 6) AS error FROM samples JOIN f USING (spec, fiberid) WHERE NOT mask GROUP BY spec, part // 10""", "samples")
+def k7_super_sky_clean(spark, d):
+    """Outlying fibres and masked samples left out."""
+    s = K.super_sky(V.samples(spark, d), ["spec"], 10.0, "part", fiber="fiberid", mask="mask", n=1.5)
+    return s.select("spec", F.floor(F.col("cw") / 10).alias("cell"), F.round("cw", 5).alias("wave"), F.round("cv", 3).alias("sky"), F.round("error", 6).alias("error"))
+
+
 @query("""WITH b AS (SELECT spec, sum(part / (error * error)) / sum(1 / (error * error)) AS x, sum(flux / (error * error)) / sum(1 / (error * error)) AS y FROM samples GROUP BY spec, part // 10), s AS (SELECT *, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM b WINDOW w AS (PARTITION BY spec ORDER BY x)),
 e AS (SELECT spec, min(x) AS lo, arg_min(y, x) AS first FROM b GROUP BY spec) SELECT expnum, fiberid, k, part, round(CASE WHEN part <= lo THEN first WHEN x2 IS NULL THEN y ELSE y + (part - x) / (x2 - x) * (y2 - y) END, 3) AS sky FROM samples JOIN e USING (spec) ASOF LEFT JOIN s ON s.spec = samples.spec AND samples.part::DOUBLE >= s.x""", "samples")
 def k7_evaluate_sky(spark, d):
@@ -384,6 +418,41 @@ def w_master_calibrations(spark, d):
     return r4(out, "value").select("kind", "camera", "y", "x", "value", "mask", "n")
 
 
+@query(f"""WITH {_ARC_LINES}, f AS (SELECT DISTINCT fiberid, grp FROM cells WHERE fiberid % 3 = 0), x AS (SELECT fiberid, line_wave * 2 + 100 AS w, centre + grp * 0.05 AS c FROM f, l), s AS (SELECT fiberid, regr_slope(w, c) AS b, regr_intercept(w, c) AS a FROM x GROUP BY fiberid), r AS (SELECT fiberid, w - a - b * c AS r FROM x JOIN s USING (fiberid)), q AS (SELECT fiberid, stddev_pop(r) AS sigma FROM r GROUP BY fiberid)
+SELECT fiberid, 4::BIGINT AS n, round(a, 2) AS c0, round(b, 3) AS c1, round(sigma, 3) AS sigma, round(2 * sqrt(2 * ln(2.0::DOUBLE)) * 1.1 * b, 2) AS lsf0 FROM s JOIN q USING (fiberid)""", "cells")
+def w_arc_wavelengths(spark, d):
+    """Arc frames of several strengths, made of the spectra's lines across three rows a fibre, to wavelengths and resolution."""
+    arc = _arc(spark, d).where("fiberid % 3 = 0")
+    rows = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in enumerate((0.25, 0.5, 0.25))]))
+    frames = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
+    pixels = arc.withColumn("r", rows).withColumn("frame", frames).select(F.lit("b").alias("camera"), "frame", F.col("k").alias("x"), (F.col("fiberid") * 3 + F.col("r.i")).alias("y"), (F.col("flux") * F.col("r.w") * (F.lit(1.0) + F.col("frame") / 10.0)).alias("value"), F.lit(1.0).alias("error"), F.lit(False).alias("mask"))
+    trace_ = arc.select(F.lit("b").alias("camera"), F.col("k").alias("x"), "fiberid", (F.col("fiberid") * 3.0 + 1.0).alias("centre"))
+    lines = _lines(spark).select("line", F.col("line_wave").alias("pixel"), (F.col("line_wave") * 2 + 100).alias("line_wave"))
+    s = workflows.arc_wavelengths(pixels, trace_, lines, 1, 1)
+    at = lambda c, i: F.get(c, F.lit(i))
+    return s.select("fiberid", "n", F.round(at("coeffs", 0), 2).alias("c0"), F.round(at("coeffs", 1), 3).alias("c1"), F.round("sigma", 3).alias("sigma"), F.round(at("lsf_coeffs", 0), 2).alias("lsf0"))
+
+
+_PLANE_SUMS = "count(*) AS s00, sum(y) AS s01, sum(x) AS s02, sum(y * y) AS s11, sum(x * y) AS s12, sum(x * x) AS s22, sum(v) AS t0, sum(y * v) AS t1, sum(x * v) AS t2"
+
+
+@query(f"""WITH f AS (SELECT fiberid, (fiberid % 20)::DOUBLE AS x, ypmm / 10 AS y, CASE WHEN fiberid % 5 = 0 THEN 'Spec' ELSE 'Sci' END AS telescope FROM fibermap),
+a AS (SELECT k AS night, fiberid, (part // 200)::INT AS k, avg(flux) AS flux, avg(error) AS error FROM samples GROUP BY ALL), q AS (SELECT night, night % 3 AS label FROM a GROUP BY night), ch AS (SELECT min(night) AS night FROM q WHERE night <> 2 GROUP BY label), s AS (SELECT a.*, x, y, telescope FROM a JOIN ch USING (night) JOIN f USING (fiberid)),
+l AS (SELECT night, fiberid, x, y, avg(flux) AS v FROM s WHERE k > 2 AND k < 8 AND telescope <> 'Spec' GROUP BY ALL), p AS (SELECT night, {_PLANE_SUMS} FROM l GROUP BY night), {solve_sql("p", "c", 3, "night", lambda i, j: f"s{min(i, j)}{max(i, j)}")},
+g AS (SELECT s.*, x0 + x1 * y + x2 * x AS model FROM s JOIN c USING (night)), h AS (SELECT *, avg(model) OVER (PARTITION BY night) AS mean FROM g), d AS (SELECT *, flux * mean / nullif(model, 0) AS v FROM h),
+r AS (SELECT night, k, quantile_cont(v, 0.5) AS r FROM d GROUP BY ALL), n AS (SELECT d.*, v / nullif(r, 0) AS f FROM d JOIN r USING (night, k)),
+sn AS (SELECT night, fiberid, quantile_cont(flux / nullif(error, 0), 0.5) AS snr FROM s WHERE telescope = 'Spec' GROUP BY ALL), sm AS (SELECT night, quantile_cont(snr, 0.5) AS m FROM sn GROUP BY night), ex AS (SELECT night, arg_max(fiberid, snr) AS fiberid FROM sn JOIN sm USING (night) WHERE snr <> m GROUP BY night),
+u AS (SELECT n.fiberid, k, CASE WHEN f IS NULL OR f <= 0 OR telescope = 'Spec' AND ex.fiberid IS NULL THEN NULL ELSE f END AS f FROM n LEFT JOIN ex ON ex.night = n.night AND ex.fiberid = n.fiberid), {biweight_sql("b", "u", "fiberid, k", "f")}
+SELECT fiberid, k, round(location, 5) AS flux, n FROM b""", "samples fibermap")
+def w_twilight_flats(spark, d):
+    """Sequence, gradients, flats of each exposure and their combination. Lines of orders stand for nights, one spectrograph for all."""
+    f = V.fibermap(spark, d).select("fiberid", (F.col("fiberid") % 20).cast("double").alias("x"), (F.col("ypmm") / 10).alias("y"), F.when(F.col("fiberid") % 5 == 0, "Spec").otherwise("Sci").alias("telescope"), F.lit(1).alias("spectrographid"))
+    s = V.samples(spark, d).groupBy(F.col("k").alias("night"), "fiberid", F.floor(F.col("part") / 200).cast("int").alias("k")).agg(F.avg("flux").alias("flux"), F.avg("error").alias("error")).withColumn("mask", F.lit(False))
+    frames = s.select("night").distinct().withColumns({"calibfib": F.col("night") % 3, "qaqual": F.when(F.col("night") == 2, "BAD").otherwise("GOOD")})
+    flat, _, _ = workflows.twilight_flats(frames, s, f, 5.0, 6.0, "night")
+    return flat.select("fiberid", "k", F.round("flux", 5).alias("flux"), "n")
+
+
 @query("""WITH e AS (SELECT DISTINCT (mjd // 50 * 50)::INT AS epoch FROM frames), x AS (SELECT *, lag(expnum) OVER w AS b, lead(expnum) OVER w AS a FROM frames WINDOW w AS (PARTITION BY camera, imagetyp ORDER BY expnum)), n AS (SELECT *, CASE WHEN b IS NULL OR a - expnum < expnum - b THEN a ELSE b END AS r FROM x)
 SELECT camera, imagetyp, (mjd // 50 * 50)::INT AS epoch, count(*) AS frames, min(abs(r - expnum)) AS nearest, count(DISTINCT mjd) AS nights FROM n GROUP BY ALL""", "frames")
 def w_catalogue_summary(spark, d):

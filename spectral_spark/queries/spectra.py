@@ -168,6 +168,29 @@ def d31_sensitivity_summary(spark, d):
     return r4(s.withColumn("choice", P.choose_calibration(F.col("mean"), F.col("stars"), mod, F.lit(None).cast("double"), 8, 1e9)), "mean", "rms", n=3)
 
 
+_CURVES = """u AS (SELECT (expnum % 24)::INT AS night, CASE part % 3 WHEN 0 THEN 'STD' WHEN 1 THEN 'MOD' ELSE 'SCI' END AS source, k, fiberid AS star, flux, expnum % 24 % 8 AS c FROM samples),
+v AS (SELECT night, source, k, star, CASE WHEN c IN (1, 5) AND source = 'MOD' THEN 0 WHEN c = 2 AND source <> 'SCI' THEN NULL WHEN c = 3 AND source = 'STD' AND k = 1 THEN -flux WHEN c = 4 AND source = 'STD' OR c = 5 AND source = 'SCI' OR c = 6 THEN flux * 1000 WHEN c = 7 AND source = 'MOD' AND star > 3 THEN NULL ELSE flux END AS sens FROM u)"""
+
+
+@query(f"""WITH {_CURVES}, {biweight_sql("b", "v", "night, source, k", "sens")}, w AS (SELECT night, source, avg(location) AS m, bool_and(location = 0) AS z, bool_or(location < 0) AS neg FROM b GROUP BY ALL), n AS (SELECT night, source, count(DISTINCT star) AS n FROM v WHERE sens IS NOT NULL GROUP BY ALL),
+t AS (SELECT night, any_value(m) FILTER (source = 'STD') AS ms, coalesce(bool_or(z) FILTER (source = 'STD'), true) OR coalesce(any_value(n) FILTER (source = 'STD'), 0) < 8 OR coalesce(bool_or(neg) FILTER (source = 'STD'), false) AS bs, coalesce(bool_or(z) FILTER (source = 'STD'), true) AS zs, any_value(m) FILTER (source = 'MOD') AS mm, coalesce(bool_or(z) FILTER (source = 'MOD'), true) OR coalesce(any_value(n) FILTER (source = 'MOD'), 0) < 8 AS bm, coalesce(bool_or(z) FILTER (source = 'MOD'), true) AS zm, any_value(m) FILTER (source = 'SCI') AS mc, coalesce(bool_or(z) FILTER (source = 'SCI'), true) AS zc FROM (SELECT DISTINCT night FROM v) LEFT JOIN w USING (night) LEFT JOIN n USING (night, source) GROUP BY night),
+a(asked) AS (VALUES ('STD'), ('MOD')), x AS (SELECT *, CASE WHEN asked = 'STD' AND bs OR asked = 'MOD' AND bm THEN 'SCI' ELSE asked END AS m1 FROM t, a), y AS (SELECT *, CASE WHEN m1 = 'STD' AND coalesce(ms > 1e6, false) THEN 'SCI' ELSE m1 END AS m2 FROM x), q AS (SELECT *, CASE WHEN m2 = 'SCI' AND coalesce(mc > 1e6, false) THEN 'STD' ELSE m2 END AS m3 FROM y),
+c AS (SELECT night, asked, CASE WHEN m3 = 'STD' AND (coalesce(ms > 1e6, false) OR zs) OR m3 = 'MOD' AND (coalesce(mm > 1e6, false) OR zm) OR m3 = 'SCI' AND (coalesce(mc > 1e6, false) OR zc) THEN 'NONE' ELSE m3 END AS method FROM q)
+SELECT c.night, asked, method, round(m, 3) AS mean FROM c LEFT JOIN w ON w.night = c.night AND w.source = c.method""", "samples")
+def d31_choose_sensitivity(spark, d):
+    """Nights of eight kinds: plain; models of 0; no standards nor models; negative ones; too high standards; too high science fields; all too high; too few stars."""
+    u = V.samples(spark, d).select((F.col("expnum") % 24).cast("int").alias("night"), F.when(F.col("part") % 3 == 0, "STD").when(F.col("part") % 3 == 1, "MOD").otherwise("SCI").alias("source"), "k", F.col("fiberid").alias("star"), F.col("flux").alias("sens"), (F.col("expnum") % 24 % 8).alias("c"))
+    c, source = F.col("c"), F.col("source")
+    none = F.lit(None).cast("double")
+    sens = F.when(c.isin(1, 5) & (source == "MOD"), 0.0).when((c == 2) & (source != "SCI"), none).when((c == 3) & (source == "STD") & (F.col("k") == 1), -F.col("sens")).when((c == 4) & (source == "STD") | (c == 5) & (source == "SCI") | (c == 6), F.col("sens") * 1000).when((c == 7) & (source == "MOD") & (F.col("star") > 3), none).otherwise(F.col("sens"))
+    out = None
+    for asked in ("STD", "MOD"):
+        choice, curve = P.choose_sensitivity(u.withColumn("sens", sens), ["night"], asked, most=1e6)
+        one = choice.join(curve.groupBy("night").agg(F.round(F.avg("sens"), 3).alias("mean")), "night", "left")
+        out = one if out is None else out.unionByName(one)
+    return out.select("night", "asked", "method", "mean")
+
+
 _BAND = "band(cw, cv) AS (VALUES (0.0, 0.0), (10.0, 0.5), (30.0, 1.0), (50.0, 0.25), (60.0, 0.0)), seg AS (SELECT cw AS a, cv AS u, lead(cw) OVER (ORDER BY cw) AS b, lead(cv) OVER (ORDER BY cw) AS v FROM band)"
 
 

@@ -27,9 +27,9 @@ def query(sql: str | None = None, views: str = "") -> Callable[[Query], Query]:
     return add
 
 
-def solve_sql(source: str, out: str, n: int, keep: str) -> str:
-    """Tables for the normal equations of a polynomial with n coefficients: from source (keep, s0.., t0..) to out (keep, x0..)."""
-    m = [[f"s{i + j}" for j in range(n)] + [f"t{i}"] for i in range(n)]
+def solve_sql(source: str, out: str, n: int, keep: str, entry: Callable[[int, int], str] = lambda i, j: f"s{i + j}") -> str:
+    """Tables that solve n normal equations: from source (keep, entries of the matrix, t0..) to out (keep, x0..). By default those of a polynomial, from sums of powers."""
+    m = [[entry(i, j) for j in range(n)] + [f"t{i}"] for i in range(n)]
     steps = [f"{out}_0 AS (SELECT {keep}, " + ", ".join(f"{m[i][j]} AS m{i}_{j}" for i in range(n) for j in range(n + 1)) + f" FROM {source})"]
     for p in range(n):
         row = lambda i, j, p=p: f"m{i}_{j} / m{p}_{p}" if i == p else f"m{i}_{j} - m{i}_{p} * m{p}_{j} / m{p}_{p}"
