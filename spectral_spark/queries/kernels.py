@@ -328,7 +328,7 @@ def _side_sql(side: str) -> str:
     z = side[-1].lower()
     return f"""{z}0 AS (SELECT frame, camera, fiberid, avg(flux) AS mean FROM mv WHERE telescope = '{side}' GROUP BY ALL), {biweight_sql(z + "b", z + "0", "frame, camera", "mean")},
 {z}1 AS (SELECT {z}0.frame, {z}0.camera, fiberid FROM {z}0 JOIN {z}b ON {z}0.frame = {z}b.frame AND {z}0.camera = {z}b.camera WHERE abs(mean - location) <= 3 * scale),
-{z}2 AS (SELECT m.frame, m.camera, sum(w / (error * error)) / sum(1 / (error * error)) AS x, sum(flux / (error * error)) / sum(1 / (error * error)) AS y, 1 / sqrt(sum(1 / (error * error))) AS e FROM mv m JOIN {z}1 USING (frame, camera, fiberid) WHERE telescope = '{side}' AND NOT mask AND error > 0 GROUP BY m.frame, m.camera, floor(w / 5.0)),
+{z}2 AS (SELECT m.frame, m.camera, sum(w / (error * error)) / sum(1 / (error * error)) AS x, sum(flux / (error * error)) / sum(1 / (error * error)) AS y, 1 / sqrt(sum(1 / (error * error))) AS e FROM mv m JOIN {z}1 USING (frame, camera, fiberid) WHERE telescope = '{side}' AND NOT mask AND error > 0 GROUP BY m.frame, m.camera, floor(w / 5.5)),
 {z}3 AS (SELECT *, lead(x) OVER u AS x2, lead(y) OVER u AS y2, lead(e) OVER u AS e2, first_value(y) OVER u AS y0, first_value(e) OVER u AS e0, min(x) OVER u AS x0 FROM {z}2 WINDOW u AS (PARTITION BY frame, camera ORDER BY x)),
 {z}4 AS (SELECT DISTINCT frame, camera, y0, e0 FROM {z}3),
 {z}5 AS (SELECT m.frame, m.camera, fiberid, m.x, CASE WHEN s.x IS NULL THEN f.y0 WHEN x2 IS NULL THEN y ELSE y + (w - s.x) / (x2 - s.x) * (y2 - y) END AS v, CASE WHEN s.x IS NULL THEN f.e0 WHEN x2 IS NULL THEN e ELSE e + (w - s.x) / (x2 - s.x) * (e2 - e) END AS e FROM mv m LEFT JOIN {z}4 f ON f.frame = m.frame AND f.camera = m.camera ASOF LEFT JOIN {z}3 s ON s.frame = m.frame AND s.camera = m.camera AND m.w >= s.x)"""
@@ -387,7 +387,7 @@ def _exposures(spark, d):
     clean, _ = filters.mask_saturated(ST.subtract_overscan(lamp.where(~overscan), profile, ["frame", "camera"]), ["frame", "camera"], 46, 90000.0, edge=2)
     lit = workflows.extract_frames(clean, masters, trace(lamp), ["frame", "camera"], exptime=900.0, dark_time=300.0)
     cal = cal._replace(fiberflat=P.fiberflat(lit, ["camera", "x"]))
-    return workflows.reduce_exposures(raw.where("frame < 7"), overscan, cal, fibers, exposures, (100.0, 3.0, 90), 5.0, **how)
+    return workflows.reduce_exposures(raw.where("frame < 7"), overscan, cal, fibers, exposures, (100.0, 3.0, 90), 5.5, **how)
 
 
 @query(f"{_REDUCED} SELECT frame, fiberid, telescope, k, round(flux, 3) AS flux, round(error, 4) AS error, round(sky, 3) AS sky, mask FROM o", "stack")
