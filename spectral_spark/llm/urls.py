@@ -91,10 +91,10 @@ def match_patterns(pages: DataFrame, url_col: str = "url", rules=PATTERN_RULES)
 def match_hosts(pages: DataFrame, host: Column, path: Column, url_col: str = "url", rules=HOST_RULES) -> DataFrame:
     """(url, rule, verdict) for each distinct url with a host rule: the longest whose host is the url's or a parent of it and with whose path its path begins.
 
-    A url's host and its parents, a few, look up the rules that stand under them.
+    A url's host is looked up by its last labels, as many as a rule's host has: so very long hosts take no longer than reading them.
     """
-    labels = F.split("host", r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    lengths = sorted({h.count(".") + 1 for _, h, _ in rules} or {1})
+    parents = F.array_distinct(F.array(*[F.substring_index("host", ".", -n) for n in lengths]))
     table = pages.sparkSession.createDataFrame([tuple(r) for r in rules], "verdict string, under string, begin string")
     hint = F.broadcast if len(rules) <= BROADCAST_ROWS else (lambda df: df)
     urls = pages.select(F.col(url_col).alias("url"), host.alias("host"), path.alias("path")).where("host <> ''").distinct()

@@ -6,7 +6,7 @@ import re
 
 import duckdb
 
-from spectral_spark.llm import chat, common, licenses, queries, urls, warc
+from spectral_spark.llm import chat, common, components, licenses, queries, urls, warc
 
 
 # --- chat
@@ -104,7 +104,7 @@ def brute_url(url):
 
 
 def test_urls(spark, sf_dir):
-    own = [None, "", "no scheme", "http://A.Net/x", "https://example.net/en/1?utm_source=feed", "https://sub.example.NET/en/", "http://example.net", "http://net/", "http://xnet/", "https://example.com/de/9", "https://q.org/fr/1", "https://fr.org/en", "a://b://c/d", "http://x.com/casino/?q", "http://x.com/casinos", "http://ads.x.com/", "http://x.com/banner/a/b/click", "ftp://f.com/a", "http://x.com/newsroom/a.html", "http://x.com/p?ref=z&utm_medium=1", "http://É.example.com/de/", "http://x.com/" + "p" * 100_000, "http://x\n.net/a"]
+    own = [None, "", "no scheme", "http://A.Net/x", "https://example.net/en/1?utm_source=feed", "https://sub.example.NET/en/", "http://example.net", "http://net/", "http://xnet/", "https://example.com/de/9", "https://q.org/fr/1", "https://fr.org/en", "a://b://c/d", "http://x.com/casino/?q", "http://x.com/casinos", "http://ads.x.com/", "http://x.com/banner/a/b/click", "ftp://f.com/a", "http://x.com/newsroom/a.html", "http://x.com/p?ref=z&utm_medium=1", "http://É.example.com/de/", "http://x.com/" + "p" * 100_000, "http://x\n.net/a", "http://" + "a." * 60_000 + "EXAMPLE.net/en/1", "http://" + "." * 60_000 + "net", "http://net." + "x." * 60_000]
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(own)] + [(3, own[3]), (None, own[3])], "page_id long, url string").selectExpr("*", "'x' as host", "'v' as verdict", "'t' as token")
     got = sorted(((r.page_id, r.host, r.path, r.rule, r.verdict, r.pattern) for r in urls.filter_urls(pages).collect()), key=str)
     assert got == sorted([(i, *brute_url(u)) for i, u in enumerate(own)] + [(3, *brute_url(own[3])), (None, *brute_url(own[3]))], key=str)
@@ -130,6 +130,13 @@ def test_many_rules_and_hot_urls(spark, monkeypatch):
         assert (r.rule, r.verdict, r.pattern) == (rule and rule[0], rule[1] if rule else (hits[0][0] if hits else "allow"), hits[0][1] if hits else None)
 
 
+def test_components_of_a_star(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    edges = [("a", f"b{i}") for i in range(300)] + [(f"c{i}", f"c{i + 1}") for i in range(40)] + [("c40", "b7"), ("z", "y"), ("y", "y"), (None, "z")]
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a string, b string"), task_edges=0).collect()}
+    assert got == {n: "a" for e in edges[:-3] for n in e} | {"z": "y", "y": "y"}
+
+
 def test_whole_tokens():
     assert urls.whole_tokens("^casino^") == ["casino"] and urls.whole_tokens("casino") == [] and urls.whole_tokens("/a*b/cc.") == ["cc"]
     assert urls.whole_tokens("||ads.") == ["ads"] and urls.whole_tokens("|ftp://") == ["ftp"]
