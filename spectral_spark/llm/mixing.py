@@ -67,7 +67,8 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[str, int], share:
     all documents that fit, and of the next one its first mix_take tokens.
 
     Null domains, languages and sources count as "". Documents without tokens (null or empty texts) are never taken.
-    Ties in the drawn order go by id, number of tokens and digest of the text; repeated rows are taken each for itself.
+    The order is drawn from the seed, the id and the digest of the text, so rows without an id are spread like others. Ties
+    go by id, number of tokens and digest; repeated rows are taken each for itself.
     Columns with the four names are replaced, all others pass.
     """
     count = count_tokens(F.col(text_col)) if tokens is None else tokens
@@ -76,7 +77,9 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[str, int], share:
     base = docs.withColumn("mix_tokens", count.cast("long")).withColumn("mix_domain", text(domain))
     base = base.withColumn(f"{p}lang", text(F.col(lang_col))).withColumn(f"{p}source", text(F.col(source_col)))
     names = [F.col("mix_domain").alias("domain"), F.col(f"{p}lang").alias("lang"), F.col(f"{p}source").alias("source")]
-    small = base.select(F.col(id_col).alias("id"), "mix_tokens", *names).where("mix_tokens > 0")
+    digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    base = base.withColumn(f"{p}digest", digest)
+    small = base.select(F.col(id_col).alias("id"), "mix_tokens", f"{p}digest", *names).where("mix_tokens > 0")
     leaves = stash(small.groupBy(*LEVELS).agg(F.sum("mix_tokens").alias("supply"), F.count(F.lit(1)).alias("docs")), "leaves")
     goal = F.lit(total).cast("long")
     if total is None:
@@ -87,7 +90,7 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[str, int], share:
     plan = plan.withColumnsRenamed({c: f"{p}{c}" for c in ("whole", "rest", "buckets")})
 
     def drawn(df: DataFrame, key: str) -> DataFrame:
-        h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), (F.col(f"{p}whole") + 1).cast("string"), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
+        h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), (F.col(f"{p}whole") + 1).cast("string"), F.coalesce(F.col(key).cast("string"), F.lit("")), f"{p}digest")), 1, 15), 16, 10).cast("long")
         return df.withColumn(f"{p}h", h).withColumn(f"{p}bucket", F.pmod(f"{p}h", f"{p}buckets"))
 
     filled = drawn(small.join(plan.where(f"{p}rest > 0"), list(LEVELS)), "id").groupBy(*LEVELS, f"{p}bucket", f"{p}rest").agg(F.sum("mix_tokens").alias(f"{p}sum"))
@@ -104,7 +107,7 @@ def mix_sources(docs: DataFrame, domain: Column, weights: dict[str, int], share:
     full = rows.where(f"{p}whole > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{p}whole")))).select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
     part = rows.where(f"{p}rest > 0").join(first, same).withColumn("mix_epoch", F.col(f"{p}whole") + 1)
     fits = part.where(f"not {p}cut").select(*keep, epoch, "mix_tokens", F.col("mix_tokens").alias("mix_take"))
-    order = Window.partitionBy(*leaf.values(), f"{p}bucket").orderBy(f"{p}h", id_col, "mix_tokens", F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))).rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*leaf.values(), f"{p}bucket").orderBy(f"{p}h", id_col, "mix_tokens", f"{p}digest").rowsBetween(Window.unboundedPreceding, 0)
     cut = part.where(f"{p}cut").withColumn(f"{p}past", F.col(f"{p}before") + F.sum("mix_tokens").over(order) - F.col("mix_tokens")).where(f"{p}past < {p}rest")
     cut = cut.select(*keep, epoch, "mix_tokens", F.least(F.col("mix_tokens"), F.col(f"{p}rest") - F.col(f"{p}past")).alias("mix_take"))
     return full.unionByName(fits).unionByName(cut)
@@ -160,7 +163,7 @@ caps AS (SELECT *, supply * 4 AS cap FROM leaves),
 {_level(1)}
 {_level(2)}
 plan AS (SELECT l.*, (given // supply)::BIGINT AS whole, (given % supply)::BIGINT AS rest, ceil(docs / {BUCKET_DOCS}.0)::BIGINT AS buckets FROM leaves l JOIN g2 USING (domain, lang, source)),
-h AS (SELECT b.*, whole, rest, buckets, ('0x' || substr(md5('mix-0|' || (whole + 1)::VARCHAR || '|' || doc_id::VARCHAR), 1, 15))::BIGINT AS h FROM base b JOIN plan USING (domain, lang, source) WHERE tokens > 0),
+h AS (SELECT b.*, whole, rest, buckets, ('0x' || substr(md5('mix-0|' || (whole + 1)::VARCHAR || '|' || coalesce(doc_id::VARCHAR, '') || '|' || sum), 1, 15))::BIGINT AS h FROM base b JOIN plan USING (domain, lang, source) WHERE tokens > 0),
 o AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY h % buckets, h, doc_id, tokens, sum ROWS UNBOUNDED PRECEDING) - tokens AS past FROM h),
 u AS (SELECT doc_id, domain AS mix_domain, unnest(range(1, whole + 1)) AS mix_epoch, tokens AS mix_tokens, tokens AS mix_take FROM o WHERE whole > 0
 UNION ALL SELECT doc_id, domain, whole + 1, tokens, least(tokens, rest - past) FROM o WHERE past < rest)
