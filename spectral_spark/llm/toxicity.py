@@ -25,6 +25,8 @@ EXCEPTIONS = (
 )
 #: Least and most characters of a word's beginning; most labelled documents learned from, which also bounds the lexicon.
 STEMS, SAMPLE_DOCS = (4, 8), 12_000
+#: Least weight of an entry: the log of how many times more often toxic documents hold it.
+LEAST_WEIGHT = 3.0
 
 _LOOKS = str.maketrans({a: b for a, b in zip(HOMOGLYPHS[::2], HOMOGLYPHS[1::2])} | {chr(0xFF21 + k): chr(97 + k) for k in range(26)} | {chr(0xFF41 + k): chr(97 + k) for k in range(26)})
 _SIGNS = str.maketrans(dict(zip(SUBSTITUTES[::2], SUBSTITUTES[1::2])))
@@ -145,7 +147,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     stems = rows.mapInArrow(_stems(*STEMS), "stem string, clean long, toxic long").groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     weight = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-    top = stems.where(F.col("toxic") >= max(4, 0.004 * n1)).withColumn("weight", F.round(weight, 4)).where("weight >= 2").collect()
+    top = stems.where(F.col("toxic") >= max(4, 0.004 * n1)).withColumn("weight", F.round(weight, 4)).where(F.col("weight") >= LEAST_WEIGHT).collect()
     kept: dict[str, float] = {}
     for r in sorted(top, key=lambda r: (len(r["stem"]), r["stem"])):  # a longer stem is listed only where it says more than its beginning
         if r["weight"] > max([kept[r["stem"][:n]] for n in range(2, len(r["stem"])) if r["stem"][:n] in kept], default=0) + 0.5:
