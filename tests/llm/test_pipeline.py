@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pytest
@@ -7,6 +8,7 @@ from spectral_spark.llm import mixing
 from spectral_spark.llm.common import stash
 
 from .test_decontamination import brute as hits
+from .test_mixing import brute_budgets
 from .test_ngram_join import brute as classes
 from .test_secrets import base
 
@@ -16,20 +18,30 @@ def test_stages_on_the_corpus(spark, sf_dir):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     for name, stage in P.STAGES:
-        before = [(r.doc_id, r.text) for r in docs.collect()]
+        rows = docs.collect()
+        before = [(r.doc_id, r.text) for r in rows]
         docs = stash(stage(spark, docs, sf_dir), name)
         after = {r.doc_id: r for r in docs.collect()}
         assert set(after) <= {d for d, _ in before}
         if name == "mixing":
-            total = sum(len(t.split()) for _, t in before)
-            rows = docs.collect()
-            assert sum(r.mix_take for r in rows) == total * mixing.SHARE[0] // mixing.SHARE[1] and all(len(r.text.split()) == r.mix_take for r in rows)
+            leaf = lambda r: (next((d for d, k in mixing.DOMAINS.items() if r.source in {f"src{x}" for x in k}), "other"), r.lang or "", r.source or "")
+            words = lambda t: re.findall(r"[^ \t\n\r]+", t or "")
+            supply, own, taken = Counter(), {r.doc_id: r for r in rows}, Counter()
+            for r in rows:
+                supply[leaf(r)] += len(words(r.text))
+            want = brute_budgets(supply, mixing.WEIGHTS, sum(supply.values()) * mixing.SHARE[0] // mixing.SHARE[1], 4)
+            for r in docs.collect():
+                taken[leaf(r)] += r.mix_take
+                assert words(r.text) == words(own[r.doc_id].text)[: r.mix_take] and r.mix_domain == leaf(r)[0] and r.n_chars == len(r.text)
+            assert dict(taken) == {k: v for k, v in want.items() if v}
             continue
         assert docs.columns == list(P.COLUMNS)
         if name == "toxicity":
             gone = [d for d, _ in before if d not in after]
             known = [truth[d] for d in gone if d in truth]
+            clean = [d for d, _ in before if truth.get(d) == 0]
             assert gone and sum(known) >= 0.8 * len(known) and len(gone) <= 0.2 * len(before)
+            assert sum(d in after for d in clean) >= 0.97 * len(clean) and all(after[d].text == t for d, t in before if d in after)
         elif name == "ngram_join":
             assert set(after) == {c for _, c, _ in classes(before)}
         elif name == "decontamination":
