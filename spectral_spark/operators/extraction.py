@@ -61,8 +61,47 @@ def profile_windows(rows: np.ndarray, centre: np.ndarray, sigma: np.ndarray, rea
     return first, np.where(at < last[:, None], _shares(y, centre[:, None], sigma[:, None]), 0.0)
 
 
+def solve_banded(bands: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solution of a symmetric system with entries bands[j, i] at (i, i + j), in time linear in its size: elimination by blocks as wide as the band."""
+    b, n = len(bands) - 1, len(right)
+    if not b:
+        return right / bands[0]
+    m = -(-n // b)
+    full = np.zeros((b + 1, (m + 1) * b))
+    full[:, :n] = bands
+    full[0, n:] = 1.0
+    rest = np.zeros(m * b)
+    rest[:n] = right
+    p, q = np.arange(b)[:, None], np.arange(b)[None, :]
+    at = (np.arange(m) * b)[:, None, None]
+    own = full[np.abs(p - q)[None], at + np.minimum(p, q)[None]]
+    next_ = np.where(q <= p, full[np.minimum(b + q - p, b)[None], at + p[None]], 0.0)
+    rest = rest.reshape(m, b)
+    for t in range(1, m):
+        known = np.linalg.solve(own[t - 1], np.c_[next_[t - 1], rest[t - 1]])
+        own[t] -= next_[t - 1].T @ known[:, :b]
+        rest[t] -= next_[t - 1].T @ known[:, b]
+    x = np.empty((m, b))
+    x[-1] = np.linalg.solve(own[-1], rest[-1])
+    for t in range(m - 2, -1, -1):
+        x[t] = np.linalg.solve(own[t], rest[t] - next_[t] @ x[t + 1])
+    return x.ravel()[:n]
+
+
+def banded_product(bands: np.ndarray, x: np.ndarray) -> np.ndarray:
+    out, n = bands[0] * x, len(x)
+    for j in range(1, len(bands)):
+        out[: n - j] += bands[j, : n - j] * x[j:]
+        out[j:] += bands[j, : n - j] * x[: n - j]
+    return out
+
+
 def solve_profiles(rows: np.ndarray, value: np.ndarray, weight: np.ndarray, centre: np.ndarray, sigma: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """(flux, error) of fibres in order of their centres: weighted least squares, solved in runs of fibres whose windows overlap. rows are sorted."""
+    """(flux, error) of fibres in order of their centres: weighted least squares. rows are sorted.
+
+    Fibres whose windows overlap depend on each other; the normal equations have a band as wide as the most fibres that
+    overlap, so the time is linear in the number of fibres however many overlap in a chain.
+    """
     n = len(centre)
     flux, err = np.full(n, np.nan), np.full(n, np.nan)
     first, share = profile_windows(rows, centre, sigma, reach)
@@ -70,22 +109,37 @@ def solve_profiles(rows: np.ndarray, value: np.ndarray, weight: np.ndarray, cent
     at = np.minimum(first[:, None] + np.arange(k)[None, :], len(rows) - 1)
     a = share * weight[at]
     norm = (a * a).sum(1)
-    right = (a * (value * weight)[at]).sum(1)
     ok = np.flatnonzero(norm > 0)
+    if not len(ok):
+        return flux, err
     err[ok] = 1 / np.sqrt(norm[ok])
-    # a run ends where the next fibre begins after all windows so far
-    ends = np.maximum.accumulate(first[ok] + k)
-    starts = np.r_[0, np.flatnonzero(first[ok][1:] >= ends[:-1]) + 1, len(ok)] if len(ok) else np.zeros(1, int)
-    for u, v in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        run = ok[u:v]
-        low = first[run].min()
-        m = np.zeros((len(run), int(first[run].max()) + k - low))
-        m[np.arange(len(run))[:, None], (first[run] - low)[:, None] + np.arange(k)[None, :]] = a[run]
-        normal = m @ m.T
-        try:
-            flux[run] = np.linalg.solve(normal, right[run])
-        except np.linalg.LinAlgError:  # fibres at one centre share their flux
-            flux[run] = np.linalg.lstsq(normal, right[run], rcond=None)[0]
+    a, first, right = a[ok], first[ok], (a * (value * weight)[at]).sum(1)[ok]
+    ahead = np.pad(a, ((0, 0), (0, k)))
+    least = np.minimum.accumulate(first[::-1])[::-1]  # where this fibre or any further one begins
+    bands = [norm[ok]]
+    while len(bands) < len(ok):  # products with the fibre that lies so many places further on
+        j = len(bands)
+        shift = first[j:] - first[:-j]
+        near = np.abs(shift) < k
+        if (least[j:] - first[:-j] >= k).all():
+            break
+        left = np.where(shift >= 0, shift, 0)[:, None] + np.arange(k)
+        other = np.where(shift < 0, -shift, 0)[:, None] + np.arange(k)  # a wider fibre may begin before a narrower one
+        product = (np.take_along_axis(ahead[:-j], np.minimum(left, 2 * k - 1), 1) * np.take_along_axis(ahead[j:], np.minimum(other, 2 * k - 1), 1)).sum(1)
+        bands.append(np.r_[np.where(near, product, 0.0), np.zeros(j)])
+    bands = np.array(bands)
+    try:
+        flux[ok] = solve_banded(bands, right)
+        off = banded_product(bands, flux[ok]) - right
+        sound = np.abs(off).max() <= 1e-6 * max(np.abs(right).max(), 1e-300)
+    except np.linalg.LinAlgError:
+        sound = False
+    if not sound:  # fibres at one centre share their flux
+        whole = np.zeros((len(ok), len(ok)))
+        for j, band in enumerate(bands):
+            i = np.arange(len(ok) - j)
+            whole[i, i + j] = whole[i + j, i] = band[: len(ok) - j]
+        flux[ok] = np.linalg.lstsq(whole, right, rcond=None)[0]
     return flux, err
 
 
@@ -93,7 +147,7 @@ def extract_optimal(pixels: DataFrame, trace: DataFrame, keys: Sequence[str], x:
     """Weighted least squares of all fibre profiles (keys, x, fiber, centre, sigma) in each detector column.
 
     A group is one column of one detector: its height in pixels. Only pixels within reach sigmas of a centre are
-    evaluated, and fibres are solved together only in runs whose windows overlap. error is 1 / sqrt(sum (p / s)^2); masked
+    evaluated, and fibres whose windows overlap are solved together by a banded elimination. error is 1 / sqrt(sum (p / s)^2); masked
     pixels have no weight, a fibre without any is null.
     """
     both = pixels.select(*keys, x, F.col(y).cast("double").alias("y"), "value", "error", "mask", F.lit(None).cast("long").alias("fiber"), F.lit(None).cast("double").alias("centre"), F.lit(None).cast("double").alias("sigma"))

@@ -60,6 +60,15 @@ def d41_fit_gradient(spark, d):
     return r4(fits.remove_gradient(s, fit, ["k"], group="telescope").select("k", "fiberid", "flux"), "flux")
 
 
+@query(f"""WITH f AS (SELECT fiberid, (fiberid % 20)::DOUBLE AS x, ypmm AS y FROM fibermap), s AS (SELECT k, fiberid, x, y, avg(flux) AS v FROM samples JOIN f USING (fiberid) GROUP BY ALL), p AS (SELECT k, count(*) AS s00, sum(y) AS s01, sum(x) AS s02, sum(y * y) AS s11, sum(x * y) AS s12, sum(x * x) AS s22, sum(v) AS t0, sum(y * v) AS t1, sum(x * v) AS t2 FROM s GROUP BY k),
+{solve_sql("p", "c", 3, "k", lambda i, j: f"s{min(i, j)}{max(i, j)}")}, m AS (SELECT s.*, x0 + x1 * y + x2 * x AS m FROM s JOIN c USING (k)) SELECT k, fiberid, round(v * avg(m) OVER (PARTITION BY k) / m, 4) AS flux FROM m""", "samples fibermap")
+def d41_fit_plane(spark, d):
+    """A plane without groups: its normal equations are solved in closed form."""
+    fib = V.fibermap(spark, d).select("fiberid", (F.col("fiberid") % 20).cast("double").alias("x"), F.col("ypmm").alias("y"))
+    s = V.samples(spark, d).groupBy("k", "fiberid").agg(F.avg("flux").alias("flux")).join(F.broadcast(fib), "fiberid")
+    return r4(fits.remove_gradient(s, fits.fit_gradient(s, ["k"]), ["k"]).select("k", "fiberid", "flux"), "flux")
+
+
 @query("WITH m AS (SELECT CASE WHEN mjd % 3 = 0 THEN mjd END AS seen, * FROM frames) SELECT expnum, camera, mjd FROM m WHERE seen IS NULL OR camera = '5-LOW'", "frames")
 def i1_new_frames(spark, d):
     f = V.frames(spark, d)
@@ -153,6 +162,19 @@ def k2_extract_optimal(spark, d):
     return r4(K.extract_optimal(p, trace(p).withColumn("sigma", F.lit(1.5)), ["camera", "frame"]), "flux", "error", n=3)
 
 
+_ERF = "sign({x}) * 2 / sqrt(pi()) * exp(-{x} * {x}) * list_sum(list_transform(range(0, 90), lambda n: abs({x}) * pow({x} * {x}, n) * sqrt(pi()) / (2 * gamma(n + 1.5))))"
+_EDGE = lambda d: _ERF.replace("{x}", f"((y - centre {d} 0.5) / (0.9 * sqrt(2.0::DOUBLE)))")
+
+
+@query(f"""WITH {_TRACE}, p AS (SELECT t.camera, t.frame, t.fiberid, t.x, value, error, mask, 0.5 * ({_EDGE('+')} - {_EDGE('-')}) AS p FROM trace t JOIN stack s ON s.camera = t.camera AND s.x = t.x AND s.frame = t.frame AND abs(s.y - t.centre) <= 2.7 WHERE NOT mask AND error > 0)
+SELECT t.camera, t.frame, t.fiberid, t.x, round(sum(p * value / (error * error)) / sum(p * p / (error * error))) AS flux, round(1 / sqrt(sum(p * p / (error * error))), 3) AS error, count(p) = 0 AS mask FROM trace t LEFT JOIN p ON p.camera = t.camera AND p.frame = t.frame AND p.fiberid = t.fiberid AND p.x = t.x GROUP BY t.camera, t.frame, t.fiberid, t.x""", "stack")
+def k2_extract_separate(spark, d):
+    """Fibres whose windows do not meet: each one's flux is its own weighted mean."""
+    p = V.stack(spark, d)
+    out = K.extract_optimal(p, trace(p).withColumn("sigma", F.lit(0.9)), ["camera", "frame"], reach=3.0)
+    return r4(r4(out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("flux", "error")}), "flux", n=0), "error", n=3)
+
+
 def _lines(spark):
     return spark.createDataFrame([("a", 12.0), ("b", 30.0), ("c", 41.0), ("d", 55.0)], "line string, line_wave double")
 

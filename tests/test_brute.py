@@ -124,6 +124,27 @@ def test_profiles_in_runs_equal_the_dense_problem(spacing):
     assert close(error, want[1], 1e-8) and (close(flux, want[0], 1e-6) or spacing == 0.0)
 
 
+@pytest.mark.parametrize(("n", "gap", "height"), [(648, 6.2, 4080), (120, 1.5, 210), (40, 25.0, 1020), (2, 0.4, 20), (1, 1.0, 12)])
+def test_banded_profiles(n, gap, height):
+    """Fibres of uneven width that overlap throughout, in small groups and not at all, against dense least squares."""
+    rng = np.random.default_rng(n)
+    rows = np.arange(height, dtype=float)
+    centre, sigma = np.sort(8 + gap * np.arange(n) + rng.uniform(-0.3, 0.3, n) * min(gap, 1)), rng.uniform(0.8, 2.2, n)
+    shares = np.where(np.abs(rows[:, None] - centre) <= 5 * sigma, extraction._profile(rows, centre, sigma), 0.0)
+    weight = rng.choice([0, 0.5, 1.0], height, p=[0.02, 0.5, 0.48])
+    value = shares @ rng.uniform(100, 1000, n) + rng.normal(0, 1, height)
+    flux, error = extraction.solve_profiles(rows, value, weight, centre, sigma, 5.0)
+    m = shares * weight[:, None]
+    assert np.allclose(flux, np.linalg.lstsq(m, value * weight, rcond=None)[0], rtol=1e-6, atol=1e-4) and np.allclose(error, 1 / np.sqrt((m * m).sum(0)))
+
+
+def test_fibres_at_one_centre_share_their_flux():
+    rows = np.arange(20.0)
+    centre, sigma = np.array([9.0, 9.0]), np.array([1.5, 1.5])
+    flux, _ = extraction.solve_profiles(rows, extraction._profile(rows, centre, sigma) @ np.array([10.0, 30.0]), np.ones(20), centre, sigma, 5.0)
+    assert np.isclose(flux.sum(), 40)
+
+
 def test_extract_optimal_on_the_tables(spark, sf_dir):
     got = {(r.camera, r.frame, r.x, r.fiberid): (r.flux, r.error) for r in QUERIES["k2_extract_optimal"](spark, sf_dir).collect()}
     pixels = V.stack(spark, sf_dir).toPandas()
