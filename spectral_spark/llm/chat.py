@@ -46,7 +46,7 @@ def format_chats(chats: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     """One row for each conversation that begins no longer one: conv_id, n_turns, copies, text.
 
     Conversations are compared turn by turn, role and text exactly; of equal ones that with the smallest id stays and
-    copies counts them. Turns go by number, equal numbers by role and text; repeated rows are turns of their own. A null
+    copies counts them. Turns go by number, equal numbers by the hashes of role and text; repeated rows are turns of their own. A null
     role or text counts as empty; a row with a null id belongs to no other and is a conversation of one turn. Other columns
     are ignored; an empty table gives an empty result. Rendering makes one text of a conversation, so a task holds one
     conversation's turns.

@@ -14,7 +14,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Hold the Arrow batches that Python workers get to a few MB, however long the texts are."""
+    """Hold the Arrow batches that Python workers get to a few MB, however long the texts are. This sets an option of the session, which stays: plans read it when they run."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
