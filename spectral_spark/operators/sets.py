@@ -67,7 +67,7 @@ def merge_headers(df: DataFrame, keys: Sequence[str], order: str, keep: str = "l
 
 
 def extend_grid(df: DataFrame, grid: DataFrame, keys: Sequence[str], k: str) -> DataFrame:
-    """Every key on every point of a grid that is bounded (wavelengths), null where there was no sample."""
+    """Every key on every point of a grid, null where there was no sample. One row holds the grid as an array and is broadcast: grids are wavelengths, some ten thousand points."""
     points = F.array_sort(F.collect_set(k))
     return df.select(*keys).distinct().crossJoin(F.broadcast(grid.agg(points.alias("__g")))).select(*keys, F.explode("__g").alias(k)).join(df, [*keys, k], "left")  # one row
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from .. import views as V
 from ..operators import filters as B
+from ..operators.joins import small
 from ..registry import query
 from ..sources.catalog import LAMPS
 
@@ -59,7 +60,7 @@ def b6_select_fibers(spark, d):
 
 @query(f"WITH m AS ({_MAP}) SELECT expnum, s.fiberid, k, part, CASE WHEN NOT mask THEN flux END AS flux FROM samples s JOIN m USING (fiberid) WHERE fibstatus = 0 AND telescope = 'EUROPE'", "samples fibermap")
 def b7_good_fibers(spark, d):
-    s = V.samples(spark, d).join(F.broadcast(fibers(spark, d).select("fiberid", "telescope", "fibstatus")), "fiberid")
+    s = V.samples(spark, d).join(small(fibers(spark, d).select("fiberid", "telescope", "fibstatus")), "fiberid")
     return B.good_fibers(s, "EUROPE", ["flux"], "mask").select("expnum", "fiberid", "k", "part", "flux")
 
 

@@ -9,6 +9,7 @@ from ..operators import filters, fits
 from ..operators import spectra as P
 from ..operators import stack as ST
 from ..plans import workflows
+from ..operators.joins import small
 from ..registry import query, solve_sql
 from ..shared import shared_path
 from ..streaming import ingest
@@ -55,7 +56,7 @@ def d40_polyfit_clipped(spark, d):
 @query(None)
 def d41_fit_gradient(spark, d):
     fib = V.fibermap(spark, d).select("fiberid", "telescope", (F.col("fiberid") % 20).cast("double").alias("x"), F.col("ypmm").alias("y"))
-    s = V.samples(spark, d).groupBy("k", "fiberid").agg(F.avg("flux").alias("flux")).join(F.broadcast(fib), "fiberid")
+    s = V.samples(spark, d).groupBy("k", "fiberid").agg(F.avg("flux").alias("flux")).join(small(fib), "fiberid")
     fit = fits.fit_gradient(s, ["k"], group="telescope")
     return r4(fits.remove_gradient(s, fit, ["k"], group="telescope").select("k", "fiberid", "flux"), "flux")
 
@@ -65,7 +66,7 @@ def d41_fit_gradient(spark, d):
 def d41_fit_plane(spark, d):
     """A plane without groups: its normal equations are solved in closed form."""
     fib = V.fibermap(spark, d).select("fiberid", (F.col("fiberid") % 20).cast("double").alias("x"), F.col("ypmm").alias("y"))
-    s = V.samples(spark, d).groupBy("k", "fiberid").agg(F.avg("flux").alias("flux")).join(F.broadcast(fib), "fiberid")
+    s = V.samples(spark, d).groupBy("k", "fiberid").agg(F.avg("flux").alias("flux")).join(small(fib), "fiberid")
     return r4(fits.remove_gradient(s, fits.fit_gradient(s, ["k"]), ["k"]).select("k", "fiberid", "flux"), "flux")
 
 

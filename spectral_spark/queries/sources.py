@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import views as V
+from ..operators.joins import small
 from ..registry import query
 from ..shared import shared_path
 from ..sources import catalog as C
@@ -95,7 +96,7 @@ def a12_read_factors(spark, d):
 
 @query("SELECT k, flux, s.fiberid, expnum, telescope FROM samples s JOIN fibermap USING (fiberid) WHERE telescope = 'ASIA'", "samples fibermap")
 def a13_super_sky_table(spark, d):
-    s = V.samples(spark, d).join(F.broadcast(V.fibermap(spark, d).select("fiberid", "telescope")), "fiberid")
+    s = V.samples(spark, d).join(small(V.fibermap(spark, d).select("fiberid", "telescope")), "fiberid")
     return C.super_sky_table(s, "ASIA", ["k", "flux", "fiberid", "expnum", "telescope"], "k")
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from .. import views as V
 from ..operators import spectra as P
 from ..operators import templates as T
+from ..operators.joins import small
 from ..registry import query
 from .stack import biweight_sql
 
@@ -36,7 +37,7 @@ def d13_line_flux(spark, d):
 
 @query("""SELECT part, quantile_cont(flux, 0.5) FILTER (telescope = 'ASIA') AS "ASIA", quantile_cont(flux, 0.5) FILTER (telescope = 'EUROPE') AS "EUROPE" FROM samples JOIN fibermap USING (fiberid) GROUP BY part""", "samples fibermap")
 def d14_median_spectra(spark, d):
-    s = V.samples(spark, d).join(F.broadcast(V.fibermap(spark, d)), "fiberid")
+    s = V.samples(spark, d).join(small(V.fibermap(spark, d)), "fiberid")
     return P.median_spectra(s, ["part"], "telescope", ["ASIA", "EUROPE"])
 
 
