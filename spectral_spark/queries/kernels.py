@@ -462,7 +462,7 @@ _PLANE_SUMS = "count(*) AS s00, sum(y) AS s01, sum(x) AS s02, sum(y * y) AS s11,
 @query(f"""WITH f AS (SELECT fiberid, (fiberid % 20)::DOUBLE AS x, ypmm / 10 AS y, CASE WHEN fiberid % 5 = 0 THEN 'Spec' ELSE 'Sci' END AS telescope FROM fibermap),
 a AS (SELECT k AS night, fiberid, (part // 200)::INT AS k, avg(flux) AS flux, avg(error) AS error FROM samples GROUP BY ALL), q AS (SELECT night, night % 3 AS label FROM a GROUP BY night), ch AS (SELECT min(night) AS night FROM q WHERE night <> 2 GROUP BY label), s AS (SELECT a.*, x, y, telescope FROM a JOIN ch USING (night) JOIN f USING (fiberid)),
 l AS (SELECT night, fiberid, x, y, avg(flux) AS v FROM s WHERE k > 2 AND k < 8 AND telescope <> 'Spec' GROUP BY ALL), p AS (SELECT night, {_PLANE_SUMS} FROM l GROUP BY night), {solve_sql("p", "c", 3, "night", lambda i, j: f"s{min(i, j)}{max(i, j)}")},
-g AS (SELECT s.*, x0 + x1 * y + x2 * x AS model FROM s JOIN c USING (night)), h AS (SELECT *, avg(model) OVER (PARTITION BY night) AS mean FROM g), d AS (SELECT *, flux * mean / nullif(model, 0) AS v FROM h),
+g AS (SELECT s.*, x0 + x1 * y + x2 * x AS model FROM s LEFT JOIN c USING (night)), h AS (SELECT *, avg(model) OVER (PARTITION BY night) AS mean FROM g), d AS (SELECT *, coalesce(flux * mean / nullif(model, 0), flux) AS v FROM h),
 r AS (SELECT night, k, quantile_cont(v, 0.5) AS r FROM d GROUP BY ALL), n AS (SELECT d.*, v / nullif(r, 0) AS f FROM d JOIN r USING (night, k)),
 sn AS (SELECT night, fiberid, quantile_cont(flux / nullif(error, 0), 0.5) AS snr FROM s WHERE telescope = 'Spec' GROUP BY ALL), sm AS (SELECT night, quantile_cont(snr, 0.5) AS m FROM sn GROUP BY night), ex AS (SELECT night, arg_max(fiberid, snr) AS fiberid FROM sn JOIN sm USING (night) WHERE snr <> m GROUP BY night),
 u AS (SELECT n.fiberid, k, CASE WHEN f IS NULL OR f <= 0 OR telescope = 'Spec' AND ex.fiberid IS NULL THEN NULL ELSE f END AS f FROM n LEFT JOIN ex ON ex.night = n.night AND ex.fiberid = n.fiberid), {biweight_sql("b", "u", "fiberid, k", "f")}
