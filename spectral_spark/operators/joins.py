@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import shared_path
+
 #: Calibration products that a kind of frame needs.
 NEEDS = {
     "bias": ["pixmask"],
@@ -134,12 +136,12 @@ def detrend(pixels: DataFrame, bias: DataFrame, dark: DataFrame, flat: DataFrame
 
 
 def lay_out(df: DataFrame, table: str, keys: Sequence[str] = ("camera", "y", "x"), buckets: int = 64) -> DataFrame:
-    """df as a table in the warehouse, bucketed and sorted by the keys: tables of one layout join without a shuffle.
+    """df as a table in the shared folder, bucketed and sorted by the keys: tables of one layout join without a shuffle.
 
     Masters are laid out once for all exposures that they detrend; raw frames as they come in. The number of buckets must be
     the same, and so large that a bucket's pixels fit a task. A table of the name is replaced.
     """
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    df.write.mode("overwrite").option("path", shared_path(df.sparkSession, table)).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
