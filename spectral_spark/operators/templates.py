@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,8 @@ from .joins import small
 
 #: Spectra of a block of stars and of models, and numbers that a task compares at once.
 STARS, MODELS, CELLS = 64, 64, 1 << 20
+#: Bytes of models that are broadcast at once, up to four times as many where their names fall unevenly.
+PASS_BYTES = 16 << 20
 
 
 def _dense(pdf: pd.DataFrame, columns: Sequence[str], size: int) -> list[np.ndarray]:
@@ -46,8 +49,18 @@ def _blocks(rows: DataFrame, name: str, columns: Sequence[str], size: int, most:
     return rows.mapInPandas(run, f"{prefix}names array<{kind}>, " + ", ".join(f"{prefix}{c} binary" for c in columns))
 
 
+def _passes(listed: DataFrame, name: str, row_bytes: int) -> list[DataFrame]:
+    """Rows by the hash of their name in parts of at most 4 * PASS_BYTES, which is counted."""
+    n = listed.count()
+    parts = max(1, -(-n * row_bytes // PASS_BYTES))
+    part = lambda: F.pmod(F.xxhash64(name), F.lit(parts))
+    while parts < n and listed.groupBy(part()).count().agg(F.max("count")).first()[0] * row_bytes > 4 * PASS_BYTES:
+        parts *= 2
+    return [listed.where(part() == p) for p in range(parts)]
+
+
 def choose_models(spec: DataFrame, models: DataFrame, k: Sequence[str], star: str, model: str, model_error: float, most: float | None, value: str, error: str) -> DataFrame:
-    """See spectra.template_match. Models' blocks are broadcast if there are few spectra, else each meets the stars' blocks by a shuffle."""
+    """See spectra.template_match. Models are broadcast in passes of a counted size; more models take more passes over the stars, which are not shuffled for it."""
     places = stored(models.select(*k).where(" and ".join(f"`{c}` is not null" for c in k)).distinct().withColumn("i", F.row_number().over(Window.orderBy(*k)) - 1), "places")  # the places of one grid
     size = places.count()
     if not size:
@@ -56,7 +69,7 @@ def choose_models(spec: DataFrame, models: DataFrame, k: Sequence[str], star: st
     known = models.select(model, *k, F.col(value).cast("double").alias("m")).join(small(places), list(k))
     stars = stored(_listed(own.where("v is not null and e is not null"), star, ["v", "e"]), "stars")
     listed = stored(_listed(known.where("m is not null"), model, ["m"]), "models")
-    tables = stored(_blocks(listed, model, ["m"], size, MODELS, "m_"), "model-blocks")
+    tables = [stored(_blocks(part, model, ["m"], size, MODELS, "m_"), "model-blocks") for part in _passes(listed, model, 8 * size)]
     first = _best(stars, tables, star, model, size, model_error, spec, models)
     if most is None:
         return first
@@ -80,7 +93,7 @@ def _chi(v: np.ndarray, e: np.ndarray, m: np.ndarray, model_error: float) -> np.
     return (v - m) ** 2 / np.where(noise == 0, np.nan, noise)
 
 
-def _best(stars: DataFrame, tables: DataFrame, star: str, model: str, size: int, model_error: float, spec: DataFrame, models: DataFrame) -> DataFrame:
+def _best(stars: DataFrame, tables: Sequence[DataFrame], star: str, model: str, size: int, model_error: float, spec: DataFrame, models: DataFrame) -> DataFrame:
     """(star, model, chi2) of the least mean chi^2."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,8 +112,9 @@ def _best(stars: DataFrame, tables: DataFrame, star: str, model: str, size: int,
             yield pd.DataFrame(found, columns=["star", "model", "chi2"])
 
     kinds = f"star {spec.schema[star].dataType.simpleString()}, model {models.schema[model].dataType.simpleString()}, chi2 double"
-    pairs = _blocks(stars, star, ["v", "e"], size, STARS, "s_").join(small(tables))
-    best = pairs.mapInPandas(run, kinds).groupBy("star").agg(F.min(F.struct("chi2", "model")).alias("__b"))
+    blocks = _blocks(stars, star, ["v", "e"], size, STARS, "s_")
+    found = reduce(DataFrame.unionByName, [blocks.crossJoin(F.broadcast(t)).mapInPandas(run, kinds) for t in tables])  # blocks with blocks
+    best = found.groupBy("star").agg(F.min(F.struct("chi2", "model")).alias("__b"))
     return best.select(F.col("star").alias(star), F.col("__b.model").alias(model), F.col("__b.chi2").alias("chi2"))
 
 

@@ -74,7 +74,9 @@ def test_medians_by_tiles(spark, tile, half):
         assert (g.smooth is None or math.isnan(g.smooth)) if not near else g.smooth == np.median(near)
 
 
-def test_models_by_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("pass_bytes", [1 << 20, 200])
+def test_models_by_blocks(spark, monkeypatch, pass_bytes):
+    monkeypatch.setattr(templates, "PASS_BYTES", pass_bytes)
     monkeypatch.setattr(templates, "STARS", 3)
     monkeypatch.setattr(templates, "MODELS", 2)
     monkeypatch.setattr(templates, "CELLS", 40)
