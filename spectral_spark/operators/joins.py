@@ -180,13 +180,16 @@ def apply_fiberflat(samples: DataFrame, flat: DataFrame, keys: Sequence[str]) ->
 
 
 def near_pairs(a: DataFrame, b: DataFrame, r: float, ax: str = "x", ay: str = "y", bx: str = "bx", by: str = "by", distance: str = "distance") -> DataFrame:
-    """Pairs within r in the plane. b is listed under the nine cells about each point, so that pairs join by equality of a cell."""
+    """Pairs within r in the plane. b is listed under the nine cells about each point, so that pairs join by equality of a cell.
+
+    Neither side is broadcast: the optimiser does not see that b's rows are listed nine times.
+    """
     cell = lambda c: F.floor(c / r).cast("long")
     spread = F.explode(F.array(*[F.struct((cell(F.col(bx)) + i).alias("i"), (cell(F.col(by)) + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     right = b.withColumn("__c", spread)
     left = a.withColumn("__i", cell(F.col(ax))).withColumn("__j", cell(F.col(ay)))
     d2 = (F.col(ax) - F.col(bx)) * (F.col(ax) - F.col(bx)) + (F.col(ay) - F.col(by)) * (F.col(ay) - F.col(by))
-    return left.join(right, (F.col("__i") == F.col("__c.i")) & (F.col("__j") == F.col("__c.j"))).where(d2 <= r * r).withColumn(distance, F.sqrt(d2)).drop("__i", "__j", "__c")
+    return left.join(right.hint("merge"), (F.col("__i") == F.col("__c.i")) & (F.col("__j") == F.col("__c.j"))).where(d2 <= r * r).withColumn(distance, F.sqrt(d2)).drop("__i", "__j", "__c")
 
 
 def _ra_cells(zone: Column, r: float) -> Column:
@@ -201,7 +204,7 @@ def near_pairs_sky(a: DataFrame, b: DataFrame, r: float, ax: str = "x", ay: str
 
     Declinations are cut into zones of r degrees and zones into cells that widen towards the poles; b is listed under the
     cells about it in three zones, around 0 and 360, so that pairs join by equality. Distances are haversines, which keep
-    their digits for small angles. Points without a position or beyond a pole have no pairs.
+    their digits for small angles. Points without a position or beyond a pole have no pairs. Neither side is broadcast.
     """
     zone = lambda dec: F.floor((dec + 90) / r).cast("long")
     place = lambda ra, n: F.least(F.floor(F.pmod(ra.cast("double"), F.lit(360.0)) / 360 * n).cast("long"), n - 1)
@@ -212,14 +215,20 @@ def near_pairs_sky(a: DataFrame, b: DataFrame, r: float, ax: str = "x", ay: str
     half = lambda x, y: F.sin(F.radians((x - y) / 2))
     u, v = half(F.col(ay), F.col(by)), half(F.col(ax), F.col(bx))
     h = u * u + F.cos(F.radians(F.col(ay))) * F.cos(F.radians(F.col(by))) * v * v
-    out = left.join(right, (F.col("__za") == F.col("__z")) & (F.col("__ca") == F.col("__c")))
+    out = left.join(right.hint("merge"), (F.col("__za") == F.col("__z")) & (F.col("__ca") == F.col("__c")))
     return out.withColumn(distance, F.degrees(2 * F.asin(F.least(F.sqrt(h), F.lit(1.0))))).where(F.col(distance) <= r).drop("__za", "__ca", "__z", "__c")
 
 
 def cone_match(fibers: DataFrame, stars: DataFrame, r: float, fiber: str = "fiberid", sky: bool = False) -> DataFrame:
-    """Stars (bx, by) within r of a fibre (x, y), of fibres that hold one star alone; in the plane or, in degrees, on the sky."""
-    pairs = (near_pairs_sky if sky else near_pairs)(fibers, stars, r)
-    return pairs.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(fiber))).where("__n = 1").drop("__n")
+    """Stars (bx, by) within r of a fibre (x, y), of fibres that hold one star alone; in the plane or, in degrees, on the sky.
+
+    Places are paired, not rows: stars at one place are counted first, and fibres at one place ask once.
+    """
+    spots = stars.groupBy("bx", "by").agg(F.count(F.lit(1)).alias("__k"), F.first(F.struct(*[c for c in stars.columns if c not in ("bx", "by")])).alias("__star"))
+    pairs = (near_pairs_sky if sky else near_pairs)(fibers.select("x", "y").distinct(), spots, r)
+    found = pairs.groupBy("x", "y").agg(F.sum("__k").alias("__k"), F.first(F.struct("bx", "by", "distance", "__star")).alias("__p"))
+    out = fibers.join(found.hint("merge"), ["x", "y"]).withColumn("__n", F.sum("__k").over(Window.partitionBy(fiber))).where("__n = 1")
+    return out.select(*fibers.columns, *[F.col(f"__p.{c}" if c in ("bx", "by") else f"__p.__star.{c}") for c in stars.columns], F.col("__p.distance").alias("distance"))
 
 
 def brightest_in_radius(catalogue: DataFrame, centres: DataFrame, r: float, limit: float, n: int, centre: str = "centre", mag: str = "mag", star: str = "star", sky: bool = False) -> DataFrame:

@@ -210,3 +210,22 @@ def test_laid_out_tables_join_without_a_shuffle(spark, sf_dir, tmp_path):
         assert out.count() > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def paired(monkeypatch, name):
+    """The tables of pairs that a match makes from now on."""
+    seen, real = [], getattr(joins, name)
+    monkeypatch.setattr(joins, name, lambda *a, **k: seen.append(real(*a, **k)) or seen[-1])
+    return seen
+
+
+@pytest.mark.parametrize("sky", [False])
+def test_copies_are_not_paired_by_cones(spark, monkeypatch, sky):
+    """Hundreds of fibres and stars at one place are one pair of places; no side is broadcast."""
+    seen = paired(monkeypatch, "near_pairs_sky" if sky else "near_pairs")
+    fibers = spark.createDataFrame([(i, 0.0, 0.0) for i in range(200)] + [(200, 10.0, 0.0), (201, 10.0, 0.0), (202, 20.0, 0.0), (203, 30.0, 0.0), (203, 40.0, 0.0), (204, 40.0, 0.0)], "fiberid int, x double, y double")
+    stars = spark.createDataFrame([(i, 0.0, 0.0) for i in range(300)] + [(300, 10.2, 0.0), (301, 20.1, 0.0), (302, 19.9, 0.0), (303, 30.0, 0.1), (304, 40.0, 0.1)], "star int, bx double, by double")
+    out = joins.cone_match(fibers, stars, 0.5, sky=sky)
+    assert out.columns == ["fiberid", "x", "y", "star", "bx", "by", "distance"]
+    assert sorted((r.fiberid, r.star, round(r.distance, 6)) for r in out.collect()) == [(200, 300, 0.2), (201, 300, 0.2), (204, 304, 0.1)]
+    assert seen[0].count() <= 6 and "Broadcast" not in plan_of(out)
