@@ -219,7 +219,7 @@ def paired(monkeypatch, name):
     return seen
 
 
-@pytest.mark.parametrize("sky", [False])
+@pytest.mark.parametrize("sky", [False, True])
 def test_copies_are_not_paired_by_cones(spark, monkeypatch, sky):
     """Hundreds of fibres and stars at one place are one pair of places; no side is broadcast."""
     seen = paired(monkeypatch, "near_pairs_sky" if sky else "near_pairs")
