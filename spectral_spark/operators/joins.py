@@ -232,10 +232,19 @@ def cone_match(fibers: DataFrame, stars: DataFrame, r: float, fiber: str = "fibe
 
 
 def brightest_in_radius(catalogue: DataFrame, centres: DataFrame, r: float, limit: float, n: int, centre: str = "centre", mag: str = "mag", star: str = "star", sky: bool = False) -> DataFrame:
-    """The n brightest sources under a magnitude limit about each centre; in the plane or, in degrees, on the sky."""
-    pairs = (near_pairs_sky if sky else near_pairs)(catalogue.where(F.col(mag) < limit), centres, r)
-    w = Window.partitionBy(centre).orderBy(mag, star)
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    """The n brightest sources under a magnitude limit about each centre; in the plane or, in degrees, on the sky.
+
+    Places are paired, not rows: of the sources at one place only the n brightest can be chosen, and centres at one place
+    ask once.
+    """
+    first = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(mag, star))
+    kept = catalogue.where(F.col(mag) < limit).withColumn("__r", first("x", "y")).where(F.col("__r") <= n)
+    spots = kept.groupBy("x", "y").agg(F.collect_list(F.struct(*[c for c in catalogue.columns if c not in ("x", "y")])).alias("__s"))
+    pairs = (near_pairs_sky if sky else near_pairs)(spots, centres.select("bx", "by").distinct(), r)
+    asked = pairs.select("x", "y", "bx", "by", "distance", F.explode("__s").alias("__s")).select("x", "y", "bx", "by", "distance", "__s.*")
+    best = asked.withColumn("__r", first("bx", "by")).where(F.col("__r") <= n).drop("__r")
+    out = centres.join(best.hint("merge"), ["bx", "by"]).withColumn("rank", first(centre)).where(F.col("rank") <= n)
+    return out.select(*catalogue.columns, *centres.columns, "distance", "rank")
 
 
 def aperture_members(fibers: DataFrame, apertures: DataFrame, r: float) -> DataFrame:

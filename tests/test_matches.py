@@ -229,3 +229,16 @@ def test_copies_are_not_paired_by_cones(spark, monkeypatch, sky):
     assert out.columns == ["fiberid", "x", "y", "star", "bx", "by", "distance"]
     assert sorted((r.fiberid, r.star, round(r.distance, 6)) for r in out.collect()) == [(200, 300, 0.2), (201, 300, 0.2), (204, 304, 0.1)]
     assert seen[0].count() <= 6 and "Broadcast" not in plan_of(out)
+
+
+@pytest.mark.parametrize("sky", [True])
+def test_copies_are_not_paired_by_brightness(spark, monkeypatch, sky):
+    seen = paired(monkeypatch, "near_pairs_sky" if sky else "near_pairs")
+    centres = spark.createDataFrame([(i, 0.0, 0.0) for i in range(200)] + [(200, 5.0, 0.0), (200, 0.0, 0.0)], "centre int, bx double, by double")
+    stars = spark.createDataFrame([(i, (i * 7) % 300, 0.1, 0.0) for i in range(300)] + [(300, 2, 0.0, 0.0), (301, 400, 5.0, 0.0), (302, 0, 5.0, 0.3)], "star int, mag int, x double, y double")
+    out = joins.brightest_in_radius(stars, centres, 0.5, 350, 3, sky=sky)
+    best = sorted([((i * 7) % 300, i) for i in range(300)] + [(2, 300)])[:3]
+    assert out.columns == ["star", "mag", "x", "y", "centre", "bx", "by", "distance", "rank"]
+    got = sorted((r.centre, r["rank"], r.mag, r.star) for r in out.collect())
+    assert got == sorted([(c, k + 1, *best[k]) for c in range(200) for k in range(3)] + [(200, k + 1, *b) for k, b in enumerate(sorted([*best, (0, 302)])[:3])])
+    assert seen[0].count() <= 4 and "Broadcast" not in plan_of(out)
