@@ -88,6 +88,10 @@ def solve_banded(bands: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x.ravel()[:n]
 
 
+#: Fibres of a run that are solved as one dense system; longer runs are eliminated by bands.
+DENSE = 64
+
+
 def banded_product(bands: np.ndarray, x: np.ndarray) -> np.ndarray:
     out, n = bands[0] * x, len(x)
     for j in range(1, len(bands)):
@@ -96,11 +100,46 @@ def banded_product(bands: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def solve_run(bands: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Fluxes of one run of overlapping fibres; where some cannot be told apart (fibres at one centre, or that see one pixel only), those of least norm."""
+    n = len(right)
+
+    def sound(x: np.ndarray) -> bool:
+        return bool(np.abs(banded_product(bands, x) - right).max() <= 1e-6 * max(np.abs(right).max(), 1e-300))
+
+    def whole() -> np.ndarray:
+        out = np.zeros((n, n))
+        for j, band in enumerate(bands[:n]):
+            i = np.arange(n - j)
+            out[i, i + j] = out[i + j, i] = band[: n - j]
+        return out
+
+    dense = whole() if n <= DENSE else None
+    try:
+        x = solve_banded(bands, right) if dense is None else np.linalg.solve(dense, right)
+        if sound(x):
+            return x
+    except np.linalg.LinAlgError:
+        pass
+    if n <= 8 * DENSE:
+        return np.linalg.lstsq(whole() if dense is None else dense, right, rcond=None)[0]
+    # a long run: the same system with a little on its diagonal, again for what is left, keeps the least norm and stays linear
+    more = bands.copy()
+    more[0] += 1e-7 * bands[0].max()
+    x = np.zeros(n)
+    for _ in range(60):
+        x = x + solve_banded(more, right - banded_product(bands, x))
+        if np.abs(banded_product(bands, x) - right).max() <= 1e-12 * np.abs(right).max():
+            break
+    return x
+
+
 def solve_profiles(rows: np.ndarray, value: np.ndarray, weight: np.ndarray, centre: np.ndarray, sigma: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
     """(flux, error) of fibres in order of their centres: weighted least squares. rows are sorted.
 
     Fibres whose windows overlap depend on each other; the normal equations have a band as wide as the most fibres that
-    overlap, so the time is linear in the number of fibres however many overlap in a chain.
+    overlap, so the time is linear in the number of fibres however many overlap in a chain. Runs of fibres that share no
+    weighted pixel are solved apart: one that is singular costs and changes no other.
     """
     n = len(centre)
     flux, err = np.full(n, np.nan), np.full(n, np.nan)
@@ -128,18 +167,19 @@ def solve_profiles(rows: np.ndarray, value: np.ndarray, weight: np.ndarray, cent
         product = (np.take_along_axis(ahead[:-j], np.minimum(left, 2 * k - 1), 1) * np.take_along_axis(ahead[j:], np.minimum(other, 2 * k - 1), 1)).sum(1)
         bands.append(np.r_[np.where(near, product, 0.0), np.zeros(j)])
     bands = np.array(bands)
-    try:
-        flux[ok] = solve_banded(bands, right)
-        off = banded_product(bands, flux[ok]) - right
-        sound = np.abs(off).max() <= 1e-6 * max(np.abs(right).max(), 1e-300)
-    except np.linalg.LinAlgError:
-        sound = False
-    if not sound:  # fibres at one centre share their flux
-        whole = np.zeros((len(ok), len(ok)))
-        for j, band in enumerate(bands):
-            i = np.arange(len(ok) - j)
-            whole[i, i + j] = whole[i + j, i] = band[: len(ok) - j]
-        flux[ok] = np.linalg.lstsq(whole, right, rcond=None)[0]
+    linked = np.zeros(len(ok), dtype=np.int64)  # how many pairs reach over the gap behind a fibre
+    for j in range(1, len(bands)):
+        pairs = np.r_[0, np.cumsum(bands[j, : len(ok) - j] != 0)]
+        gap = np.arange(len(ok) - 1)
+        linked[:-1] += pairs[np.minimum(gap + 1, len(ok) - j)] - pairs[np.minimum(np.maximum(gap + 1 - j, 0), len(ok) - j)]
+    ends = np.flatnonzero(linked == 0) + 1
+    starts = np.r_[0, ends[:-1]]
+    alone = ends - starts == 1
+    found = np.empty(len(ok))
+    found[starts[alone]] = right[starts[alone]] / bands[0, starts[alone]]
+    for s, e in zip(starts[~alone], ends[~alone]):
+        found[s:e] = solve_run(bands[: e - s, s:e], right[s:e])
+    flux[ok] = found
     return flux, err
 
 
@@ -147,7 +187,7 @@ def extract_optimal(pixels: DataFrame, trace: DataFrame, keys: Sequence[str], x:
     """Weighted least squares of all fibre profiles (keys, x, fiber, centre, sigma) in each detector column.
 
     A group is one column of one detector: its height in pixels. Only pixels within reach sigmas of a centre are
-    evaluated, and fibres whose windows overlap are solved together by a banded elimination. error is 1 / sqrt(sum (p / s)^2); masked
+    evaluated, and runs of fibres whose windows overlap are solved together, long ones by a banded elimination. error is 1 / sqrt(sum (p / s)^2); masked
     pixels have no weight, a fibre without any is null.
     """
     both = pixels.select(*keys, x, F.col(y).cast("double").alias("y"), "value", "error", "mask", F.lit(None).cast("long").alias("fiber"), F.lit(None).cast("double").alias("centre"), F.lit(None).cast("double").alias("sigma"))

@@ -145,6 +145,32 @@ def test_fibres_at_one_centre_share_their_flux():
     assert np.isclose(flux.sum(), 40)
 
 
+def test_a_singular_run_does_not_make_the_column_dense(monkeypatch):
+    """Two fibres at one centre among many: least squares see their run only, and the others' fluxes do not change."""
+    sizes, real = [], np.linalg.lstsq
+    monkeypatch.setattr(np.linalg, "lstsq", lambda a, *b, **k: sizes.append(len(a)) or real(a, *b, **k))
+    rng = np.random.default_rng(11)
+    centre = np.sort(np.r_[20.0 + 20 * np.arange(500), 20.0 + 20 * 250])
+    rows, sigma = np.arange(10_040.0), np.full(501, 1.5)
+    value, weight = rng.normal(100, 20, len(rows)), rng.choice([0.5, 1.0], len(rows))
+    flux, _ = extraction.solve_profiles(rows, value, weight, centre, sigma, 5.0)
+    alone, _ = extraction.solve_profiles(rows, value, weight, np.delete(centre, 251), sigma[1:], 5.0)
+    assert max(sizes, default=0) <= 2
+    assert np.allclose(np.delete(flux, [250, 251]), np.delete(alone, 250), rtol=1e-12) and np.allclose(flux[250:252], alone[250] / 2, rtol=1e-9)
+
+
+def test_a_long_singular_run():
+    """More fibres in one chain than are solved as one dense system, two of them at one centre."""
+    rng = np.random.default_rng(12)
+    n = 8 * extraction.DENSE + 100
+    centre = np.sort(np.r_[20.0 + 6 * np.arange(n), 20.0 + 6 * (n // 2)])
+    rows, sigma = np.arange(6.0 * n + 40), np.full(n + 1, 1.5)
+    value, weight = rng.normal(100, 20, len(rows)), rng.choice([0.5, 1.0], len(rows))
+    flux, error = extraction.solve_profiles(rows, value, weight, centre, sigma, 5.0)
+    want = dense(rows, value, weight, centre, sigma, 5.0)
+    assert np.allclose(flux, want[0], rtol=1e-6, atol=1e-5) and np.allclose(error, want[1])
+
+
 def test_extract_optimal_on_the_tables(spark, sf_dir):
     got = {(r.camera, r.frame, r.x, r.fiberid): (r.flux, r.error) for r in QUERIES["k2_extract_optimal"](spark, sf_dir).collect()}
     pixels = V.stack(spark, sf_dir).toPandas()
