@@ -25,12 +25,23 @@ def _about_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return v.withColumn("__d", median(F.abs(F.col(value) - F.col("__m"))).over(w))
 
 
-def biweight_stats(df: DataFrame, keys: Sequence[str], value: str, c_location: float = 6.0, c_scale: float = 9.0) -> DataFrame:
+def _about_quantile(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The same for few and large groups, of which no task holds one: medians by exact quantiles, joined to the stored values."""
+    v = stored(df.select(*keys, value).where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))), "values")
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] or [F.lit(True)]
+    for x, name in ((F.col(value), "__m"), (F.abs(F.col(value) - F.col("__m")), "__d")):
+        mid = stored(quantile(v.withColumn("__x", x), keys, "__x", 0.5, name), "medians")
+        v = v.alias("a").join(small(mid).alias("b"), same).select("a.*", name)
+    return v
+
+
+def biweight_stats(df: DataFrame, keys: Sequence[str], value: str, c_location: float = 6.0, c_scale: float = 9.0, large: bool = False) -> DataFrame:
     """For each group: n, median, mad (unscaled), the biweight location and scale; the median and 0 where the mad is 0.
 
     Beers, Flynn & Gebhardt 1990. Nulls and NaN do not count; a group without values has no row.
+    A group's values meet in one task's window, which spills; say large where groups are few and grow with the table.
     """
-    v = _about_median(df, keys, value)
+    v = (_about_quantile if large else _about_median)(df, keys, value)
     x, d = F.col(value) - F.col("__m"), F.col("__d")
     u = lambda c: F.try_divide(x, c * d)
     near, far = u(F.lit(c_location)), u(F.lit(c_scale))

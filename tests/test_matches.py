@@ -248,3 +248,15 @@ def test_groups_without_a_row_in_the_window_are_left_out(spark):
     df = spark.createDataFrame([(1, 5, 4.0), (1, 50, 8.0), (2, 50, 3.0), (3, 6, 0.0)], "g int, part int, flux double")
     got = sorted((r.g, r.part, r.flux) for r in spectra.group_normalize(df, ["g"], F.col("part") < 10).collect())
     assert got == [(1, 5, 1.0), (1, 50, 2.0), (3, 6, None)]
+
+
+def test_factor_means_hold_no_group(spark):
+    """The same biweights as by windows, without a window over a group's values."""
+    rng = np.random.default_rng(5)
+    rows = pd.DataFrame({"key": ["a"] * 60_000 + ["b"] * 7 + ["c"] * 3 + ["d", None], "value": np.r_[rng.normal(1.0, 0.1, 60_000), 1, 2, 3, 4, 5, 6, 99.0, 2, 2, 2, np.nan, 4.0]})
+    df = spark.createDataFrame(rows).repartition(4)
+    got = spectra.factor_means(df)
+    want = {r.key: (r.location, r.n) for r in robust.biweight_stats(df, ["key"], "value").collect()}
+    have = {r.key: (r.value, r.n) for r in got.collect()}
+    assert set(have) == set(want) == {"a", "b", "c", None} and all(have[k] == (pytest.approx(want[k][0], rel=1e-12), want[k][1]) for k in want)
+    assert "Window" not in plan_of(got)
