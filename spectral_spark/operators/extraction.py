@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.robust import median
 from ..functions.scalars import extinction_factor
+from ..shared import stored
 from .fits import polyfit
 from .joins import interp_onto, small
 from .spectra import reject_fiber_outliers
@@ -210,9 +211,18 @@ def extract_optimal(pixels: DataFrame, trace: DataFrame, keys: Sequence[str], x:
     return out.withColumn("mask", F.col("flux").isNull() | F.isnan("flux"))
 
 
+#: Pixels that one task makes of fibres before they are summed.
+RENDERED = 1 << 20
+
+
 def render_profiles(spectra: DataFrame, keys: Sequence[str], half: int, x: str = "x", y: str = "y") -> DataFrame:
-    """Fibres (keys, x, flux, centre, sigma) as pixels again: normalised Gaussians, sampled within half rows of the centres and summed."""
-    rows = spectra.withColumn(y, F.explode(F.sequence((F.round("centre") - half).cast("int"), (F.round("centre") + half).cast("int"))))
+    """Fibres (keys, x, flux, centre, sigma) as pixels again: normalised Gaussians, sampled within half rows of the centres and summed.
+
+    Fibres are stored and counted, so that each task makes a bounded number of pixels of them.
+    """
+    spectra = stored(spectra.select(*keys, x, "flux", "centre", "sigma"), "fibers")
+    parts = -(-spectra.count() * (2 * half + 1) // RENDERED)
+    rows = spectra.repartition(max(1, parts), *keys, x, "centre").withColumn(y, F.explode(F.sequence((F.round("centre") - half).cast("int"), (F.round("centre") + half).cast("int"))))
     u = (F.col(y) - F.col("centre")) / F.col("sigma")
     v = F.col("flux") * F.exp(-0.5 * u * u) / (F.col("sigma") * sqrt(2 * np.pi))
     return rows.groupBy(*keys, x, y).agg(F.sum(v).alias("model"))

@@ -171,6 +171,19 @@ def test_a_long_singular_run():
     assert np.allclose(flux, want[0], rtol=1e-6, atol=1e-5) and np.allclose(error, want[1])
 
 
+def test_rendered_pixels_of_a_task_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(extraction, "RENDERED", 500)
+    rows = [(x, f + 1.0, 10.0 * f + 4, 2.0) for x in range(5) for f in range(40)]
+    out = extraction.render_profiles(spark.createDataFrame(rows, "x int, flux double, centre double, sigma double"), [], 6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and f", {-(-200 * 13 // 500)})" in plan
+    got = {(r.x, r.y): r.model for r in out.collect()}
+    y = np.arange(-2, 401)
+    for x in range(5):
+        want = sum(np.where(np.abs(y - c) <= 6, v * np.exp(-0.5 * ((y - c) / s) ** 2) / (s * np.sqrt(2 * np.pi)), 0.0) for a, v, c, s in rows if a == x)
+        assert np.allclose([got[x, k] for k in y.tolist()], want)
+
+
 def test_extract_optimal_on_the_tables(spark, sf_dir):
     got = {(r.camera, r.frame, r.x, r.fiberid): (r.flux, r.error) for r in QUERIES["k2_extract_optimal"](spark, sf_dir).collect()}
     pixels = V.stack(spark, sf_dir).toPandas()
