@@ -6,18 +6,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import shared_path
+from ..shared import bound_batches, shared_path  # noqa: F401
 
 #: What separates words: ASCII that is neither digit nor lower-case letter (text is lower-cased first).
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Hold the Arrow batches that Python workers get to a few MB, however long the texts are. This sets an option of the session, which stays: plans read it when they run."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
-
-
 def stash(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts lineage and survives lost executors."""
     path = shared_path(df.sparkSession, name)

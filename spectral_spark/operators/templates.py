@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shared import stored
+from ..shared import bound_batches, stored
 from .joins import small
 
 #: Spectra of a block of stars and of models, and numbers that a task compares at once.
@@ -61,6 +61,7 @@ def _passes(listed: DataFrame, name: str, row_bytes: int) -> list[DataFrame]:
 
 def choose_models(spec: DataFrame, models: DataFrame, k: Sequence[str], star: str, model: str, model_error: float, most: float | None, value: str, error: str) -> DataFrame:
     """See spectra.template_match. Models are broadcast in passes of a counted size; more models take more passes over the stars, which are not shuffled for it."""
+    bound_batches(spec.sparkSession)  # a block of stars has tens of KB or more, and a batch would have thousands of them
     places = stored(models.select(*k).where(" and ".join(f"`{c}` is not null" for c in k)).distinct().withColumn("i", F.row_number().over(Window.orderBy(*k)) - 1), "places")  # the places of one grid
     size = places.count()
     if not size:
@@ -181,6 +182,7 @@ def align_profiles(obs: DataFrame, ref: DataFrame, keys: Sequence[str], y: str =
     one height, and of the correlation's peaks within `fine` places of the first shift the one is chosen whose value and
     greater neighbour are greatest; a parabola gives the part of a place. A group is one row of two arrays.
     """
+    bound_batches(obs.sparkSession)
     listed = lambda df, name: df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(y).cast("long").alias("k"), F.col(value).cast("double").alias("v")))).alias(name))
     both = listed(obs.where(F.col(value).isNotNull()), "__o").join(listed(ref.where(F.col(value).isNotNull()), "__r"), list(keys))
     flat = both.select(*keys, *[F.transform(c, lambda x: x[f]).alias(f"{c}{f}") for c in ("__o", "__r") for f in ("k", "v")])  # noqa: B023

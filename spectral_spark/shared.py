@@ -19,6 +19,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Hold the Arrow batches that Python workers get to a few MB, however long texts and arrays are. This sets an option of the session, which stays: plans read it when they run."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet into the shared folder and read back: cuts lineage and survives lost executors."""
     path = shared_path(df.sparkSession, name)

@@ -260,3 +260,12 @@ def test_factor_means_hold_no_group(spark):
     have = {r.key: (r.value, r.n) for r in got.collect()}
     assert set(have) == set(want) == {"a", "b", "c", None} and all(have[k] == (pytest.approx(want[k][0], rel=1e-12), want[k][1]) for k in want)
     assert "Window" not in plan_of(got)
+
+
+def test_blocks_of_stars_reach_python_in_bounded_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    df = spark.createDataFrame([(s, k, float(s % 3 + k), 1.0) for s in range(9) for k in range(5)], "star int, k int, flux double, error double")
+    models = spark.createDataFrame([(m, k, float(m + k)) for m in range(3) for k in range(5)], "model int, k int, flux double")
+    out = spectra.template_match(df, models, ["k"], most=6.0)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+    assert {r.star: r.model for r in out.collect()} == {s: s % 3 for s in range(9)}
