@@ -51,7 +51,8 @@ def reduce_science(pixels: DataFrame, masters: Masters, trace: DataFrame, fiberf
     spectra_ = extract_frames(pixels.join(times.select(exposure, "exptime"), exposure), masters, trace, [exposure, channel], aperture, gain, F.col("exptime"), dark_time)
     flat = joins.apply_fiberflat(spectra_, fiberflat, [channel, "fiberid", "x"])
     rows = windows.rectify(flat.withColumn("wave", wave), [exposure, channel, "fiberid"], "x", start, step, n)
-    whole = spectra.join_channels(rows, [exposure, "fiberid", "k"], channel).drop("channels").join(joins.small(fibers), "fiberid")
+    # both skies and the science fibres read the joined channels
+    whole = stored(spectra.join_channels(rows, [exposure, "fiberid", "k"], channel).drop("channels").join(joins.small(fibers), "fiberid"), "whole")
     sky = lambda side: spectra.collapse_fibers(whole.where(F.col("telescope") == side), [exposure, "k"])
     blend = spectra.weight_skies(sky("SkyE"), sky("SkyW"), times.select(exposure, "weight_e", "weight_w"), [exposure], [exposure, "k"])
     science = spectra.subtract_sky(whole.where(F.col("telescope").isin("Sci", "Spec")), blend, [exposure, "k"])

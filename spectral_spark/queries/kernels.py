@@ -11,7 +11,7 @@ from ..operators import stack as ST
 from ..plans import workflows
 from ..operators.joins import small
 from ..registry import query, solve_sql
-from ..shared import shared_path
+from ..shared import shared_path, stored
 from ..streaming import ingest
 from .spectra import r4
 from .stack import biweight_sql
@@ -322,7 +322,8 @@ o AS (SELECT *, (1.0 + k / 100.0) * pow(10.0::DOUBLE, 0.4 * (1.1 + frame / 50.0)
 SELECT frame, fiberid, k, round(flux * f, 4) AS flux, round(error * f, 6) AS error, mask FROM o""", "stack")
 def w_reduce_science(spark, d):
     """The whole science reduction: detrending, extraction, fibre flat, common grid, channels, two skies, flux calibration."""
-    s = V.stack(spark, d)
+    s = stored(V.stack(spark, d), "stack")  # read by masters, lamp, frames and their trace
+    traced = stored(trace(s), "trace")
     key = ["camera", "y", "x"]
     masters = workflows.Masters(
         bias=s.groupBy(*key).agg(F.min("value").alias("value"), F.every("mask").alias("mask")),
@@ -331,10 +332,10 @@ def w_reduce_science(spark, d):
     )
     lamp = s.where("frame = 7")
     lit = workflows.extract_frames(lamp, masters, trace(lamp), ["frame", "camera"], exptime=900.0, dark_time=300.0)
-    flat = P.fiberflat(lit, ["camera", "x"])
+    flat = stored(P.fiberflat(lit, ["camera", "x"]), "fiberflat")
     p = s.where("frame < 7")
     wave = F.when(F.col("camera") == "A", 100.0).when(F.col("camera") == "N", 180.0).otherwise(260.0) + F.lit(2.0) * F.col("x") + F.lit(0.25) * F.col("fiberid")
-    fibers = trace(s).select("fiberid").distinct().withColumn("telescope", F.when(F.col("fiberid") % 3 == 1, "Sci").when(F.col("fiberid") % 3 == 2, "Spec").when(F.col("fiberid") % 2 == 0, "SkyE").otherwise("SkyW"))
+    fibers = traced.select("fiberid").distinct().withColumn("telescope", F.when(F.col("fiberid") % 3 == 1, "Sci").when(F.col("fiberid") % 3 == 2, "Spec").when(F.col("fiberid") % 2 == 0, "SkyE").otherwise("SkyW"))
     fibers = fibers.withColumn("std_exptime", F.when((F.col("telescope") == "Spec") & (F.col("fiberid") % 2 == 0), 60.0))
     shots = p.select("frame").distinct().select("frame", (F.lit(0.2) + F.col("frame") / 10.0).alias("weight_e"), (F.lit(0.8) - F.col("frame") / 10.0).alias("weight_w"), F.lit(900.0).alias("exptime"), (F.lit(1.1) + F.col("frame") / 50.0).alias("airmass"))
     sens = spark.range(90).select(F.col("id").cast("int").alias("k"), (F.lit(1.0) + F.col("id") / 100.0).alias("sens"))
@@ -383,7 +384,8 @@ o AS (SELECT frame, fiberid, telescope, k, flux - sky AS flux, sqrt(error * erro
 
 def _exposures(spark, d):
     """What reduce_exposures takes, from the stack of frames: the last columns stand for the overscan, frame 7 for the lamp."""
-    s = V.stack(spark, d)
+    s = stored(V.stack(spark, d), "stack")  # read by masters, lamp, frames and their trace
+    traced = stored(trace(s), "trace")
     key = ["camera", "y", "x"]
     masters = workflows.Masters(
         bias=s.groupBy(*key).agg(F.min("value").alias("value"), F.every("mask").alias("mask")),
@@ -393,8 +395,8 @@ def _exposures(spark, d):
     raw = s.where("frame < 8").withColumn("value", F.when(F.col("x") >= 46, F.floor(F.col("value") / 1000)).otherwise(F.col("value")).cast("double"))
     overscan = F.col("x") >= 46
     first = F.when(F.col("camera") == "A", 100.0).when(F.col("camera") == "N", 180.0).otherwise(260.0) + F.lit(0.25) * F.col("fiberid")
-    waves = trace(s).select("camera", "fiberid").distinct().withColumns({"wave": F.array(first, F.lit(2.0), F.lit(0.002)), "lsf": F.array(F.lit(1.5), F.lit(0.01))})
-    fibers = trace(s).select("fiberid").distinct().withColumn("telescope", F.when(F.col("fiberid") % 3 == 1, "Sci").when(F.col("fiberid") % 3 == 2, "Spec").when(F.col("fiberid") % 2 == 0, "SkyE").otherwise("SkyW"))
+    waves = traced.select("camera", "fiberid").distinct().withColumns({"wave": F.array(first, F.lit(2.0), F.lit(0.002)), "lsf": F.array(F.lit(1.5), F.lit(0.01))})
+    fibers = traced.select("fiberid").distinct().withColumn("telescope", F.when(F.col("fiberid") % 3 == 1, "Sci").when(F.col("fiberid") % 3 == 2, "Spec").when(F.col("fiberid") % 2 == 0, "SkyE").otherwise("SkyW"))
     fibers = fibers.withColumn("std_exptime", F.when(F.col("telescope") == "Spec", F.when(F.col("fiberid") % 2 == 0, 60.0).otherwise(75.0)))
     mass = F.lit(1.1) + F.col("frame") / 50.0
     exposures = s.select("frame").where("frame < 8").distinct().withColumns({"exptime": F.lit(900.0), "weight_e": F.lit(0.2) + F.col("frame") / 10.0, "weight_w": F.lit(0.8) - F.col("frame") / 10.0, "airmass": mass, "airmass_e": mass + 0.1, "airmass_w": mass + 0.2})
@@ -403,13 +405,13 @@ def _exposures(spark, d):
     sens = ks.withColumn("sens", F.lit(1.0) + F.col("k") / 100.0)
     extinction = spark.createDataFrame([(100.0, 0.3), (400.0, 0.1)], "cw double, cv double")
     telluric = ks.withColumn("telescope", F.explode(F.array(*map(F.lit, ("Sci", "Spec", "SkyE", "SkyW"))))).withColumn("trans", F.when(F.col("telescope") == "SkyE", F.lit(0.9) + F.col("k") / 1000.0).when(F.col("telescope") == "SkyW", F.lit(0.8) + F.col("k") / 1000.0).otherwise(0.95))
-    cal = workflows.Calibrations(masters, trace(s), waves, None, lines, sens, extinction, telluric)
+    cal = workflows.Calibrations(masters, traced, waves, None, lines, sens, extinction, telluric)
     how = {"columns": 46, "level": 90000.0, "edge": 2, "stat": "median", "dark_time": 300.0, "snr": 100.0}
     lamp = raw.where("frame = 7")
     profile = ST.overscan_profile(lamp.where(overscan), ["frame", "camera"], "y", "median")
     clean, _ = filters.mask_saturated(ST.subtract_overscan(lamp.where(~overscan), profile, ["frame", "camera"]), ["frame", "camera"], 46, 90000.0, edge=2)
     lit = workflows.extract_frames(clean, masters, trace(lamp), ["frame", "camera"], exptime=900.0, dark_time=300.0)
-    cal = cal._replace(fiberflat=P.fiberflat(lit, ["camera", "x"]))
+    cal = cal._replace(fiberflat=stored(P.fiberflat(lit, ["camera", "x"]), "fiberflat"))
     return workflows.reduce_exposures(raw.where("frame < 7"), overscan, cal, fibers, exposures, (100.0, 3.0, 90), 5.5, **how)
 
 

@@ -118,3 +118,10 @@ def test_twilights_give_the_throughput_back(spark):
     assert all(got[i, 5][1] == 1 for i in standards) and all(got[i, 5][1] == 6 for i in sci)
     means = {r.key: r.value for r in factors.collect()}
     assert means["1"] / means["2"] == pytest.approx(1.1 / 0.9, rel=0.05) and fit.count() == 6
+
+
+def test_science_frames_are_read_once(spark, sf_dir):
+    """Masters, lamp, frames and trace start from one stored stack."""
+    from spectral_spark.queries import QUERIES
+
+    assert "lineitem" not in QUERIES["w_reduce_science"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
