@@ -252,6 +252,16 @@ def aperture_members(fibers: DataFrame, apertures: DataFrame, r: float) -> DataF
     return near_pairs(fibers, apertures, r)
 
 
+def aperture_totals(fibers: DataFrame, apertures: DataFrame, r: float, value: str) -> DataFrame:
+    """Apertures (bx, by) with fibres (x, y) within r: how many members, and the total of a column over them.
+
+    Places are paired, not rows: fibres at one place are summed first, and apertures at one place ask once.
+    """
+    spots = fibers.groupBy("x", "y").agg(F.count(F.lit(1)).alias("__k"), F.sum(value).alias("__v"))
+    found = aperture_members(spots, apertures.select("bx", "by").distinct(), r).groupBy("bx", "by").agg(F.sum("__k").alias("members"), F.sum("__v").alias("total"))
+    return apertures.join(found.hint("merge"), ["bx", "by"]).select(*apertures.columns, "members", "total")
+
+
 #: Most curve points that one cell of the lookup may hold, and the ranges of wavelength that a large curve is cut into.
 CELL_POINTS, RANGES = 64, 2_000
 

@@ -160,7 +160,7 @@ def c10_brightest_on_sky(spark, d):
 def c11_aperture_members(spark, d):
     fib, _ = _plane(spark, d)
     ap = fib.select(F.col("fiberid").alias("aperture"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    return J.aperture_members(fib, ap, 8.0).groupBy("aperture").agg(F.count(F.lit(1)).alias("members"), F.sum("fiberid").alias("total"))
+    return J.aperture_totals(fib, ap, 8.0, "fiberid").groupBy("aperture").agg(F.sum("members").alias("members"), F.sum("total").alias("total"))
 
 
 @query("""WITH c AS (SELECT (p_partkey * 7.0)::DOUBLE AS x, floor(p_retailprice) AS y FROM part), s AS (SELECT x, y, lead(x) OVER (ORDER BY x) AS x2, lead(y) OVER (ORDER BY x) AS y2 FROM c), w AS (SELECT DISTINCT part * 7.5 AS wave FROM samples),

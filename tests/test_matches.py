@@ -244,6 +244,27 @@ def test_copies_are_not_paired_by_brightness(spark, monkeypatch, sky):
     assert seen[0].count() <= 4 and "Broadcast" not in plan_of(out)
 
 
+def test_copies_are_not_paired_by_apertures(spark, monkeypatch):
+    seen = paired(monkeypatch, "near_pairs")
+    fibers = spark.createDataFrame([(i, 0.0, 0.0) for i in range(200)] + [(200, 3.0, 4.0), (None, 3.0, 4.0), (202, 6.0, 0.0), (203, None, 0.0)], "fiberid int, x double, y double")
+    apertures = spark.createDataFrame([(i, 0.0, 0.0) for i in range(300)] + [(300, 6.0, 1.0), (301, 90.0, 0.0), (302, None, 0.0)], "aperture int, bx double, by double")
+    out = joins.aperture_totals(fibers, apertures, 5.0, "fiberid")
+    assert out.columns == ["aperture", "bx", "by", "members", "total"]
+    assert sorted((r.aperture, r.members, r.total) for r in out.collect()) == [*[(i, 202, 19900 + 200) for i in range(300)], (300, 3, 402)]
+    assert seen[0].count() == 4 and "Broadcast" not in plan_of(out)
+
+
+def test_aperture_query_pairs_places(spark, monkeypatch, sf_dir):
+    """As many pairs as there are of distinct places within reach, however many fibres share one."""
+    seen = paired(monkeypatch, "near_pairs")
+    fib, _ = join_queries._plane(spark, sf_dir)
+    monkeypatch.setattr(join_queries, "_plane", lambda *_: (fib.unionByName(fib.withColumn("fiberid", F.col("fiberid") + 101)), None))
+    once = {(r.x, r.y) for r in fib.collect()}
+    out = join_queries.c11_aperture_members(spark, sf_dir).collect()
+    assert len(out) == 2 * fib.count()
+    assert seen[0].count() == sum((a - c) ** 2 + (b - d) ** 2 <= 64 for a, b in once for c, d in once)
+
+
 def test_groups_without_a_row_in_the_window_are_left_out(spark):
     df = spark.createDataFrame([(1, 5, 4.0), (1, 50, 8.0), (2, 50, 3.0), (3, 6, 0.0)], "g int, part int, flux double")
     got = sorted((r.g, r.part, r.flux) for r in spectra.group_normalize(df, ["g"], F.col("part") < 10).collect())
