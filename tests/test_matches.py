@@ -265,6 +265,23 @@ def test_aperture_query_pairs_places(spark, monkeypatch, sf_dir):
     assert seen[0].count() == sum((a - c) ** 2 + (b - d) ** 2 <= 64 for a, b in once for c, d in once)
 
 
+@pytest.mark.parametrize("copies", [(2, 1), (2, 2)])
+def test_sky_query_pairs_places(spark, monkeypatch, sf_dir, copies):
+    """As many pairs as there are of distinct places within reach, however many fibres and stars share one; neither side is broadcast."""
+    fib, stars = (df.localCheckpoint() for df in join_queries._sky(spark, sf_dir))
+    again = lambda df, key, n: df.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn(key, F.col(key) + F.col("i") * 1_000_000).drop("i").localCheckpoint()
+    tables = again(fib, "fiberid", copies[0]), again(stars, "star", copies[1])
+    monkeypatch.setattr(join_queries, "_sky", lambda *_: (fib, stars))
+    once = [tuple(r) for r in join_queries.c9_cone_match_sky(spark, sf_dir).collect()]
+    seen = paired(monkeypatch, "near_pairs_sky")
+    monkeypatch.setattr(join_queries, "_sky", lambda *_: tables)
+    out = join_queries.c9_cone_match_sky(spark, sf_dir)
+    want = [(f + i * 1_000_000, s, d) for f, s, d in once for i in range(copies[0]) if copies[1] == 1]  # a star and its copy are two
+    assert once and sorted(tuple(r) for r in out.collect()) == sorted(want)
+    near = joins.near_pairs_sky(fib, stars, 1.5)
+    assert seen[0].count() == near.select("x", "y", "bx", "by").distinct().count() and "Broadcast" not in plan_of(out)
+
+
 def test_groups_without_a_row_in_the_window_are_left_out(spark):
     df = spark.createDataFrame([(1, 5, 4.0), (1, 50, 8.0), (2, 50, 3.0), (3, 6, 0.0)], "g int, part int, flux double")
     got = sorted((r.g, r.part, r.flux) for r in spectra.group_normalize(df, ["g"], F.col("part") < 10).collect())
